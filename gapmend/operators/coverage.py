@@ -1,0 +1,199 @@
+"""Is every row of the source in the target, and how often?
+
+The work happens on one frame, :func:`key_coverage`: source and target keys
+are stacked and counted per key in a single hash aggregate. Each task first
+reduces its own rows to one per key, so a key that holds a third of either
+side costs one row per task in the shuffle. No join is involved, and neither
+side has to be unique.
+
+Keys with a NULL part never match anything. They are counted apart and take
+no part in ranges or repairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from gapmend.functions.columns import any_null, as_list, named, none_null
+from gapmend.operators.ranges import in_range
+from gapmend.shared import Written, write_shared
+
+Keys = str | Sequence[str]
+
+
+def key_coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+    """One row per distinct source key: ``source_rows`` and ``target_rows``."""
+    keys = as_list(keys)
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    left = source.select(
+        *map(named, keys), one.alias("source_rows"), none.alias("target_rows")
+    )
+    right = target.where(none_null(keys)).select(
+        *map(named, keys), none.alias("source_rows"), one.alias("target_rows")
+    )
+    return (
+        left.unionByName(right)
+        .groupBy(*map(named, keys))
+        .agg(
+            F.sum("source_rows").alias("source_rows"),
+            F.sum("target_rows").alias("target_rows"),
+        )
+        .where(F.col("source_rows") > 0)
+    )
+
+
+def is_missing(keys: Keys) -> Column:
+    """True on the rows of :func:`key_coverage` that the target lacks."""
+    return (F.col("target_rows") == 0) & none_null(as_list(keys))
+
+
+def coverage_metrics(keys: Keys) -> list[Column]:
+    """The aggregates over :func:`key_coverage` that describe a coverage."""
+    keys = as_list(keys)
+    missing, rows = is_missing(keys), F.col("source_rows")
+    matched = rows * F.col("target_rows")
+    metrics = [
+        F.coalesce(F.sum(rows), F.lit(0)).alias("source_rows"),
+        F.coalesce(F.sum(matched), F.lit(0)).alias("matched_rows"),
+        F.coalesce(F.sum(F.when(missing, rows)), F.lit(0)).alias("missing_rows"),
+        F.count_if(missing).alias("missing_keys"),
+        F.count_if(F.col("target_rows") > 1).alias("duplicated_keys"),
+        F.coalesce(F.sum(F.when(any_null(keys), rows)), F.lit(0)).alias("null_keys"),
+    ]
+    if len(keys) == 1:
+        only = F.when(missing, named(keys[0]))
+        metrics += [F.min(only).alias("min_missing"), F.max(only).alias("max_missing")]
+    return metrics
+
+
+def coverage_status() -> Column:
+    """Compare counts only: equal is ``present``, more in the target is
+    ``duplicated``, fewer is ``missing``. Duplicates can hide gaps in it, so
+    decide on ``missing_rows``."""
+    source, matched = F.col("source_rows"), F.col("matched_rows")
+    return (
+        F.when(matched == source, "present")
+        .when(matched > source, "duplicated")
+        .otherwise("missing")
+    )
+
+
+def coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+    """One row that says how well ``target`` covers ``source``."""
+    counted = key_coverage(source, target, keys).agg(*coverage_metrics(keys))
+    return counted.withColumn("status", coverage_status())
+
+
+def missing_keys(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+    """Source keys that the target lacks, with their number of source rows."""
+    keys = as_list(keys)
+    counted = key_coverage(source, target, keys).where(is_missing(keys))
+    return counted.select(*map(named, keys), "source_rows")
+
+
+def missing_preview(source: DataFrame, target: DataFrame, keys: Keys, n: int = 20) -> DataFrame:
+    """The ``n`` lowest missing keys, in order."""
+    keys = as_list(keys)
+    return missing_keys(source, target, keys).orderBy(*map(named, keys)).limit(n)
+
+
+def missing_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Lowest and highest missing key, one row; NULLs when nothing is missing."""
+    return missing_keys(source, target, key).agg(
+        F.min(named(key)).alias("min_missing"), F.max(named(key)).alias("max_missing")
+    )
+
+
+def matched_rows(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+    """Source rows that the target has, each once, with its ``target_rows``.
+
+    The target is counted per key before the join, so its copies are never
+    paired up one by one.
+    """
+    keys = as_list(keys)
+    copies = (
+        target.where(none_null(keys))
+        .groupBy(*map(named, keys))
+        .agg(F.count(F.lit(1)).alias("target_rows"))
+    )
+    return source.join(copies, keys, "inner").select(
+        *map(named, source.columns), "target_rows"
+    )
+
+
+def matched_copies(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+    """The equi-join itself: one row for each target copy of a source row.
+
+    Only the keys of the target travel. AQE splits a hot key by the map
+    outputs of the side that holds it. Use :func:`matched_rows` or
+    :func:`coverage` when the number of copies is enough.
+    """
+    keys = as_list(keys)
+    return source.join(target.select(*map(named, keys)), keys, "inner").select(
+        *map(named, source.columns)
+    )
+
+
+def present_key_days(
+    source: DataFrame, target: DataFrame, keys: Keys, day: str = "day"
+) -> DataFrame:
+    """The days on which each source key already lives in the target.
+
+    One row per key and day with the copies on both sides. Both sides are
+    counted first, so a key brings at most one row per day to the join.
+    """
+    keys = as_list(keys)
+    per_day = (
+        target.where(none_null(keys))
+        .groupBy(*map(named, keys), named(day))
+        .agg(F.count(F.lit(1)).alias("target_rows"))
+    )
+    per_key = (
+        source.where(none_null(keys))
+        .groupBy(*map(named, keys))
+        .agg(F.count(F.lit(1)).alias("source_rows"))
+    )
+    return per_day.join(per_key, keys, "inner").select(
+        *map(named, keys), named(day), "source_rows", "target_rows"
+    )
+
+
+def find_missing(source: DataFrame, target: DataFrame, keys: Keys) -> Written:
+    """Write the missing keys to the shared folder."""
+    keys = as_list(keys)
+    missing = missing_keys(source, target, keys).select(*map(named, keys))
+    return write_shared(missing, "missing-keys")
+
+
+def missing_rows(
+    source: DataFrame, target: DataFrame, keys: Keys, missing: Written | None = None
+) -> DataFrame:
+    """Whole source rows whose key the target lacks.
+
+    Works in two steps, so that the wide source rows are shuffled only when
+    there is no other way: the first step reads keys alone and writes the
+    missing ones, the second reads the source again and keeps their rows.
+    The second step is a broadcast join as long as the written keys are
+    below Spark's threshold, and a shuffled semi-join beyond it.
+    """
+    missing = missing or find_missing(source, target, keys)
+    return source.join(missing.frame, as_list(keys), "left_semi")
+
+
+def rows_in_missing_range(
+    source: DataFrame, target: DataFrame, key: str
+) -> DataFrame:
+    """All source rows from the lowest to the highest missing key.
+
+    The bounds are scalar subqueries of the same query: they are computed
+    once, reach the scan as a filter, and nothing is joined.
+    """
+    bounds = missing_range(source, target, key)
+    return in_range(
+        source,
+        key,
+        bounds.select("min_missing").scalar(),
+        bounds.select("max_missing").scalar(),
+    )

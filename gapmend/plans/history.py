@@ -1,0 +1,17 @@
+"""Load the whole history of a source."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from gapmend.functions.conform import widen_decimals
+from gapmend.sinks.files import write_files
+
+
+def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fail") -> None:
+    """Replace the files under ``path`` with all rows of ``source``.
+
+    Decimals are widened on the way. The job is one stage: every task writes
+    what it read.
+    """
+    write_files(widen_decimals(source, on_error), path, fmt)

@@ -1,0 +1,171 @@
+"""Append to a day-partitioned table what it lacks of its source."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from typing import Any
+
+from pyspark.sql import DataFrame, Observation, functions as F
+
+from gapmend.functions.columns import as_list, named
+from gapmend.functions.conform import FILLABLE, conform, project_to_target
+from gapmend.functions.stamps import run_day
+from gapmend.operators.coverage import (
+    Keys,
+    coverage_metrics,
+    is_missing,
+    key_coverage,
+)
+from gapmend.operators.ranges import in_range
+from gapmend.shared import Written, write_shared
+from gapmend.sinks.files import stage
+from gapmend.sinks.tables import append_dynamic, append_static, table_schema
+
+MODES = ("exact", "range", "full")
+
+# A source with at most this many rows is sent to the target scan whole.
+BROADCAST_KEYS = 1_000_000
+
+
+@dataclass(frozen=True)
+class RepairReport:
+    """How the target covered the source, and how many rows were appended."""
+
+    status: str
+    source_rows: int = 0
+    matched_rows: int = 0
+    missing_rows: int = 0
+    missing_keys: int = 0
+    duplicated_keys: int = 0
+    null_keys: int = 0
+    min_missing: Any = None
+    max_missing: Any = None
+    appended_rows: int = 0
+
+
+def _status(source_rows: int, matched_rows: int) -> str:
+    if matched_rows == source_rows:
+        return "present"
+    return "duplicated" if matched_rows > source_rows else "missing"
+
+
+def _narrow(
+    source: DataFrame, target: DataFrame, keys: list[str], key_range
+) -> tuple[DataFrame, DataFrame]:
+    """Keep the scan of the target to the keys that the source can have.
+
+    A given range filters both sides. Otherwise one look at the source keys
+    gives their range and number: the range is pushed to the target scan, and
+    a source counted to be small is broadcast against it.
+    """
+    if len(keys) != 1:
+        return source, target
+    key = keys[0]
+    if key_range is not None:
+        low, high = key_range
+        return in_range(source, key, low, high), in_range(target, key, low, high)
+    probe = source.agg(
+        F.min(named(key)).alias("low"),
+        F.max(named(key)).alias("high"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    target = in_range(target, key, probe.low, probe.high)
+    if probe.n <= BROADCAST_KEYS:
+        only = source.select(named(key)).distinct()
+        target = target.join(F.broadcast(only), keys, "left_semi")
+    return source, target
+
+
+def validate(
+    source: DataFrame, target: DataFrame, keys: Keys
+) -> tuple[RepairReport, Written]:
+    """Coverage figures and the written missing keys, from one job.
+
+    The figures are observed on the rows that the job filters and writes, so
+    each side is read once, keys only.
+    """
+    keys = as_list(keys)
+    seen = Observation()
+    counted = key_coverage(source, target, keys).observe(seen, *coverage_metrics(keys))
+    missing = counted.where(is_missing(keys)).select(*map(named, keys))
+    written = write_shared(missing, "missing-keys")
+    figures = seen.get
+    status = _status(figures["source_rows"], figures["matched_rows"])
+    return RepairReport(status=status, **figures), written
+
+
+def repair(
+    source: DataFrame,
+    table: str,
+    keys: Keys,
+    mode: str = "exact",
+    day: str | None = None,
+    day_column: str = "day",
+    key_range: tuple[Any, Any] | None = None,
+    staging_path: str | None = None,
+    staging_format: str = "avro",
+    fillable: Sequence[str] = FILLABLE,
+    on_error: str = "fail",
+) -> RepairReport:
+    """Append rows of ``source`` to the partition ``day`` of ``table``.
+
+    ``exact`` appends the rows whose key is missing and can be repeated at
+    will. ``range`` appends everything from the lowest to the highest missing
+    key, also what is there already. ``full`` appends everything without a
+    look at the target. Rows with a NULL key are counted, and appended by
+    ``full`` only.
+
+    The source is brought to the columns and types of the table first; it is
+    an error if it lacks any that are not ``fillable``. With ``staging_path``
+    the rows are written there before they are appended.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
+    keys = as_list(keys)
+    if mode == "range" and len(keys) != 1:
+        raise ValueError("range repair needs exactly one key column")
+
+    spark = source.sparkSession
+    wanted = table_schema(spark, table)
+    rows = project_to_target(conform(source, wanted, fillable, on_error), wanted)
+    day = day or run_day()
+
+    if mode == "full":
+        if key_range is not None and len(keys) == 1:
+            rows = in_range(rows, keys[0], *key_range)
+        appended = _append(rows, table, day, day_column, staging_path, staging_format)
+        return RepairReport(status="full", appended_rows=appended)
+
+    rows, target = _narrow(rows, spark.table(table), keys, key_range)
+    report, missing = validate(rows, target, keys)
+    try:
+        if report.missing_rows == 0:
+            return report
+        if len(keys) == 1:
+            rows = in_range(rows, keys[0], report.min_missing, report.max_missing)
+        if mode == "exact":
+            # Few rows from many tasks: REBALANCE gathers them into few files.
+            rows = rows.join(missing.frame, keys, "left_semi").hint("rebalance")
+        appended = _append(rows, table, day, day_column, staging_path, staging_format)
+    finally:
+        missing.drop()
+    return RepairReport(**{**vars(report), "appended_rows": appended})
+
+
+def _append(
+    rows: DataFrame,
+    table: str,
+    day: str,
+    day_column: str,
+    staging_path: str | None,
+    staging_format: str,
+) -> int:
+    written = Observation()
+    rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    if staging_path is None:
+        append_dynamic(rows, table, day_column, day)
+    else:
+        staged = stage(rows, staging_path, staging_format)
+        append_static(staged, table, day, day_column)
+    return written.get["n"]
