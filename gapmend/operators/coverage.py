@@ -22,6 +22,9 @@ from gapmend.shared import Written, write_shared
 
 Keys = str | Sequence[str]
 
+# Copies of one source row that a task writes out at a time.
+COPIES_PER_PART = 100_000
+
 
 def key_coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
     """One row per distinct source key: ``source_rows`` and ``target_rows``."""
@@ -123,17 +126,32 @@ def matched_rows(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
     )
 
 
-def matched_copies(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+def matched_copies(
+    source: DataFrame, target: DataFrame, keys: Keys, per_part: int = COPIES_PER_PART
+) -> DataFrame:
     """The equi-join itself: one row for each target copy of a source row.
 
-    Only the keys of the target travel. AQE splits a hot key by the map
-    outputs of the side that holds it. Use :func:`matched_rows` or
-    :func:`coverage` when the number of copies is enough.
+    The copies are counted before the join and spelled out after it. A key
+    with more than ``per_part`` copies is first cut into parts of that size,
+    which are spread over all tasks, so no task writes out a hot key alone.
+    (AQE would not notice one: equal keys compress to next to nothing in a
+    shuffle.) Use :func:`matched_rows` or :func:`coverage` when the number of
+    copies is enough.
     """
-    keys = as_list(keys)
-    return source.join(target.select(*map(named, keys)), keys, "inner").select(
-        *map(named, source.columns)
+    found = matched_rows(source, target, keys).withColumnRenamed("target_rows", "_copies")
+    copies, part = F.col("_copies"), F.col("_part")
+    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last_part = F.ceil(copies / per_part) - 1
+    hot = (
+        found.where(copies > per_part)
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part)))
+        .repartition(tasks, *map(named, as_list(keys)), part)
+        .withColumn("_copies", F.least(F.lit(per_part), copies - part * per_part))
+        .drop("_part")
     )
+    each = F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy")
+    parts = found.where(copies <= per_part).unionByName(hot)
+    return parts.select(*map(named, source.columns), each).drop("_copy")
 
 
 def present_key_days(
@@ -182,18 +200,13 @@ def missing_rows(
     return source.join(missing.frame, as_list(keys), "left_semi")
 
 
-def rows_in_missing_range(
-    source: DataFrame, target: DataFrame, key: str
-) -> DataFrame:
+def rows_in_missing_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """All source rows from the lowest to the highest missing key.
 
-    The bounds are scalar subqueries of the same query: they are computed
-    once, reach the scan as a filter, and nothing is joined.
+    The two bounds come to the driver first: as plain values they reach the
+    scan of the source, which a subquery would not.
     """
-    bounds = missing_range(source, target, key)
-    return in_range(
-        source,
-        key,
-        bounds.select("min_missing").scalar(),
-        bounds.select("max_missing").scalar(),
-    )
+    bounds = missing_range(source, target, key).first()
+    if bounds.min_missing is None:
+        return source.where(F.lit(False))
+    return in_range(source, key, bounds.min_missing, bounds.max_missing)

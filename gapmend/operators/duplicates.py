@@ -89,6 +89,18 @@ def duplicate_occurrences(
     return number_copies(copies_by(df, keys, [day], duplicates), keys, day)
 
 
+def _known_to(
+    source: DataFrame, keys: list[str], shared: list[str], duplicates: Written
+) -> Written:
+    """The duplicated keys whose ``shared`` part occurs in ``source``."""
+    parts = duplicates.frame.select(*map(named, shared))
+    hits = source.select(*map(named, shared)).distinct().join(parts, shared, "left_semi")
+    return write_shared(
+        duplicates.frame.join(hits, shared, "left_semi").select(*map(named, keys)),
+        "duplicate-source-keys",
+    )
+
+
 def duplicate_files(
     df: DataFrame,
     keys: Keys,
@@ -107,14 +119,14 @@ def duplicate_files(
     """
     keys = as_list(keys)
     duplicates = duplicates or find_duplicates(df, keys)
-    per_file = copies_by(df, keys, [day, filename], duplicates)
     if source is not None:
-        shared = as_list(source_keys or keys)
-        wanted = source.select(*map(named, shared)).distinct()
-        per_file = per_file.join(wanted, shared, "left_semi")
+        duplicates = _known_to(source, keys, as_list(source_keys or keys), duplicates)
+    # Written once, because both sides of the join below start from it.
+    counted = copies_by(df, keys, [day, filename], duplicates)
+    per_file = write_shared(counted, "copies-by-file").frame
     place = F.struct(named(day), named(filename))
     first = per_file.groupBy(*map(named, keys)).agg(F.min(place).alias("first_place"))
-    extra = F.col("copies") - F.when(place == F.col("first_place"), 1).otherwise(0)
+    extra = F.col("copies") - F.when(place.eqNullSafe(F.col("first_place")), 1).otherwise(0)
     return (
         per_file.join(first, keys, "inner")
         .withColumn("extra_rows", extra)
@@ -131,7 +143,7 @@ def survivors(df: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFr
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
-        return df.groupBy(*map(named, keys)).agg().select(df.columns)
+        return df.distinct()
     kept = F.min_by(
         F.struct(*map(named, rest)), F.struct(*map(named, order_by or rest))
     )
@@ -160,4 +172,4 @@ def dedup(
         return kept.unionByName(df.where(any_null(keys)))
     single = df.join(duplicates.frame, keys, "left_anti")
     repeated = df.join(duplicates.frame, keys, "left_semi")
-    return single.select(df.columns).unionByName(survivors(repeated, keys, order_by))
+    return single.select(*map(named, df.columns)).unionByName(survivors(repeated, keys, order_by))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gapmend.functions.columns import named
 
@@ -16,11 +16,11 @@ def key_range(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def in_range(df: DataFrame, key: str, low: Any | Column, high: Any | Column) -> DataFrame:
+def in_range(df: DataFrame, key: str, low: Any, high: Any) -> DataFrame:
     """Rows with ``low <= key <= high``; a bound of ``None`` is left open.
 
-    Plain values reach the scan as pushed filters, in files as well as over
-    JDBC. A column, such as a scalar subquery, is evaluated once per query.
+    Give plain values: they reach the scan as pushed filters, in files as
+    well as over JDBC. Spark does not push scalar subqueries that far.
     """
     if low is not None:
         df = df.where(named(key) >= low)

@@ -1,4 +1,3 @@
-from gapmend.plans.history import history
-from gapmend.plans.repair import RepairReport, repair, validate
+from gapmend.plans.jobs import RepairReport, history, repair, validate
 
 __all__ = ["RepairReport", "history", "repair", "validate"]

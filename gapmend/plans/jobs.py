@@ -1,4 +1,4 @@
-"""Append to a day-partitioned table what it lacks of its source."""
+"""The two jobs: repair a day-partitioned table, load the history of a source."""
 
 from __future__ import annotations
 
@@ -9,7 +9,12 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from gapmend.functions.columns import as_list, named
-from gapmend.functions.conform import FILLABLE, conform, project_to_target
+from gapmend.functions.conform import (
+    FILLABLE,
+    conform,
+    project_to_target,
+    widen_decimals,
+)
 from gapmend.functions.stamps import run_day
 from gapmend.operators.coverage import (
     Keys,
@@ -19,7 +24,7 @@ from gapmend.operators.coverage import (
 )
 from gapmend.operators.ranges import in_range
 from gapmend.shared import Written, write_shared
-from gapmend.sinks.files import stage
+from gapmend.sinks.files import stage, write_files
 from gapmend.sinks.tables import append_dynamic, append_static, table_schema
 
 MODES = ("exact", "range", "full")
@@ -169,3 +174,12 @@ def _append(
         staged = stage(rows, staging_path, staging_format)
         append_static(staged, table, day, day_column)
     return written.get["n"]
+
+
+def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fail") -> None:
+    """Replace the files under ``path`` with all rows of ``source``.
+
+    Decimals are widened on the way. The job is one stage: every task writes
+    what it read.
+    """
+    write_files(widen_decimals(source, on_error), path, fmt)

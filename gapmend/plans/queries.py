@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gapmend import functions as fn, operators as op, sinks, sources
-from gapmend.plans.history import history
-from gapmend.plans.repair import repair
+from gapmend.plans.jobs import history, repair
 from gapmend.shared import fresh_path
 
 ORDER_KEY = "o_orderkey"
@@ -99,8 +98,7 @@ def key_range_probe(spark, sf_dir):
 
 
 def range_scan(spark, sf_dir):
-    span = op.key_range(landed(spark, sf_dir), ORDER_KEY)
-    low, high = span.select("initrange").scalar(), span.select("endrange").scalar()
+    low, high = op.resolve_range(landed(spark, sf_dir), ORDER_KEY)
     return op.in_range(orders(spark, sf_dir), ORDER_KEY, low, high)
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapmend.functions.columns import as_list, named
+from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.coverage import Keys
 from gapmend.operators.duplicates import (
     copies_by,
@@ -42,19 +42,23 @@ def cleaned_days(
     ``copies`` counts the duplicated keys per day.
     """
     touched = df.where(_is_one_of(day, days))
+    if duplicates.fits_broadcast():
+        single = touched.join(duplicates.frame, keys, "left_anti").select(*map(named, df.columns))
+        others = touched.join(duplicates.frame, keys, "left_semi")
+    else:
+        single = touched.where(any_null(keys))
+        others = touched.where(none_null(keys))
+    # The lowest copy in the days at hand is the one that stays, unless the
+    # key has a copy on an earlier day, which then loses no row.
+    lowest = survivors(others, keys, [day, *order_by])
     first_day = copies.groupBy(*map(named, keys)).agg(
         F.min(F.struct(named(day))).alias("_first")
     )
-    single = touched.join(duplicates.frame, keys, "left_anti").select(df.columns)
-    # One candidate per key and day first, so that the join below meets at
-    # most one row per key and day.
-    repeated = survivors(touched, [*keys, day], order_by).join(
-        duplicates.frame, keys, "left_semi"
-    )
+    first = F.col("_first")
     kept = (
-        repeated.join(first_day, keys, "inner")
-        .where(named(day).eqNullSafe(F.col("_first").getField(day)))
-        .select(df.columns)
+        lowest.join(first_day, keys, "left")
+        .where(first.isNull() | named(day).eqNullSafe(first.getField(day)))
+        .select(*map(named, df.columns))
     )
     return single.unionByName(kept)
 
@@ -101,7 +105,7 @@ def rewrite_duplicates(
     with session_conf(spark, settings):
         # REBALANCE gathers a day into few files and splits a day that holds
         # much of the data over several tasks.
-        rows = cleaned.frame.hint("rebalance", day).select(df.columns)
+        rows = cleaned.frame.hint("rebalance", day).select(*map(named, df.columns))
         rows.write.insertInto(table, overwrite=True)
     dropped = tuple(d for d in days if d not in left)
     for value in dropped:

@@ -1,0 +1,30 @@
+"""Small tables for tests."""
+
+from pyspark.sql import functions as F
+
+from gapmend.shared import fresh_path
+from gapmend.sinks import append_dynamic, create_table
+
+
+def day_table(spark, rows, schema="id bigint, v string, day string"):
+    """A day-partitioned table with the given rows; returns name and path."""
+    df = spark.createDataFrame(rows, schema)
+    path = fresh_path(spark, "table")
+    name = f"t_{path[-32:]}"
+    create_table(spark, name, df.drop("day").schema, path)
+    if rows:
+        append_dynamic(df, name)
+    return name, path
+
+
+def ids(spark, values, schema="id bigint"):
+    return spark.createDataFrame([(v,) for v in values], schema)
+
+
+def source_rows(spark, values):
+    return ids(spark, values).withColumn("v", F.concat(F.lit("new "), F.col("id")))
+
+
+def contents(spark, name):
+    spark.catalog.refreshTable(name)
+    return sorted(map(tuple, spark.table(name).collect()), key=str)

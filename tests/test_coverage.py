@@ -1,0 +1,132 @@
+import pytest
+from pyspark.sql import functions as F
+
+from gapmend.operators import (
+    coverage,
+    in_range,
+    matched_copies,
+    matched_rows,
+    missing_keys,
+    missing_preview,
+    missing_range,
+    missing_rows,
+    present_key_days,
+    resolve_range,
+    rows_in_missing_range,
+    source_keys_duplicated,
+)
+from gapmend.plans import validate
+from tests.tables import ids
+
+
+def listed(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_counts_that_cancel_out_still_show_the_gap(spark):
+    row = coverage(ids(spark, [1, 2]), ids(spark, [1, 1]), "id").first()
+    assert (row.source_rows, row.matched_rows, row.status) == (2, 2, "present")
+    assert (row.missing_rows, row.missing_keys, row.duplicated_keys) == (1, 1, 1)
+    assert (row.min_missing, row.max_missing) == (2, 2)
+
+
+@pytest.mark.parametrize(
+    "target, status", [([1, 2], "present"), ([1], "missing"), ([1, 1, 2], "duplicated")]
+)
+def test_status(spark, target, status):
+    assert coverage(ids(spark, [1, 2]), ids(spark, target), "id").first().status == status
+
+
+def test_empty_source(spark):
+    row = coverage(ids(spark, []), ids(spark, [1]), "id").first()
+    assert (row.source_rows, row.matched_rows, row.missing_rows) == (0, 0, 0)
+    assert row.min_missing is None
+    assert missing_rows(ids(spark, []), ids(spark, [1]), "id").count() == 0
+    assert rows_in_missing_range(ids(spark, []), ids(spark, [1]), "id").count() == 0
+
+
+def test_empty_target(spark):
+    row = coverage(ids(spark, [1, 2]), ids(spark, []), "id").first()
+    assert (row.matched_rows, row.missing_rows, row.status) == (0, 2, "missing")
+
+
+def test_null_key_is_counted_apart(spark):
+    source, target = ids(spark, [1, 3, None, None]), ids(spark, [1, None])
+    row = coverage(source, target, "id").first()
+    assert (row.source_rows, row.null_keys, row.missing_rows) == (4, 2, 1)
+    assert (row.matched_rows, row.min_missing, row.max_missing) == (1, 3, 3)
+    assert listed(missing_keys(source, target, "id")) == [(3, 1)]
+    assert listed(missing_rows(source, target, "id")) == [(3,)]
+
+
+def test_key_with_a_null_part(spark):
+    schema = "a int, b string"
+    source = spark.createDataFrame([(1, None), (1, "x"), (2, "x"), (None, None)], schema)
+    target = spark.createDataFrame([(1, None), (1, "x"), (None, None)], schema)
+    row = coverage(source, target, ["a", "b"]).first()
+    assert (row.null_keys, row.missing_keys, row.matched_rows) == (2, 1, 1)
+    assert listed(missing_rows(source, target, ["a", "b"])) == [(2, "x")]
+
+
+def test_figures_from_the_writing_job_equal_the_query(spark):
+    source, target = ids(spark, [*range(50), None]), ids(spark, [*range(0, 50, 3), 6, 6])
+    report, missing = validate(source, target, "id")
+    row = coverage(source, target, "id").first().asDict()
+    assert {k: getattr(report, k) for k in row} == row
+    assert listed(missing.frame) == listed(missing_keys(source, target, "id").select("id"))
+
+
+def test_figures_of_an_empty_source(spark):
+    report, missing = validate(ids(spark, []), ids(spark, []), "id")
+    assert (report.status, report.source_rows, report.missing_rows) == ("present", 0, 0)
+    assert missing.frame.count() == 0
+
+
+def test_bounds_that_share_digits(spark):
+    source, target = ids(spark, range(1, 11)), ids(spark, [1, 2, 8, 9, 10])
+    assert tuple(missing_range(source, target, "id").first()) == (3, 7)
+    found = rows_in_missing_range(source, target, "id")
+    assert listed(found) == [(3,), (4,), (5,), (6,), (7,)]
+
+
+def test_one_bound_given(spark):
+    df = ids(spark, [4, 9, 30])
+    assert resolve_range(df, "id", low=5) == (5, 30)
+    assert resolve_range(df, "id", high=20) == (4, 20)
+    assert resolve_range(df, "id") == (4, 30)
+    assert resolve_range(ids(spark, []), "id") == (None, None)
+
+
+def test_range_is_inclusive(spark):
+    df = ids(spark, range(10))
+    assert listed(in_range(df, "id", 3, 5)) == [(3,), (4,), (5,)]
+    assert in_range(df, "id", None, 5).count() == 6
+
+
+def test_repeated_source_keys(spark):
+    source, target = ids(spark, [1, 1, 2, 3, 3]), ids(spark, [1, 1, 1, 2])
+    assert listed(missing_keys(source, target, "id")) == [(3, 2)]
+    assert listed(missing_rows(source, target, "id")) == [(3,), (3,)]
+    assert listed(matched_rows(source, target, "id")) == [(1, 3), (1, 3), (2, 1)]
+    assert matched_copies(source, target, "id").count() == 7
+    assert coverage(source, target, "id").first().matched_rows == 7
+    assert listed(source_keys_duplicated(source, target, "id")) == [(1, 2, 3)]
+
+
+def test_days_of_present_keys(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, None)]
+    target = spark.createDataFrame(rows, "id bigint, day string")
+    found = present_key_days(ids(spark, [1, 3, None]), target, "id")
+    assert listed(found) == [(1, "a", 1, 2), (1, "b", 1, 1), (3, None, 1, 1)]
+
+
+def test_preview_is_the_lowest_keys_in_order(spark):
+    found = missing_preview(ids(spark, [9, 7, 8, 1]), ids(spark, [1]), "id", n=2)
+    assert [r.id for r in found.collect()] == [7, 8]
+
+
+def test_columns_with_awkward_names(spark):
+    source = ids(spark, [1, 2]).withColumnRenamed("id", "a.b c")
+    target = source.where(F.col("`a.b c`") == 1)
+    assert listed(missing_rows(source, target, "a.b c")) == [(2,)]
+    assert listed(matched_rows(source, target, "a.b c")) == [(1, 1)]

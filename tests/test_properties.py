@@ -1,0 +1,54 @@
+"""What has to hold for any pair of source and target."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gapmend.operators import (
+    coverage,
+    dedup,
+    matched_rows,
+    missing_rows,
+    rows_in_missing_range,
+)
+from gapmend.plans import repair
+from gapmend.sinks import rewrite_duplicates
+from tests.tables import day_table, ids, source_rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repair_and_dedup(spark, seed):
+    pick = random.Random(seed)
+    present = [pick.randrange(60) for _ in range(pick.randrange(80))]
+    rows = [(k, f"v{n}", f"2024-01-0{pick.randrange(1, 6)}") for n, k in enumerate(present)]
+    source_ids = sorted(pick.sample(range(80), pick.randrange(1, 60)))
+    name, _ = day_table(spark, rows)
+    source, target = source_rows(spark, source_ids), ids(spark, present)
+
+    gaps = sorted(set(source_ids) - set(present))
+    before = coverage(source, target, "id").first()
+    exact = missing_rows(source, target, "id")
+    span = rows_in_missing_range(source, target, "id")
+    assert sorted(r.id for r in exact.collect()) == gaps
+    assert exact.exceptAll(span).isEmpty() and span.exceptAll(source).isEmpty()
+    assert matched_rows(source, target, "id").count() == len(source_ids) - len(gaps)
+    assert before.source_rows == len(source_ids) and before.missing_rows == len(gaps)
+
+    assert repair(source, name, "id", day="2024-02-01").appended_rows == len(gaps)
+    assert repair(source, name, "id", day="2024-02-01").appended_rows == 0
+    after = coverage(source, spark.table(name), "id").first()
+    assert after.missing_rows == 0
+
+    table = spark.table(name)
+    every = sorted(r.id for r in table.select("id").distinct().collect())
+    rank = F.row_number().over
+    from pyspark.sql import Window
+
+    first = Window.partitionBy("id").orderBy("day", "v")
+    wanted = table.withColumn("n", rank(first)).where("n = 1").drop("n").collect()
+    assert sorted(dedup(table, "id", ["day", "v"]).collect()) == sorted(wanted)
+    rewrite_duplicates(spark, name, "id", ["v"])
+    table = spark.table(name)
+    assert sorted(table.collect()) == sorted(wanted)
+    assert sorted(r.id for r in table.collect()) == every

@@ -1,0 +1,126 @@
+import pytest
+
+from gapmend.functions import SchemaMismatch
+from gapmend.shared import fresh_path
+from gapmend.sinks import (
+    append_dynamic,
+    append_static,
+    avro_file_extension,
+    avro_table_ddl,
+    create_table,
+    drop_null_partition,
+    drop_partition,
+    null_partition_rows,
+    stage,
+    sync_partitions,
+    table_schema,
+)
+from tests.tables import contents, day_table
+
+SCHEMA = "id bigint, v string"
+
+
+def test_static_append_goes_by_name(spark):
+    name, _ = day_table(spark, [(1, "a", "2024-01-01")])
+    append_static(spark.createDataFrame([("b", 2)], "v string, ID bigint"), name, "2024-01-02")
+    append_static(spark.createDataFrame([(3, "it's")], SCHEMA), name, "it's \\ day")
+    assert contents(spark, name) == [
+        (1, "a", "2024-01-01"),
+        (2, "b", "2024-01-02"),
+        (3, "it's", "it's \\ day"),
+    ]
+
+
+def test_dynamic_append(spark):
+    name, _ = day_table(spark, [])
+    rows = spark.createDataFrame([("x", 1, "a", 0), ("y", 2, "b", 0)], "day string, id int, v string, extra int")
+    append_dynamic(rows, name)
+    append_dynamic(rows.drop("day"), name, value="z", rebalance=True)
+    assert contents(spark, name) == [
+        (1, "a", "x"),
+        (1, "a", "z"),
+        (2, "b", "y"),
+        (2, "b", "z"),
+    ]
+
+
+def test_missing_column_fails_before_writing(spark):
+    name, _ = day_table(spark, [])
+    with pytest.raises(SchemaMismatch):
+        append_static(spark.range(1), name, "2024-01-01")
+    assert contents(spark, name) == []
+
+
+def test_schema_leaves_the_partition_out(spark):
+    name, _ = day_table(spark, [])
+    assert table_schema(spark, name).names == ["id", "v"]
+    assert table_schema(spark, name, partitions=True).names == ["id", "v", "day"]
+
+
+def test_day_stays_text_and_sync_finds_landed_files(spark):
+    path = fresh_path(spark, "landed")
+    rows = spark.createDataFrame([(1, "a", "2024-01-05")], SCHEMA + ", day string")
+    rows.write.partitionBy("day").parquet(path)
+    name = f"t_{path[-32:]}"
+    create_table(spark, name, rows.drop("day").schema, path)
+    listed = sync_partitions(spark, name)
+    assert [r.partition for r in listed.collect()] == ["day=2024-01-05"]
+    assert spark.table(name).schema["day"].dataType.simpleString() == "string"
+    assert contents(spark, name) == [(1, "a", "2024-01-05")]
+
+
+def test_create_keeps_or_replaces(spark):
+    path = fresh_path(spark, "other")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = f"gapmend_test.t_{path[-32:]}"
+    create_table(spark, table, schema, path, partition=None)
+    create_table(spark, table, schema, path)
+    assert table_schema(spark, table, partitions=True).names == ["id", "v"]
+    create_table(spark, table, schema, path, replace=True)
+    assert table_schema(spark, table, partitions=True).names == ["id", "v", "day"]
+
+
+def test_null_partition_goes_with_its_files(spark):
+    name, path = day_table(spark, [(1, "a", None), (2, "b", "2024-01-01")])
+    assert [r.id for r in null_partition_rows(spark.table(name)).collect()] == [1]
+    assert drop_null_partition(spark, name)
+    assert not drop_null_partition(spark, name)
+    sync_partitions(spark, name)
+    assert contents(spark, name) == [(2, "b", "2024-01-01")]
+    assert spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(path).count() == 1
+
+
+def test_drop_partition_with_awkward_name(spark):
+    name, _ = day_table(spark, [(1, "a", "it's: 1/2"), (2, "b", "x")])
+    assert drop_partition(spark, name, "it's: 1/2")
+    sync_partitions(spark, name)
+    assert contents(spark, name) == [(2, "b", "x")]
+
+
+def test_stage_gives_back_the_written_rows(spark):
+    path = fresh_path(spark, "staged")
+    for n in (3, 2):
+        staged = stage(spark.range(n), path, "parquet")
+    assert staged.count() == 2
+
+
+@pytest.mark.parametrize("schema", [{"type": "record", "doc": 'it\'s "x" \\ y'}, "s3a://b/schema.avsc"])
+def test_avro_ddl_parses(spark, schema):
+    ddl = avro_table_ddl("db.t", "/it's/here", schema, "day")
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(ddl)
+    kind = "url" if isinstance(schema, str) else "literal"
+    assert f"avro.schema.{kind}" in ddl and "PARTITIONED BY (`day` string)" in ddl
+    assert "PARTITIONED" not in avro_table_ddl("db.t", "/x", schema)
+
+
+def test_avro_ddl_rejects_other_schemas():
+    with pytest.raises(ValueError):
+        avro_table_ddl("db.t", "/x", ["id"])
+
+
+def test_file_extension_is_put_back(spark):
+    name = "hive.output.file.extension"
+    before = spark.conf.get(name, None)
+    with avro_file_extension(spark):
+        assert spark.conf.get(name) == ".avro"
+    assert spark.conf.get(name, None) == before
