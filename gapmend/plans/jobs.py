@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 from gapmend.functions.columns import as_list, named
 from gapmend.functions.conform import (
@@ -55,21 +56,43 @@ def _status(source_rows: int, matched_rows: int) -> str:
     return "duplicated" if matched_rows > source_rows else "missing"
 
 
-def _narrow(
-    source: DataFrame, target: DataFrame, keys: list[str], key_range
-) -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class _Source:
+    """The source as it was read, and how it becomes rows of the target."""
+
+    raw: DataFrame
+    shape: Callable[[DataFrame], DataFrame]
+
+    def rows(self) -> DataFrame:
+        return self.shape(self.raw)
+
+    def within(self, key: str, low: Any, high: Any) -> DataFrame:
+        """Rows of a key range, filtered before any cast if that is the same,
+        because a filter on a cast does not reach the scan."""
+        rows = self.rows()
+        before = _type_of(self.raw, key)
+        if before == _type_of(rows, key) or _is_whole(before):
+            return self.shape(in_range(self.raw, key, low, high))
+        return in_range(rows, key, low, high)
+
+
+def _type_of(df: DataFrame, column: str) -> DataType:
+    return df.select(named(column)).schema[0].dataType
+
+
+def _is_whole(data_type: DataType) -> bool:
+    if isinstance(data_type, DecimalType):
+        return data_type.scale == 0
+    return isinstance(data_type, IntegralType)
+
+
+def _narrow(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Keep the scan of the target to the keys that the source can have.
 
-    A given range filters both sides. Otherwise one look at the source keys
-    gives their range and number: the range is pushed to the target scan, and
-    a source counted to be small is broadcast against it.
+    One look at the source keys gives their range and number. The range is
+    pushed to the target scan, and a source counted to be small is broadcast
+    against it, so that the other keys of a large target are never shuffled.
     """
-    if len(keys) != 1:
-        return source, target
-    key = keys[0]
-    if key_range is not None:
-        low, high = key_range
-        return in_range(source, key, low, high), in_range(target, key, low, high)
     probe = source.agg(
         F.min(named(key)).alias("low"),
         F.max(named(key)).alias("high"),
@@ -78,8 +101,8 @@ def _narrow(
     target = in_range(target, key, probe.low, probe.high)
     if probe.n <= BROADCAST_KEYS:
         only = source.select(named(key)).distinct()
-        target = target.join(F.broadcast(only), keys, "left_semi")
-    return source, target
+        target = target.join(F.broadcast(only), key, "left_semi")
+    return target
 
 
 def validate(
@@ -121,6 +144,10 @@ def repair(
     look at the target. Rows with a NULL key are counted, and appended by
     ``full`` only.
 
+    ``day`` defaults to today, fixed once per run. ``key_range`` limits source
+    and target to an inclusive range of a single key; without it, one look at
+    the source keys finds the range.
+
     The source is brought to the columns and types of the table first; it is
     an error if it lacks any that are not ``fillable``. With ``staging_path``
     the rows are written there before they are appended.
@@ -133,29 +160,43 @@ def repair(
 
     spark = source.sparkSession
     wanted = table_schema(spark, table)
-    rows = project_to_target(conform(source, wanted, fillable, on_error), wanted)
-    day = day or run_day()
+
+    def shape(df: DataFrame) -> DataFrame:
+        return project_to_target(conform(df, wanted, fillable, on_error), wanted)
+
+    read = _Source(source, shape)
+    single = keys[0] if len(keys) == 1 else None
+    if key_range is None:
+        rows = read.rows()
+    elif single is None:
+        raise ValueError("a key range needs exactly one key column")
+    else:
+        rows = read.within(single, *key_range)
+
+    def append(rows: DataFrame) -> int:
+        to = (table, day or run_day(), day_column, staging_path, staging_format)
+        return _append(rows, *to)
 
     if mode == "full":
-        if key_range is not None and len(keys) == 1:
-            rows = in_range(rows, keys[0], *key_range)
-        appended = _append(rows, table, day, day_column, staging_path, staging_format)
-        return RepairReport(status="full", appended_rows=appended)
+        return RepairReport(status="full", appended_rows=append(rows))
 
-    rows, target = _narrow(rows, spark.table(table), keys, key_range)
+    target = spark.table(table)
+    if key_range is not None:
+        target = in_range(target, single, *key_range)
+    elif single is not None:
+        target = _narrow(rows, target, single)
     report, missing = validate(rows, target, keys)
     try:
         if report.missing_rows == 0:
             return report
-        if len(keys) == 1:
-            rows = in_range(rows, keys[0], report.min_missing, report.max_missing)
+        if single is not None:
+            rows = read.within(single, report.min_missing, report.max_missing)
         if mode == "exact":
             # Few rows from many tasks: REBALANCE gathers them into few files.
             rows = rows.join(missing.frame, keys, "left_semi").hint("rebalance")
-        appended = _append(rows, table, day, day_column, staging_path, staging_format)
+        return replace(report, appended_rows=append(rows))
     finally:
         missing.drop()
-    return RepairReport(**{**vars(report), "appended_rows": appended})
 
 
 def _append(

@@ -107,7 +107,7 @@ def csv_scan(spark, sf_dir):
     text = orders(spark, sf_dir).select(
         ORDER_KEY,
         F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+        F.col("o_orderdate").cast("string").alias("o_orderdate"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
         F.concat_ws(";", "o_orderstatus", "o_orderpriority").alias("o_orderpriority"),
     )

@@ -1,7 +1,8 @@
 import pytest
 
-from gapmend.functions import SchemaMismatch, change_envelope
+from gapmend.functions import SchemaMismatch, change_envelope, conform
 from gapmend.plans import history, repair
+from gapmend.plans.jobs import _Source
 from gapmend.shared import fresh_path, session_conf
 from tests.tables import contents, day_table, ids, source_rows
 
@@ -126,3 +127,25 @@ def test_history_replaces(spark):
     found = spark.read.parquet(path)
     assert found.dtypes[-2:] == [("id", "bigint"), ("v", "double")]
     assert tuple(found.first())[-2:] == (7, 1.5) and found.count() == 1
+
+
+@pytest.mark.parametrize(
+    "given, pushed", [("decimal(20,0)", True), ("int", True), ("string", False), ("decimal(9,2)", False)]
+)
+def test_range_is_taken_before_the_cast_where_that_is_the_same(spark, given, pushed):
+    path = fresh_path(spark, "typed")
+    values = "1, 2, 3, 4" if given != "decimal(9,2)" else "1.0, 2.7, 3.0, 4.2"
+    rows = spark.sql(f"SELECT explode(array({values})) AS id")
+    rows.select(rows.id.cast(given)).write.parquet(path)
+    wanted = spark.createDataFrame([], "id bigint").schema
+    read = _Source(spark.read.parquet(path), lambda df: conform(df, wanted))
+    found = read.within("id", 2, 3)
+    assert sorted(r.id for r in found.collect()) == [2, 3]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert ("GreaterThanOrEqual(id,2" in text) == pushed
+
+
+def test_key_range_needs_one_key(spark):
+    name, _ = landed(spark, [1])
+    with pytest.raises(ValueError):
+        repair(source_rows(spark, [1]), name, ["id", "v"], key_range=(1, 2))
