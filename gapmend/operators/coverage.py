@@ -193,11 +193,11 @@ def missing_rows(
     Works in two steps, so that the wide source rows are shuffled only when
     there is no other way: the first step reads keys alone and writes the
     missing ones, the second reads the source again and keeps their rows.
-    The second step is a broadcast join as long as the written keys are
-    below Spark's threshold, and a shuffled semi-join beyond it.
+    The second step broadcasts the missing keys if they were measured to be
+    few, and is a shuffled semi-join otherwise.
     """
     missing = missing or find_missing(source, target, keys)
-    return source.join(missing.frame, as_list(keys), "left_semi")
+    return source.join(missing.for_join(), as_list(keys), "left_semi")
 
 
 def rows_in_missing_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -54,7 +54,7 @@ def copies_by(
     return (
         df.groupBy(*map(named, keys), *map(named, by))
         .agg(F.count(F.lit(1)).alias("copies"))
-        .join(duplicates.frame, keys, "left_semi")
+        .join(duplicates.for_join(), keys, "left_semi")
     )
 
 
@@ -93,7 +93,7 @@ def _known_to(
     source: DataFrame, keys: list[str], shared: list[str], duplicates: Written
 ) -> Written:
     """The duplicated keys whose ``shared`` part occurs in ``source``."""
-    parts = duplicates.frame.select(*map(named, shared))
+    parts = duplicates.for_join().select(*map(named, shared))
     hits = source.select(*map(named, shared)).distinct().join(parts, shared, "left_semi")
     return write_shared(
         duplicates.frame.join(hits, shared, "left_semi").select(*map(named, keys)),
@@ -170,6 +170,6 @@ def dedup(
     if not duplicates.fits_broadcast():
         kept = survivors(df.where(none_null(keys)), keys, order_by)
         return kept.unionByName(df.where(any_null(keys)))
-    single = df.join(duplicates.frame, keys, "left_anti")
-    repeated = df.join(duplicates.frame, keys, "left_semi")
+    single = df.join(duplicates.for_join(), keys, "left_anti")
+    repeated = df.join(duplicates.for_join(), keys, "left_semi")
     return single.select(*map(named, df.columns)).unionByName(survivors(repeated, keys, order_by))

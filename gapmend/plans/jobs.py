@@ -24,15 +24,12 @@ from gapmend.operators.coverage import (
     key_coverage,
 )
 from gapmend.operators.ranges import in_range
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, broadcast_limit, held_bytes, write_shared
 from gapmend.sinks.files import stage, write_files
 from gapmend.sinks.tables import append_dynamic, append_static, table_schema
 
 MODES = ("exact", "range", "full")
 
-# A source with at most this many rows is sent to the target scan whole.
-BROADCAST_KEYS = 1_000_000
-
 
 @dataclass(frozen=True)
 class RepairReport:
@@ -89,19 +86,19 @@ def _is_whole(data_type: DataType) -> bool:
 def _narrow(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Keep the scan of the target to the keys that the source can have.
 
-    One look at the source keys gives their range and number. The range is
-    pushed to the target scan, and a source counted to be small is broadcast
+    One look at the source keys gives their range and size. The range is
+    pushed to the target scan, and keys measured to be small are broadcast
     against it, so that the other keys of a large target are never shuffled.
     """
-    probe = source.agg(
+    only = source.select(named(key))
+    probe = only.agg(
         F.min(named(key)).alias("low"),
         F.max(named(key)).alias("high"),
-        F.count(F.lit(1)).alias("n"),
+        F.coalesce(held_bytes(only), F.lit(0)).alias("bytes"),
     ).first()
     target = in_range(target, key, probe.low, probe.high)
-    if probe.n <= BROADCAST_KEYS:
-        only = source.select(named(key)).distinct()
-        target = target.join(F.broadcast(only), key, "left_semi")
+    if probe.bytes <= broadcast_limit(source.sparkSession):
+        target = target.join(F.broadcast(only.distinct()), key, "left_semi")
     return target
 
 
@@ -193,7 +190,7 @@ def repair(
             rows = read.within(single, report.min_missing, report.max_missing)
         if mode == "exact":
             # Few rows from many tasks: REBALANCE gathers them into few files.
-            rows = rows.join(missing.frame, keys, "left_semi").hint("rebalance")
+            rows = rows.join(missing.for_join(), keys, "left_semi").hint("rebalance")
         return replace(report, appended_rows=append(rows))
     finally:
         missing.drop()

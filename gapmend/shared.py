@@ -2,9 +2,8 @@
 
 A multi-step job hands a small result (missing keys, duplicated keys, staged
 partitions) from one step to the next as a written Parquet table. That cuts
-the lineage, survives the loss of executors, and gives Catalyst the true size
-of the table, so it broadcasts the table only when it is below
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+the lineage and survives the loss of executors. The write also measures the
+result, so the next step knows whether it can be broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +13,20 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+    VariantType,
+)
+
+from gapmend.functions.columns import quoted
+
+# Largest result, as measured, that is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,17 +49,47 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/gapmend/{label}-{uuid.uuid4().hex}"
 
 
+def held_bytes(df: DataFrame) -> Column:
+    """Aggregate: an upper bound for the memory that the columns of ``df`` need.
+
+    NULL when a column has no size that a query can measure.
+    """
+    size = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = F.coalesce(F.octet_length(F.col(quoted(field.name))), F.lit(0)) + 32
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            width = F.lit(None)
+        else:
+            width = F.lit(32)
+        size = size + width.cast("bigint")
+    return F.sum(size)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes that may be broadcast: ``BROADCAST_BYTES`` or the session's own
+    threshold if that is higher; nothing where the session forbids it."""
+    conf = spark._jsparkSession.sessionState().conf()
+    threshold = conf.autoBroadcastJoinThreshold()
+    return -1 if threshold < 0 else max(threshold, BROADCAST_BYTES)
+
+
 @dataclass(frozen=True)
 class Written:
-    """A result written to the shared folder, and its size on disk."""
+    """A result in the shared folder, its rows, and the memory they need."""
 
     frame: DataFrame
     path: str
-    size: int
+    rows: int
+    memory: int | None
 
     def fits_broadcast(self) -> bool:
-        limit = self.frame.sparkSession._jsparkSession.sessionState().conf()
-        return self.size <= limit.autoBroadcastJoinThreshold()
+        limit = broadcast_limit(self.frame.sparkSession)
+        return self.memory is not None and self.memory <= limit
+
+    def for_join(self) -> DataFrame:
+        """The rows, broadcast if they were measured to fit, else shuffled."""
+        return self.frame.hint("broadcast" if self.fits_broadcast() else "merge")
 
     def drop(self) -> None:
         delete_path(self.frame.sparkSession, self.path)
@@ -57,9 +99,12 @@ def write_shared(df: DataFrame, label: str) -> Written:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    frame = spark.read.schema(df.schema).parquet(path)
-    return Written(frame, path, path_size(spark, path))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"), held_bytes(df).alias("bytes"))
+    counted.write.parquet(path)
+    rows = seen.get["n"]
+    memory = seen.get["bytes"] if rows else 0
+    return Written(spark.read.schema(df.schema).parquet(path), path, rows, memory)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -67,11 +112,6 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def path_size(spark: SparkSession, path: str) -> int:
-    target, fs = _hadoop_path(spark, path)
-    return fs.getContentSummary(target).getLength()
-
-
 def delete_path(spark: SparkSession, path: str) -> bool:
     target, fs = _hadoop_path(spark, path)
     return fs.delete(target, True)

@@ -43,8 +43,8 @@ def cleaned_days(
     """
     touched = df.where(_is_one_of(day, days))
     if duplicates.fits_broadcast():
-        single = touched.join(duplicates.frame, keys, "left_anti").select(*map(named, df.columns))
-        others = touched.join(duplicates.frame, keys, "left_semi")
+        single = touched.join(duplicates.for_join(), keys, "left_anti").select(*map(named, df.columns))
+        others = touched.join(duplicates.for_join(), keys, "left_semi")
     else:
         single = touched.where(any_null(keys))
         others = touched.where(none_null(keys))

@@ -85,9 +85,8 @@ def test_counts_that_cancel_out_are_repaired(spark):
     assert days(spark, name) == [2]
 
 
-def test_large_sources_take_the_other_way(spark, monkeypatch):
+def test_large_sources_take_the_other_way(spark):
     name, _ = landed(spark, [1, 2, 5])
-    monkeypatch.setattr("gapmend.plans.jobs.BROADCAST_KEYS", 0)
     with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         report = repair(source_rows(spark, range(1, 8)), name, "id", day=DAY)
     assert report.appended_rows == 4

@@ -2,7 +2,13 @@ import json
 
 import pytest
 
-from gapmend.shared import delete_path, fresh_path, session_conf, shared_dir
+from gapmend.shared import (
+    delete_path,
+    fresh_path,
+    session_conf,
+    shared_dir,
+    write_shared,
+)
 from gapmend.sources import (
     avro_to_struct,
     csv_scan,
@@ -144,6 +150,21 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_what_was_written_is_measured(spark):
+    few = write_shared(spark.createDataFrame([("é", 1), (None, 2)], "a string, b int"), "few")
+    assert (few.rows, few.memory, few.fits_broadcast()) == (2, 2 + 2 * 64, True)
+    empty = write_shared(few.frame.where("b > 5"), "none")
+    assert (empty.rows, empty.memory, empty.fits_broadcast()) == (0, 0, True)
+    nested = write_shared(few.frame.selectExpr("array(a) AS a"), "nested")
+    assert nested.memory is None and not nested.fits_broadcast()
+    many = write_shared(spark.range(3_000_000), "many")
+    assert many.rows == 3_000_000 and not many.fits_broadcast()
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert not few.fits_broadcast()
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "1g"}):
+        assert many.fits_broadcast()
+
+
 def test_options_are_put_back(spark):
     name = "spark.sql.shuffle.partitions"
     with pytest.raises(RuntimeError):
