@@ -1,4 +1,4 @@
-from gapmend.operators.coverage import (
+from gapmend.operators.gaps import (
     coverage,
     key_coverage,
     matched_copies,

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
-from gapmend.operators.coverage import Keys, key_coverage
+from gapmend.operators.gaps import Keys, key_coverage
 from gapmend.shared import Written, write_shared
 
 
@@ -118,9 +118,14 @@ def duplicate_files(
     only some of the key columns.
     """
     keys = as_list(keys)
-    duplicates = duplicates or find_duplicates(df, keys)
-    if source is not None:
-        duplicates = _known_to(source, keys, as_list(source_keys or keys), duplicates)
+    shared = as_list(source_keys or keys)
+    if source is not None and shared == keys and duplicates is None:
+        found = source_keys_duplicated(source, df, keys).select(*map(named, keys))
+        duplicates = write_shared(found, "duplicate-source-keys")
+    else:
+        duplicates = duplicates or find_duplicates(df, keys)
+        if source is not None:
+            duplicates = _known_to(source, keys, shared, duplicates)
     # Written once, because both sides of the join below start from it.
     counted = copies_by(df, keys, [day, filename], duplicates)
     per_file = write_shared(counted, "copies-by-file").frame

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
+from gapmend.operators.joins import join_unique
 from gapmend.operators.ranges import in_range
 from gapmend.shared import Written, write_shared
 
@@ -113,7 +114,7 @@ def matched_rows(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
     """Source rows that the target has, each once, with its ``target_rows``.
 
     The target is counted per key before the join, so its copies are never
-    paired up one by one.
+    paired up one by one; hot source keys are joined apart.
     """
     keys = as_list(keys)
     copies = (
@@ -121,7 +122,7 @@ def matched_rows(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
         .groupBy(*map(named, keys))
         .agg(F.count(F.lit(1)).alias("target_rows"))
     )
-    return source.join(copies, keys, "inner").select(
+    return join_unique(source, copies, keys, "inner").select(
         *map(named, source.columns), "target_rows"
     )
 
@@ -196,8 +197,11 @@ def missing_rows(
     The second step broadcasts the missing keys if they were measured to be
     few, and is a shuffled semi-join otherwise.
     """
+    keys = as_list(keys)
     missing = missing or find_missing(source, target, keys)
-    return source.join(missing.for_join(), as_list(keys), "left_semi")
+    return join_unique(source, missing, keys, "left_semi").select(
+        *map(named, source.columns)
+    )
 
 
 def rows_in_missing_range(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -17,11 +17,12 @@ from gapmend.functions.conform import (
     widen_decimals,
 )
 from gapmend.functions.stamps import run_day
-from gapmend.operators.coverage import (
+from gapmend.operators.gaps import (
     Keys,
     coverage_metrics,
     is_missing,
     key_coverage,
+    missing_rows,
 )
 from gapmend.operators.ranges import in_range
 from gapmend.shared import Written, broadcast_limit, held_bytes, write_shared
@@ -190,7 +191,7 @@ def repair(
             rows = read.within(single, report.min_missing, report.max_missing)
         if mode == "exact":
             # Few rows from many tasks: REBALANCE gathers them into few files.
-            rows = rows.join(missing.for_join(), keys, "left_semi").hint("rebalance")
+            rows = missing_rows(rows, target, keys, missing).hint("rebalance")
         return replace(report, appended_rows=append(rows))
     finally:
         missing.drop()

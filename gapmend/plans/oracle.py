@@ -197,6 +197,18 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "duplicate_occurrences": _EXTRA_BY_DAY,
     "duplicate_files": f"""
+        SELECT o_orderkey, day, 'lineitem' AS filename, count(*) AS extra_rows
+        FROM (
+            SELECT l_orderkey, {_DAY} AS day,
+                   row_number() OVER (PARTITION BY l_orderkey ORDER BY {_DAY}) AS rno
+            FROM lineitem
+        )
+        JOIN orders ON o_orderkey = l_orderkey
+        WHERE rno > 1
+        GROUP BY o_orderkey, day
+        ORDER BY o_orderkey
+    """,
+    "duplicate_line_files": f"""
         SELECT l_orderkey, l_linenumber, day, 'lineitem' AS filename, extra_rows
         FROM ({_EXTRA_BY_DAY})
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders)

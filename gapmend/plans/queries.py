@@ -265,6 +265,16 @@ def duplicate_occurrences(spark, sf_dir):
 
 
 def duplicate_files(spark, sf_dir):
+    rows = fn.file_name(read(spark, sf_dir, "lineitem")).select(
+        F.col("l_orderkey").alias(ORDER_KEY),
+        _date(F.col("l_shipdate")).alias("day"),
+        "filename",
+    )
+    found = op.duplicate_files(rows, ORDER_KEY, orders(spark, sf_dir))
+    return found.withColumn("filename", _file_stem(F.col("filename"))).orderBy(ORDER_KEY)
+
+
+def duplicate_line_files(spark, sf_dir):
     rows = fn.file_name(read(spark, sf_dir, "lineitem"))
     rows = rows.withColumn("day", _date(F.col("l_shipdate")))
     source = orders(spark, sf_dir).select(F.col(ORDER_KEY).alias("l_orderkey"))
@@ -383,6 +393,7 @@ QUERIES: dict[str, Query] = {
         source_keys_duplicated,
         duplicate_occurrences,
         duplicate_files,
+        duplicate_line_files,
         dedup_target,
         dedup_partition_rewrite,
         append_static_partition,

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
-from gapmend.operators.coverage import Keys
+from gapmend.operators.gaps import Keys
 from gapmend.operators.duplicates import (
     copies_by,
     find_duplicates,

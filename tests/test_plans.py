@@ -19,6 +19,7 @@ from gapmend.operators import (
     present_key_days,
 )
 from gapmend.operators.duplicates import copies_by, find_duplicates
+from gapmend.operators.joins import hot_keys, join_unique
 from gapmend.plans import validate
 from gapmend.shared import fresh_path, session_conf, write_shared
 from tests.tables import ids
@@ -182,3 +183,53 @@ def test_validated_repair_reads_keys_once_and_rows_once(spark, tables, monkeypat
     assert "Join" not in seen[0]
     rows = plan(source.join(missing.frame, "k", "left_semi"))
     assert rows.count("FileScan") == 2 and "FileScan parquet [k" in rows
+
+
+@pytest.fixture
+def hot_source(spark):
+    """Keys 3 and 4 hold most of the source, partly as identical copies."""
+    rows = spark.range(0, 4000, 1, 4).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 3 WHEN id % 5 = 0 THEN 4 WHEN id % 101 = 1 THEN NULL "
+        "ELSE id END AS k",
+        "CASE WHEN id % 4 = 0 THEN 'same' ELSE CAST(id AS string) END AS v",
+    )
+    target = ids(spark, [*range(0, 4000, 3), *[4] * 50, None]).withColumnRenamed("id", "k")
+    return rows, target
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("most", [10_000, 4])
+def test_hot_source_keys_are_joined_apart(spark, hot_source, monkeypatch, how, most):
+    source, target = hot_source
+    right = target.dropna().groupBy("k").count()
+    wanted = sorted(source.join(right, "k", how).collect(), key=str)
+    monkeypatch.setattr("gapmend.operators.joins.HOT_ROWS", 300)
+    monkeypatch.setattr("gapmend.operators.joins.MAX_HOT_KEYS", most)
+    hot = hot_keys(source, ["k"])
+    assert sorted(r.k for r in hot.collect()) == ([3, 4] if most == 10_000 else [3])
+    with session_conf(spark, NO_BROADCAST):
+        found = join_unique(source, write_shared(right, "right"), ["k"], how)
+        assert sorted(found.collect(), key=str) == wanted
+        text = plan(found)
+        assert "Union" in text and "SortMergeJoin" in text
+        assert text.count("BroadcastHashJoin") >= 3
+
+
+def test_no_hot_key_no_split(spark, hot_source):
+    assert hot_keys(hot_source[0], ["k"]) is None
+    assert "Union" not in plan(matched_rows(*hot_source, "k"))
+
+
+def test_hot_source_keys_in_the_operators(spark, hot_source, monkeypatch):
+    source, target = hot_source
+
+    def found():
+        return [
+            sorted(op(source, target, "k").collect(), key=str)
+            for op in (missing_rows, matched_rows, matched_copies)
+        ]
+
+    wanted = found()
+    monkeypatch.setattr("gapmend.operators.joins.HOT_ROWS", 300)
+    with session_conf(spark, NO_BROADCAST):
+        assert found() == wanted
