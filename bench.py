@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import statistics
 import time
 
 from pyspark.sql import SparkSession, functions as F
 
 from gapmend import operators as op
-from gapmend.plans import queries as q
+from gapmend.plans import queries as q, repair
 
 HEADLINE = [
     "coverage_status",
@@ -28,6 +29,7 @@ HEADLINE = [
     "target_duplicate_keys",
     "duplicate_occurrences",
     "duplicate_files",
+    "duplicate_line_files",
     "dedup_target",
     "csv_scan",
     "history_load",
@@ -92,6 +94,34 @@ def other_forms(spark, sf_dir: str) -> dict:
     }
 
 
+def scans(spark, sf_dir: str) -> dict[str, int]:
+    """How often a validated repair reads its source and its target."""
+    source = q.orders(spark, sf_dir)
+    span = op.resolve_range(source, q.ORDER_KEY)
+    table = q.landed_orders(spark, sf_dir, "scanned")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    repair(source, table.name, q.ORDER_KEY, day=q.RUN_DAY, key_range=span)
+    runs = store.executionsList(before, 100)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.length())]
+    table.close()
+    places = {"source": "orders.parquet", "target": table.path}
+    return {
+        side: sum(scanned(plan).count(place) for plan in plans)
+        for side, place in places.items()
+    }
+
+
+def scanned(plan: str) -> str:
+    """The locations that the plan which ran has scanned, one per line."""
+    tree = plan[: plan.index("\n\n\n")].split("== Initial Plan ==")[0]
+    places = []
+    for number in re.findall(r"Scan \w+ .*\((\d+)\)", tree):
+        block = plan[plan.index(f"\n({number}) Scan") :]
+        places.append(re.search(r"Location: (.*)", block).group(1))
+    return "\n".join(places)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
@@ -110,6 +140,7 @@ def main() -> None:
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "forms": forms,
+        "scans_per_repair": scans(spark, sf_dir),
     }
     print(json.dumps(result))
     spark.stop()

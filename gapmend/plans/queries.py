@@ -81,7 +81,7 @@ class Landing:
         return self.spark.read.schema(full).parquet(self.path)
 
 
-def _landed_orders(spark: SparkSession, sf_dir: str, label: str) -> Landing:
+def landed_orders(spark: SparkSession, sf_dir: str, label: str) -> Landing:
     """A table of the orders that have lines, by month of order."""
     found = op.matched_rows(orders(spark, sf_dir), landed(spark, sf_dir), ORDER_KEY)
     rows = found.drop("target_rows").withColumn("day", _month(F.col("o_orderdate")))
@@ -298,7 +298,7 @@ def dedup_partition_rewrite(spark, sf_dir):
 
 
 def append_static_partition(spark, sf_dir):
-    table = _landed_orders(spark, sf_dir, "appended")
+    table = landed_orders(spark, sf_dir, "appended")
     rows = op.missing_rows(orders(spark, sf_dir), landed(spark, sf_dir), ORDER_KEY)
     staged = sinks.stage(rows, fresh_path(spark, "staged"), "parquet")
     sinks.append_static(staged, table.name, RUN_DAY)
@@ -344,7 +344,7 @@ def history_load(spark, sf_dir):
 
 
 def _repair(spark, sf_dir, mode, **options):
-    table = _landed_orders(spark, sf_dir, f"repair_{mode}")
+    table = landed_orders(spark, sf_dir, f"repair_{mode}")
     source = orders(spark, sf_dir)
     repair(source, table.name, ORDER_KEY, mode, day=RUN_DAY, **options)
     return table.close()

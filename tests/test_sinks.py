@@ -1,7 +1,9 @@
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from gapmend.functions import SchemaMismatch
-from gapmend.shared import fresh_path
+from gapmend.functions import SchemaMismatch, file_name
+from gapmend.shared import fresh_path, session_conf
 from gapmend.sinks import (
     append_dynamic,
     append_static,
@@ -124,3 +126,31 @@ def test_file_extension_is_put_back(spark):
     with avro_file_extension(spark):
         assert spark.conf.get(name) == ".avro"
     assert spark.conf.get(name, None) == before
+
+
+def test_hot_day_is_split_and_small_days_are_gathered(spark):
+    name, path = day_table(spark, [])
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id",
+        "sha2(CAST(id AS string), 256) AS v",
+        "CASE WHEN id % 3 > 0 THEN 'hot' ELSE CONCAT('d', id % 4) END AS day",
+    )
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB"}):
+        append_dynamic(rows, name, rebalance=True)
+    files = file_name(spark.read.schema(f"{SCHEMA}, day string").parquet(path), "f")
+    per_day = dict(files.groupBy("day").agg(F.countDistinct("f")).collect())
+    assert per_day["hot"] >= 3
+    # Eight tasks wrote; a small day is in one file unless it shares its
+    # shuffle partition with the hot one.
+    assert min(per_day.values()) == 1
+    assert files.count() == 200_000
+
+
+def test_avro_needs_its_module(spark):
+    path = fresh_path(spark, "avro")
+    try:
+        staged = stage(spark.range(3), path)
+    except AnalysisException as error:
+        assert "avro" in str(error).lower()
+    else:
+        assert staged.count() == 3
