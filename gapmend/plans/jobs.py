@@ -131,6 +131,7 @@ def repair(
     key_range: tuple[Any, Any] | None = None,
     staging_path: str | None = None,
     staging_format: str = "avro",
+    extension: str | None = None,
     fillable: Sequence[str] = FILLABLE,
     on_error: str = "fail",
 ) -> RepairReport:
@@ -148,7 +149,8 @@ def repair(
 
     The source is brought to the columns and types of the table first; it is
     an error if it lacks any that are not ``fillable``. With ``staging_path``
-    the rows are written there before they are appended.
+    the rows are written there before they are appended. ``extension`` ends
+    the names of files that are written through a Hive SerDe.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
@@ -163,6 +165,7 @@ def repair(
         return project_to_target(conform(df, wanted, fillable, on_error), wanted)
 
     read = _Source(source, shape)
+    today = day or run_day()
     single = keys[0] if len(keys) == 1 else None
     if key_range is None:
         rows = read.rows()
@@ -172,8 +175,14 @@ def repair(
         rows = read.within(single, *key_range)
 
     def append(rows: DataFrame) -> int:
-        to = (table, day or run_day(), day_column, staging_path, staging_format)
-        return _append(rows, *to)
+        written = Observation()
+        rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        if staging_path is None:
+            append_dynamic(rows, table, day_column, today, extension)
+        else:
+            staged = stage(rows, staging_path, staging_format)
+            append_static(staged, table, today, day_column, extension)
+        return written.get["n"]
 
     if mode == "full":
         return RepairReport(status="full", appended_rows=append(rows))
@@ -197,24 +206,6 @@ def repair(
         missing.drop()
 
 
-def _append(
-    rows: DataFrame,
-    table: str,
-    day: str,
-    day_column: str,
-    staging_path: str | None,
-    staging_format: str,
-) -> int:
-    written = Observation()
-    rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
-    if staging_path is None:
-        append_dynamic(rows, table, day_column, day)
-    else:
-        staged = stage(rows, staging_path, staging_format)
-        append_static(staged, table, day, day_column)
-    return written.get["n"]
-
-
 def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fail") -> None:
     """Replace the files under ``path`` with all rows of ``source``.
 

@@ -46,6 +46,17 @@ _FIRST_LINES = f"""
 """
 
 
+_CSV_TEXT = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+           CAST(o_custkey AS VARCHAR) AS o_custkey,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
+           CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+           o_orderstatus || ';' || o_orderpriority AS o_orderpriority
+    FROM orders
+"""
+
+
 def _drift(column, side, source_type, target_type, action, held, lost):
     def text(value):
         return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
@@ -95,14 +106,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE o_orderkey >= (SELECT min(l_orderkey) FROM lineitem)
           AND o_orderkey <= (SELECT max(l_orderkey) FROM lineitem)
     """,
-    "csv_scan": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-               CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS o_totalprice,
-               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
-               CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
-               o_orderstatus || ';' || o_orderpriority AS o_orderpriority
-        FROM orders
-    """,
+    "csv_scan": _CSV_TEXT,
     "target_scan": "SELECT * FROM lineitem",
     "scan_with_file": "SELECT *, 'lineitem' AS filename FROM lineitem",
     "change_envelope": f"SELECT {_ENVELOPE}, * FROM orders",
@@ -243,4 +247,14 @@ ORACLE_SQL: dict[str, str] = {
         WHERE o_orderkey BETWEEN m.lo AND m.hi
     """,
     "repair_full": f"{_LANDED} UNION ALL SELECT *, {_RUN_DAY} AS day FROM orders",
+    "repair_from_csv": f"""
+        {_LANDED}
+        UNION ALL
+        SELECT * REPLACE (
+            CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
+            o_orderstatus || ';' || o_orderpriority AS o_orderpriority
+        ), {_RUN_DAY} AS day
+        FROM orders WHERE {_NO_LINES}
+    """,
+    "history_from_csv": _CSV_TEXT,
 }

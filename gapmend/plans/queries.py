@@ -102,19 +102,27 @@ def range_scan(spark, sf_dir):
     return op.in_range(orders(spark, sf_dir), ORDER_KEY, low, high)
 
 
-def csv_scan(spark, sf_dir):
+CSV = {"delimiter": ";", "null_value": "NA", "quote": "'", "charset": "UTF-8"}
+
+
+def _orders_csv(spark, sf_dir) -> str:
+    """Orders as text: some NULLs, and a delimiter inside one field."""
     path = fresh_path(spark, "orders-csv")
-    text = orders(spark, sf_dir).select(
-        ORDER_KEY,
-        F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
-        F.col("o_orderdate").cast("string").alias("o_orderdate"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
-        F.concat_ws(";", "o_orderstatus", "o_orderpriority").alias("o_orderpriority"),
+    status = F.col("o_orderstatus")
+    text = orders(spark, sf_dir).withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("decimal(12,2)"),
+            "o_orderdate": F.col("o_orderdate").cast("string"),
+            "o_orderstatus": F.when(status != "P", status),
+            "o_orderpriority": F.concat_ws(";", status, "o_orderpriority"),
+        }
     )
     text.write.options(header=True, sep=";", nullValue="NA", quote="'").csv(path)
-    return sources.read_source(
-        spark, "csv", path=path, delimiter=";", null_value="NA", quote="'", charset="UTF-8"
-    )
+    return path
+
+
+def csv_scan(spark, sf_dir):
+    return sources.read_source(spark, "csv", path=_orders_csv(spark, sf_dir), **CSV)
 
 
 def target_scan(spark, sf_dir):
@@ -363,6 +371,18 @@ def repair_full(spark, sf_dir):
     return _repair(spark, sf_dir, "full", staging_path=path, staging_format="parquet")
 
 
+def repair_from_csv(spark, sf_dir):
+    table = landed_orders(spark, sf_dir, "repair_csv")
+    repair(csv_scan(spark, sf_dir), table.name, ORDER_KEY, day=RUN_DAY)
+    return table.close()
+
+
+def history_from_csv(spark, sf_dir):
+    path = fresh_path(spark, "history")
+    history(csv_scan(spark, sf_dir), path, fmt="parquet")
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -404,5 +424,7 @@ QUERIES: dict[str, Query] = {
         repair_exact,
         repair_range,
         repair_full,
+        repair_from_csv,
+        history_from_csv,
     )
 }

@@ -16,7 +16,7 @@ from gapmend.operators.duplicates import (
     survivors,
 )
 from gapmend.shared import Written, session_conf, write_shared
-from gapmend.sinks.tables import drop_partition
+from gapmend.sinks.tables import drop_partition, named_files
 
 
 @dataclass(frozen=True)
@@ -75,6 +75,7 @@ def rewrite_duplicates(
     keys: Keys,
     order_by: Sequence[str],
     day: str = "day",
+    extension: str | None = None,
 ) -> RewriteReport:
     """Keep the first copy of each key by day, then ``order_by``.
 
@@ -102,7 +103,7 @@ def rewrite_duplicates(
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "hive.exec.dynamic.partition.mode": "nonstrict",
     }
-    with session_conf(spark, settings):
+    with session_conf(spark, settings), named_files(spark, extension):
         # REBALANCE gathers a day into few files and splits a day that holds
         # much of the data over several tasks.
         rows = cleaned.frame.hint("rebalance", day).select(*map(named, df.columns))

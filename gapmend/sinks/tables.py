@@ -125,7 +125,7 @@ def append_static(
         f"INSERT INTO {table} PARTITION ({quoted(partition)} = {_text(value)}) "
         f"({columns}) SELECT {columns} FROM {{rows}}"
     )
-    with _named_files(spark, extension):
+    with named_files(spark, extension):
         spark.sql(statement, rows=rows)
 
 
@@ -150,12 +150,13 @@ def append_dynamic(
     if rebalance:
         rows = rows.hint("rebalance", partition)
     settings = {"hive.exec.dynamic.partition.mode": "nonstrict"}
-    with session_conf(spark, settings), _named_files(spark, extension):
+    with session_conf(spark, settings), named_files(spark, extension):
         rows.write.mode("append").insertInto(table)
 
 
 @contextmanager
-def _named_files(spark: SparkSession, extension: str | None):
+def named_files(spark: SparkSession, extension: str | None):
+    """:func:`avro_file_extension`, or nothing without an extension."""
     if extension is None:
         yield
     else:
