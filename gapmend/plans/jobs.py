@@ -22,8 +22,8 @@ from gapmend.operators.gaps import (
     coverage_metrics,
     is_missing,
     key_coverage,
-    missing_rows,
 )
+from gapmend.operators.joins import join_unique
 from gapmend.operators.ranges import in_range
 from gapmend.shared import Written, broadcast_limit, held_bytes, write_shared
 from gapmend.sinks.files import stage, write_files
@@ -31,6 +31,10 @@ from gapmend.sinks.tables import append_dynamic, append_static, table_schema
 
 MODES = ("exact", "range", "full")
 
+# Up to this many missing keys are named one by one to the source, which is as
+# long as a list may be in most databases.
+LOOKUP_KEYS = 1_000
+
 
 @dataclass(frozen=True)
 class RepairReport:
@@ -64,14 +68,20 @@ class _Source:
     def rows(self) -> DataFrame:
         return self.shape(self.raw)
 
-    def within(self, key: str, low: Any, high: Any) -> DataFrame:
-        """Rows of a key range, filtered before any cast if that is the same,
-        because a filter on a cast does not reach the scan."""
+    def where(self, key: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Rows that pass a filter on ``key``, applied before any cast if that
+        is the same, because a filter on a cast does not reach the scan."""
         rows = self.rows()
         before = _type_of(self.raw, key)
         if before == _type_of(rows, key) or _is_whole(before):
-            return self.shape(in_range(self.raw, key, low, high))
-        return in_range(rows, key, low, high)
+            return self.shape(keep(self.raw))
+        return keep(rows)
+
+    def within(self, key: str, low: Any, high: Any) -> DataFrame:
+        return self.where(key, lambda df: in_range(df, key, low, high))
+
+    def lookup(self, key: str, values: list[Any]) -> DataFrame:
+        return self.where(key, lambda df: df.where(named(key).isin(values)))
 
 
 def _type_of(df: DataFrame, column: str) -> DataType:
@@ -121,6 +131,25 @@ def validate(
     return RepairReport(status=status, **figures), written
 
 
+def _lacking(
+    read: _Source, keys: list[str], report: RepairReport, missing: Written, mode: str
+) -> DataFrame:
+    """The rows that an exact or range repair appends."""
+    single = keys[0] if len(keys) == 1 else None
+    if single is None:
+        rows = read.rows()
+    elif mode == "exact" and missing.rows <= LOOKUP_KEYS:
+        rows = read.lookup(single, [row[0] for row in missing.frame.collect()])
+        return rows.hint("rebalance")
+    else:
+        rows = read.within(single, report.min_missing, report.max_missing)
+    if mode == "range":
+        return rows
+    # Few rows from many tasks: REBALANCE gathers them into few files.
+    chosen = join_unique(rows, missing, keys, "left_semi")
+    return chosen.select(*map(named, rows.columns)).hint("rebalance")
+
+
 def repair(
     source: DataFrame,
     table: str,
@@ -196,11 +225,7 @@ def repair(
     try:
         if report.missing_rows == 0:
             return report
-        if single is not None:
-            rows = read.within(single, report.min_missing, report.max_missing)
-        if mode == "exact":
-            # Few rows from many tasks: REBALANCE gathers them into few files.
-            rows = missing_rows(rows, target, keys, missing).hint("rebalance")
+        rows = _lacking(read, keys, report, missing, mode)
         return replace(report, appended_rows=append(rows))
     finally:
         missing.drop()

@@ -85,14 +85,33 @@ def test_counts_that_cancel_out_are_repaired(spark):
     assert days(spark, name) == [2]
 
 
-def test_large_sources_take_the_other_way(spark):
+def test_large_sources_take_the_other_way(spark, monkeypatch):
     name, _ = landed(spark, [1, 2, 5])
+    monkeypatch.setattr("gapmend.plans.jobs.LOOKUP_KEYS", 0)
     with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         report = repair(source_rows(spark, range(1, 8)), name, "id", day=DAY)
     assert report.appended_rows == 4
     assert days(spark, name) == [3, 4, 6, 7]
 
 
+@pytest.mark.parametrize("most", [0, 1, 3, 4, 1000])
+def test_few_missing_keys_are_looked_up(spark, monkeypatch, most):
+    monkeypatch.setattr("gapmend.plans.jobs.LOOKUP_KEYS", most)
+    name, _ = landed(spark, [1, 2, 5])
+    source = source_rows(spark, [1, 2, 3, 3, 5, 6, 9, None])
+    report = repair(source, name, "id", day=DAY)
+    assert (report.missing_keys, report.appended_rows) == (3, 4)
+    assert days(spark, name) == [3, 3, 6, 9]
+
+
+def test_looked_up_keys_reach_the_scan(spark):
+    path = fresh_path(spark, "wide")
+    source_rows(spark, range(100)).write.parquet(path)
+    read = _Source(spark.read.parquet(path), lambda df: df)
+    text = read.lookup("id", [3, 77])._jdf.queryExecution().executedPlan().toString()
+    assert "In(id, [3,77])" in text
+
+
 def test_source_is_brought_to_the_target(spark):
     name, _ = day_table(spark, [(1, 5, None, OLD)], "id bigint, n int, dat_kafka string, day string")
     source = spark.createDataFrame([("x", "2", "7")], "extra string, ID string, N string")
