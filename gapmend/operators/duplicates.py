@@ -41,7 +41,7 @@ def find_duplicates(df: DataFrame, keys: Keys) -> Written:
     """Write the duplicated keys to the shared folder."""
     keys = as_list(keys)
     found = duplicate_keys(df, keys).select(*map(named, keys))
-    return write_shared(found, "duplicate-keys")
+    return write_shared(found, "duplicate-keys", narrow=True)
 
 
 def copies_by(
@@ -98,6 +98,7 @@ def _known_to(
     return write_shared(
         duplicates.frame.join(hits, shared, "left_semi").select(*map(named, keys)),
         "duplicate-source-keys",
+        narrow=True,
     )
 
 
@@ -121,14 +122,14 @@ def duplicate_files(
     shared = as_list(source_keys or keys)
     if source is not None and shared == keys and duplicates is None:
         found = source_keys_duplicated(source, df, keys).select(*map(named, keys))
-        duplicates = write_shared(found, "duplicate-source-keys")
+        duplicates = write_shared(found, "duplicate-source-keys", narrow=True)
     else:
         duplicates = duplicates or find_duplicates(df, keys)
         if source is not None:
             duplicates = _known_to(source, keys, shared, duplicates)
     # Written once, because both sides of the join below start from it.
     counted = copies_by(df, keys, [day, filename], duplicates)
-    per_file = write_shared(counted, "copies-by-file").frame
+    per_file = write_shared(counted, "copies-by-file", narrow=True).frame
     place = F.struct(named(day), named(filename))
     first = per_file.groupBy(*map(named, keys)).agg(F.min(place).alias("first_place"))
     extra = F.col("copies") - F.when(place.eqNullSafe(F.col("first_place")), 1).otherwise(0)
@@ -177,4 +178,5 @@ def dedup(
         return kept.unionByName(df.where(any_null(keys)))
     single = df.join(duplicates.for_join(), keys, "left_anti")
     repeated = df.join(duplicates.for_join(), keys, "left_semi")
-    return single.select(*map(named, df.columns)).unionByName(survivors(repeated, keys, order_by))
+    first = survivors(repeated, keys, order_by)
+    return single.select(*map(named, df.columns)).unionByName(first)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.joins import join_unique
 from gapmend.operators.ranges import in_range
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, narrow_scan, write_shared
 
 Keys = str | Sequence[str]
 
@@ -183,7 +183,7 @@ def find_missing(source: DataFrame, target: DataFrame, keys: Keys) -> Written:
     """Write the missing keys to the shared folder."""
     keys = as_list(keys)
     missing = missing_keys(source, target, keys).select(*map(named, keys))
-    return write_shared(missing, "missing-keys")
+    return write_shared(missing, "missing-keys", narrow=True)
 
 
 def missing_rows(
@@ -210,7 +210,8 @@ def rows_in_missing_range(source: DataFrame, target: DataFrame, key: str) -> Dat
     The two bounds come to the driver first: as plain values they reach the
     scan of the source, which a subquery would not.
     """
-    bounds = missing_range(source, target, key).first()
+    with narrow_scan(source.sparkSession):
+        bounds = missing_range(source, target, key).first()
     if bounds.min_missing is None:
         return source.where(F.lit(False))
     return in_range(source, key, bounds.min_missing, bounds.max_missing)

@@ -22,7 +22,7 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     )
     seen = Observation()
     counted = counted.observe(seen, F.sum("_rows").alias("total"))
-    hot = write_shared(counted.where(F.col("_rows") > HOT_ROWS), "hot-keys")
+    hot = write_shared(counted.where(F.col("_rows") > HOT_ROWS), "hot-keys", narrow=True)
     if hot.rows == 0:
         hot.drop()
         return None

@@ -7,6 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from gapmend.functions.columns import named
+from gapmend.shared import narrow_scan
 
 
 def key_range(df: DataFrame, key: str) -> DataFrame:
@@ -37,7 +38,8 @@ def resolve_range(
     An empty source yields ``(None, None)`` for bounds that were not given.
     """
     if low is None or high is None:
-        probe = key_range(in_range(df, key, low, high), key).first()
+        with narrow_scan(df.sparkSession):
+            probe = key_range(in_range(df, key, low, high), key).first()
         low = probe.initrange if low is None else low
         high = probe.endrange if high is None else high
     return low, high

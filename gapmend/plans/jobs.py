@@ -25,7 +25,13 @@ from gapmend.operators.gaps import (
 )
 from gapmend.operators.joins import join_unique
 from gapmend.operators.ranges import in_range
-from gapmend.shared import Written, broadcast_limit, held_bytes, write_shared
+from gapmend.shared import (
+    Written,
+    broadcast_limit,
+    held_bytes,
+    narrow_scan,
+    write_shared,
+)
 from gapmend.sinks.files import stage, write_files
 from gapmend.sinks.tables import append_dynamic, append_static, table_schema
 
@@ -102,13 +108,15 @@ def _narrow(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     against it, so that the other keys of a large target are never shuffled.
     """
     only = source.select(named(key))
-    probe = only.agg(
-        F.min(named(key)).alias("low"),
-        F.max(named(key)).alias("high"),
-        F.coalesce(held_bytes(only), F.lit(0)).alias("bytes"),
-    ).first()
+    spark = source.sparkSession
+    with narrow_scan(spark):
+        probe = only.agg(
+            F.min(named(key)).alias("low"),
+            F.max(named(key)).alias("high"),
+            F.coalesce(held_bytes(only), F.lit(0)).alias("bytes"),
+        ).first()
     target = in_range(target, key, probe.low, probe.high)
-    if probe.bytes <= broadcast_limit(source.sparkSession):
+    if probe.bytes <= broadcast_limit(spark):
         target = target.join(F.broadcast(only.distinct()), key, "left_semi")
     return target
 
@@ -125,7 +133,7 @@ def validate(
     seen = Observation()
     counted = key_coverage(source, target, keys).observe(seen, *coverage_metrics(keys))
     missing = counted.where(is_missing(keys)).select(*map(named, keys))
-    written = write_shared(missing, "missing-keys")
+    written = write_shared(missing, "missing-keys", narrow=True)
     figures = seen.get
     status = _status(figures["source_rows"], figures["matched_rows"])
     return RepairReport(status=status, **figures), written

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -28,6 +28,9 @@ from gapmend.functions.columns import quoted
 # Largest result, as measured, that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Size of file splits for jobs that read keys alone.
+NARROW_SPLIT_BYTES = 1024 * 1024 * 1024
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session; a temporary one only in local mode."""
@@ -95,13 +98,31 @@ class Written:
         delete_path(self.frame.sparkSession, self.path)
 
 
-def write_shared(df: DataFrame, label: str) -> Written:
-    """Write ``df`` to the shared folder and read it back."""
+@contextmanager
+def narrow_scan(spark: SparkSession):
+    """Larger file splits for jobs that read the key columns alone.
+
+    Spark cuts files by their size on disk. A cut that suits whole rows gives
+    a job that needs one column of many a few rows per task, and a shuffle of
+    that many tasks a block for each pair. Small tables still use all cores.
+    """
+    now = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = max(now, NARROW_SPLIT_BYTES)
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(size)}):
+        yield
+
+
+def write_shared(df: DataFrame, label: str, narrow: bool = False) -> Written:
+    """Write ``df`` to the shared folder and read it back.
+
+    ``narrow`` says that the job reads little of each row.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"), held_bytes(df).alias("bytes"))
-    counted.write.parquet(path)
+    with narrow_scan(spark) if narrow else nullcontext():
+        counted.write.parquet(path)
     rows = seen.get["n"]
     memory = seen.get["bytes"] if rows else 0
     return Written(spark.read.schema(df.schema).parquet(path), path, rows, memory)

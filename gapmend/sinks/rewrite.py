@@ -43,7 +43,8 @@ def cleaned_days(
     """
     touched = df.where(_is_one_of(day, days))
     if duplicates.fits_broadcast():
-        single = touched.join(duplicates.for_join(), keys, "left_anti").select(*map(named, df.columns))
+        single = touched.join(duplicates.for_join(), keys, "left_anti")
+        single = single.select(*map(named, df.columns))
         others = touched.join(duplicates.for_join(), keys, "left_semi")
     else:
         single = touched.where(any_null(keys))
@@ -87,7 +88,7 @@ def rewrite_duplicates(
     keys = as_list(keys)
     df = spark.table(table)
     duplicates = find_duplicates(df, keys)
-    copies = write_shared(copies_by(df, keys, [day], duplicates), "copies-by-day")
+    copies = write_shared(copies_by(df, keys, [day], duplicates), "copies-by-day", narrow=True)
     extra = number_copies(copies.frame, keys, day)
     # One row per day that has to change: as many as the table has partitions.
     per_day = extra.groupBy(named(day)).agg(F.sum("extra_rows").alias("n")).collect()

@@ -172,9 +172,9 @@ def test_validated_repair_reads_keys_once_and_rows_once(spark, tables, monkeypat
     source, target = tables
     seen = []
 
-    def spy(df, label):
+    def spy(df, label, **options):
         seen.append(plan(df))
-        return write_shared(df, label)
+        return write_shared(df, label, **options)
 
     monkeypatch.setattr("gapmend.plans.jobs.write_shared", spy)
     report, missing = validate(in_range(source, "k", 0, ROWS), target, "k")

@@ -5,6 +5,7 @@ import pytest
 from gapmend.shared import (
     delete_path,
     fresh_path,
+    narrow_scan,
     session_conf,
     shared_dir,
     write_shared,
@@ -173,3 +174,14 @@ def test_options_are_put_back(spark):
             raise RuntimeError
     assert spark.conf.get(name) == "8"
     assert spark.conf.get("spark.gapmend.test", None) is None
+
+
+def test_splits_are_larger_for_keys_alone(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with narrow_scan(spark):
+        assert spark.conf.get(name) == str(1024**3)
+        assert spark.range(5).count() == 5
+    assert spark.conf.get(name) == before
+    with session_conf(spark, {name: "4g"}), narrow_scan(spark):
+        assert spark.conf.get(name) == str(4 * 1024**3)
