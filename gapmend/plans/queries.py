@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from gapmend import functions as fn, operators as op, sinks, sources
 from gapmend.plans.jobs import history, repair
@@ -71,14 +71,13 @@ class Landing:
         self.spark = spark
         self.path = fresh_path(spark, label)
         self.name = f"{label}_{self.path[-32:]}"
-        self.schema = StructType([f for f in schema.fields if f.name != "day"])
-        sinks.create_table(spark, self.name, self.schema, self.path)
+        sinks.create_table(spark, self.name, schema, self.path)
+        self.schema = sinks.table_schema(spark, self.name, partitions=True)
 
     def close(self) -> DataFrame:
         """Forget the table and read its files."""
         self.spark.sql(f"DROP TABLE {self.name}")
-        full = StructType([*self.schema.fields, StructField("day", StringType())])
-        return self.spark.read.schema(full).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
 
 def landed_orders(spark: SparkSession, sf_dir: str, label: str) -> Landing:

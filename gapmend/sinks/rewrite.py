@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,14 +25,14 @@ class RewriteReport:
     """What :func:`rewrite_duplicates` did."""
 
     removed_rows: int
-    rewritten: tuple[str | None, ...]
-    dropped: tuple[str | None, ...]
+    rewritten: tuple[Any, ...]
+    dropped: tuple[Any, ...]
 
 
 def cleaned_days(
     df: DataFrame,
     keys: list[str],
-    days: Sequence[str | None],
+    days: Sequence[Any],
     order_by: Sequence[str],
     duplicates: Written,
     copies: DataFrame,
@@ -64,7 +65,7 @@ def cleaned_days(
     return single.unionByName(kept)
 
 
-def _is_one_of(day: str, days: Sequence[str | None]):
+def _is_one_of(day: str, days: Sequence[Any]):
     known = [d for d in days if d is not None]
     chosen = named(day).isin(known)
     return chosen | named(day).isNull() if len(known) < len(days) else chosen

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from contextlib import contextmanager
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -40,9 +41,16 @@ def create_table(
     fmt: str = "parquet",
     replace: bool = False,
 ) -> None:
-    """Declare an external table over ``location``."""
+    """Declare an external table over ``location``.
+
+    The partition column comes last; ``schema`` may hold it or not.
+    """
     _prepare(spark, table, replace)
-    columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
+    columns = [
+        f"{quoted(f.name)} {f.dataType.simpleString()}"
+        for f in schema.fields
+        if f.name.lower() != (partition or "").lower()
+    ]
     by = ""
     if partition:
         columns.append(f"{quoted(partition)} {partition_type}")
@@ -180,7 +188,7 @@ def null_partition_rows(df: DataFrame, partition: str = "day") -> DataFrame:
 
 
 def drop_partition(
-    spark: SparkSession, table: str, value: str | None, partition: str = "day"
+    spark: SparkSession, table: str, value: Any, partition: str = "day"
 ) -> bool:
     """Remove a partition from the catalog and its files from storage.
 
@@ -188,7 +196,7 @@ def drop_partition(
     and the next sync would bring them back. ``None`` is the NULL partition.
     Returns whether there was such a partition.
     """
-    given = "null" if value is None else _text(value)
+    given = "null" if value is None else _text(str(value))
     spec = f"PARTITION ({quoted(partition)} = {given})"
     if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
         return False

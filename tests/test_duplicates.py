@@ -1,3 +1,7 @@
+from datetime import date
+
+from pyspark.sql import functions as F
+
 from gapmend.functions import file_name
 from gapmend.operators import (
     dedup,
@@ -6,7 +10,7 @@ from gapmend.operators import (
     duplicate_occurrences,
 )
 from gapmend.shared import fresh_path, session_conf
-from gapmend.sinks import rewrite_duplicates
+from gapmend.sinks import append_dynamic, create_table, rewrite_duplicates
 from tests.tables import contents, day_table, ids
 
 ROWS = [
@@ -132,3 +136,17 @@ def test_undated_partition_is_rewritten(spark):
     report = rewrite_duplicates(spark, name, "id", ["v"])
     assert report.removed_rows == 2
     assert contents(spark, name) == [(1, "a", None), (2, "c", "2024-01-02")]
+
+
+def test_days_that_are_dates(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", "2024-01-01"), (1, "b", "2024-01-31"), (2, "c", "2024-01-02"), (2, "d", "2024-01-02")],
+        "id bigint, v string, day string",
+    ).withColumn("day", F.col("day").cast("date"))
+    path = fresh_path(spark, "dated")
+    name = f"t_{path[-32:]}"
+    create_table(spark, name, rows.schema, path, partition_type="date")
+    append_dynamic(rows, name)
+    report = rewrite_duplicates(spark, name, "id", ["v"])
+    assert report.dropped == (date(2024, 1, 31),) and report.rewritten == (date(2024, 1, 2),)
+    assert contents(spark, name) == [(1, "a", date(2024, 1, 1)), (2, "c", date(2024, 1, 2))]
