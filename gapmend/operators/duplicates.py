@@ -147,7 +147,8 @@ def survivors(df: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFr
     An aggregate, not a window: every task keeps one candidate per key before
     the shuffle.
     """
-    rest = [name for name in df.columns if name not in keys]
+    grouped = {name.lower() for name in keys}
+    rest = [name for name in df.columns if name.lower() not in grouped]
     if not rest:
         return df.distinct()
     kept = F.min_by(

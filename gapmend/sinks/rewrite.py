@@ -9,13 +9,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
-from gapmend.operators.gaps import Keys
 from gapmend.operators.duplicates import (
     copies_by,
     find_duplicates,
     number_copies,
     survivors,
 )
+from gapmend.operators.gaps import Keys
 from gapmend.shared import Written, session_conf, write_shared
 from gapmend.sinks.tables import drop_partition, named_files
 
@@ -82,9 +82,10 @@ def rewrite_duplicates(
     """Keep the first copy of each key by day, then ``order_by``.
 
     Days that lose no row are neither read in full nor written. The cleaned
-    days are first written to the shared folder and then replace the old ones,
-    so they exist in full on storage at any time; a run that dies in between
-    can be repeated. A day left without a row is dropped with its files.
+    days are first written to the shared folder and then replace the old ones;
+    a day left without a row is dropped with its files. A run that dies can be
+    repeated. Should it die while Spark moves the days into place, the cleaned
+    rows are still in the shared folder, under ``cleaned-days-...``.
     """
     keys = as_list(keys)
     df = spark.table(table)

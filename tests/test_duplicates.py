@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from gapmend.functions import file_name
@@ -150,3 +151,17 @@ def test_days_that_are_dates(spark):
     report = rewrite_duplicates(spark, name, "id", ["v"])
     assert report.dropped == (date(2024, 1, 31),) and report.rewritten == (date(2024, 1, 2),)
     assert contents(spark, name) == [(1, "a", date(2024, 1, 1)), (2, "c", date(2024, 1, 2))]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_identical_copies(spark, threshold):
+    rows = [(1, "a", "2024-01-01")] * 40 + [(2, "b", "2024-01-01"), (1, "a", "2024-01-02")]
+    name, _ = day_table(spark, rows)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+        assert listed(dedup(frame(spark, rows), "ID", ["day"])) == [
+            (1, "a", "2024-01-01"),
+            (2, "b", "2024-01-01"),
+        ]
+        report = rewrite_duplicates(spark, name, "ID", [])
+    assert (report.removed_rows, report.dropped) == (40, ("2024-01-02",))
+    assert contents(spark, name) == [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")]
