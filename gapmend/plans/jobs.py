@@ -135,6 +135,7 @@ def validate(
     missing = counted.where(is_missing(keys)).select(*map(named, keys))
     written = write_shared(missing, "missing-keys", narrow=True)
     figures = seen.get
+    figures["matched_rows"] = int(figures["matched_rows"])
     status = _status(figures["source_rows"], figures["matched_rows"])
     return RepairReport(status=status, **figures), written
 

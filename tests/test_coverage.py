@@ -15,6 +15,7 @@ from gapmend.operators import (
     rows_in_missing_range,
     source_keys_duplicated,
 )
+from gapmend.operators.gaps import coverage_metrics
 from gapmend.plans import validate
 from tests.tables import ids
 
@@ -130,3 +131,12 @@ def test_columns_with_awkward_names(spark):
     target = source.where(F.col("`a.b c`") == 1)
     assert listed(missing_rows(source, target, "a.b c")) == [(2,)]
     assert listed(matched_rows(source, target, "a.b c")) == [(1, 1)]
+
+
+def test_key_that_is_hot_on_both_sides(spark):
+    rows = [(1, 4 * 10**11, 3 * 10**11), (2, 3, 2), (3, 5, 0), (4, 39_999, 40_000)]
+    counted = spark.createDataFrame(rows, "id bigint, source_rows bigint, target_rows bigint")
+    row = counted.agg(*coverage_metrics("id")).first()
+    assert row.matched_rows == 12 * 10**22 + 6 + 39_999 * 40_000
+    assert row.source_rows == 4 * 10**11 + 8 + 39_999
+    assert row.missing_rows == 5
