@@ -94,6 +94,15 @@ def test_drift(spark):
     }
 
 
+def test_drift_without_a_look_at_the_rows(spark):
+    df = spark.sql("SELECT assert_true(id < 0) AS x, id FROM range(3)")
+    found = schema_drift(df, [("id", "int")], counted=False).collect()
+    assert [(r.column, r.action, r.held, r.lost) for r in found] == [
+        ("x", "extra", None, None),
+        ("id", "cast", None, None),
+    ]
+
+
 def test_envelope_comes_first(spark):
     df = change_envelope(spark.range(1), "s.t", "2024-01-02 03:04:05")
     assert df.columns == ["table", "op_type", "op_ts", "current_ts", "pos", "id"]
