@@ -145,12 +145,14 @@ def database_source(
     end_range: int | None = None,
     num_partition: int = NUM_PARTITIONS,
     run_ts: str | None = None,
+    balanced: bool = False,
     **connection: str,
 ) -> DataFrame:
     """A key range of a database table as change records.
 
     A bound that is not given is asked from the database. An empty table
-    gives an empty frame.
+    gives an empty frame. Where most keys crowd into a part of the range,
+    ``balanced`` reads the keys first and splits the rows evenly.
     """
     name = f"{schema}.{table}"
     if init_range is None or end_range is None:
@@ -163,6 +165,11 @@ def database_source(
     rows = jdbc_range_scan(
         spark, url, name, primary_key, init_range, end_range, num_partition, **connection
     )
+    if balanced:
+        cuts = key_cuts(rows.select(named(primary_key)), primary_key, num_partition)
+        rows = jdbc_balanced_scan(
+            spark, url, name, primary_key, cuts, init_range, end_range, **connection
+        )
     return change_envelope(rows, name, run_ts)
 
 

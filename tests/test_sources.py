@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from gapmend.operators import in_range, key_range
 from gapmend.shared import (
     delete_path,
     fresh_path,
@@ -185,3 +186,68 @@ def test_splits_are_larger_for_keys_alone(spark):
     assert spark.conf.get(name) == before
     with session_conf(spark, {name: "4g"}), narrow_scan(spark):
         assert spark.conf.get(name) == str(4 * 1024**3)
+
+
+@pytest.fixture
+def fake_table(spark, monkeypatch):
+    """Stands in for the reads of a database table with the given keys."""
+
+    def serve(keys):
+        table = spark.createDataFrame([(k,) for k in keys], "ID bigint")
+        asked = []
+
+        def probe(spark, url, name, key, low=None, high=None, **connection):
+            return key_range(in_range(table, key, low, high), key)
+
+        def scan(spark, url, name, key, low, high, parts, **connection):
+            asked.append((name, low, high, parts))
+            return in_range(table, key, low, high)
+
+        def balanced(spark, url, name, key, cuts, low, high, **connection):
+            asked.append(cuts)
+            return in_range(table, key, low, high)
+
+        monkeypatch.setattr("gapmend.sources.jdbc.jdbc_key_range", probe)
+        monkeypatch.setattr("gapmend.sources.jdbc.jdbc_range_scan", scan)
+        monkeypatch.setattr("gapmend.sources.jdbc.jdbc_balanced_scan", balanced)
+        return asked
+
+    return serve
+
+
+def from_database(spark, **options):
+    df = read_source(
+        spark, "database", url="jdbc:x", schema="s", table="t", primary_key="id", **options
+    )
+    return sorted(r.ID for r in df.collect()), df
+
+
+@pytest.mark.parametrize(
+    "given, bounds",
+    [
+        ({}, (2, 30)),
+        ({"init_range": 3}, (3, 30)),
+        ({"end_range": 9}, (2, 9)),
+        ({"init_range": 1, "end_range": 100}, (1, 100)),
+    ],
+)
+def test_database_source_finds_its_bounds(spark, fake_table, given, bounds):
+    asked = fake_table([2, 3, 9, 30])
+    found, df = from_database(spark, **given)
+    assert asked == [("s.t", *bounds, 40)]
+    assert found == [k for k in [2, 3, 9, 30] if bounds[0] <= k <= bounds[1]]
+    assert df.columns == ["table", "op_type", "op_ts", "current_ts", "pos", "ID"]
+    assert df.first().table == "s.t"
+
+
+def test_database_source_of_an_empty_table(spark, fake_table):
+    asked = fake_table([])
+    assert from_database(spark)[0] == []
+    assert asked == [("s.t", None, None, 40)]
+
+
+def test_database_source_in_even_splits(spark, fake_table):
+    asked = fake_table([*range(100), 1_000_000])
+    found, _ = from_database(spark, balanced=True, num_partition=4)
+    assert len(found) == 101
+    assert len(asked[1]) == 3 and max(asked[1]) < 100
