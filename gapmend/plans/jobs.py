@@ -176,7 +176,7 @@ def repair(
     """Append rows of ``source`` to the partition ``day`` of ``table``.
 
     ``exact`` appends the rows whose key is missing and can be repeated at
-    will. ``range`` appends everything from the lowest to the highest missing
+    will, one run at a time. ``range`` appends everything from the lowest to the highest missing
     key, also what is there already. ``full`` appends everything without a
     look at the target. Rows with a NULL key are counted, and appended by
     ``full`` only.

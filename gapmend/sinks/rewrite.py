@@ -84,7 +84,7 @@ def rewrite_duplicates(
     Days that lose no row are neither read in full nor written. The cleaned
     days are first written to the shared folder and then replace the old ones;
     a day left without a row is dropped with its files. A run that dies can be
-    repeated. Should it die while Spark moves the days into place, the cleaned
+    repeated; nobody else may write to these days meanwhile. Should it die while Spark moves the days into place, the cleaned
     rows are still in the shared folder, under ``cleaned-days-...``.
     """
     keys = as_list(keys)

@@ -10,6 +10,7 @@ from gapmend.functions import (
     business_day,
     change_envelope,
     conform,
+    file_name,
     partition_stamp,
     project_to_target,
     run_day,
@@ -17,6 +18,7 @@ from gapmend.functions import (
     split_path,
     widen_decimals,
 )
+from gapmend.shared import fresh_path
 
 
 def test_decimals_by_scale(spark):
@@ -147,3 +149,13 @@ def test_run_day():
 )
 def test_split_path(spark, path, parts):
     assert tuple(spark.range(1).select(split_path(F.lit(path)).alias("p")).first().p) == parts
+
+
+def test_file_of_a_row(spark):
+    path = fresh_path(spark, "file")
+    spark.range(3).coalesce(1).write.parquet(path)
+    df = file_name(spark.read.parquet(path).where("id > 0").withColumn("x", F.lit(1)))
+    name = df.first().filename
+    assert df.columns == ["id", "x", "filename"]
+    assert path in name and name.endswith(".parquet")
+    assert file_name(spark.range(1), "f").first().f == ""
