@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gapmend.functions import partition_stamp
+from gapmend.functions import change_envelope, partition_stamp, widen_decimals
 from gapmend.operators import (
     coverage,
     dedup,
@@ -15,6 +15,7 @@ from gapmend.operators import (
     key_coverage,
     matched_copies,
     matched_rows,
+    missing_preview,
     missing_rows,
     present_key_days,
 )
@@ -22,7 +23,8 @@ from gapmend.operators.duplicates import copies_by, find_duplicates
 from gapmend.operators.joins import hot_keys, join_unique
 from gapmend.plans import validate
 from gapmend.shared import fresh_path, session_conf, write_shared
-from tests.tables import ids
+from gapmend.sinks import null_partition_rows, rewrite_duplicates
+from tests.tables import day_table, ids
 
 ROWS = 120_000
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -233,3 +235,36 @@ def test_hot_source_keys_in_the_operators(spark, hot_source, monkeypatch):
     monkeypatch.setattr("gapmend.operators.joins.HOT_ROWS", 300)
     with session_conf(spark, NO_BROADCAST):
         assert found() == wanted
+
+
+def test_preview_is_a_top_n(spark, tables):
+    assert "TakeOrderedAndProject" in plan(missing_preview(*tables, "k"))
+
+
+def test_undated_rows_come_from_one_partition(spark):
+    name, _ = day_table(spark, [(1, "a", None), (2, "b", "2024-01-01")])
+    text = plan(null_partition_rows(spark.table(name)))
+    assert "PartitionFilters: [isnull(day" in text
+
+
+def test_cleaning_reads_whole_rows_of_touched_days_only(spark, monkeypatch):
+    rows = [(1, "a", "d1"), (1, "b", "d2"), (2, "c", "d3"), (3, "d", "d2")]
+    name, _ = day_table(spark, rows)
+    seen = {}
+
+    def spy(df, label, **options):
+        seen[label] = plan(df)
+        return write_shared(df, label, **options)
+
+    monkeypatch.setattr("gapmend.sinks.rewrite.write_shared", spy)
+    rewrite_duplicates(spark, name, "id", ["v"])
+    scans = re.findall(r"FileScan parquet [^\n]*ReadSchema: struct<id:bigint,v:string>", seen["cleaned-days"])
+    assert len(scans) == 2
+    filters = [re.search(r"PartitionFilters: \[([^\]]*)", s).group(1) for s in scans]
+    assert all("d2" in f and "d3" not in f for f in filters)
+    assert "v:string" not in seen["copies-by-day"]
+
+
+def test_history_is_one_stage(spark, tables):
+    rows = change_envelope(tables[0].selectExpr("CAST(k AS decimal(9,0)) AS k", "v"), "s.t")
+    assert exchanges(plan(widen_decimals(rows))) == []
