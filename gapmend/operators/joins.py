@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from gapmend.functions.columns import named, none_null
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, session_conf, write_shared
 
 # A key needs more rows than this, and more than one part in MAX_HOT_KEYS of
 # all rows, to be hot. So there are fewer than MAX_HOT_KEYS of them.
@@ -13,6 +15,33 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
+# Size limit in bits of the filter that runtime_filter allows (32 MB).
+MAX_FILTER_BITS = 2**28
+
+
+@contextmanager
+def runtime_filter(right: Written):
+    """Let Spark drop left rows without a match before a shuffled join.
+
+    Spark can build a Bloom filter of the right keys and apply it in the scan
+    of the left side, but expects far fewer keys by default. Inside the body
+    its limits fit ``right``. It also wants a comparison on the right side, a
+    range of the key will do.
+    """
+    bits = min(max(8 * right.rows, 2**23), MAX_FILTER_BITS)
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    limits = {
+        f"{prefix}.creationSideThreshold": max(right.memory or 0, 10 * 2**20),
+        f"{prefix}.expectedNumItems": max(right.rows, 1),
+        f"{prefix}.maxNumItems": max(right.rows, 4_000_000),
+        f"{prefix}.numBits": bits,
+        f"{prefix}.maxNumBits": max(bits, 2**26),
+    }
+    settings = {name: str(value) for name, value in limits.items()}
+    with session_conf(right.frame.sparkSession, settings):
+        yield
+
+
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """The keys that hold a large share of ``df``, ``None`` if there are none."""
     counted = (

@@ -23,7 +23,7 @@ from gapmend.operators.gaps import (
     is_missing,
     key_coverage,
 )
-from gapmend.operators.joins import join_unique
+from gapmend.operators.joins import join_unique, runtime_filter
 from gapmend.operators.ranges import in_range
 from gapmend.shared import (
     Written,
@@ -151,7 +151,9 @@ def _lacking(
         rows = read.lookup(single, [row[0] for row in missing.frame.collect()])
         return rows.hint("rebalance")
     else:
-        rows = read.within(single, report.min_missing, report.max_missing)
+        span = report.min_missing, report.max_missing
+        rows = read.within(single, *span)
+        missing = replace(missing, frame=in_range(missing.frame, single, *span))
     if mode == "range":
         return rows
     # Few rows from many tasks: REBALANCE gathers them into few files.
@@ -235,7 +237,8 @@ def repair(
         if report.missing_rows == 0:
             return report
         rows = _lacking(read, keys, report, missing, mode)
-        return replace(report, appended_rows=append(rows))
+        with runtime_filter(missing):
+            return replace(report, appended_rows=append(rows))
     finally:
         missing.drop()
 

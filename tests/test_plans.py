@@ -21,7 +21,7 @@ from gapmend.operators import (
 )
 from gapmend.operators.duplicates import copies_by, find_duplicates
 from gapmend.operators.joins import hot_keys, join_unique
-from gapmend.plans import validate
+from gapmend.plans import repair, validate
 from gapmend.shared import fresh_path, session_conf, write_shared
 from gapmend.sinks import null_partition_rows, rewrite_duplicates
 from tests.tables import day_table, ids
@@ -268,3 +268,21 @@ def test_cleaning_reads_whole_rows_of_touched_days_only(spark, monkeypatch):
 def test_history_is_one_stage(spark, tables):
     rows = change_envelope(tables[0].selectExpr("CAST(k AS decimal(9,0)) AS k", "v"), "s.t")
     assert exchanges(plan(widen_decimals(rows))) == []
+
+
+def test_rows_without_a_gap_are_dropped_before_the_shuffle(spark, tables, monkeypatch):
+    source, _ = tables
+    rows = [(k, str(k), "x", "d") for k in range(0, ROWS // 2, 3)]
+    name, _ = day_table(spark, rows, "k bigint, v string, w string, day string")
+    monkeypatch.setattr("gapmend.plans.jobs.LOOKUP_KEYS", 0)
+    scan = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    with session_conf(spark, {**NO_BROADCAST, scan: "1"}):
+        report = repair(source, name, "k", day="2024-02-01", key_range=(0, ROWS))
+    ran = store.executionsList(before, 100)
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.length())]
+    written = [p for p in plans if "InsertIntoHadoopFs" in p and "SortMergeJoin" in p]
+    assert any("might_contain" in p for p in written)
+    assert report.appended_rows == ROWS // 2 - len(rows)
+    assert spark.table(name).select("k").distinct().count() == ROWS // 2
