@@ -60,7 +60,11 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame | Written, keys: list[str], how: str
+    left: DataFrame,
+    right: DataFrame | Written,
+    keys: list[str],
+    how: str,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Inner, semi or anti join of ``left`` with a side that has unique keys.
 
@@ -68,12 +72,15 @@ def join_unique(
     sides are shuffled, except for the rows of hot keys: those stay where they
     are and get their few right rows by broadcast. The hot keys come from a
     count of the left keys and are limited in number by what makes them hot.
+    The count is left out where ``most_rows``, the left rows of the most
+    frequent key, is known and small.
     """
     if isinstance(right, Written):
         if right.fits_broadcast():
             return left.join(F.broadcast(right.frame), keys, how)
         right = right.frame.hint("merge")
-    hot = hot_keys(left, keys)
+    even = most_rows is not None and most_rows <= HOT_ROWS
+    hot = None if even else hot_keys(left, keys)
     if hot is None:
         return left.join(right, keys, how)
     hot = F.broadcast(hot)

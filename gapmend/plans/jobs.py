@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType
 
-from gapmend.functions.columns import as_list, named
+from gapmend.functions.columns import as_list, named, none_null
 from gapmend.functions.conform import (
     FILLABLE,
     conform,
@@ -44,7 +44,10 @@ LOOKUP_KEYS = 1_000
 
 @dataclass(frozen=True)
 class RepairReport:
-    """How the target covered the source, and how many rows were appended."""
+    """How the target covered the source, and how many rows were appended.
+
+    ``max_source_rows`` belongs to the key that the source repeats most.
+    """
 
     status: str
     source_rows: int = 0
@@ -53,6 +56,7 @@ class RepairReport:
     missing_keys: int = 0
     duplicated_keys: int = 0
     null_keys: int = 0
+    max_source_rows: int = 0
     min_missing: Any = None
     max_missing: Any = None
     appended_rows: int = 0
@@ -131,7 +135,12 @@ def validate(
     """
     keys = as_list(keys)
     seen = Observation()
-    counted = key_coverage(source, target, keys).observe(seen, *coverage_metrics(keys))
+    most = F.max(F.when(none_null(keys), F.col("source_rows")))
+    counted = key_coverage(source, target, keys).observe(
+        seen,
+        *coverage_metrics(keys),
+        F.coalesce(most, F.lit(0)).alias("max_source_rows"),
+    )
     missing = counted.where(is_missing(keys)).select(*map(named, keys))
     written = write_shared(missing, "missing-keys", narrow=True)
     figures = seen.get
@@ -157,7 +166,7 @@ def _lacking(
     if mode == "range":
         return rows
     # Few rows from many tasks: REBALANCE gathers them into few files.
-    chosen = join_unique(rows, missing, keys, "left_semi")
+    chosen = join_unique(rows, missing, keys, "left_semi", report.max_source_rows)
     return chosen.select(*map(named, rows.columns)).hint("rebalance")
 
 

@@ -1,6 +1,7 @@
 import pytest
 
 from gapmend.functions import SchemaMismatch, change_envelope, conform
+from gapmend.operators.joins import hot_keys
 from gapmend.plans import history, repair
 from gapmend.plans.jobs import _Source
 from gapmend.shared import fresh_path, session_conf
@@ -167,3 +168,22 @@ def test_key_range_needs_one_key(spark):
     name, _ = landed(spark, [1])
     with pytest.raises(ValueError):
         repair(source_rows(spark, [1]), name, ["id", "v"], key_range=(1, 2))
+
+
+@pytest.mark.parametrize("limit, counted", [(1, True), (2, False)])
+def test_hot_keys_are_sought_only_if_coverage_saw_any(spark, monkeypatch, limit, counted):
+    name, _ = landed(spark, [1])
+    asked = []
+
+    def spy(df, keys):
+        asked.append(keys)
+        return hot_keys(df, keys)
+
+    monkeypatch.setattr("gapmend.operators.joins.hot_keys", spy)
+    monkeypatch.setattr("gapmend.operators.joins.HOT_ROWS", limit)
+    monkeypatch.setattr("gapmend.plans.jobs.LOOKUP_KEYS", 0)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        report = repair(source_rows(spark, [1, 2, 2, 3, None, None, None]), name, "id", day=DAY)
+    assert report.max_source_rows == 2
+    assert asked == ([["id"]] if counted else [])
+    assert days(spark, name) == [2, 2, 3]
