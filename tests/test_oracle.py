@@ -5,6 +5,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from gapmend.plans.oracle import ORACLE_SQL
+from gapmend.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = "orders lineitem events documents labels"
@@ -36,13 +38,15 @@ def in_order(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    found = entry.queries()[name](spark, SF)
-    wanted = duck.sql(entry.oracle_sql()[name])
+    found = QUERIES[name](spark, SF)
+    wanted = duck.sql(ORACLE_SQL[name])
     types = {c: DUCK_TYPES[t] for c, t in found.dtypes}
     assert types == dict(zip(wanted.columns, map(str, wanted.types)))
     rows = in_order(found.toPandas())
