@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gapmend.llm.decontaminate import contamination
 from gapmend.llm.sharding import minimax_shards
 from gapmend.llm.simhash import near_duplicates
+from gapmend.llm.substring_dedup import substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(table(spark, sf_dir, "documents"), 35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -30,5 +45,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_simhash, op10_sharding)
+    f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op9_simhash, op10_sharding)
 }

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from gapmend.llm.components import components
-from gapmend.llm.texts import LOWER, UNSPACED, chunks, text_key, words_of
+from gapmend.llm.texts import LOWER, UNSPACED, chunks, schema_of, text_key, words_of
 from gapmend.shared import write_shared
 
 # Fingerprints in a tile; a pair of tiles is compared in blocks of this size.
@@ -67,7 +67,7 @@ def shingle_prints(words, size: int, seed: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, seed: int = 42) -> DataFrame:
     """doc_id, text_key and fingerprint (64 bits as a long) of each row."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-    schema = rows.select("doc_id", "text_key").schema.add("fingerprint", "long")
+    schema = schema_of(rows.select("doc_id", "text_key"), "fingerprint long")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in chunks(batches):

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 # Bytes of text that are held as arrays at once; a longer text is taken alone.
 CHUNK_BYTES = 1 << 20
@@ -142,3 +143,6 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.lit("key"), column)
 
 
+def schema_of(df: DataFrame, more: str) -> StructType:
+    """The schema of ``df`` and the columns of a DDL string."""
+    return StructType(df.schema.fields + StructType.fromDDL(more).fields)
