@@ -4,18 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gapmend.llm.decontaminate import contamination
+from gapmend.llm.language import identify, learn_texts, page_evidence
+from gapmend.llm.line_dedup import line_dedup
+from gapmend.llm.nearest import nearest
+from gapmend.llm.packing import pack
+from gapmend.llm.quality import quality_scores, train
 from gapmend.llm.sharding import minimax_shards
 from gapmend.llm.simhash import near_duplicates
 from gapmend.llm.substring_dedup import substring_dedup
+from gapmend.llm.url_filter import judge_urls, labelled_urls
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"), 2)
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -29,6 +45,37 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), labelled_urls(spark))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), VOCABULARY).drop("text_key")
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The language of each document, with the evidence of its page where it has
+    one; elsewhere its source stands for the host."""
+    rows = docs.select("doc_id", "text", "source").join(page_evidence(table(spark, sf_dir, "pages")), "doc_id", "left")
+    return identify(rows.withColumn("host", F.coalesce("host", "source")), learn_texts(docs), "declared", "host")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return found.select("doc_id", "language", "probability", "accepted")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -45,5 +92,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op9_simhash, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_quality, op5_url_filter, op6_packing,
+        op7_nearest, op8_language_id, op9_simhash, op10_sharding,
+    )
 }
