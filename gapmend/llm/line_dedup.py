@@ -137,7 +137,8 @@ def line_dedup(
     runs = later_copies(lines.frame, min_lines).groupBy(*DOCUMENT).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs")
     )
-    runs = write_shared(runs, "line-runs").frame.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
+    # A shuffled join at any size, and one that does not sort the texts.
+    runs = write_shared(runs, "line-runs").frame.withColumnsRenamed({"doc_id": "d", "text_key": "k"}).hint("shuffle_hash")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
     found = rows.join(runs, same, "left").withColumn("lines", F.split("text", "\n", -1))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
