@@ -94,10 +94,12 @@ def other_forms(spark, sf_dir: str) -> dict:
     }
 
 
-def scans(spark, sf_dir: str) -> dict[str, int]:
+def scans(spark, sf_dir: str, form: str = "parquet", ranged: bool = True) -> dict[str, int]:
     """How often a validated repair reads its source and its target."""
-    source = q.orders(spark, sf_dir)
-    span = op.resolve_range(source, q.ORDER_KEY)
+    source, place = q.orders(spark, sf_dir), "orders.parquet"
+    if form == "csv":
+        source, place = q.csv_scan(spark, sf_dir), "orders-csv"
+    span = op.resolve_range(q.orders(spark, sf_dir), q.ORDER_KEY) if ranged else None
     table = q.landed_orders(spark, sf_dir, "scanned")
     store = spark._jsparkSession.sharedState().statusStore()
     before = store.executionsCount()
@@ -105,15 +107,17 @@ def scans(spark, sf_dir: str) -> dict[str, int]:
     runs = store.executionsList(before, 100)
     plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.length())]
     table.close()
-    places = {"source": "orders.parquet", "target": table.path}
+    places = {"source": place, "target": table.path}
     return {
-        side: sum(scanned(plan).count(place) for plan in plans)
-        for side, place in places.items()
+        side: sum(scanned(plan).count(name) for plan in plans)
+        for side, name in places.items()
     }
 
 
 def scanned(plan: str) -> str:
     """The locations that the plan which ran has scanned, one per line."""
+    if "\n\n\n" not in plan:
+        return ""
     tree = plan[: plan.index("\n\n\n")].split("== Initial Plan ==")[0]
     places = []
     for number in re.findall(r"Scan \w+ .*\((\d+)\)", tree):
@@ -140,7 +144,11 @@ def main() -> None:
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "forms": forms,
-        "scans_per_repair": scans(spark, sf_dir),
+        "scans_per_repair": {
+            f"{form}, {'range given' if ranged else 'no range'}": scans(spark, sf_dir, form, ranged)
+            for form in ("parquet", "csv")
+            for ranged in (True, False)
+        },
     }
     print(json.dumps(result))
     spark.stop()

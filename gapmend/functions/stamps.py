@@ -60,22 +60,22 @@ def file_name(df: DataFrame, column: str = "filename") -> DataFrame:
     """Add the file that each row was read from.
 
     File sources carry it as metadata, which also survives shuffles in the
-    same query. Tables read through a SerDe have no metadata column, there
-    the file of the running task is used.
+    same query. A table read directly through a SerDe has no metadata column,
+    there the file of the running task is used. Other frames, such as joins and
+    aggregates, have lost the file and are refused.
     """
-    if df.columns and _has_metadata(df):
+    plan = df._jdf.queryExecution().analyzed()
+    if any(a.name() == "_metadata" for a in _items(plan.metadataOutput())):
         return df.withColumn(column, F.col("_metadata.file_path"))
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "HiveTableRelation":
+        raise ValueError("the files of these rows are not known; ask before joins and aggregates")
     return df.withColumn(column, F.input_file_name())
 
 
-def _has_metadata(df: DataFrame) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        df.select("_metadata.file_path").schema
-    except AnalysisException:
-        return False
-    return True
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.length())]
 
 
 def split_path(path: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.gaps import Keys, key_coverage
+from gapmend.operators.joins import join_unique
 from gapmend.shared import Written, write_shared
 
 
@@ -38,10 +39,13 @@ def source_keys_duplicated(source: DataFrame, target: DataFrame, keys: Keys) ->
 
 
 def find_duplicates(df: DataFrame, keys: Keys) -> Written:
-    """Write the duplicated keys to the shared folder."""
-    keys = as_list(keys)
-    found = duplicate_keys(df, keys).select(*map(named, keys))
-    return write_shared(found, "duplicate-keys", narrow=True)
+    """Write the duplicated keys and their copies to the shared folder."""
+    return write_shared(duplicate_keys(df, keys), "duplicate-keys", narrow=True)
+
+
+def most_copies(duplicates: Written) -> int:
+    """Copies of the most frequent key."""
+    return duplicates.frame.agg(F.max("copies")).first()[0] or 0
 
 
 def copies_by(
@@ -96,7 +100,7 @@ def _known_to(
     parts = duplicates.for_join().select(*map(named, shared))
     hits = source.select(*map(named, shared)).distinct().join(parts, shared, "left_semi")
     return write_shared(
-        duplicates.frame.join(hits, shared, "left_semi").select(*map(named, keys)),
+        join_unique(duplicates.frame, hits, shared, "left_semi").select(*map(named, keys), "copies"),
         "duplicate-source-keys",
         narrow=True,
     )
@@ -121,20 +125,22 @@ def duplicate_files(
     keys = as_list(keys)
     shared = as_list(source_keys or keys)
     if source is not None and shared == keys and duplicates is None:
-        found = source_keys_duplicated(source, df, keys).select(*map(named, keys))
+        found = source_keys_duplicated(source, df, keys).select(
+            *map(named, keys), F.col("target_rows").alias("copies")
+        )
         duplicates = write_shared(found, "duplicate-source-keys", narrow=True)
     else:
         duplicates = duplicates or find_duplicates(df, keys)
         if source is not None:
             duplicates = _known_to(source, keys, shared, duplicates)
-    # Written once, because both sides of the join below start from it.
-    counted = copies_by(df, keys, [day, filename], duplicates)
-    per_file = write_shared(counted, "copies-by-file", narrow=True).frame
+    per_file = copies_by(df, keys, [day, filename], duplicates)
     place = F.struct(named(day), named(filename))
+    # A key's smallest place is found by an aggregate, not by a window over all
+    # its files, and a key in very many files is joined apart.
     first = per_file.groupBy(*map(named, keys)).agg(F.min(place).alias("first_place"))
     extra = F.col("copies") - F.when(place.eqNullSafe(F.col("first_place")), 1).otherwise(0)
     return (
-        per_file.join(first, keys, "inner")
+        join_unique(per_file, first, keys, "inner", most_copies(duplicates))
         .withColumn("extra_rows", extra)
         .where(F.col("extra_rows") > 0)
         .select(*map(named, keys), named(day), named(filename), "extra_rows")

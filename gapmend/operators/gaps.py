@@ -19,21 +19,61 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.joins import join_unique
 from gapmend.operators.ranges import in_range
-from gapmend.shared import Written, narrow_scan, write_shared
+from gapmend.shared import Written, narrow_scan, plan_bytes, write_shared
 
 Keys = str | Sequence[str]
 
 # Copies of one source row that a task writes out at a time.
 COPIES_PER_PART = 100_000
 
+# A target is narrowed to the keys of a source that is so many times smaller.
+NARROW_FROM = 16
+
 
 def key_coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
-    """One row per distinct source key: ``source_rows`` and ``target_rows``."""
+    """One row per distinct source key: ``source_rows`` and ``target_rows``.
+
+    Where the plans say that the source is much smaller than the target, its
+    keys are counted and written first, and only target keys that can match
+    are shuffled.
+    """
     keys = as_list(keys)
+    if NARROW_FROM * plan_bytes(source.select(*map(named, keys))) < plan_bytes(target.select(*map(named, keys))):
+        counts = count_keys(source, keys)
+        return compare_keys(counts.frame, narrowed(target, counts, keys), keys)
+    return compare_keys(source.select(*map(named, keys), F.lit(1).cast("bigint").alias("source_rows")), target, keys)
+
+
+def count_keys(source: DataFrame, keys: Keys) -> Written:
+    """Write ``source_rows`` of each source key, NULL keys too."""
+    counts = source.groupBy(*map(named, as_list(keys))).agg(F.count(F.lit(1)).alias("source_rows"))
+    return write_shared(counts, "source-keys", narrow=True)
+
+
+def narrowed(target: DataFrame, counts: Written, keys: Keys) -> DataFrame:
+    """The target rows whose key the source can have.
+
+    The range of each key column is pushed to the scan of the target as plain
+    values, and keys that were measured to be few are broadcast against it;
+    beyond that a shuffled semi-join would move as much as the count itself,
+    so the count alone goes on.
+    """
+    keys = as_list(keys)
+    bounds = [f(named(k)) for k in keys for f in (F.min, F.max)]
+    row = counts.frame.where(none_null(keys)).agg(*bounds).first()
+    for i, key in enumerate(keys):
+        if row[2 * i] is None:
+            return target.where(F.lit(False))
+        target = in_range(target, key, row[2 * i], row[2 * i + 1])
+    if counts.fits_broadcast():
+        target = target.join(F.broadcast(counts.frame.select(*map(named, keys))), keys, "left_semi")
+    return target
+
+
+def compare_keys(counted: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`key_coverage` of source rows that may be counted already."""
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    left = source.select(
-        *map(named, keys), one.alias("source_rows"), none.alias("target_rows")
-    )
+    left = counted.select(*map(named, keys), "source_rows", none.alias("target_rows"))
     right = target.where(none_null(keys)).select(
         *map(named, keys), none.alias("source_rows"), one.alias("target_rows")
     )

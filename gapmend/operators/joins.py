@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from gapmend.functions.columns import named, none_null
 from gapmend.shared import Written, session_conf, write_shared
 
-# A key needs more rows than this, and more than one part in MAX_HOT_KEYS of
-# all rows, to be hot. So there are fewer than MAX_HOT_KEYS of them.
+# A key with more rows than this is hot, whatever the size of the table. Only if
+# more than MAX_HOT_KEYS are, a key must also hold more than one part in
+# MAX_HOT_KEYS of all rows, so that fewer than that are left.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
@@ -42,8 +43,14 @@ def runtime_filter(right: Written):
         yield
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The keys that hold a large share of ``df``, ``None`` if there are none."""
+@contextmanager
+def hot_keys(df: DataFrame, keys: list[str]):
+    """The keys that hold many rows of ``df``, ``None`` if there are none.
+
+    They come to the driver, since there are few of them, and nothing stays in
+    the shared folder.
+    """
+    spark = df.sparkSession
     counted = (
         df.where(none_null(keys))
         .groupBy(*map(named, keys))
@@ -52,11 +59,17 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     seen = Observation()
     counted = counted.observe(seen, F.sum("_rows").alias("total"))
     hot = write_shared(counted.where(F.col("_rows") > HOT_ROWS), "hot-keys", narrow=True)
-    if hot.rows == 0:
+    try:
+        if hot.rows == 0:
+            yield None
+            return
+        found = hot.frame
+        if hot.rows > MAX_HOT_KEYS:
+            found = found.where(F.col("_rows") > F.lit(seen.get["total"]) / MAX_HOT_KEYS)
+        rows = found.select(*map(named, keys))
+        yield spark.createDataFrame(rows.collect(), rows.schema)
+    finally:
         hot.drop()
-        return None
-    share = F.lit(seen.get["total"]) / MAX_HOT_KEYS
-    return hot.frame.where(F.col("_rows") > share).select(*map(named, keys))
 
 
 def join_unique(
@@ -79,11 +92,12 @@ def join_unique(
         if right.fits_broadcast():
             return left.join(F.broadcast(right.frame), keys, how)
         right = right.frame.hint("merge")
-    even = most_rows is not None and most_rows <= HOT_ROWS
-    hot = None if even else hot_keys(left, keys)
-    if hot is None:
+    if most_rows is not None and most_rows <= HOT_ROWS:
         return left.join(right, keys, how)
-    hot = F.broadcast(hot)
-    usual = left.join(hot, keys, "left_anti").join(right, keys, how)
-    few = F.broadcast(right.join(hot, keys, "left_semi"))
-    return usual.unionByName(left.join(hot, keys, "left_semi").join(few, keys, how))
+    with hot_keys(left, keys) as hot:
+        if hot is None:
+            return left.join(right, keys, how)
+        hot = F.broadcast(hot)
+        usual = left.join(hot, keys, "left_anti").join(right, keys, how)
+        few = F.broadcast(right.join(hot, keys, "left_semi"))
+        return usual.unionByName(left.join(hot, keys, "left_semi").join(few, keys, how))

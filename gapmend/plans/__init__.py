@@ -1,3 +1,3 @@
-from gapmend.plans.jobs import RepairReport, history, repair, validate
+from gapmend.plans.jobs import RepairMismatch, RepairReport, history, repair, validate
 
-__all__ = ["RepairReport", "history", "repair", "validate"]
+__all__ = ["RepairMismatch", "RepairReport", "history", "repair", "validate"]

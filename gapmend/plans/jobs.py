@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import DataType, DecimalType, IntegralType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType
 
 from gapmend.functions.columns import as_list, named, none_null
 from gapmend.functions.conform import (
@@ -19,21 +20,25 @@ from gapmend.functions.conform import (
 from gapmend.functions.stamps import run_day
 from gapmend.operators.gaps import (
     Keys,
+    compare_keys,
+    count_keys,
     coverage_metrics,
     is_missing,
-    key_coverage,
+    narrowed,
 )
 from gapmend.operators.joins import join_unique, runtime_filter
 from gapmend.operators.ranges import in_range
-from gapmend.shared import (
-    Written,
-    broadcast_limit,
-    held_bytes,
-    narrow_scan,
-    write_shared,
-)
+from gapmend.shared import Written, is_under, read_paths, session_conf, write_shared
 from gapmend.sinks.files import stage, write_files
-from gapmend.sinks.tables import append_dynamic, append_static, table_schema
+from gapmend.sinks.tables import (
+    append_dynamic,
+    append_static,
+    drop_null_partition,
+    null_partition_rows,
+    partition_names,
+    sync_partitions,
+    table_schema,
+)
 
 MODES = ("exact", "range", "full")
 
@@ -46,7 +51,8 @@ LOOKUP_KEYS = 1_000
 class RepairReport:
     """How the target covered the source, and how many rows were appended.
 
-    ``max_source_rows`` belongs to the key that the source repeats most.
+    ``max_source_rows`` belongs to the key that the source repeats most;
+    ``undated_rows`` are the target's rows without a day.
     """
 
     status: str
@@ -60,6 +66,11 @@ class RepairReport:
     min_missing: Any = None
     max_missing: Any = None
     appended_rows: int = 0
+    undated_rows: int = 0
+
+
+class RepairMismatch(RuntimeError):
+    """An exact repair appended other rows than were missing."""
 
 
 def _status(source_rows: int, matched_rows: int) -> str:
@@ -80,19 +91,52 @@ class _Source:
 
     def where(self, key: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Rows that pass a filter on ``key``, applied before any cast if that
-        is the same, because a filter on a cast does not reach the scan."""
+        is the same, because a filter on a cast does not reach the scan.
+
+        It is the same between equal types and between whole numbers. Other
+        casts change the order (text) or make keys equal (floating point).
+        """
         rows = self.rows()
-        before = _type_of(self.raw, key)
-        if before == _type_of(rows, key) or _is_whole(before):
+        before, after = _type_of(self.raw, key), _type_of(rows, key)
+        if before == after or (_is_whole(before) and _is_whole(after)):
             return self.shape(keep(self.raw))
         return keep(rows)
 
     def within(self, key: str, low: Any, high: Any) -> DataFrame:
+        low, high = self._typed(key, [low, high])
         return self.where(key, lambda df: in_range(df, key, low, high))
 
     def lookup(self, key: str, values: list[Any]) -> DataFrame:
+        values = self._typed(key, values)
         return self.where(key, lambda df: df.where(named(key).isin(values)))
 
+    def _typed(self, key: str, values: list[Any]) -> list[Any]:
+        """Values of a floating-point key in its own type: next to a ``double``
+        Spark would skip the rounding of a key that is cast to ``float``."""
+        kind = _type_of(self.rows(), key)
+        if not isinstance(kind, FractionalType) or isinstance(kind, DecimalType):
+            return values
+        return [None if v is None else F.lit(v).cast(kind) for v in values]
+
+
+# Spark takes a comparison on a whole number that is cast to floating point for
+# one on the number itself, although the cast makes large numbers equal.
+CAST_RULE = "org.apache.spark.sql.catalyst.optimizer.UnwrapCastInBinaryComparison"
+
+
+@contextmanager
+def _casts_as_written(read: _Source, key: str | None):
+    """Compare a key that is cast to floating point after the cast."""
+    spark = read.raw.sparkSession
+    name = "spark.sql.optimizer.excludedRules"
+    rows = read.rows()
+    if key is None or not isinstance(_type_of(rows, key), FractionalType) or _type_of(read.raw, key) == _type_of(rows, key):
+        yield
+        return
+    rules = [r for r in (spark.conf.get(name, None) or "").split(",") if r]
+    with session_conf(spark, {name: ",".join([*rules, CAST_RULE])}):
+        yield
+
 
 def _type_of(df: DataFrame, column: str) -> DataType:
     return df.select(named(column)).schema[0].dataType
@@ -104,45 +148,30 @@ def _is_whole(data_type: DataType) -> bool:
     return isinstance(data_type, IntegralType)
 
 
-def _narrow(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Keep the scan of the target to the keys that the source can have.
-
-    One look at the source keys gives their range and size. The range is
-    pushed to the target scan, and keys measured to be small are broadcast
-    against it, so that the other keys of a large target are never shuffled.
-    """
-    only = source.select(named(key))
-    spark = source.sparkSession
-    with narrow_scan(spark):
-        probe = only.agg(
-            F.min(named(key)).alias("low"),
-            F.max(named(key)).alias("high"),
-            F.coalesce(held_bytes(only), F.lit(0)).alias("bytes"),
-        ).first()
-    target = in_range(target, key, probe.low, probe.high)
-    if probe.bytes <= broadcast_limit(spark):
-        target = target.join(F.broadcast(only.distinct()), key, "left_semi")
-    return target
-
-
 def validate(
     source: DataFrame, target: DataFrame, keys: Keys
 ) -> tuple[RepairReport, Written]:
-    """Coverage figures and the written missing keys, from one job.
+    """Coverage figures and the written missing keys.
 
-    The figures are observed on the rows that the job filters and writes, so
-    each side is read once, keys only.
+    One job counts the source keys and writes the counts, which say how far
+    the scan of the target can be narrowed. The next compares them with the
+    target; the figures are observed on the rows that it filters and writes.
+    So each side is read once, keys only.
     """
     keys = as_list(keys)
-    seen = Observation()
-    most = F.max(F.when(none_null(keys), F.col("source_rows")))
-    counted = key_coverage(source, target, keys).observe(
-        seen,
-        *coverage_metrics(keys),
-        F.coalesce(most, F.lit(0)).alias("max_source_rows"),
-    )
-    missing = counted.where(is_missing(keys)).select(*map(named, keys))
-    written = write_shared(missing, "missing-keys", narrow=True)
+    counts = count_keys(source, keys)
+    try:
+        seen = Observation()
+        most = F.max(F.when(none_null(keys), F.col("source_rows")))
+        counted = compare_keys(counts.frame, narrowed(target, counts, keys), keys).observe(
+            seen,
+            *coverage_metrics(keys),
+            F.coalesce(most, F.lit(0)).alias("max_source_rows"),
+        )
+        missing = counted.where(is_missing(keys)).select(*map(named, keys))
+        written = write_shared(missing, "missing-keys", narrow=True)
+    finally:
+        counts.drop()
     figures = seen.get
     figures["matched_rows"] = int(figures["matched_rows"])
     status = _status(figures["source_rows"], figures["matched_rows"])
@@ -183,18 +212,26 @@ def repair(
     extension: str | None = None,
     fillable: Sequence[str] = FILLABLE,
     on_error: str = "fail",
+    sync: bool = True,
+    drop_undated: bool = False,
 ) -> RepairReport:
     """Append rows of ``source`` to the partition ``day`` of ``table``.
 
     ``exact`` appends the rows whose key is missing and can be repeated at
-    will, one run at a time. ``range`` appends everything from the lowest to the highest missing
-    key, also what is there already. ``full`` appends everything without a
-    look at the target. Rows with a NULL key are counted, and appended by
-    ``full`` only.
+    will, one run at a time; it raises if the appended rows are not as many as
+    were missing, as when the source changes meanwhile. ``range`` appends
+    everything from the lowest to the highest missing key, also what is there
+    already. ``full`` appends everything without a look at the target. Rows
+    with a NULL key are counted, and appended by ``full`` only.
 
     ``day`` defaults to today, fixed once per run. ``key_range`` limits source
-    and target to an inclusive range of a single key; without it, one look at
-    the source keys finds the range.
+    and target to an inclusive range of a single key. The source is read twice,
+    its keys and then the rows to append, the target once.
+
+    With ``sync`` the days that other systems have landed are registered
+    first, since what is in them counts as missing otherwise. The report has
+    the number of rows without a day; ``drop_undated`` removes them with their
+    files at the end.
 
     The source is brought to the columns and types of the table first; it is
     an error if it lacks any that are not ``fillable``. With ``staging_path``
@@ -208,6 +245,10 @@ def repair(
         raise ValueError("range repair needs exactly one key column")
 
     spark = source.sparkSession
+    by_day = day_column.lower() in partition_names(spark, table)
+    if sync and by_day:
+        sync_partitions(spark, table)
+        spark.catalog.refreshTable(table)
     wanted = table_schema(spark, table)
 
     def shape(df: DataFrame) -> DataFrame:
@@ -233,21 +274,33 @@ def repair(
             append_static(staged, table, today, day_column, extension)
         return written.get["n"]
 
+    undated = 0
+    if by_day:
+        undated = null_partition_rows(spark.table(table), day_column).count()
+
+    def done(report: RepairReport) -> RepairReport:
+        if drop_undated and undated:
+            drop_null_partition(spark, table, day_column)
+        return replace(report, undated_rows=undated)
+
     if mode == "full":
-        return RepairReport(status="full", appended_rows=append(rows))
+        return done(RepairReport(status="full", appended_rows=append(rows)))
 
     target = spark.table(table)
     if key_range is not None:
         target = in_range(target, single, *key_range)
-    elif single is not None:
-        target = _narrow(rows, target, single)
-    report, missing = validate(rows, target, keys)
+    with _casts_as_written(read, single):
+        report, missing = validate(rows, target, keys)
     try:
-        if report.missing_rows == 0:
-            return report
-        rows = _lacking(read, keys, report, missing, mode)
-        with runtime_filter(missing):
-            return replace(report, appended_rows=append(rows))
+        if report.missing_rows:
+            lacking = _lacking(read, keys, report, missing, mode)
+            with runtime_filter(missing), _casts_as_written(read, single):
+                report = replace(report, appended_rows=append(lacking))
+        if mode == "exact" and report.appended_rows != report.missing_rows:
+            raise RepairMismatch(
+                f"{report.missing_rows} rows were missing in {table}, {report.appended_rows} were appended"
+            )
+        return done(report)
     finally:
         missing.drop()
 
@@ -256,6 +309,11 @@ def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fa
     """Replace the files under ``path`` with all rows of ``source``.
 
     Decimals are widened on the way. The job is one stage: every task writes
-    what it read.
+    what it read. A source that reads files under ``path`` is refused, since
+    they are removed before they could be read.
     """
+    spark = source.sparkSession
+    clash = [p for p in read_paths(source) if is_under(spark, p, path) or is_under(spark, path, p)]
+    if clash:
+        raise ValueError(f"the source reads {clash[0]}, which the history would overwrite")
     write_files(widen_decimals(source, on_error), path, fmt)

@@ -18,6 +18,9 @@ _ENVELOPE = (
     "'sales.orders' AS \"table\", 'null' AS op_type, 'null' AS op_ts, "
     "'2024-02-01 06:30:00' AS current_ts, 'null' AS pos"
 )
+_SOME_ORDER_KEYS = "CASE WHEN o_orderkey % 10 <> 7 THEN o_orderkey END"
+_SOME_LINE_KEYS = "CASE WHEN l_orderkey % 10 <> 7 THEN l_orderkey END"
+_TEXT_ORDERS = "SELECT * REPLACE (CAST(o_orderkey AS VARCHAR) AS o_orderkey)"
 _MISSING_SPAN = f"""
     SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders WHERE {_NO_LINES}
 """
@@ -79,6 +82,7 @@ def _coverage(source, target, keys, span=""):
     """Coverage written with the outer join that it replaces."""
     on = " AND ".join(f"s.{k} = t.{k}" for k in keys)
     names = ", ".join(keys)
+    nulls = " OR ".join(f"s.{k} IS NULL" for k in keys)
     return f"""
         SELECT *, CASE WHEN matched_rows = source_rows THEN 'present'
                        WHEN matched_rows > source_rows THEN 'duplicated'
@@ -86,10 +90,10 @@ def _coverage(source, target, keys, span=""):
         FROM (
             SELECT CAST(sum(n) AS BIGINT) AS source_rows,
                    CAST(sum(n * coalesce(m, 0)) AS BIGINT) AS matched_rows,
-                   CAST(coalesce(sum(n) FILTER (m IS NULL), 0) AS BIGINT) AS missing_rows,
-                   count(*) FILTER (m IS NULL) AS missing_keys,
+                   CAST(coalesce(sum(n) FILTER (m IS NULL AND NOT ({nulls})), 0) AS BIGINT) AS missing_rows,
+                   count(*) FILTER (m IS NULL AND NOT ({nulls})) AS missing_keys,
                    count(*) FILTER (m > 1) AS duplicated_keys,
-                   CAST(0 AS BIGINT) AS null_keys{span}
+                   CAST(coalesce(sum(n) FILTER ({nulls}), 0) AS BIGINT) AS null_keys{span}
             FROM (SELECT {names}, count(*) AS n FROM ({source}) GROUP BY {names}) s
             LEFT JOIN (SELECT {names}, count(*) AS m FROM ({target}) GROUP BY {names}) t
             ON {on}
@@ -103,8 +107,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "range_scan": """
         SELECT * FROM orders
-        WHERE o_orderkey >= (SELECT min(l_orderkey) FROM lineitem)
-          AND o_orderkey <= (SELECT max(l_orderkey) FROM lineitem)
+        WHERE o_orderkey >= 100 AND o_orderkey <= (SELECT max(event_id) FROM events)
     """,
     "csv_scan": _CSV_TEXT,
     "target_scan": "SELECT * FROM lineitem",
@@ -161,6 +164,14 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT *, {_DAY} AS day FROM lineitem WHERE l_linestatus = 'F'",
         ["l_orderkey", "l_linenumber", "day"],
     ),
+    "coverage_null_keys": _coverage(
+        f"SELECT {_SOME_ORDER_KEYS} AS o_orderkey FROM orders",
+        f"SELECT {_SOME_LINE_KEYS} AS o_orderkey FROM lineitem",
+        ["o_orderkey"],
+        """,
+                   min(s.o_orderkey) FILTER (m IS NULL) AS min_missing,
+                   max(s.o_orderkey) FILTER (m IS NULL) AS max_missing""",
+    ),
     "missing_keys": f"""
         SELECT o_orderkey, count(*) AS source_rows FROM orders WHERE {_NO_LINES}
         GROUP BY o_orderkey ORDER BY o_orderkey
@@ -201,21 +212,21 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "duplicate_occurrences": _EXTRA_BY_DAY,
     "duplicate_files": f"""
-        SELECT o_orderkey, day, 'lineitem' AS filename, count(*) AS extra_rows
+        SELECT o_orderkey, day, filename, count(*) AS extra_rows
         FROM (
-            SELECT l_orderkey, {_DAY} AS day,
+            SELECT l_orderkey, {_DAY} AS day, 'month=' || {_SHIP_MONTH} AS filename,
                    row_number() OVER (PARTITION BY l_orderkey ORDER BY {_DAY}) AS rno
             FROM lineitem
         )
         JOIN orders ON o_orderkey = l_orderkey
         WHERE rno > 1
-        GROUP BY o_orderkey, day
+        GROUP BY o_orderkey, day, filename
         ORDER BY o_orderkey
     """,
     "duplicate_line_files": f"""
-        SELECT l_orderkey, l_linenumber, day, 'lineitem' AS filename, extra_rows
+        SELECT l_orderkey, l_linenumber, day, 'month=' || left(day, 7) || '-01' AS filename, extra_rows
         FROM ({_EXTRA_BY_DAY})
-        WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
+        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
         ORDER BY l_orderkey, l_linenumber
     """,
     "dedup_target": _FIRST_LINES,
@@ -246,6 +257,26 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o.*, {_RUN_DAY} AS day FROM orders o, ({_MISSING_SPAN}) m
         WHERE o_orderkey BETWEEN m.lo AND m.hi
     """,
+    "repair_null_keys": f"""
+        {_LANDED} UNION ALL
+        SELECT *, {_RUN_DAY} AS day FROM orders WHERE {_NO_LINES} AND o_orderkey % 10 <> 7
+    """,
+    "repair_text_key": f"""
+        {_TEXT_ORDERS}, CASE WHEN o_orderkey % 3 = 0 THEN {_ORDER_MONTH} ELSE {_RUN_DAY} END AS day FROM orders
+    """,
+    "repair_text_key_range": f"""
+        WITH text AS ({_TEXT_ORDERS}, {_ORDER_MONTH} AS day, o_orderkey % 3 = 0 AS landed FROM orders)
+        SELECT * EXCLUDE (landed) FROM text WHERE landed
+        UNION ALL
+        SELECT * EXCLUDE (landed) REPLACE ({_RUN_DAY} AS day) FROM text
+        WHERE o_orderkey BETWEEN (SELECT min(o_orderkey) FROM text WHERE NOT landed)
+              AND (SELECT max(o_orderkey) FROM text WHERE NOT landed)
+    """,
+    "repair_unsynced": f"""
+        SELECT *, CASE WHEN o_orderdate < '1995-01-01' OR o_orderkey % 5 <> 0
+                       THEN {_ORDER_MONTH} ELSE {_RUN_DAY} END AS day
+        FROM orders
+    """,
     "repair_full": f"{_LANDED} UNION ALL SELECT *, {_RUN_DAY} AS day FROM orders",
     "repair_from_csv": f"""
         {_LANDED}

@@ -97,7 +97,8 @@ def key_range_probe(spark, sf_dir):
 
 
 def range_scan(spark, sf_dir):
-    low, high = op.resolve_range(landed(spark, sf_dir), ORDER_KEY)
+    """Orders whose key is within the ids of the events, which end earlier."""
+    low, high = op.resolve_range(read(spark, sf_dir, "events"), "event_id", low=100)
     return op.in_range(orders(spark, sf_dir), ORDER_KEY, low, high)
 
 
@@ -212,6 +213,16 @@ def composite_coverage(spark, sf_dir):
     return op.coverage(rows, rows.where(F.col("l_linestatus") == "F"), keys)
 
 
+def _some_null(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(key, F.when(F.col(key) % 10 != 7, F.col(key)))
+
+
+def coverage_null_keys(spark, sf_dir):
+    """Every tenth order and line has lost its key."""
+    source = _some_null(orders(spark, sf_dir), ORDER_KEY)
+    return op.coverage(source, _some_null(landed(spark, sf_dir), ORDER_KEY), ORDER_KEY)
+
+
 def missing_keys(spark, sf_dir):
     found = op.missing_keys(orders(spark, sf_dir), landed(spark, sf_dir), ORDER_KEY)
     return found.orderBy(ORDER_KEY)
@@ -271,22 +282,27 @@ def duplicate_occurrences(spark, sf_dir):
     return op.duplicate_occurrences(lines(spark, sf_dir), LINE_KEY)
 
 
+def landed_lines(spark, sf_dir) -> DataFrame:
+    """Lines as files under month folders, with the folder each was read from."""
+    path = fresh_path(spark, "landed-lines")
+    rows = read(spark, sf_dir, "lineitem").withColumn("month", _month(F.col("l_shipdate")))
+    rows.hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    schema = rows.schema
+    found = fn.file_name(spark.read.schema(schema).parquet(path))
+    folder = F.regexp_extract(fn.split_path(F.col("filename")).getField("key"), r"(month=[^/]+)/[^/]+$", 1)
+    return found.withColumn("filename", folder).withColumn("day", _date(F.col("l_shipdate")))
+
+
 def duplicate_files(spark, sf_dir):
-    rows = fn.file_name(read(spark, sf_dir, "lineitem")).select(
-        F.col("l_orderkey").alias(ORDER_KEY),
-        _date(F.col("l_shipdate")).alias("day"),
-        "filename",
-    )
-    found = op.duplicate_files(rows, ORDER_KEY, orders(spark, sf_dir))
-    return found.withColumn("filename", _file_stem(F.col("filename"))).orderBy(ORDER_KEY)
+    rows = landed_lines(spark, sf_dir).select(F.col("l_orderkey").alias(ORDER_KEY), "day", "filename")
+    return op.duplicate_files(rows, ORDER_KEY, orders(spark, sf_dir)).orderBy(ORDER_KEY)
 
 
 def duplicate_line_files(spark, sf_dir):
-    rows = fn.file_name(read(spark, sf_dir, "lineitem"))
-    rows = rows.withColumn("day", _date(F.col("l_shipdate")))
-    source = orders(spark, sf_dir).select(F.col(ORDER_KEY).alias("l_orderkey"))
-    found = op.duplicate_files(rows, LINE_KEY, source, "l_orderkey")
-    return found.withColumn("filename", _file_stem(F.col("filename"))).orderBy(LINE_KEY)
+    """For the orders that are not finished."""
+    source = orders(spark, sf_dir).where("o_orderstatus <> 'F'").select(F.col(ORDER_KEY).alias("l_orderkey"))
+    found = op.duplicate_files(landed_lines(spark, sf_dir), LINE_KEY, source, "l_orderkey")
+    return found.orderBy(LINE_KEY)
 
 
 def dedup_target(spark, sf_dir):
@@ -365,6 +381,43 @@ def repair_range(spark, sf_dir):
     return _repair(spark, sf_dir, "range")
 
 
+def repair_null_keys(spark, sf_dir):
+    """A source whose keys are partly gone: such rows are not appended."""
+    table = landed_orders(spark, sf_dir, "repair_null")
+    repair(_some_null(orders(spark, sf_dir), ORDER_KEY), table.name, ORDER_KEY, day=RUN_DAY)
+    return table.close()
+
+
+def _repair_text(spark, sf_dir, mode):
+    """The table holds every third order, and keeps the number as text."""
+    rows = orders(spark, sf_dir).withColumn("day", _month(F.col("o_orderdate")))
+    text = rows.withColumn(ORDER_KEY, F.col(ORDER_KEY).cast("string"))
+    table = Landing(spark, text.schema, f"text_{mode}")
+    sinks.append_dynamic(text.where(F.col(ORDER_KEY).cast("bigint") % 3 == 0), table.name, rebalance=True)
+    repair(orders(spark, sf_dir), table.name, ORDER_KEY, mode, day=RUN_DAY)
+    return table.close()
+
+
+def repair_text_key(spark, sf_dir):
+    return _repair_text(spark, sf_dir, "exact")
+
+
+def repair_text_key_range(spark, sf_dir):
+    return _repair_text(spark, sf_dir, "range")
+
+
+def repair_unsynced(spark, sf_dir):
+    """Another system has landed files that the catalog does not know of."""
+    rows = orders(spark, sf_dir).withColumn("day", _month(F.col("o_orderdate")))
+    table = Landing(spark, rows.schema, "unsynced")
+    known = F.col("o_orderdate") < F.lit("1995-01-01")
+    sinks.append_dynamic(rows.where(known), table.name, rebalance=True)
+    later = rows.where(~known & (F.col(ORDER_KEY) % 5 != 0))
+    later.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(table.path)
+    repair(orders(spark, sf_dir), table.name, ORDER_KEY, day=RUN_DAY)
+    return table.close()
+
+
 def repair_full(spark, sf_dir):
     path = fresh_path(spark, "staged")
     return _repair(spark, sf_dir, "full", staging_path=path, staging_format="parquet")
@@ -399,6 +452,7 @@ QUERIES: dict[str, Query] = {
         business_day_partition,
         coverage_status,
         composite_coverage,
+        coverage_null_keys,
         missing_keys,
         missing_keys_preview,
         missing_range,
@@ -423,6 +477,10 @@ QUERIES: dict[str, Query] = {
         repair_exact,
         repair_range,
         repair_full,
+        repair_null_keys,
+        repair_text_key,
+        repair_text_key_range,
+        repair_unsynced,
         repair_from_csv,
         history_from_csv,
     )

@@ -138,9 +138,42 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size of a result as Spark's statistics estimate it before it runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def read_paths(df: DataFrame) -> list[str]:
+    """The places that file scans in the plan of ``df`` read."""
+    found, todo = [], [df._jdf.queryExecution().analyzed()]
+    while todo:
+        plan = todo.pop()
+        if plan.getClass().getSimpleName() == "LogicalRelation":
+            relation = plan.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths()
+                found += [roots.apply(i).toString() for i in range(roots.length())]
+        children = plan.children()
+        todo += [children.apply(i) for i in range(children.length())]
+    return found
+
+
+def is_under(spark: SparkSession, path: str, folder: str) -> bool:
+    """Whether ``path`` is ``folder`` or lies in it."""
+    names = []
+    for place in (path, folder):
+        target, fs = _hadoop_path(spark, place)
+        names.append(fs.makeQualified(target).toString().rstrip("/") + "/")
+    return names[0].startswith(names[1])
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set runtime options for the body and put the old values back."""
+    """Set runtime options for the body and put the old values back.
+
+    They hold for the whole session, so queries that other threads plan in it
+    meanwhile see them too; use a session of its own (``newSession``) there.
+    """
     before = {name: spark.conf.get(name, None) for name in settings}
     try:
         for name, value in settings.items():

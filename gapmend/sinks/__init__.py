@@ -7,9 +7,11 @@ from gapmend.sinks.tables import (
     avro_table_ddl,
     create_avro_table,
     create_table,
+    declare_landing,
     drop_null_partition,
     drop_partition,
     null_partition_rows,
+    partition_names,
     sync_partitions,
     table_schema,
 )
@@ -22,9 +24,11 @@ __all__ = [
     "avro_table_ddl",
     "create_avro_table",
     "create_table",
+    "declare_landing",
     "drop_null_partition",
     "drop_partition",
     "null_partition_rows",
+    "partition_names",
     "rewrite_duplicates",
     "stage",
     "sync_partitions",

@@ -89,34 +89,43 @@ def rewrite_duplicates(
     """
     keys = as_list(keys)
     df = spark.table(table)
-    duplicates = find_duplicates(df, keys)
-    copies = write_shared(copies_by(df, keys, [day], duplicates), "copies-by-day", narrow=True)
-    extra = number_copies(copies.frame, keys, day)
-    # One row per day that has to change: as many as the table has partitions.
-    per_day = extra.groupBy(named(day)).agg(F.sum("extra_rows").alias("n")).collect()
-    if not per_day:
-        duplicates.drop()
-        copies.drop()
-        return RewriteReport(0, (), ())
-    days = [row[0] for row in per_day]
-    kept = cleaned_days(df, keys, days, order_by, duplicates, copies.frame, day)
-    cleaned = write_shared(kept, "cleaned-days")
-    left = {row[0] for row in cleaned.frame.select(named(day)).distinct().collect()}
-    settings = {
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "hive.exec.dynamic.partition.mode": "nonstrict",
-    }
-    with session_conf(spark, settings), named_files(spark, extension):
-        # REBALANCE gathers a day into few files and splits a day that holds
-        # much of the data over several tasks.
-        rows = cleaned.frame.hint("rebalance", day).select(*map(named, df.columns))
-        rows.write.insertInto(table, overwrite=True)
-    dropped = tuple(d for d in days if d not in left)
-    for value in dropped:
-        drop_partition(spark, table, value, day)
-    spark.catalog.refreshTable(table)
-    for done in (cleaned, copies, duplicates):
-        done.drop()
+    done: list[Written] = []
+
+    def kept_for_now(written: Written) -> Written:
+        done.append(written)
+        return written
+
+    try:
+        duplicates = kept_for_now(find_duplicates(df, keys))
+        counted = copies_by(df, keys, [day], duplicates)
+        copies = kept_for_now(write_shared(counted, "copies-by-day", narrow=True))
+        extra = number_copies(copies.frame, keys, day)
+        # One row per day that has to change: as many as the table has partitions.
+        per_day = extra.groupBy(named(day)).agg(F.sum("extra_rows").alias("n")).collect()
+        if not per_day:
+            return RewriteReport(0, (), ())
+        days = [row[0] for row in per_day]
+        kept = cleaned_days(df, keys, days, order_by, duplicates, copies.frame, day)
+        cleaned = write_shared(kept, "cleaned-days")
+        left = {row[0] for row in cleaned.frame.select(named(day)).distinct().collect()}
+        settings = {
+            "spark.sql.sources.partitionOverwriteMode": "dynamic",
+            "hive.exec.dynamic.partition.mode": "nonstrict",
+        }
+        with session_conf(spark, settings), named_files(spark, extension):
+            # REBALANCE gathers a day into few files and splits a day that holds
+            # much of the data over several tasks.
+            rows = cleaned.frame.hint("rebalance", day).select(*map(named, df.columns))
+            rows.write.insertInto(table, overwrite=True)
+        dropped = tuple(d for d in days if d not in left)
+        for value in dropped:
+            drop_partition(spark, table, value, day)
+        spark.catalog.refreshTable(table)
+        # Only now: should the move into place fail, these rows are the copy.
+        done.append(cleaned)
+    finally:
+        for written in done:
+            written.drop()
     return RewriteReport(
         removed_rows=sum(row.n for row in per_day),
         rewritten=tuple(d for d in days if d in left),

@@ -17,6 +17,7 @@ from gapmend.functions.columns import named, quoted
 from gapmend.functions.conform import project_to_target
 from gapmend.functions.stamps import partition_stamp
 from gapmend.shared import delete_path, session_conf
+from gapmend.sources.avro_schema import newest_schema
 
 
 def _text(value: str) -> str:
@@ -101,15 +102,40 @@ def create_avro_table(
     spark.sql(ddl)
 
 
+def declare_landing(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    partition: str = "day",
+    fmt: str = "avro",
+    replace: bool = False,
+) -> StructType:
+    """Declare a landing table from the schema of its newest file.
+
+    One step for files that another system writes under ``day=...`` folders:
+    look up the schema, declare the table, register the days. Returns the
+    schema.
+    """
+    schema = newest_schema(spark, location, partition, fmt)
+    create_table(spark, table, schema, location, partition, fmt=fmt, replace=replace)
+    sync_partitions(spark, table)
+    return schema
+
+
 def table_schema(spark: SparkSession, table: str, partitions: bool = False) -> StructType:
     """Columns and types of a table, by default without its partition columns."""
     schema = spark.table(table).schema
     if partitions:
         return schema
-    parts = {c.name.lower() for c in spark.catalog.listColumns(table) if c.isPartition}
+    parts = partition_names(spark, table)
     return StructType([f for f in schema.fields if f.name.lower() not in parts])
 
 
+def partition_names(spark: SparkSession, table: str) -> set[str]:
+    """The partition columns of a table, in lower case."""
+    return {c.name.lower() for c in spark.catalog.listColumns(table) if c.isPartition}
+
+
 @contextmanager
 def avro_file_extension(spark: SparkSession, extension: str = ".avro"):
     """Hive SerDe writes inside the body name their files with ``extension``."""
@@ -200,8 +226,9 @@ def drop_partition(
     spec = f"PARTITION ({quoted(partition)} = {given})"
     if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
         return False
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}")
-    place = described.where("col_name = 'Location'").first().data_type
+    # As JSON, where no column can be taken for the location.
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec} AS JSON").first()[0]
+    place = json.loads(described)["location"]
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
     delete_path(spark, place)
     return True

@@ -1,4 +1,4 @@
-from gapmend.sources.avro_schema import avro_to_struct, latest_avro_schema
+from gapmend.sources.avro_schema import avro_to_struct, latest_avro_schema, newest_file, newest_schema
 from gapmend.sources.files import csv_scan
 from gapmend.sources.jdbc import (
     database_source,
@@ -21,6 +21,8 @@ __all__ = [
     "jdbc_range_scan",
     "key_cuts",
     "latest_avro_schema",
+    "newest_file",
+    "newest_schema",
     "range_predicates",
     "read_source",
     "table_scan",

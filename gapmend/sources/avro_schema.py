@@ -4,35 +4,52 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 
-def day_files(spark: SparkSession, location: str, day: str = "day") -> DataFrame:
-    """Path and modification time of the files under ``day=...`` folders.
+def newest_file(
+    spark: SparkSession, location: str, day: str = "day", ending: str = "", days: int | None = None
+) -> str:
+    """The file under ``day=...`` folders that was changed last.
 
-    Only file status is read; the content column is never asked for.
+    Folders are listed one after the other and only the newest file so far is
+    kept, so the number of files does not matter for memory. ``days`` looks at
+    so many of the last folders by name; ``ending`` leaves out other files, and
+    hidden files never count.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(location)
-        .select("path", "modificationTime")
-    )
-    return listed.where(F.col("path").rlike(f"/{day}=[^/]+/"))
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(location)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in fs.listStatus(base) if f.isDirectory()]
+    folders = sorted((f for f in folders if f.getName().startswith(f"{day}=")), key=lambda f: f.getName(), reverse=True)
+    newest = (-1, "")
+    for folder in folders[:days]:
+        files = fs.listFiles(folder, True)
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().getName()
+            if name.endswith(ending) and not name.startswith(("_", ".")):
+                newest = max(newest, (status.getModificationTime(), status.getPath().toString()))
+    if not newest[1]:
+        raise FileNotFoundError(f"no file under {location}/{day}=...")
+    return newest[1]
 
 
-def latest_avro_schema(spark: SparkSession, location: str, day: str = "day") -> dict:
+def latest_avro_schema(
+    spark: SparkSession, location: str, day: str = "day", days: int | None = None
+) -> dict:
     """The writer schema in the newest Avro file of a day-partitioned folder."""
-    newest = (
-        day_files(spark, location, day)
-        .orderBy(F.desc("modificationTime"), F.desc("path"))
-        .limit(1)
-        .first()
-    )
-    if newest is None:
-        raise FileNotFoundError(f"no file under {location}/{day}=...")
-    return avro_file_schema(spark, newest.path)
+    return avro_file_schema(spark, newest_file(spark, location, day, days=days))
+
+
+def newest_schema(
+    spark: SparkSession, location: str, day: str = "day", fmt: str = "avro"
+) -> StructType:
+    """The Spark schema of the newest file, without the day."""
+    if fmt == "avro":
+        return avro_to_struct(spark, latest_avro_schema(spark, location, day))
+    return spark.read.format(fmt).load(newest_file(spark, location, day)).schema
 
 
 def avro_file_schema(spark: SparkSession, path: str) -> dict:

@@ -150,8 +150,8 @@ def database_source(
 ) -> DataFrame:
     """A key range of a database table as change records.
 
-    A bound that is not given is asked from the database. An empty table
-    gives an empty frame. Where most keys crowd into a part of the range,
+    A bound that is not given is asked from the database. An empty table or
+    range gives an empty frame, whatever arrives after the probe. Where most keys crowd into a part of the range,
     ``balanced`` reads the keys first and splits the rows evenly.
     """
     name = f"{schema}.{table}"
@@ -162,6 +162,10 @@ def database_source(
         # By position: databases differ in how they fold the names.
         init_range = _whole(probe[0]) if init_range is None else init_range
         end_range = _whole(probe[1]) if end_range is None else end_range
+        if probe[0] is None:
+            nothing = f"(SELECT * FROM {name} WHERE 1 = 0) nothing"
+            rows = jdbc_range_scan(spark, url, nothing, primary_key, num_partitions=1, **connection)
+            return change_envelope(rows, name, run_ts)
     rows = jdbc_range_scan(
         spark, url, name, primary_key, init_range, end_range, num_partition, **connection
     )

@@ -158,4 +158,7 @@ def test_file_of_a_row(spark):
     name = df.first().filename
     assert df.columns == ["id", "x", "filename"]
     assert path in name and name.endswith(".parquet")
-    assert file_name(spark.range(1), "f").first().f == ""
+    joined = spark.read.parquet(path).groupBy("id").count()
+    for lost in (spark.range(1), joined):
+        with pytest.raises(ValueError, match="not known"):
+            file_name(lost)

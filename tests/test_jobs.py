@@ -4,7 +4,7 @@ from gapmend.functions import SchemaMismatch, change_envelope, conform
 from gapmend.operators.joins import hot_keys
 from gapmend.plans import history, repair
 from gapmend.plans.jobs import _Source
-from gapmend.shared import fresh_path, session_conf
+from gapmend.shared import delete_path, fresh_path, session_conf
 from tests.tables import contents, day_table, ids, source_rows
 
 DAY = "2024-02-01"
@@ -187,3 +187,47 @@ def test_hot_keys_are_sought_only_if_coverage_saw_any(spark, monkeypatch, limit,
     assert report.max_source_rows == 2
     assert asked == ([["id"]] if counted else [])
     assert days(spark, name) == [2, 2, 3]
+
+
+def test_history_does_not_overwrite_what_it_reads(spark):
+    path = fresh_path(spark, "history")
+    spark.range(3).write.parquet(path)
+    for source in (path, f"{path}/*.parquet"):
+        with pytest.raises(ValueError, match="overwrite"):
+            history(spark.read.parquet(source), path, "parquet")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_repair_counts_and_drops_undated_rows(spark):
+    name, _ = day_table(spark, [(1, "a", None), (2, "b", "2024-01-01")])
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id bigint, v string")
+    report = repair(source, name, "id", day="2024-02-01")
+    assert (report.undated_rows, report.appended_rows) == (1, 1)
+    report = repair(source, name, "id", day="2024-02-01", drop_undated=True)
+    assert report.undated_rows == 1
+    assert repair(source, name, "id", day="2024-02-01").missing_rows == 1
+
+
+def test_repair_sees_days_that_others_landed(spark):
+    name, path = day_table(spark, [(1, "a", "2024-01-01")])
+    other = spark.createDataFrame([(2, "b")], "id bigint, v string")
+    other.write.parquet(f"{path}/day=2024-01-02")
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id bigint, v string")
+    assert repair(source, name, "id", day="2024-02-01").appended_rows == 1
+
+
+def test_hot_keys_leave_no_file(spark, monkeypatch):
+    from gapmend.operators import joins
+
+    paths = []
+    write = joins.write_shared
+
+    def spy(*args, **options):
+        paths.append(write(*args, **options))
+        return paths[-1]
+
+    monkeypatch.setattr(joins, "write_shared", spy)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    with joins.hot_keys(spark.range(4).selectExpr("id % 2 AS id"), ["id"]) as hot:
+        assert hot.count() == 2
+    assert len(paths) == 1 and not delete_path(spark, paths[0].path)

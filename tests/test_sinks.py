@@ -10,9 +10,11 @@ from gapmend.sinks import (
     avro_file_extension,
     avro_table_ddl,
     create_table,
+    declare_landing,
     drop_null_partition,
     drop_partition,
     null_partition_rows,
+    rewrite_duplicates,
     stage,
     sync_partitions,
     table_schema,
@@ -154,3 +156,31 @@ def test_avro_needs_its_module(spark):
         assert "avro" in str(error).lower()
     else:
         assert staged.count() == 3
+
+
+def test_column_called_location(spark):
+    """The files of a partition are found whatever the columns are called."""
+    path = fresh_path(spark, "table")
+    name = f"t_{path[-32:]}"
+    rows = spark.createDataFrame(
+        [(1, "a", None), (2, "b", "2024-01-01"), (2, "b", "2024-01-02")], "id bigint, Location string, day string"
+    )
+    create_table(spark, name, rows.drop("day").schema, path)
+    append_dynamic(rows, name)
+    assert drop_null_partition(spark, name)
+    report = rewrite_duplicates(spark, name, "id", ["Location"])
+    assert report.dropped == ("2024-01-02",)
+    sync_partitions(spark, name)
+    assert contents(spark, name) == [(2, "b", "2024-01-01")]
+
+
+def test_landing_declared_from_its_newest_file(spark):
+    path = fresh_path(spark, "landing")
+    old = spark.createDataFrame([(1, "2024-01-01")], "id bigint, day string")
+    old.write.partitionBy("day").parquet(path)
+    new = spark.createDataFrame([(2, "x", "2024-01-02")], "id bigint, v string, day string")
+    new.write.mode("append").partitionBy("day").parquet(path)
+    name = f"t_{path[-32:]}"
+    schema = declare_landing(spark, name, path, fmt="parquet")
+    assert schema.names == ["id", "v"]
+    assert contents(spark, name) == [(1, None, "2024-01-01"), (2, "x", "2024-01-02")]

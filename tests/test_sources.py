@@ -199,8 +199,8 @@ def fake_table(spark, monkeypatch):
         def probe(spark, url, name, key, low=None, high=None, **connection):
             return key_range(in_range(table, key, low, high), key)
 
-        def scan(spark, url, name, key, low, high, parts, **connection):
-            asked.append((name, low, high, parts))
+        def scan(spark, url, name, key, low=None, high=None, num_partitions=40, **connection):
+            asked.append((name, low, high, num_partitions))
             return in_range(table, key, low, high)
 
         def balanced(spark, url, name, key, cuts, low, high, **connection):
@@ -243,7 +243,7 @@ def test_database_source_finds_its_bounds(spark, fake_table, given, bounds):
 def test_database_source_of_an_empty_table(spark, fake_table):
     asked = fake_table([])
     assert from_database(spark)[0] == []
-    assert asked == [("s.t", None, None, 40)]
+    assert asked == [("(SELECT * FROM s.t WHERE 1 = 0) nothing", None, None, 1)]
 
 
 def test_database_source_in_even_splits(spark, fake_table):
