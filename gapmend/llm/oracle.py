@@ -1,5 +1,112 @@
-"""The same answers in SQL for DuckDB, where SQL can give them."""
+"""The same answers in SQL for DuckDB, where SQL can give them.
+
+The others train models, tokenise, follow links or search; tests hold them
+against brute force, exact round trips, or held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_UNSPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+        ),
+        full_lines AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS q
+            FROM split WHERE regexp_matches(line, '\S')
+        ),
+        pairs AS (
+            SELECT doc_id, q, line, lead(line) OVER (PARTITION BY doc_id ORDER BY q) AS following
+            FROM full_lines
+        ),
+        copies AS (
+            SELECT doc_id, q FROM (
+                SELECT *, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, q) AS n
+                FROM pairs WHERE following IS NOT NULL
+            )
+            WHERE n > 1
+        ),
+        gone AS (
+            SELECT DISTINCT doc_id, q + step AS q FROM copies, (VALUES (0), (1)) s(step)
+        ),
+        runs AS (
+            SELECT doc_id, count(*) AS n FROM (
+                SELECT doc_id, q - row_number() OVER (PARTITION BY doc_id ORDER BY q) AS island FROM gone
+            )
+            GROUP BY doc_id, island
+        ),
+        kept AS (
+            SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.p) AS text
+            FROM split s LEFT JOIN full_lines f USING (doc_id, p) LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.q = f.q
+            WHERE g.q IS NULL
+            GROUP BY s.doc_id
+        )
+        SELECT d.doc_id, coalesce(l.n, 0) AS n_lines, CAST(coalesce(r.removed, 0) AS BIGINT) AS n_removed,
+               coalesce(r.n, 0) AS n_runs, coalesce(r.longest, 0) AS longest_run,
+               CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
+        FROM documents d
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM full_lines GROUP BY doc_id) l USING (doc_id)
+        LEFT JOIN (
+            SELECT doc_id, count(*) AS n, sum(n) AS removed, max(n) AS longest FROM runs GROUP BY doc_id
+        ) r USING (doc_id)
+        LEFT JOIN kept k USING (doc_id)
+    """,
+    "op2_decontamination": f"""
+        WITH items AS (
+            SELECT item_id, words, least(13, len(words)) AS n
+            FROM (SELECT item_id, {_ITEM_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+        ),
+        item_windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(words[s : s + n - 1], ' ') AS window_text
+            FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS s FROM items)
+        ),
+        docs AS (SELECT doc_id, {_ITEM_WORDS} AS words FROM documents),
+        doc_windows AS (
+            SELECT doc_id, s, n, array_to_string(words[s : s + n - 1], ' ') AS window_text
+            FROM (
+                SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s
+                FROM docs, (SELECT DISTINCT n FROM item_windows)
+            )
+        ),
+        hits AS (SELECT doc_id, s, n, item_id FROM doc_windows JOIN item_windows USING (n, window_text)),
+        hit_words AS (
+            SELECT doc_id, count(DISTINCT w) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + n)) AS w FROM hits) GROUP BY doc_id
+        ),
+        hit_items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+    "op3_substring_dedup": f"""
+        WITH docs AS (SELECT doc_id, {_UNSPACED} AS words FROM documents),
+        windows AS (
+            SELECT doc_id, s, array_to_string(words[s : s + 34], ' ') AS window_text
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS s FROM docs)
+        ),
+        repeated AS (
+            SELECT doc_id, s FROM windows
+            WHERE window_text IN (SELECT window_text FROM windows GROUP BY window_text HAVING count(*) > 1)
+        ),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS w FROM repeated),
+        kept AS (
+            SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.w) AS text
+            FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS w FROM docs) e
+            LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.w = e.w
+            WHERE g.w IS NULL
+            GROUP BY e.doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+        LEFT JOIN kept USING (doc_id)
+    """,
+}
