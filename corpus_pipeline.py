@@ -35,8 +35,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop later copies of runs of two or more lines; all documents stay."""
     keep = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    kept = line_dedup(docs, 2, keep=keep).withColumn("n_chars", F.length("text").cast("bigint"))
-    return kept.select(*docs.columns)
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    columns = [own.get(c, F.col("others").getField(c)) for c in docs.columns]
+    return line_dedup(docs, 2, keep=keep).select(*[x.alias(c) for x, c in zip(columns, docs.columns)])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +50,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not twice.rows:
         return kept
     names = twice.frame.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (text_key("text") == F.col("k"))
-    single = kept.join(names, same).groupBy("d", "k").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    rows = kept.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_key("text").alias("own_key"))
+    same = F.col("own_id").eqNullSafe(F.col("d")) & (F.col("own_key") == F.col("k"))
+    single = rows.join(names, same).groupBy("d", "k").agg(F.min("row").alias("row")).select("row.*")
     return _without(kept, twice).unionByName(single)
 
 

@@ -183,10 +183,10 @@ def _fused(scored: DataFrame, names: list[str], accept: float) -> DataFrame:
         F.when(dotted, F.element_at(labels, -1)).otherwise(F.lit("")).alias("suffix"),
     )
     hosts = write_shared(hosts, "language-hosts").frame
-    everything = hosts.groupBy().agg(_sums("sums", n).alias("sums")).select(
-        _plus(F.coalesce("sums", F.array_repeat(F.lit(0.0), n)), start, 1.0).alias("overall")
-    ).first()["overall"]
-    overall = F.lit([float(x) if x is not None else 0.0 for x in everything])
+    everything = said.groupBy().agg(_sums("shares", n).alias("sums")).select(
+        _plus(F.transform("sums", lambda x: F.coalesce(x, F.lit(0.0))), start, 1.0).alias("overall")
+    )
+    overall = F.lit(everything.first()["overall"])
     domains = hosts.groupBy("domain").agg(_sums("sums", n).alias("domain_sums"))
     suffixes = hosts.groupBy("suffix").agg(_sums("sums", n).alias("suffix_sums"))
     domains = domains.select("domain", _plus(F.col("domain_sums"), overall, PRIOR_TEXTS).alias("domain_prior"))

@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gapmend.functions.columns import named
 from gapmend.llm.texts import text_key
 from gapmend.shared import Written, write_shared
 
@@ -121,8 +122,8 @@ def line_dedup(
     in a document of smaller doc_id (of equal ids, smaller hash of the text), or
     further up in the same one. ``min_lines`` is a power of two. Returns a row
     for each row of ``docs``: doc_id, text_key, n_lines (not blank), n_removed,
-    n_runs, longest_run (in lines), text, its other lines in their order, and the
-    columns that ``keep`` names.
+    n_runs, longest_run (in lines), text, its other lines in their order, and
+    others, a struct of the columns that ``keep`` names, if any.
 
     Blank lines are never deleted. A text that loses nothing is unchanged, and
     null stays null with no lines. Rows that agree in doc_id and text are one
@@ -131,7 +132,7 @@ def line_dedup(
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines is a power of two")
-    others = F.struct(F.lit(0), *keep).alias("others")
+    others = F.struct(*map(named, keep)).alias("others") if keep else F.lit(None).alias("others")
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"), others)
     lines = write_shared(line_table(rows), "lines")
     runs = later_copies(lines.frame, min_lines).groupBy(*DOCUMENT).agg(
@@ -153,5 +154,5 @@ def line_dedup(
         F.size(sizes).cast("bigint").alias("n_runs"),
         F.coalesce(F.array_max(sizes), F.lit(0)).cast("bigint").alias("longest_run"),
         F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        *(F.col("others").getField(name).alias(name) for name in keep),
+        *([F.col("others")] if keep else []),
     )

@@ -93,7 +93,7 @@ def shard_bounds(sized: DataFrame, shards: int) -> list[int]:
     """First key of each shard but the first, for rows of (key, size)."""
     # Ranges in order: lowest key, digits seen, size; with all digits, a group.
     ranges = _summed(sized, [], 0, FIRST_DIGITS)
-    while True:
+    while ranges:
         cutter = Cutter([size for _, _, size in ranges], shards)
         cuts = cutter.cuts()
         split = {i for i in cutter.looked if ranges[i][1] < KEY_DIGITS}
@@ -105,6 +105,7 @@ def shard_bounds(sized: DataFrame, shards: int) -> list[int]:
             lows = [ranges[i][0] for i in split if ranges[i][1] == digits]
             finer += _summed(sized, lows, digits, digits + MORE_DIGITS)
         ranges = sorted([r for i, r in enumerate(ranges) if i not in split] + finer)
+    return []
 
 
 def _summed(sized: DataFrame, lows: list[int], digits: int, to: int) -> list[tuple[int, int, int]]:

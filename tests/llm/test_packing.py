@@ -1,0 +1,125 @@
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from gapmend.llm import packing
+from gapmend.llm.packing import Index, Packer, pack, tokenizer
+from gapmend.shared import write_shared
+from tests.llm.cases import documents, odd_documents
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    t = Tokenizer.from_file(VOCABULARY)
+    t.encode_special_tokens = True
+    return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_ids_are_those_of_the_tokenizers_library(reference, text):
+    assert [*tokenizer(VOCABULARY).encode_ordinary(text), 0] == reference(text)
+
+
+def test_special_strings_are_text(reference):
+    text = "a<|endoftext|>b  \n\n c's 12٣ \u00a0é\U0001f600"
+    assert [*tokenizer(VOCABULARY).encode_ordinary(text), 0] == reference(text)
+
+
+def check(df, pieces, reference):
+    """Every token in one piece, ids right, sequences gapless and full."""
+    keyed = {}
+    for r in df.select("doc_id", "text").collect():
+        keyed.setdefault(r.doc_id, []).append(reference(r.text))
+    got = {}
+    for p in pieces:
+        got.setdefault(p.doc_id, []).append(p)
+    assert set(got) == set(keyed)
+    for name, own in got.items():
+        assert sum(p.length for p in own) == sum(map(len, keyed[name]))
+        for p in own:
+            cuts = [np.array(ids[p.start : p.start + p.length], "<u4") for ids in keyed[name] if len(ids) == p.doc_tokens]
+            assert p.ids_crc32 in {zlib.crc32(c.tobytes()) for c in cuts}
+        if len(keyed[name]) == 1:
+            starts = sorted((p.start, p.length) for p in own)
+            assert [s for s, _ in starts] == [sum(n for _, n in starts[:i]) for i in range(len(starts))]
+    sequences = {}
+    for p in sorted(pieces, key=lambda p: p.offset):
+        assert p.offset == sequences.get(p.sequence_id, 0)
+        sequences[p.sequence_id] = p.offset + p.length
+    assert all(n <= 1024 and n & (n - 1) == 0 for n in sequences.values())
+    return sequences
+
+
+@pytest.mark.parametrize("shard", [3, 2048])
+def test_odd_documents(spark, reference, monkeypatch, shard):
+    """Also where the open sequence goes on over shards."""
+    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", shard)
+    df = write_shared(odd_documents(spark).coalesce(1), "odd").frame
+    sequences = check(df, pack(df, VOCABULARY).collect(), reference)
+    assert sum(n < 1024 for n in sequences.values()) <= 10
+    assert pack(documents(spark, []), VOCABULARY).count() == 0
+
+
+def test_table(spark, reference):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sequences = check(df, pack(df, VOCABULARY).collect(), reference)
+    assert sum(sequences.values()) / (1024 * len(sequences)) > 0.98
+
+
+def brute_scores(words, seed):
+    """BM25 of all documents for the seed's rarest words, written out."""
+    n = len(words)
+    lengths = [len(w) for w in words]
+    df = {t: sum(t in w for w in words) for w in words for t in w}
+    useful = [t for t in set(words[seed]) if 1 < df[t] <= max(2, n * packing.STOP_SHARE)]
+    scores = np.zeros(n)
+    for t in useful:
+        idf = np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
+        for d, w in enumerate(words):
+            tf = w.count(t)
+            norm = packing.K1 * (1 - packing.B + packing.B * lengths[d] / max(np.mean(lengths), 1))
+            scores[d] += idf * tf * (packing.K1 + 1) / (tf + norm)
+    return scores, len(useful)
+
+
+def test_neighbours_by_bm25():
+    random = np.random.default_rng(4)
+    words = [random.integers(0, 60, random.integers(0, 12)).tolist() for _ in range(50)]
+    index = Index(
+        np.array([d for d, w in enumerate(words) for _ in w]), np.array([t for w in words for t in w], np.uint64), len(words)
+    )
+    for seed in range(50):
+        scores, useful = brute_scores(words, seed)
+        if useful > packing.QUERY_WORDS:
+            continue
+        unused = random.random(50) < 0.7
+        got = index.neighbours(seed, unused)
+        want = [d for d in sorted(range(50), key=lambda d: (-scores[d], d)) if scores[d] > 0 and unused[d]]
+        assert sorted(got.tolist()) == sorted(want)
+        assert np.allclose(scores[got], scores[want])
+
+
+def test_windows_are_filled_by_neighbours():
+    """Documents of one rare word come together; a cut one leads the next window."""
+    index = Index(np.arange(64), (np.arange(64) % 16).astype(np.uint64), 64)
+    packer = Packer(8, 0)
+    packer.pack(index, np.full(64, 2))
+    assert not packer.cut_rest() and sorted(p[0] for p in packer.pieces) == list(range(64))
+    kinds = {}
+    for document, _, _, sequence, _ in packer.pieces:
+        kinds.setdefault(sequence, set()).add(document % 16)
+    assert all(len(k) == 1 for k in kinds.values()) and len(kinds) == 16
+    packer = Packer(8, 0)
+    packer.pack(index, np.full(64, 3))
+    assert [p[0] for p in packer.pieces[:5]] == [0, 16, 32, 32, 48]
+    tail = packer.cut_rest()
+    assert not tail
+    packer.put(9, 7)
+    assert [p[2] for p in packer.cut_rest()] == [4, 2, 1]
