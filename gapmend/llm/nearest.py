@@ -223,7 +223,9 @@ def searched(blocks: DataFrame, steps: DataFrame, k: int) -> DataFrame:
         F.collect_list(F.struct("query_id", "place", "tenth")).alias("queries"),
         F.flatten(F.collect_list("vector")).alias("asked"),
     )
-    pairs = blocks.drop("block").join(asked.drop("block"), "leaf").drop("leaf")
+    # Never a broadcast: one query's vector repeats for each leaf, which compresses
+    # to little in the shuffle that Spark would measure it by.
+    pairs = blocks.drop("block").hint("merge").join(asked.drop("block").hint("merge"), "leaf").drop("leaf")
     query_type = steps.schema["query_id"].dataType.simpleString()
     id_type = blocks.schema["ids"].dataType.elementType.elementType.simpleString()
 

@@ -15,6 +15,7 @@ from gapmend.operators.duplicates import (
     duplicate_files,
     duplicate_keys,
     duplicate_occurrences,
+    number_rows,
     source_keys_duplicated,
 )
 from gapmend.operators.ranges import in_range, key_range, resolve_range
@@ -34,6 +35,7 @@ __all__ = [
     "missing_preview",
     "missing_range",
     "missing_rows",
+    "number_rows",
     "present_key_days",
     "resolve_range",
     "rows_in_missing_range",

@@ -16,11 +16,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gapmend.functions.columns import any_null, as_list, named, none_null
+from gapmend.functions.columns import any_null, as_list, named, none_null, quoted
 from gapmend.operators.gaps import Keys, key_coverage
 from gapmend.operators.joins import join_unique
 from gapmend.shared import Written, write_shared
 
+# Copies of a key on one day that one task numbers.
+HOT_COPIES = 1_000_000
+
 
 def duplicate_keys(df: DataFrame, keys: Keys) -> DataFrame:
     """Keys that occur more than once, with their number of ``copies``."""
@@ -93,6 +96,53 @@ def duplicate_occurrences(
     return number_copies(copies_by(df, keys, [day], duplicates), keys, day)
 
 
+def number_rows(
+    df: DataFrame,
+    keys: Keys,
+    order_by: Sequence[str],
+    day: str = "day",
+    duplicates: Written | None = None,
+) -> DataFrame:
+    """The second and later copies themselves, each with its number ``rno``.
+
+    Copies are numbered by day and within a day by ``order_by``. Copies of a key
+    on one day that are more than ``HOT_COPIES`` are dealt to parts by a hash of
+    ``order_by``, which are numbered one after the other, so that no task sorts
+    a hot key alone; the day still decides which copy is number 1.
+    """
+    keys = as_list(keys)
+    duplicates = duplicates or find_duplicates(df, keys)
+    rows = df.join(duplicates.for_join(), keys, "left_semi")
+    per_day = copies_by(df, keys, [day], duplicates)
+    parts = F.ceil(F.col("copies") / HOT_COPIES).cast("int")
+    earlier = Window.partitionBy(*map(named, keys)).orderBy(named(day)).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("copies").over(earlier), F.lit(0))
+    per_day = per_day.select(*map(named, keys), named(day), parts.alias("_parts"), before.alias("_before"))
+    hot = per_day.where("_parts > 1")
+    place = Window.partitionBy(*map(named, keys), named(day)).orderBy(*map(named, order_by))
+    # A day may be NULL, which a join by name would lose.
+    same = [named(k) == F.col(f"_right.{quoted(k)}") for k in keys] + [named(day).eqNullSafe(F.col(f"_right.{quoted(day)}"))]
+
+    def matched(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right.select(F.struct("*").alias("_right")), same)
+
+    names = list(map(named, df.columns))
+    usual = matched(rows, per_day.where("_parts = 1")).withColumn("rno", F.col("_right._before") + F.row_number().over(place))
+    many = matched(rows, hot).withColumn("_part", F.pmod(F.xxhash64(*map(named, order_by)), F.col("_right._parts")))
+    sizes = many.groupBy(*map(named, keys), named(day), "_part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*map(named, keys), named(day)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        *map(named, keys), named(day), "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead")
+    )
+    inside = Window.partitionBy(*map(named, keys), named(day), "_part").orderBy(*map(named, order_by))
+    many = many.select(*names, "_part", F.col("_right._before").alias("_before"), F.row_number().over(inside).alias("_row"))
+    part = [*same, F.col("_part") == F.col("_right._part")]
+    many = many.join(sizes.select(F.struct("*").alias("_right")), part).withColumn(
+        "rno", F.col("_before") + F.col("_right._ahead") + F.col("_row")
+    )
+    return usual.select(*names, "rno").unionByName(many.select(*names, "rno")).where(F.col("rno") > 1)
+
+
 def _known_to(
     source: DataFrame, keys: list[str], shared: list[str], duplicates: Written
 ) -> Written:

@@ -211,6 +211,15 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY o_orderkey ORDER BY o_orderkey
     """,
     "duplicate_occurrences": _EXTRA_BY_DAY,
+    "duplicate_row_numbers": f"""
+        SELECT * FROM (
+            SELECT *, {_DAY} AS day, row_number() OVER (
+                PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}
+            ) AS rno
+            FROM lineitem
+        )
+        WHERE rno > 1
+    """,
     "duplicate_files": f"""
         SELECT o_orderkey, day, filename, count(*) AS extra_rows
         FROM (

@@ -282,6 +282,10 @@ def duplicate_occurrences(spark, sf_dir):
     return op.duplicate_occurrences(lines(spark, sf_dir), LINE_KEY)
 
 
+def duplicate_row_numbers(spark, sf_dir):
+    return op.number_rows(lines(spark, sf_dir), LINE_KEY, LINE_ORDER)
+
+
 def landed_lines(spark, sf_dir) -> DataFrame:
     """Lines as files under month folders, with the folder each was read from."""
     path = fresh_path(spark, "landed-lines")
@@ -465,6 +469,7 @@ QUERIES: dict[str, Query] = {
         target_duplicate_keys,
         source_keys_duplicated,
         duplicate_occurrences,
+        duplicate_row_numbers,
         duplicate_files,
         duplicate_line_files,
         dedup_target,

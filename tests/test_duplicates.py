@@ -9,6 +9,7 @@ from gapmend.operators import (
     duplicate_files,
     duplicate_keys,
     duplicate_occurrences,
+    number_rows,
 )
 from gapmend.shared import fresh_path, session_conf
 from gapmend.sinks import append_dynamic, create_table, rewrite_duplicates
@@ -165,3 +166,16 @@ def test_identical_copies(spark, threshold):
         report = rewrite_duplicates(spark, name, "ID", [])
     assert (report.removed_rows, report.dropped) == (40, ("2024-01-02",))
     assert contents(spark, name) == [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 1_000])
+def test_numbers_of_rows(spark, monkeypatch, limit):
+    """Every copy but one has its own number, days in order, hot days in parts."""
+    monkeypatch.setattr("gapmend.operators.duplicates.HOT_COPIES", limit)
+    rows = [(1, f"2024-01-0{i % 3 + 1}", i) for i in range(12)] + [(2, None, 1), (2, "2024-01-01", 2), (3, None, 3), (None, None, 4), (None, None, 5)]
+    df = spark.createDataFrame(rows, "id bigint, day string, v int")
+    found = sorted(((r.id, r.rno, r.day or "", r.v) for r in number_rows(df, "id", ["v"]).collect()))
+    assert [r[:2] for r in found] == [*[(1, n) for n in range(2, 13)], (2, 2)]
+    assert [r[2] for r in found] == sorted(r[2] for r in found if r[0] == 1) + ["2024-01-01"]
+    if limit == 1_000:
+        assert [r[3] for r in found[:3]] == [3, 6, 9]
