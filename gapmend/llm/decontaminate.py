@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gapmend.llm.texts import ALPHANUMERIC, LOWER, WORD_BASE, Words, chunks, mixed, run_hashes, schema_of, text_key, words_of
+from gapmend.llm.texts import (
+    ALPHANUMERIC, LOWER, WORD_BASE, Words, chunks, mixed, run_hashes, schema_of, text_key, words_of, write_scanned,
+)
 from gapmend.shared import write_shared
 
 # A shared span of this many words is found.
@@ -193,7 +195,7 @@ def contamination(
     items nothing is hit. Other columns are not looked at.
     """
     prints = write_shared(item_fingerprints(items, text, item_id), "winnow-items").frame
-    scanned = write_shared(document_fingerprints(docs, prints, text, doc_id), "winnow-documents").frame
+    scanned = write_scanned(document_fingerprints(docs, prints, text, doc_id), "winnow-documents").frame
     spans = write_shared(shared_spans(scanned, prints), "winnow-spans").frame
     named = spans.groupBy("row").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     place = Window.partitionBy("row").orderBy("start")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from gapmend.llm.components import components
-from gapmend.llm.texts import LOWER, UNSPACED, chunks, schema_of, text_key, words_of
+from gapmend.llm.texts import LOWER, UNSPACED, chunks, schema_of, text_key, words_of, write_scanned
 from gapmend.shared import write_shared
 
 # Fingerprints in a tile; a pair of tiles is compared in blocks of this size.
@@ -194,7 +194,7 @@ def near_duplicates(
     component_id. Repeated rows are returned as often as they come. An empty
     table gives no rows; other columns are not looked at.
     """
-    prints = write_shared(fingerprints(docs, text, doc_id, size, seed), "simhash-prints").frame
+    prints = write_scanned(fingerprints(docs, text, doc_id, size, seed), "simhash-prints").frame
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     nodes = write_shared(prints.groupBy("fingerprint").agg(first.alias("first")), "simhash-nodes").frame
     roots = write_shared(components(near_links(nodes, radius)), "simhash-roots").frame
@@ -204,6 +204,8 @@ def near_duplicates(
     firsts = nodes.join(labels, nodes.fingerprint == labels.print, "left").select(
         "fingerprint", F.coalesce("least", "first").alias("least")
     )
+    # Written, so that Spark can split the rows of a hot fingerprint in the join.
+    firsts = write_shared(firsts, "simhash-firsts").frame
     leader = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
     return prints.join(firsts, "fingerprint").select(
         "doc_id", "text_key", "fingerprint", F.col("least.doc_id").alias("component_id"), leader.alias("leader")

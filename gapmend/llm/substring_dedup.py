@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gapmend.llm.simhash import spaced
-from gapmend.llm.texts import UNSPACED, WORD_BASE, Words, chunks, mixed, run_hashes, schema_of, text_key, words_of
+from gapmend.llm.texts import (
+    UNSPACED, WORD_BASE, Words, chunks, mixed, run_hashes, schema_of, text_key, words_of, write_scanned,
+)
 from gapmend.shared import write_shared
 
 GRAM = 8
@@ -336,7 +338,7 @@ def substring_dedup(docs: DataFrame, size: int = 35, text: str = "text", doc_id:
     gives no rows; other columns are not looked at.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-    spans = write_shared(span_table(rows, size), "spans")
+    spans = write_scanned(span_table(rows, size), "spans")
     times = F.count(F.lit(1)) + F.max(F.col("many").cast("int"))
     often = spans.frame.groupBy("least").agg(times.alias("n")).filter("n > 1").select("least")
     found = write_shared(spans.frame.join(often, "least"), "repeated-spans").frame
@@ -355,7 +357,7 @@ def substring_dedup(docs: DataFrame, size: int = 35, text: str = "text", doc_id:
         .select("least", (F.col("width") > AUTOMATON_WORDS).alias("large"))
     )
     judged = with_words(rows, different.drop("many").join(several, "least"), size)
-    judged = write_shared(judged, "span-words").frame
+    judged = write_scanned(judged, "span-words").frame
     ranges = ranges.unionByName(by_automaton(judged.filter("not large"), size)).unionByName(
         by_count(judged.filter("large"), size)
     )

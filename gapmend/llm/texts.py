@@ -15,8 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from gapmend.shared import Written, session_conf, write_shared
+
 # Bytes of text that are held as arrays at once; a longer text is taken alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -123,7 +125,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> Words:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of the batches of about a megabyte of text, with bytes and bounds."""
+    """Parts of the batches of up to ``CHUNK_BYTES``, with bytes and bounds."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -137,6 +139,13 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             row = end
 
 
+def write_scanned(df: DataFrame, label: str) -> Written:
+    """Write what a Python function makes of texts, which then come to it in
+    batches of a few megabytes."""
+    with session_conf(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+        return write_shared(df, label)
+
+
 def text_key(text: str | Column = "text") -> Column:
     """A 64-bit hash that tells the texts of one doc_id apart; null has its own."""
     column = F.col(text) if isinstance(text, str) else text
