@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapmend.llm.texts import LOWER, byte_table, chunks, schema_of, text_key
+from gapmend.llm.texts import LOWER, byte_table, chunks, schema_of, text_key, write_scanned
 from gapmend.shared import write_shared
 
 TRIGRAM_BITS = 16
@@ -127,12 +127,14 @@ def _softmax(logs: Column) -> Column:
 
 def identify(
     docs: DataFrame, model: TextModel, declared: str | None = None, host: str | None = None, text: str = "text",
-    doc_id: str = "doc_id", accept: float = 0.5,
+    doc_id: str = "doc_id", accept: float = 0.5, evidence: DataFrame | None = None,
 ) -> DataFrame:
     """The language of each document.
 
     ``declared`` and ``host`` name columns with the language that the markup
-    declares and the host of the address. Returns doc_id, text_key, language
+    declares and the host of the address. ``evidence`` may have both under these
+    names, in one row for a ``doc_id`` at most, which go before the columns; it
+    is joined to the scores of the texts, which stay where they are. Returns doc_id, text_key, language
     (``und`` if none of the model's), probability and accepted: the language is
     known, its probability at least ``accept``, and the text has letters.
 
@@ -144,12 +146,14 @@ def identify(
     """
     names = model.languages
     n = len(names) + 1
-    nothing = F.lit(None).cast("string")
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"),
-        F.lower(F.regexp_extract(F.col(declared), "^[A-Za-z]+", 0)).alias("declared") if declared else nothing.alias("declared"),
-        F.col(host).cast("string").alias("host") if host else nothing.alias("host"), F.col(text).alias("text"),
-    )
+
+    def known(declared: str | None, host: str | None) -> list[Column]:
+        nothing = F.lit(None).cast("string")
+        language = F.nullif(F.lower(F.regexp_extract(F.col(declared), "^[A-Za-z]+", 0)), F.lit("")) if declared else nothing
+        return [language.alias("declared"), (F.col(host).cast("string") if host else nothing).alias("host")]
+
+    own = [F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key")]
+    rows = docs.select(*own, *known(declared, host), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +166,13 @@ def identify(
             )
 
     schema = schema_of(rows.drop("text"), "logs array<double>, grams long")
-    scored = write_shared(rows.mapInArrow(scan, schema), "language-texts").frame
+    scored = write_scanned(rows.mapInArrow(scan, schema), "language-texts").frame
+    if evidence is not None:
+        more = evidence.select("doc_id", *known("declared", "host")).toDF("id", "page_declared", "page_host")
+        scored = scored.join(more, F.col("doc_id") == F.col("id"), "left").select(
+            "doc_id", "text_key", F.coalesce("page_declared", "declared").alias("declared"),
+            F.coalesce("page_host", "host").alias("host"), "logs", "grams",
+        )
     return _fused(scored, names, accept)
 
 

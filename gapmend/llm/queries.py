@@ -67,8 +67,8 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The language of each document, with the evidence of its page where it has
     one; elsewhere its source stands for the host."""
-    rows = docs.select("doc_id", "text", "source").join(page_evidence(table(spark, sf_dir, "pages")), "doc_id", "left")
-    return identify(rows.withColumn("host", F.coalesce("host", "source")), learn_texts(docs), "declared", "host")
+    evidence = page_evidence(table(spark, sf_dir, "pages"))
+    return identify(docs, learn_texts(docs), host="source", evidence=evidence)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,8 +157,8 @@ def model(spark):
 
 def test_languages_of_documents(spark, model):
     docs = table(spark, "documents")
-    evidence = docs.join(page_evidence(table(spark, "pages")), "doc_id", "left").withColumn("host", F.coalesce("host", "source"))
-    out = identify(evidence, model, "declared", "host").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    evidence = page_evidence(table(spark, "pages"))
+    out = identify(docs, model, host="source", evidence=evidence).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     assert len(out) == 10_000 and out.accepted.mean() > 0.999
     assert (out.language == out.lang).mean() > 0.99
 
@@ -184,7 +184,10 @@ def test_language_of_odd_documents(spark, model):
         rows = identify(df, model, declared, host).collect()
         assert len(rows) == df.count()
         assert all(r.language == "und" and not r.accepted for r in rows if r.doc_id in (0, 1, 2))
-    assert identify(documents(spark, []), model).count() == 0
+    evidence = spark.createDataFrame([(3, "DE-at", "a.example.org"), (4, None, None)], "doc_id bigint, declared string, host string")
+    rows = identify(df, model, "lang", "source", evidence=evidence).collect()
+    assert len(rows) == df.count() and {r.language for r in rows if r.doc_id == 3} == {"de"}
+    assert identify(documents(spark, []), model, evidence=evidence.limit(0)).count() == 0
 
 
 def test_no_known_language(spark):
