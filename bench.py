@@ -28,8 +28,6 @@ HEADLINE = [
     "present_key_days",
     "target_duplicate_keys",
     "duplicate_occurrences",
-    "duplicate_files",
-    "duplicate_line_files",
     "dedup_target",
     "csv_scan",
     "history_load",
@@ -84,8 +82,18 @@ def prepared(spark, sf_dir: str) -> dict:
         repair(q.orders(spark, sf_dir), table.name, q.ORDER_KEY, day=q.RUN_DAY, **options)
         table.close()
 
+    def files_of(rows, keys, source, shared):
+        drain(op.duplicate_files(rows, keys, source, shared))
+
+    source = q.orders(spark, sf_dir).select(F.col(q.ORDER_KEY).alias("l_orderkey"))
     span = op.resolve_range(q.orders(spark, sf_dir), q.ORDER_KEY)
     return {
+        "duplicate_files": (
+            lambda: q.landed_lines(spark, sf_dir), lambda rows: files_of(rows, "l_orderkey", source, "l_orderkey")
+        ),
+        "duplicate_line_files": (
+            lambda: q.landed_lines(spark, sf_dir), lambda rows: files_of(rows, q.LINE_KEY, source, "l_orderkey")
+        ),
         "repair_exact": (landed, repaired),
         "repair_exact_given_range": (landed, lambda table: repaired(table, key_range=span)),
         "repair_range": (landed, lambda table: repaired(table, mode="range")),
@@ -130,6 +138,10 @@ def scans(spark, sf_dir: str, form: str = "parquet", ranged: bool = True) -> dic
     source, place = q.orders(spark, sf_dir), "orders.parquet"
     if form == "csv":
         source, place = q.csv_scan(spark, sf_dir), "orders-csv"
+    def files_of(rows, keys, source, shared):
+        drain(op.duplicate_files(rows, keys, source, shared))
+
+    source = q.orders(spark, sf_dir).select(F.col(q.ORDER_KEY).alias("l_orderkey"))
     span = op.resolve_range(q.orders(spark, sf_dir), q.ORDER_KEY) if ranged else None
     table = q.landed_orders(spark, sf_dir, "scanned")
     store = spark._jsparkSession.sharedState().statusStore()
