@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from gapmend.llm import packing
 from gapmend.llm.packing import Index, Packer, pack, tokenizer
+from gapmend.llm.texts import mixed
 from gapmend.shared import write_shared
 from tests.llm.cases import documents, odd_documents
 
@@ -73,6 +74,10 @@ def test_table(spark, reference):
     assert sum(sequences.values()) / (1024 * len(sequences)) > 0.98
 
 
+def hashed(words):
+    return mixed(np.array(words, np.uint64))
+
+
 def brute_scores(words, seed):
     """BM25 of all documents for the seed's rarest words, written out."""
     n = len(words)
@@ -93,7 +98,7 @@ def test_neighbours_by_bm25():
     random = np.random.default_rng(4)
     words = [random.integers(0, 60, random.integers(0, 12)).tolist() for _ in range(50)]
     index = Index(
-        np.array([d for d, w in enumerate(words) for _ in w]), np.array([t for w in words for t in w], np.uint64), len(words)
+        np.array([d for d, w in enumerate(words) for _ in w]), hashed([t for w in words for t in w]), len(words)
     )
     for seed in range(50):
         scores, useful = brute_scores(words, seed)
@@ -108,7 +113,7 @@ def test_neighbours_by_bm25():
 
 def test_windows_are_filled_by_neighbours():
     """Documents of one rare word come together; a cut one leads the next window."""
-    index = Index(np.arange(64), (np.arange(64) % 16).astype(np.uint64), 64)
+    index = Index(np.arange(64), hashed(np.arange(64) % 16), 64)
     packer = Packer(8, 0)
     packer.pack(index, np.full(64, 2))
     assert not packer.cut_rest() and sorted(p[0] for p in packer.pieces) == list(range(64))
