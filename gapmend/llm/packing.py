@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -61,13 +62,14 @@ class Index:
 
     def __init__(self, document: np.ndarray, word: np.ndarray, documents: int):
         """``document`` and ``word`` (a hash) of every word of the shard."""
-        order = np.lexsort((document, word))
-        word, document = word[order], document[order]
-        new = np.concatenate(([True], (word[1:] != word[:-1]) | (document[1:] != document[:-1])))[: len(word)]
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(word)))
-        word, self.document = word[first], document[first]
-        lengths = np.bincount(document, minlength=documents)
+        # One sort of a number made of both, the leading bits of the hash first.
+        bits = np.uint64(max(documents - 1, 1).bit_length())
+        pair = np.sort((word >> bits << bits) | document.astype(np.uint64))
+        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))[: len(pair)])
+        times = np.diff(np.append(first, len(pair)))
+        word = pair[first] >> bits
+        self.document = (pair[first] - (word << bits)).astype(np.int64)
+        lengths = np.bincount(document.astype(np.int64), minlength=documents)
         norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
         new = np.concatenate(([True], word[1:] != word[:-1]))[: len(word)]
         self.begin = np.flatnonzero(new)
@@ -78,7 +80,9 @@ class Index:
         useful = (self.size > 1) & (self.size <= max(2, documents * STOP_SHARE))
         term = np.repeat(np.arange(len(self.size)), self.size)
         at = np.flatnonzero(useful[term])
-        at = at[np.lexsort((self.size[term[at]], self.document[at]))]
+        # Again one number: document, documents with the word, place.
+        few, many = documents.bit_length() + 1, len(term).bit_length()
+        at = np.sort((self.document[at] << (few + many)) | (self.size[term[at]] << many) | at) & ((1 << many) - 1)
         self.terms = term[at]
         self.first = np.searchsorted(self.document[at], np.arange(documents + 1))
         self.documents = documents
@@ -201,7 +205,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
                 documents.append(found.text_of_word() + (len(begins) - 1))
                 words.append(found.hashes())
                 for body in part.column("text").to_pylist():
-                    own = np.array([*encode(body or ""), END], "<u4")
+                    own = np.frombuffer(array("I", [*encode(body or ""), END]), np.uint32).astype("<u4", copy=False)
                     ids.append(own)
                     begins.append(begins[-1] + len(own))
             tokens = np.diff(begins)
