@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.joins import join_unique
-from gapmend.operators.ranges import in_range
+from gapmend.operators.ranges import exact_bounds, in_range
 from gapmend.shared import Written, narrow_scan, plan_bytes, write_shared
 
 Keys = str | Sequence[str]
@@ -64,7 +64,8 @@ def narrowed(target: DataFrame, counts: Written, keys: Keys) -> DataFrame:
     for i, key in enumerate(keys):
         if row[2 * i] is None:
             return target.where(F.lit(False))
-        target = in_range(target, key, row[2 * i], row[2 * i + 1])
+        if exact_bounds(target, key):
+            target = in_range(target, key, row[2 * i], row[2 * i + 1])
     if counts.fits_broadcast():
         target = target.join(F.broadcast(counts.frame.select(*map(named, keys))), keys, "left_semi")
     return target

@@ -5,11 +5,21 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType, NumericType, StringType
 
 from gapmend.functions.columns import named
 from gapmend.shared import narrow_scan
 
 
+def exact_bounds(df: DataFrame, key: str) -> bool:
+    """Whether values of ``key`` can go to the driver and back as plain values.
+
+    Times cannot: the driver may live in another time zone than the session.
+    """
+    kind = df.select(named(key)).schema[0].dataType
+    return isinstance(kind, (NumericType, StringType, DateType))
+
+
 def key_range(df: DataFrame, key: str) -> DataFrame:
     """Lowest and highest key, as one row ``initrange, endrange``."""
     return df.agg(

@@ -27,7 +27,7 @@ from gapmend.operators.gaps import (
     narrowed,
 )
 from gapmend.operators.joins import join_unique, runtime_filter
-from gapmend.operators.ranges import in_range
+from gapmend.operators.ranges import exact_bounds, in_range
 from gapmend.shared import Written, is_under, read_paths, session_conf, write_shared
 from gapmend.sinks.files import stage, write_files
 from gapmend.sinks.tables import (
@@ -183,7 +183,7 @@ def _lacking(
 ) -> DataFrame:
     """The rows that an exact or range repair appends."""
     single = keys[0] if len(keys) == 1 else None
-    if single is None:
+    if single is None or (mode == "exact" and not exact_bounds(missing.frame, single)):
         rows = read.rows()
     elif mode == "exact" and missing.rows <= LOOKUP_KEYS:
         rows = read.lookup(single, [row[0] for row in missing.frame.collect()])

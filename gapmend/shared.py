@@ -138,6 +138,11 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _hadoop_path(spark, path)
+    return fs.exists(target)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size of a result as Spark's statistics estimate it before it runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from gapmend.functions.columns import named, quoted
 from gapmend.functions.conform import project_to_target
 from gapmend.functions.stamps import partition_stamp
-from gapmend.shared import delete_path, session_conf
+from gapmend.shared import delete_path, path_exists, session_conf
 from gapmend.sources.avro_schema import newest_schema
 
 
@@ -202,9 +202,12 @@ def sync_partitions(spark: SparkSession, table: str) -> DataFrame:
     """Register the partitions found on storage and list all of them.
 
     Needed once for files that other systems landed. Appends made here
-    register their partition themselves.
+    register their partition themselves. A table whose folder does not exist
+    yet has none.
     """
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0]
+    if path_exists(spark, json.loads(described)["location"]):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 

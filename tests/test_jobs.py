@@ -231,3 +231,17 @@ def test_hot_keys_leave_no_file(spark, monkeypatch):
     with joins.hot_keys(spark.range(4).selectExpr("id % 2 AS id"), ["id"]) as hot:
         assert hot.count() == 2
     assert len(paths) == 1 and not delete_path(spark, paths[0].path)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(20,2)"])
+def test_repair_by_other_keys(spark, kind):
+    name, _ = day_table(spark, [], f"id {kind}, v string, day string")
+    number = "CAST('2024-01-01' AS date) + CAST(id AS int)" if kind == "date" else (
+        "CAST(id AS decimal(20,2)) / 4" if kind.startswith("decimal")
+        else f"CAST(CAST('2024-03-31 00:30:00' AS timestamp_ntz) + make_interval(0, 0, 0, 0, CAST(id AS int)) AS {kind})"
+    )
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/Sao_Paulo"}):
+        source = spark.range(30).selectExpr(f"CAST({number} AS {kind}) AS id", "'new' AS v")
+        assert repair(source.limit(12), name, "id", day=OLD).appended_rows == 12
+        report = repair(source, name, "id", day=DAY)
+    assert (report.missing_rows, report.appended_rows) == (18, 18)
