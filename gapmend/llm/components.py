@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from gapmend.shared import Written, write_shared
@@ -20,11 +22,13 @@ def components(links: DataFrame) -> DataFrame:
     now = write_shared(_pointing_down(links), "links")
     seen = None
     while now.rows:
-        large = write_shared(_large_star(now.frame), "links")
-        after = write_shared(_small_star(large.frame), "links")
-        large.drop()
-        now.drop()
-        now = after
+        for star in (_large_star, _small_star):
+            # Written, so that Spark can split a hot node in the join with it.
+            least = write_shared(star(now.frame), "least-neighbours")
+            after = write_shared(_joined(now.frame, least.frame, star), "links")
+            least.drop()
+            now.drop()
+            now = after
         state = _state(now)
         if state == seen:
             break
@@ -34,24 +38,34 @@ def components(links: DataFrame) -> DataFrame:
     return nodes.unionByName(roots)
 
 
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
 def _pointing_down(links: DataFrame) -> DataFrame:
     pair = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     return pair.filter("u > v").distinct()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Link each larger neighbour of a node to the smallest one near the node."""
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    larger = both.filter("v > u").join(least, "u")
-    return _pointing_down(larger.select(F.col("v").alias("u"), F.col("m").alias("v")))
+    """The smallest of each node and its neighbours."""
+    least = _both_ways(links).groupBy("u").agg(F.min("v").alias("m"))
+    return least.select("u", F.least("u", "m").alias("m"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    others = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return _pointing_down(others.unionByName(least.select("u", F.col("m").alias("v"))))
+    """The smallest of the smaller neighbours of each node that has any."""
+    return links.groupBy("u").agg(F.min("v").alias("m"))
+
+
+def _joined(links: DataFrame, least: DataFrame, star: Callable) -> DataFrame:
+    """Link neighbours to the smallest: all larger ones of a node in a large
+    star, the node itself and its smaller ones in a small star."""
+    if star is _large_star:
+        rows = _both_ways(links).filter("v > u").join(least, "u")
+        return _pointing_down(rows.select(F.col("v").alias("u"), F.col("m").alias("v")))
+    rows = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _pointing_down(rows.unionByName(least.select("u", F.col("m").alias("v"))))
 
 
 def _state(links: Written) -> tuple:
