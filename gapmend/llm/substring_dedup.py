@@ -265,6 +265,8 @@ def by_count(spans: DataFrame, size: int) -> DataFrame:
 
     each = spans.mapInArrow(windows, schema)
     often = each.groupBy("a", "b").agg(F.sum("times").alias("all")).filter("all > 1").select("a", "b")
+    # Written, so that Spark can split the places of a hot window in the join.
+    often = write_shared(often, "repeated-windows").frame
     found = each.filter("times = 1").join(often, ["a", "b"])
     return found.select("doc_id", "text_key", "start", (F.col("start") + size).alias("end"))
 
