@@ -343,6 +343,8 @@ def substring_dedup(docs: DataFrame, size: int = 35, text: str = "text", doc_id:
     spans = write_scanned(span_table(rows, size), "spans")
     times = F.count(F.lit(1)) + F.max(F.col("many").cast("int"))
     often = spans.frame.groupBy("least").agg(times.alias("n")).filter("n > 1").select("least")
+    # Written, here and below, so that Spark can split a hot minimizer in the joins.
+    often = write_shared(often, "repeated-minimizers").frame
     found = write_shared(spans.frame.join(often, "least"), "repeated-spans").frame
     spans.drop()
     place = F.struct("doc_id", "text_key", "start", "windows")
@@ -358,6 +360,7 @@ def substring_dedup(docs: DataFrame, size: int = 35, text: str = "text", doc_id:
         different.groupBy("least").agg(times.alias("n"), width.alias("width")).filter("n > 1")
         .select("least", (F.col("width") > AUTOMATON_WORDS).alias("large"))
     )
+    several = write_shared(several, "minimizers-of-several").frame
     judged = with_words(rows, different.drop("many").join(several, "least"), size)
     judged = write_scanned(judged, "span-words").frame
     ranges = ranges.unionByName(by_automaton(judged.filter("not large"), size)).unionByName(
