@@ -138,10 +138,6 @@ def scans(spark, sf_dir: str, form: str = "parquet", ranged: bool = True) -> dic
     source, place = q.orders(spark, sf_dir), "orders.parquet"
     if form == "csv":
         source, place = q.csv_scan(spark, sf_dir), "orders-csv"
-    def files_of(rows, keys, source, shared):
-        drain(op.duplicate_files(rows, keys, source, shared))
-
-    source = q.orders(spark, sf_dir).select(F.col(q.ORDER_KEY).alias("l_orderkey"))
     span = op.resolve_range(q.orders(spark, sf_dir), q.ORDER_KEY) if ranged else None
     table = q.landed_orders(spark, sf_dir, "scanned")
     store = spark._jsparkSession.sharedState().statusStore()

@@ -11,6 +11,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.ui.retainedExecutions", "100000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.catalogImplementation", "in-memory")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
