@@ -12,6 +12,7 @@ padding. Nothing is shuffled, and each text is read and tokenised once.
 from __future__ import annotations
 
 import json
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from gapmend.llm.texts import ALPHANUMERIC, LOWER, chunks, schema_of, text_key, words_of
+from gapmend.llm.texts import ALPHANUMERIC, LOWER, chunks, mixed, schema_of, text_key, words_of
 
 WINDOW = 1024
 # Documents and bytes of text in a shard, beyond which the next one begins.
@@ -32,10 +33,9 @@ SHARD_DOCUMENTS = 2048
 SHARD_BYTES = 8 << 20
 # BM25's usual constants.
 K1, B = 1.2, 0.75
-# Words in more of a shard's documents than this share are stop words, and a
-# seed asks for its rarest other words.
-STOP_SHARE = 1 / 16
-QUERY_WORDS = 24
+# No word is a stop word, and a seed asks for all of its words.
+STOP_SHARE = 1.0
+QUERY_WORDS = sys.maxsize
 # The token that ends a document.
 END = 0
 # Fixed value: how byte-level BPE cuts a text before it merges.
@@ -58,48 +58,54 @@ def tokenizer(path: str) -> tiktoken.Encoding:
 
 
 class Index:
-    """BM25 over the documents of a shard."""
+    """BM25 over the documents of a shard. Documents with the same words are one
+    entry of the posting lists, so copies cost no more than one document."""
 
     def __init__(self, document: np.ndarray, word: np.ndarray, documents: int):
         """``document`` and ``word`` (a hash) of every word of the shard."""
+        lengths = np.bincount(document.astype(np.int64), minlength=documents)
+        bags = np.zeros((documents, 2), np.uint64)
+        for i in range(2):
+            np.add.at(bags[:, i], document, mixed(word, i + 1))
+        _, of, self.entry, copies = np.unique(bags, axis=0, return_index=True, return_inverse=True, return_counts=True)
+        self.entry = self.entry.reshape(-1)
+        self.entries = len(of)
+        single = of[self.entry[document]] == document
+        entry, word = self.entry[document[single]], word[single]
         # One sort of a number made of both, the leading bits of the hash first.
-        bits = np.uint64(max(documents - 1, 1).bit_length())
-        pair = np.sort((word >> bits << bits) | document.astype(np.uint64))
+        bits = np.uint64(max(self.entries - 1, 1).bit_length())
+        pair = np.sort((word >> bits << bits) | entry.astype(np.uint64))
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))[: len(pair)])
         times = np.diff(np.append(first, len(pair)))
         word = pair[first] >> bits
-        self.document = (pair[first] - (word << bits)).astype(np.int64)
-        lengths = np.bincount(document.astype(np.int64), minlength=documents)
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
+        self.posting = (pair[first] - (word << bits)).astype(np.int64)
+        norm = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1)))[of]
         new = np.concatenate(([True], word[1:] != word[:-1]))[: len(word)]
         self.begin = np.flatnonzero(new)
         self.size = np.diff(np.append(self.begin, len(word)))
-        idf = np.log1p((documents - self.size + 0.5) / (self.size + 0.5))
-        self.weight = np.repeat(idf, self.size) * times * (K1 + 1) / (times + norm[self.document])
-        # Words that can name a neighbour, by document, the rarest first.
-        useful = (self.size > 1) & (self.size <= max(2, documents * STOP_SHARE))
+        # Documents with the word, copies as often as they come.
+        having = np.add.reduceat(copies[self.posting], self.begin) if len(word) else self.size
+        idf = np.log1p((documents - having + 0.5) / (having + 0.5))
+        self.weight = np.repeat(idf, self.size) * times * (K1 + 1) / (times + norm[self.posting])
+        # Words that name a neighbour, by entry.
         term = np.repeat(np.arange(len(self.size)), self.size)
-        at = np.flatnonzero(useful[term])
-        # Again one number: document, documents with the word, place.
-        few, many = documents.bit_length() + 1, len(term).bit_length()
-        at = np.sort((self.document[at] << (few + many)) | (self.size[term[at]] << many) | at) & ((1 << many) - 1)
+        at = np.flatnonzero((having > 1)[term])
+        at = at[np.argsort(self.posting[at], kind="stable")]
         self.terms = term[at]
-        self.first = np.searchsorted(self.document[at], np.arange(documents + 1))
-        self.documents = documents
+        self.first = np.searchsorted(self.posting[at], np.arange(self.entries + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share words with the seed, the nearest first."""
-        terms = self.terms[self.first[seed] : self.first[seed + 1]][:QUERY_WORDS]
+        entry = self.entry[seed]
+        terms = self.terms[self.first[entry] : self.first[entry + 1]]
         if not len(terms):
             return terms
         size = self.size[terms]
         before = np.cumsum(size) - size
         at = np.arange(size.sum()) + np.repeat(self.begin[terms] - before, size)
-        documents = self.document[at]
-        scores = np.bincount(documents, self.weight[at], self.documents)
-        found = np.unique(documents)
-        found = found[unused[found]]
-        return found[np.lexsort((found, -scores[found]))]
+        scores = np.bincount(self.posting[at], self.weight[at], self.entries)[self.entry]
+        found = np.flatnonzero(unused & (scores > 0))
+        return found[np.argsort(-scores[found], kind="stable")]
 
 
 @dataclass

@@ -111,6 +111,37 @@ def test_neighbours_by_bm25():
         assert np.allclose(scores[got], scores[want])
 
 
+def plain_scores(words, seed):
+    """BM25 of all documents for all words of the seed, no word left out."""
+    n, mean = len(words), np.mean([len(w) for w in words])
+    scores = np.zeros(n)
+    for t in set(words[seed]):
+        df = sum(t in w for w in words)
+        for d, w in enumerate(words):
+            norm = packing.K1 * (1 - packing.B + packing.B * len(w) / mean)
+            scores[d] += np.log(1 + (n - df + 0.5) / (df + 0.5)) * w.count(t) * (packing.K1 + 1) / (w.count(t) + norm)
+    return scores
+
+
+def test_neighbours_by_all_words():
+    """Words in most documents, seeds of many words, and a third of all documents copies."""
+    random = np.random.default_rng(6)
+    copy = random.integers(0, 400, 60).tolist()
+    words = [copy if d % 3 == 0 else random.integers(0, 400, random.integers(1, 90)).tolist() for d in range(150)]
+    index = Index(
+        np.array([d for d, w in enumerate(words) for _ in w]), hashed([t for w in words for t in w]), len(words)
+    )
+    for seed in range(150):
+        scores, unused = plain_scores(words, seed), np.arange(150) != seed
+        got = index.neighbours(seed, unused)
+        # A word of no other document scores the seed alone.
+        assert sorted(got.tolist()) == [d for d in range(150) if scores[d] > 0 and unused[d]]
+        assert np.allclose(scores[got], np.sort(scores[got])[::-1])
+        if seed % 3 == 0:
+            assert set(got[:49] % 3) == {0}
+    assert index.entries == 101
+
+
 def test_windows_are_filled_by_neighbours():
     """Documents of one rare word come together; a cut one leads the next window."""
     index = Index(np.arange(64), hashed(np.arange(64) % 16), 64)
