@@ -45,16 +45,25 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizers file, as tiktoken runs it, which gives
-    the same ids several times faster. Special tokens are ordinary text."""
+    the same ids several times faster. Its added tokens are found in texts by
+    ``encode_text``, as that library does."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    special = {t["content"] for t in model.get("added_tokens", []) if t.get("special")}
+    added = model.get("added_tokens", [])
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that look at their surroundings are not known")
+    special = {t["content"]: t["id"] for t in added}
     # Such files write printable bytes as themselves and others from U+0100 on.
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
     ranks = {bytes(byte_of[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
-    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids that the tokenizers library gives with add_special_tokens=False."""
+    return encoding.encode(text, allowed_special="all")
 
 
 class Index:
@@ -172,7 +181,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
 
     A document's tokens are the ids of its text by the byte-level BPE in the
     tokenizers file ``vocabulary``, a path that executors can open, and id 0 at
-    the end. Returns a row for each piece of a document: doc_id, text_key, start
+    the end; added tokens such as ``<|endoftext|>`` in a text have their own ids.
+    Returns a row for each piece of a document: doc_id, text_key, start
     and length (in its document's tokens), ids_crc32 (of the ids as unsigned
     little-endian 32-bit numbers), doc_tokens, sequence_id and offset (in the
     sequence, gapless from 0). Every token is in one piece. All sequences are
@@ -200,7 +210,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
             yield shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(vocabulary).encode_ordinary
+        encoding = tokenizer(vocabulary)
         packer = Packer(window, TaskContext.get().partitionId() << 33)
         # Columns and tokens of the documents that the open sequence reaches into.
         kept: list[tuple] = []
@@ -211,7 +221,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
                 documents.append(found.text_of_word() + (len(begins) - 1))
                 words.append(found.hashes())
                 for body in part.column("text").to_pylist():
-                    own = np.frombuffer(array("I", [*encode(body or ""), END]), np.uint32).astype("<u4", copy=False)
+                    own = np.frombuffer(array("I", [*encode_text(encoding, body or ""), END]), np.uint32).astype("<u4", copy=False)
                     ids.append(own)
                     begins.append(begins[-1] + len(own))
             tokens = np.diff(begins)

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from gapmend.llm import packing
-from gapmend.llm.packing import Index, Packer, pack, tokenizer
+from gapmend.llm.packing import Index, Packer, encode_text, pack, tokenizer
 from gapmend.llm.texts import mixed
 from gapmend.shared import write_shared
 from tests.llm.cases import documents, odd_documents
@@ -33,6 +33,25 @@ def test_special_strings_are_text(reference):
     assert [*tokenizer(VOCABULARY).encode_ordinary(text), 0] == reference(text)
 
 
+@pytest.fixture(scope="module")
+def library():
+    """The tokenizers library at its defaults."""
+    t = Tokenizer.from_file(VOCABULARY)
+    return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n", "a", " b", "'s", "é"]), max_size=9).map("".join))
+def test_added_tokens_have_their_ids(library, text):
+    assert [*encode_text(tokenizer(VOCABULARY), text), 0] == library(text)
+
+
+def test_added_tokens_are_packed(spark, library):
+    df = documents(spark, ["a<|endoftext|>b", "<|endoftext|>", "a  <|endoftext|>  b<|endoftext|><|endoftext|>"])
+    assert library("a<|endoftext|>b") == [64, 50256, 65, 0]
+    check(df, pack(df, VOCABULARY).collect(), library)
+
+
 def check(df, pieces, reference):
     """Every token in one piece, ids right, sequences gapless and full."""
     keyed = {}
