@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from gapmend.functions.columns import any_null, as_list, named, none_null, quoted
 from gapmend.operators.gaps import Keys, key_coverage
@@ -105,21 +106,21 @@ def number_rows(
 ) -> DataFrame:
     """The second and later copies themselves, each with its number ``rno``.
 
-    Copies are numbered by day and within a day by ``order_by``. Copies of a key
-    on one day that are more than ``HOT_COPIES`` are dealt to parts by a hash of
-    ``order_by``, which are numbered one after the other, so that no task sorts
-    a hot key alone; the day still decides which copy is number 1.
+    Copies are numbered by day and within a day by ``order_by``, ties by the
+    columns that hold plain values. Copies of a key on one day that are more than
+    ``HOT_COPIES`` are dealt to tasks by ranges of the same order, whose sizes are
+    added up, so that no task sorts a hot key alone and the numbers are the same.
     """
     keys = as_list(keys)
     duplicates = duplicates or find_duplicates(df, keys)
     rows = df.join(duplicates.for_join(), keys, "left_semi")
     per_day = copies_by(df, keys, [day], duplicates)
-    parts = F.ceil(F.col("copies") / HOT_COPIES).cast("int")
     earlier = Window.partitionBy(*map(named, keys)).orderBy(named(day)).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("copies").over(earlier), F.lit(0))
-    per_day = per_day.select(*map(named, keys), named(day), parts.alias("_parts"), before.alias("_before"))
-    hot = per_day.where("_parts > 1")
-    place = Window.partitionBy(*map(named, keys), named(day)).orderBy(*map(named, order_by))
+    per_day = per_day.select(*map(named, keys), named(day), "copies", before.alias("_before"))
+    key_day = [*map(named, keys), named(day)]
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    order = [*map(named, order_by), *(named(c) for c in plain if c not in order_by)]
     # A day may be NULL, which a join by name would lose.
     same = [named(k) == F.col(f"_right.{quoted(k)}") for k in keys] + [named(day).eqNullSafe(F.col(f"_right.{quoted(day)}"))]
 
@@ -127,20 +128,28 @@ def number_rows(
         return left.join(right.select(F.struct("*").alias("_right")), same)
 
     names = list(map(named, df.columns))
-    usual = matched(rows, per_day.where("_parts = 1")).withColumn("rno", F.col("_right._before") + F.row_number().over(place))
-    many = matched(rows, hot).withColumn("_part", F.pmod(F.xxhash64(*map(named, order_by)), F.col("_right._parts")))
-    sizes = many.groupBy(*map(named, keys), named(day), "_part").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = Window.partitionBy(*map(named, keys), named(day)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        *map(named, keys), named(day), "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead")
-    )
-    inside = Window.partitionBy(*map(named, keys), named(day), "_part").orderBy(*map(named, order_by))
-    many = many.select(*names, "_part", F.col("_right._before").alias("_before"), F.row_number().over(inside).alias("_row"))
+    place = Window.partitionBy(*key_day).orderBy(*order)
+    usual = matched(rows, per_day.where(F.col("copies") <= HOT_COPIES)).withColumn(
+        "rno", F.col("_right._before") + F.row_number().over(place)
+    ).select(*names, "rno")
+    hot_keys = duplicates.frame.where(F.col("copies") > HOT_COPIES)
+    hot_rows = hot_keys.agg(F.sum("copies")).first()[0] or 0
+    if not hot_rows:
+        return usual.where(F.col("rno") > 1)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hot_rows // HOT_COPIES))
+    many = matched(rows, per_day.where(F.col("copies") > HOT_COPIES)).select(*names, F.col("_right._before").alias("_before"))
+    dealt = many.repartitionByRange(tasks, *key_day, *order).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy("_part", *key_day).orderBy(*order)
+    # Written, since ranges that are drawn again could differ.
+    many = write_shared(dealt.withColumn("_row", F.row_number().over(inside)), "hot-copies").frame
+    sizes = many.groupBy(*key_day, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*key_day).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*key_day, "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
     part = [*same, F.col("_part") == F.col("_right._part")]
     many = many.join(sizes.select(F.struct("*").alias("_right")), part).withColumn(
         "rno", F.col("_before") + F.col("_right._ahead") + F.col("_row")
     )
-    return usual.select(*names, "rno").unionByName(many.select(*names, "rno")).where(F.col("rno") > 1)
+    return usual.unionByName(many.select(*names, "rno")).where(F.col("rno") > 1)
 
 
 def _known_to(

@@ -179,3 +179,19 @@ def test_numbers_of_rows(spark, monkeypatch, limit):
     assert [r[2] for r in found] == sorted(r[2] for r in found if r[0] == 1) + ["2024-01-01"]
     if limit == 1_000:
         assert [r[3] for r in found[:3]] == [3, 6, 9]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 1_000])
+def test_numbers_follow_the_order_at_every_limit(spark, monkeypatch, limit):
+    """The same rows have the same numbers, also where hot days are dealt to tasks."""
+    monkeypatch.setattr("gapmend.operators.duplicates.HOT_COPIES", limit)
+    values = [(i * 37) % 41 for i in range(41)]
+    rows = [(k, day, v, f"t{v}") for k in (1, 2) for day in ("2024-01-01", None) for v in values] + [(3, None, 3, "a"), (3, None, 3, "b")]
+    df = spark.createDataFrame(rows, "id bigint, day string, v int, w string").repartition(5)
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "7"}):
+        found = {(r.id, r.rno): (r.day, r.v, r.w) for r in number_rows(df, "id", ["v"]).collect()}
+    wanted = {}
+    for k in (1, 2, 3):
+        own = sorted((r[1:] for r in rows if r[0] == k), key=lambda r: (r[0] or "", r[1:]))
+        wanted |= {(k, n + 1): r for n, r in enumerate(own) if n}
+    assert found == wanted
