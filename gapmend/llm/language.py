@@ -18,16 +18,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapmend.llm.texts import LOWER, byte_table, chunks, schema_of, text_key, write_scanned
 from gapmend.shared import write_shared
 
 TRIGRAM_BITS = 16
-# Labelled documents that the text model learns from at most, those of smallest
-# hash, and languages at most.
-MOST_LABELLED = 4000
-MOST_LANGUAGES = 64
+# Labelled documents of each language that the text model learns from at most,
+# those of smallest hash.
+MOST_LABELLED = 1000
 # Neighbouring trigrams share letters; each counts for so much.
 TEMPER = 1 / 3
 SMOOTHING = 0.5
@@ -72,14 +71,24 @@ class TextModel:
 def learn_texts(
     docs: DataFrame, language: str = "lang", text: str = "text", doc_id: str = "doc_id", most: int = MOST_LABELLED
 ) -> TextModel:
-    """Count trigrams by language in at most ``most`` labelled documents."""
+    """Count trigrams by language in at most ``most`` labelled documents of each.
+
+    Every language that labels a text with letters is in the model, which holds 256 KB for each.
+    """
     rows = docs.select(F.col(language).alias("language"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     rows = rows.filter("language is not null and text is not null")
-    chosen = rows.select("doc_id", "language", text_key("text").alias("k")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("doc_id", "k"), "doc_id", "language").limit(most)
-    # Bounded by ``most``.
+    labelled = rows.select("doc_id", "language", text_key("text").alias("k")).distinct()
+    labelled = write_shared(labelled.withColumn("place", F.xxhash64("doc_id", "k")), "labelled").frame
+    # Smallest hashes without sorting a common language: those under a bound that
+    # about twice as many pass, then the first of them.
+    sizes = write_shared(labelled.groupBy("language").agg(F.count(F.lit(1)).alias("all")), "label-sizes")
+    share = (F.col("place") / F.lit(2.0**64)) + 0.5
+    few = labelled.join(sizes.for_join(), "language").filter((F.col("all") <= 4 * most + 100) | (share * F.col("all") <= 2 * most + 100))
+    order = Window.partitionBy("language").orderBy("place", "doc_id", "k")
+    chosen = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most)
+    chosen = write_shared(chosen.select(F.col("doc_id").alias("d"), F.col("language").alias("l"), F.col("k").alias("h")), "learnt")
     sample = rows.withColumn("k", text_key("text")).join(
-        F.broadcast(chosen.withColumnsRenamed({"doc_id": "d", "language": "l", "k": "h"})),
+        chosen.for_join(),
         F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("h")) & (F.col("language") == F.col("l")),
     ).select("language", "text")
 
@@ -97,11 +106,8 @@ def learn_texts(
     sums = sample.mapInArrow(count, "language string, gram int, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
     size = 2**TRIGRAM_BITS
     counts: dict[str, np.ndarray] = {}
-    # At most MOST_LANGUAGES times 2^16 rows.
-    for name, grams, times in (
-        sums.groupBy("language").agg(F.collect_list("gram"), F.collect_list("n"), F.sum("n").alias("all"))
-        .orderBy(F.desc("all"), "language").limit(MOST_LANGUAGES).drop("all").collect()
-    ):
+    # At most 2^16 numbers for each language.
+    for name, grams, times in sums.groupBy("language").agg(F.collect_list("gram"), F.collect_list("n")).collect():
         counts[name] = np.bincount(np.array(grams), np.array(times), size)
     names = sorted(counts)
     logs = [np.log((counts[n] + SMOOTHING) / (counts[n].sum() + SMOOTHING * size)) for n in names]

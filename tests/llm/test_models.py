@@ -225,3 +225,19 @@ def test_page_evidence(spark):
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     out = {r.doc_id: (r.declared, r.host) for r in page_evidence(df).collect()}
     assert out == {17: ("", "b.example.com"), 18: ("en", "d.example.com")}
+
+
+def test_every_language_is_learnt(spark):
+    """More than 64 languages, and one that a sample over all would miss."""
+    texts = {f"l{i:02}": " ".join(f"{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + i // 26)}" for j in range(30)) for i in range(70)}
+    rows = [(i, text, name) for i, (name, text) in enumerate(texts.items())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = learn_texts(df)
+    assert model.languages == sorted(texts)
+    assert [r.language for r in identify(df, model).orderBy("doc_id").collect()] == sorted(texts)
+    common = [(100 + i, f"usual words {i}", "common") for i in range(400)]
+    df = df.filter("doc_id = 0").unionByName(spark.createDataFrame(common, df.schema))
+    model = learn_texts(df, most=5)
+    assert model.languages == ["common", "l00"]
+    found = identify(df, model).filter("doc_id = 0").first()
+    assert (found.language, found.accepted) == ("l00", True)
