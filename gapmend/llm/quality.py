@@ -188,6 +188,9 @@ def train(
     rows = docs.select(F.col(doc_id).alias("doc_id"), *_inputs(docs, text, n_chars))
     # The labels are bounded by ``most``.
     rows = rows.join(F.broadcast(known), "doc_id")
+    # One document for each: repeated rows and ids come in no larger numbers.
+    inputs = [c for c in rows.columns if c != "doc_id"]
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct(*inputs)).alias("one")).select("doc_id", "one.*")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in chunks(batches):

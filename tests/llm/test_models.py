@@ -110,6 +110,16 @@ def test_odd_urls(spark):
     assert judge_urls(df.limit(0), labelled_urls(spark)).count() == 0
 
 
+def test_training_takes_one_document_of_each_id(spark):
+    """Repeated rows and ids neither count more nor come to the driver."""
+    texts = [f"{'good words here' if i % 2 else 'bad spam now'} {i} " * 9 for i in range(40)]
+    labelled = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    once = documents(spark, texts)
+    more = documents(spark, [(1, texts[1])] * 300 + [(3, "z" + texts[3])] * 5)
+    alone, repeated = (quality_scores(once, train(df, labelled)).orderBy("doc_id").collect() for df in (once, once.unionByName(more)))
+    assert [r.score for r in alone] == [r.score for r in repeated]
+
+
 def test_training_is_gradient_descent(spark):
     """Against the same steps in numpy."""
     from gapmend.llm import url_filter as f
