@@ -9,6 +9,8 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _UNSPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_FIELD = "(CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END)"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": r"""
@@ -109,4 +111,72 @@ ORACLE_SQL: dict[str, str] = {
         FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
         LEFT JOIN kept USING (doc_id)
     """,
+    # A CRC-32 goes bit by bit, the lowest first.
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE docs AS (
+            SELECT *, list_reduce(
+                [4294967295::BIGINT] || flatten(list_transform(
+                    string_split(CAST(doc_id AS VARCHAR), ''),
+                    lambda ch: list_transform(range(8), lambda i: (ascii(ch) >> i) & 1))),
+                lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))
+            ) & 1 = 1 AS hit
+            FROM documents
+        ),
+        leaves AS (
+            SELECT doc_id, source, sha256({_FIELDS} || {_FIELD.format('text')}) AS leaf,
+                   sha256({_FIELDS} || {_FIELD.format("CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END")}) AS found
+            FROM docs
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM leaves
+        ),
+        nodes AS (
+            SELECT source, 0 AS level, place, leaf AS digest, n FROM placed
+            UNION ALL
+            SELECT source, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+            FROM nodes WHERE n > 1 GROUP BY source, level, place // 3
+        ),
+        subroots AS (
+            SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+                   count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ),
+        tops AS (
+            SELECT 0 AS level, place, subroot AS digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+            FROM tops WHERE n > 1 GROUP BY level, place // 3
+        ),
+        runs AS (
+            SELECT source, level, place // 3 AS place, list(digest ORDER BY place) AS run
+            FROM nodes WHERE n > 1 GROUP BY source, level, place // 3
+        ),
+        top_runs AS (
+            SELECT level, place // 3 AS place, list(digest ORDER BY place) AS run FROM tops WHERE n > 1 GROUP BY level, place // 3
+        ),
+        climb AS (
+            SELECT doc_id, source, leaf, 0 AS level, place, place AS spot, n, '' AS proof, found AS folded FROM placed
+            UNION ALL
+            SELECT doc_id, c.source, leaf, c.level + 1, c.place, spot // 3, (n + 2) // 3,
+                   proof || array_to_string(run[: spot % 3] || run[spot % 3 + 2 :], ''),
+                   sha256(array_to_string(run[: spot % 3] || [folded] || run[spot % 3 + 2 :], ''))
+            FROM climb c JOIN runs r ON r.source IS NOT DISTINCT FROM c.source AND r.level = c.level AND r.place = spot // 3
+            WHERE n > 1
+        ),
+        climb_top AS (
+            SELECT doc_id, leaf, subroot, 0 AS level, s.place AS spot, s.n, proof, folded
+            FROM climb c JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+            WHERE c.n = 1
+            UNION ALL
+            SELECT doc_id, leaf, subroot, c.level + 1, spot // 3, (n + 2) // 3,
+                   proof || array_to_string(run[: spot % 3] || run[spot % 3 + 2 :], ''),
+                   sha256(array_to_string(run[: spot % 3] || [folded] || run[spot % 3 + 2 :], ''))
+            FROM climb_top c JOIN top_runs r ON r.level = c.level AND r.place = spot // 3
+            WHERE n > 1
+        )
+        SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+        FROM climb_top, (SELECT digest FROM tops WHERE n = 1) WHERE climb_top.n = 1
+    """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gapmend.llm.decontaminate import contamination
 from gapmend.llm.language import identify, learn_texts, page_evidence
 from gapmend.llm.line_dedup import line_dedup
+from gapmend.llm.merkle import merkle_manifest
 from gapmend.llm.nearest import nearest
 from gapmend.llm.packing import pack
 from gapmend.llm.quality import quality_scores, train
@@ -91,10 +92,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The tampering: texts of every other document lose their line ends.
+    hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), check={"text": text})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_quality, op5_url_filter, op6_packing,
-        op7_nearest, op8_language_id, op9_simhash, op10_sharding,
+        op7_nearest, op8_language_id, op9_simhash, op10_sharding, op12_merkle_manifest,
     )
 }

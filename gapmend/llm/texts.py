@@ -141,8 +141,9 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
 
 def write_scanned(df: DataFrame, label: str) -> Written:
     """Write what a Python function makes of texts, which then come to it in
-    batches of a few megabytes."""
-    with session_conf(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+    batches of a few megabytes, however long they are."""
+    limits = {"maxRecordsPerBatch": "1000", "maxBytesPerBatch": str(8 << 20)}
+    with session_conf(df.sparkSession, {f"spark.sql.execution.arrow.{k}": v for k, v in limits.items()}):
         return write_shared(df, label)
 
 
