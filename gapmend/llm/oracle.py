@@ -9,6 +9,7 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _UNSPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER_UNSPACED = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _FIELD = "(CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END)"
 _FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
@@ -111,6 +112,29 @@ ORACLE_SQL: dict[str, str] = {
         FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
         LEFT JOIN kept USING (doc_id)
     """,
+    "op11_minhash": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, {_LOWER_UNSPACED} AS words FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[s : s + 3], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words) + 1, 2)))) AS s FROM docs)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both_have
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+            WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+        ),
+        reach AS (
+            SELECT doc_id, doc_id AS root FROM docs
+            UNION
+            SELECT v, root FROM reach JOIN links ON u = doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
     # A CRC-32 goes bit by bit, the lowest first.
     "op12_merkle_manifest": f"""
         WITH RECURSIVE docs AS (

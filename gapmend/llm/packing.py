@@ -17,7 +17,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from gapmend.llm.texts import ALPHANUMERIC, LOWER, chunks, mixed, schema_of, text_key, words_of
+from gapmend.llm.texts import ALPHANUMERIC, LOWER, chunks, kept_in_process, mixed, schema_of, text_key, words_of
 
 WINDOW = 1024
 # Documents and bytes of text in a shard, beyond which the next one begins.
@@ -42,11 +41,14 @@ END = 0
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizers file, as tiktoken runs it, which gives
     the same ids several times faster. Its added tokens are found in texts by
     ``encode_text``, as that library does."""
+    return kept_in_process(path, lambda: read_tokenizer(path))
+
+
+def read_tokenizer(path: str) -> tiktoken.Encoding:
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
     added = model.get("added_tokens", [])

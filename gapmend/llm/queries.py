@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gapmend.llm.alignment import align_tokenizers
 from gapmend.llm.decontaminate import contamination
+from gapmend.llm.hyperminhash import near_duplicate_sets
 from gapmend.llm.language import identify, learn_texts, page_evidence
 from gapmend.llm.line_dedup import line_dedup
 from gapmend.llm.merkle import merkle_manifest
@@ -20,6 +22,7 @@ from gapmend.llm.substring_dedup import substring_dedup
 from gapmend.llm.url_filter import judge_urls, labelled_urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +95,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_sets(table(spark, sf_dir, "documents"), 80, size=4).drop("text_key")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The tampering: texts of every other document lose their line ends.
     hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -99,10 +106,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"), check={"text": text})
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), VOCABULARY, PIECES).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_quality, op5_url_filter, op6_packing,
-        op7_nearest, op8_language_id, op9_simhash, op10_sharding, op12_merkle_manifest,
+        op7_nearest, op8_language_id, op9_simhash, op10_sharding, op11_minhash, op12_merkle_manifest,
+        op13_alignment,
     )
 }

@@ -7,8 +7,11 @@ polynomials modulo 2^64, whose prefix sums give the hash of any run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +150,16 @@ def write_scanned(df: DataFrame, label: str) -> Written:
         return write_shared(df, label)
 
 
+def kept_in_process(name: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once in each Python process. Functions that
+    run in tasks are sent anew with each of them, so what they keep is kept
+    outside of them, where nothing is sent along."""
+    store = sys.modules.setdefault("gapmend_kept", types.ModuleType("gapmend_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def text_key(text: str | Column = "text") -> Column:
     """A 64-bit hash that tells the texts of one doc_id apart; null has its own."""
     column = F.col(text) if isinstance(text, str) else text

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_registered(spark):
-    names = [f"op{n}_" for n in (*range(1, 11), 12)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names)
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
