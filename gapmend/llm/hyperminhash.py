@@ -13,7 +13,9 @@ that agree, less what agrees by accident (registers collide), and only those far
 above chance, within 0.25 of the threshold, go to the comparison of full sets,
 which alone makes a link. That is done twice: first each node with the best of
 the smallest nodes in its buckets, so that a group of copies costs a link for
-each member; then the pairs within a bucket that no link has joined so far.
+each member. Then the nodes of a bucket that no link has joined so far meet in
+tiles, where products of incidence matrices compare their full sets, and only
+links that join them come out; so no group is written out as pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gapmend.llm.components import components
 from gapmend.llm.simhash import spaced
@@ -38,9 +40,12 @@ REST = np.uint64(7)
 DEPTH = 53
 # How far an estimate may fall below the threshold: at 0.8 by 0.25, once in 10^8.
 MARGIN = 0.25
-# Nodes in a tile of a large bucket, and pairs that are compared at once.
+# Nodes and shingles in a tile of a large bucket, and how many pairs and columns
+# of a matrix are looked at once.
 TILE = 1024
+ENTRIES = 1 << 18
 PAIRS_AT_ONCE = 4096
+SHINGLES_AT_ONCE = 4096
 # Partners of one set that a task compares it with.
 PARTNERS = 1000
 
@@ -93,11 +98,14 @@ def accidents(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return a * b / (a + b) * ((np.exp(-rate * upper / 2) - np.exp(-rate * upper)) * width).sum(axis=1)
 
 
-def estimates(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Jaccard indices by the agreement of registers, corrected for accidents."""
+def estimates(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray, floor: float = -1.0) -> np.ndarray:
+    """Jaccard indices by the agreement of registers, corrected for accidents.
+    The correction lowers them, so what is below ``floor`` goes without."""
     agree = (left == right).mean(axis=1) if len(left) else np.zeros(0)
-    chance = accidents(n, m)
-    return (agree - chance) / (1 - chance)
+    high = np.flatnonzero(agree >= floor)
+    chance = accidents(n[high], m[high])
+    agree[high] = (agree[high] - chance) / (1 - chance)
+    return agree
 
 
 def sketches_of(column: pa.Array) -> np.ndarray:
@@ -154,25 +162,29 @@ def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
-            found = estimates(sketches_of(batch.column("left")), sketches_of(batch.column("right")), n, m)
+            floor = percent / 100 - MARGIN
+            found = estimates(sketches_of(batch.column("left")), sketches_of(batch.column("right")), n, m, floor)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("u"), batch.column("v"), pa.array(found, pa.float64())], ["u", "v", "estimate"]
-            ).filter(pa.array(found >= percent / 100 - MARGIN))
+            ).filter(pa.array(found >= floor))
 
     return rows.mapInArrow(compare, "u long, v long, estimate double")
 
 
-def confirmed(pairs: Written, nodes: DataFrame, docs: DataFrame, size: int, percent: int, made: list[Written]) -> Written:
-    """The pairs whose full sets reach the threshold."""
-    ends = pairs.frame.select(F.col("u").alias("node")).unionByName(pairs.frame.select(F.col("v").alias("node"))).distinct()
-    wanted = nodes.join(ends, "node").select(
-        "node", F.col("least.doc_id").alias("d"), F.col("least.text_key").alias("k")
-    )
+def sets_of(ends: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, made: list[Written]) -> DataFrame:
+    """node and shingles, the full sets of some nodes, read from one text of each."""
+    wanted = nodes.join(ends, "node").select("node", F.col("least.doc_id").alias("d"), F.col("least.text_key").alias("k"))
     made.append(write_shared(wanted, "minhash-wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
     made.append(write_scanned(set_rows(docs.join(made[-1].for_join(), same), size), "minhash-sets"))
     # Rows that agree in id and text give the same set.
-    sets = made[-1].frame.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return made[-1].frame.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def confirmed(pairs: Written, nodes: DataFrame, docs: DataFrame, size: int, percent: int, made: list[Written]) -> Written:
+    """The pairs whose full sets reach the threshold."""
+    ends = pairs.frame.select(F.col("u").alias("node")).unionByName(pairs.frame.select(F.col("v").alias("node"))).distinct()
+    sets = sets_of(ends, nodes, docs, size, made)
     rows = pairs.frame.select("u", "v")
     for name in ("v", "u"):
         # A set that is asked for very often is dealt to several tasks.
@@ -199,70 +211,186 @@ def labels_of(links: Written, made: list[Written]) -> Written:
     return made[-1]
 
 
-def left_over(members: DataFrame, nodes: DataFrame, labels: Written, percent: int, tile: int = TILE) -> DataFrame:
-    """Pairs u, v that share a bucket, have different labels and may be links.
+def tiles_of(rows: DataFrame, payload: list[str], made: list[Written], tile: int, entries: int) -> DataFrame:
+    """The members of buckets as tiles that meet: band, left and right, lists of
+    node, label, n and the payload; right is null where a tile meets itself.
 
-    ``members`` has band, key, node and centre. Large buckets are cut in tiles;
-    those with the label of the centre, mostly nearly all, are not compared with
-    each other.
+    ``rows`` has band, key, node, label, main and n_shingles. Tiles have about
+    ``tile`` nodes and ``entries`` shingles. Those of a bucket's main label, mostly
+    nearly all nodes, are joined already and do not meet each other.
     """
-    own = labels.for_join()
-    rows = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    centre = own.withColumnsRenamed({"node": "centre", "label": "main"})
-    rows = rows.join(centre, "centre", "left").withColumn("main", F.col("label") == F.coalesce("main", "centre"))
-    rows = rows.select("band", "key", "node", "label", "main")
-    sizes = rows.groupBy("band", "key").agg(F.count_if("main").alias("same"), F.count_if(~F.col("main")).alias("others"))
-    # The centre is always of the main label.
+    def parts(main: str) -> Column:
+        n, held = F.count_if(F.expr(main)), F.sum(F.when(F.expr(main), F.col("n_shingles")))
+        return F.greatest(F.ceil(n / tile), F.ceil(F.coalesce(held, F.lit(0)) / entries)).cast("bigint")
+
+    sizes = rows.groupBy("band", "key").agg(parts("main").alias("same"), parts("NOT main").alias("others"))
+    # The centre is of the main label, unless its row was left out.
     sizes = sizes.filter("others > 0")
-    large = F.col("same") + F.col("others") > tile
-    parts = [F.ceil(F.col(c) / tile).cast("bigint") for c in ("others", "same")]
+    large = F.col("same") + F.col("others") > 2
     kind = F.when(large & F.col("main"), 1).otherwise(0)
-    part = F.when(large, F.pmod(F.xxhash64("node"), F.when(F.col("main"), parts[1]).otherwise(parts[0]))).otherwise(0)
-    dealt = rows.join(sizes, ["band", "key"]).select(
-        "band", "key", kind.alias("kind"), part.alias("part"), "node", "label",
-        F.when(large, parts[0]).otherwise(0).alias("others"), F.when(large, parts[1]).otherwise(0).alias("same"),
-    )
-    held = F.collect_list(F.struct("node", "label", F.col("n_shingles").alias("n"), "bands"))
-    tiles = dealt.join(nodes.select("node", "n_shingles", "bands"), "node").groupBy(
-        "band", "key", "kind", "part", "others", "same"
+    part = F.when(large, F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("same")).otherwise(F.col("others")))).otherwise(0)
+    held = F.collect_list(F.struct("node", "label", F.col("n_shingles").alias("n"), *payload))
+    none = F.lit(0).cast("bigint")
+    tiles = rows.join(sizes, ["band", "key"]).groupBy(
+        "band", "key", kind.alias("kind"), part.alias("part"),
+        F.when(large, F.col("others")).otherwise(none).alias("others"), F.when(large, F.col("same")).otherwise(none).alias("same"),
     ).agg(held.alias("left"))
-    tiles = write_shared(tiles, "minhash-tiles").frame
+    made.append(write_shared(tiles, "minhash-tiles"))
+    tiles = made[-1].frame
     row = tiles.schema["left"].dataType.simpleString()
-    within = tiles.filter("kind = 0").select("left", F.lit(None).cast(row).alias("right"))
+    within = tiles.filter("kind = 0").select("band", "key", "left", F.lit(None).cast(row).alias("right"))
     partners = F.expr(
         "concat(transform(filter(sequence(0L, others), p -> p > part AND p < others), p -> struct(0 AS kind2, p AS part2)),"
         " transform(filter(sequence(0L, same), p -> p < same), p -> struct(1 AS kind2, p AS part2)))"
     )
     asked = tiles.filter("kind = 0 AND others > 0").select("band", "key", "left", F.explode(partners).alias("p"))
     right = tiles.select("band", "key", F.col("kind").alias("kind2"), F.col("part").alias("part2"), F.col("left").alias("right"))
-    between = asked.select("band", "key", "left", "p.kind2", "p.part2").join(right, ["band", "key", "kind2", "part2"]).select("left", "right")
+    asked = asked.select("band", "key", "left", "p.kind2", "p.part2")
+    between = asked.join(right, ["band", "key", "kind2", "part2"]).select("band", "key", "left", "right")
+    return within.unionByName(between)
+
+
+def sides_of(batch: pa.RecordBatch, i: int, payload: str) -> Iterator[tuple[dict, pa.Array]]:
+    """Left and right of a row: arrays of node, label and n, and the payload."""
+    for name in ("left", "right"):
+        one = batch.column(name).slice(i, 1)
+        if one.null_count:
+            yield left
+            return
+        flat = one.flatten()
+        left = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "n")}, flat.field(payload)
+        yield left
+
+
+def apart(x: dict, y: dict, percent: int) -> np.ndarray:
+    """Which nodes of two tiles have different labels and sizes that may link."""
+    small, big = (f(x["n"][:, None], y["n"]) for f in (np.minimum, np.maximum))
+    near = (x["label"][:, None] != y["label"]) & (100 * small >= percent * big)
+    return np.triu(near) if x is y else near
+
+
+def undecided(rows: DataFrame, nodes: DataFrame, percent: int, made: list[Written], tile: int) -> Written:
+    """band, key and node of members whose sketch is like that of another label.
+
+    Each pair is looked at in the first band in which it agrees alone, so a
+    node stays in few of its buckets.
+    """
+    sketches = nodes.select("node", "n_shingles", "bands")
+    pairs = tiles_of(rows.join(sketches, "node"), ["bands"], made, tile, 1 << 40)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                sides = []
-                for name in ("left", "right"):
-                    one = batch.column(name).slice(i, 1)
-                    flat = one.flatten()
-                    if one.null_count:
-                        sides.append(sides[0])
-                        continue
-                    columns = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "n")}
-                    sides.append((columns, sketches_of(flat.field("bands"))))
-                (x, left), (y, right) = sides
-                small, big = (f(x["n"][:, None], y["n"]) for f in (np.minimum, np.maximum))
-                near = (x["label"][:, None] != y["label"]) & (100 * small >= percent * big)
-                if sides[0] is sides[1]:
-                    near = np.triu(near)
-                first, second = np.nonzero(near)
+            for i, band in enumerate(batch.column("band").to_pylist()):
+                (x, left), (y, right) = sides_of(batch, i, "bands")
+                l, r = sketches_of(left), sketches_of(right)
+                first, second = np.nonzero(apart(x, y, percent))
+                found = [np.zeros(0, np.int64)]
                 for a in range(0, len(first), PAIRS_AT_ONCE):
                     f, s = first[a : a + PAIRS_AT_ONCE], second[a : a + PAIRS_AT_ONCE]
-                    good = estimates(left[f], right[s], x["n"][f], y["n"][s]) >= percent / 100 - MARGIN
-                    u, v = x["node"][f[good]], y["node"][s[good]]
-                    if len(u):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                    here = (l.view(np.int64)[f] == r.view(np.int64)[s]).argmax(axis=1) == band
+                    f, s = f[here], s[here]
+                    good = estimates(l[f], r[s], x["n"][f], y["n"][s], percent / 100 - MARGIN) >= percent / 100 - MARGIN
+                    found += [x["node"][f[good]], y["node"][s[good]]]
+                node = np.unique(np.concatenate(found))
+                key = batch.column("key")[i].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(node), band, np.int32)), pa.array(np.full(len(node), key, np.int64)), pa.array(node)],
+                    ["band", "key", "node"],
+                )
+
+    kept = write_scanned(pairs.mapInArrow(compare, "band int, key long, node long").distinct(), "minhash-undecided")
+    made.append(kept)
+    return kept
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of two lists of sets, by products of
+    their incidence matrices, some thousand shingles at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    known = np.intersect1d(*(np.unique(np.concatenate(x)) for x in (left, right)), assume_unique=True)
+    entries = []
+    for sets in (left, right):
+        values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), list(map(len, sets)))
+        column = np.searchsorted(known, values)
+        inside = np.append(known, 0)[column] == values if len(known) else np.zeros(len(values), bool)
+        column, row = column[inside], row[inside]
+        order = np.argsort(column, kind="stable")
+        entries.append((column[order], row[order], len(sets)))
+    for a in range(0, len(known), SHINGLES_AT_ONCE):
+        blocks = []
+        for column, row, n in entries:
+            x, y = np.searchsorted(column, (a, a + SHINGLES_AT_ONCE))
+            block = np.zeros((n, min(SHINGLES_AT_ONCE, len(known) - a)), np.float32)
+            block[row[x:y], column[x:y] - a] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out.astype(np.int64)
+
+
+def spanning(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs u, v that join what the links between x and y join: a star for each
+    connected part."""
+    free_rows, free_columns = linked.any(axis=1), linked.any(axis=0)
+    u, v = [], []
+    for i in np.flatnonzero(free_rows):
+        if not free_rows[i]:
+            continue
+        rows = np.array([i])
+        free_rows[i] = False
+        while len(rows):
+            columns = np.flatnonzero(linked[rows].any(axis=0) & free_columns)
+            free_columns[columns] = False
+            rows = np.flatnonzero(linked[:, columns].any(axis=1) & free_rows)
+            free_rows[rows] = False
+            v += [y[columns], x[rows]]
+            u.append(np.full(len(columns) + len(rows), x[i]))
+    return u, v
+
+
+def settled(rows: DataFrame, percent: int, made: list[Written], tile: int) -> Written:
+    """Links u, v that join all sets of different labels which share a bucket
+    and reach the threshold; ``rows`` as for ``tiles_of``, with shingles."""
+    pairs = tiles_of(rows, ["shingles"], made, tile, ENTRIES)
 
-    return within.unionByName(between).mapInArrow(compare, "u long, v long").distinct()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (x, left), (y, right) = sides_of(batch, i, "shingles")
+                near = apart(x, y, percent)
+                if not near.any():
+                    continue
+                sets = [[s.values.to_numpy() for s in side] for side in (left, right)]
+                shared = common(*sets)
+                linked = near & (100 * shared >= percent * (x["n"][:, None] + y["n"] - shared))
+                if x is y:
+                    linked |= linked.T
+                u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in spanning(linked, x["node"], y["node"]))
+                other = u != v
+                yield pa.RecordBatch.from_arrays([pa.array(u[other]), pa.array(v[other])], ["u", "v"])
+
+    links = write_scanned(pairs.mapInArrow(compare, "u long, v long").distinct(), "minhash-links")
+    made.append(links)
+    return links
+
+
+def left_over(
+    members: DataFrame, nodes: DataFrame, labels: Written, docs: DataFrame, size: int, percent: int, made: list[Written],
+    tile: int = TILE,
+) -> Written:
+    """Links between nodes that share a bucket and have different labels.
+
+    ``members`` has band, key, node and centre.
+    """
+    own = labels.for_join()
+    rows = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    centre = own.withColumnsRenamed({"node": "centre", "label": "main"})
+    rows = rows.join(centre, "centre", "left").withColumn("main", F.col("label") == F.coalesce("main", "centre"))
+    rows = rows.select("band", "key", "node", "label", "main")
+    asked = undecided(rows, nodes, percent, made, tile)
+    sets = sets_of(asked.frame.select("node").distinct(), nodes, docs, size, made)
+    # Keys of the joins: no node has more than one row for each band.
+    rows = rows.join(asked.for_join(), ["band", "key", "node"], "left_semi").join(sets.hint("shuffle_merge"), "node")
+    return settled(rows.withColumn("n_shingles", F.size("shingles").cast("bigint")), percent, made, tile)
 
 
 def near_duplicate_sets(
@@ -305,12 +433,11 @@ def near_duplicate_sets(
     links = confirmed(made[-1], nodes, rows, size, percent, made)
     labels = labels_of(links, made)
 
-    made.append(write_scanned(left_over(members, nodes, labels, percent), "minhash-pairs"))
-    if made[-1].rows:
-        more = confirmed(made[-1], nodes, rows, size, percent, made)
-        both = links.frame.unionByName(more.frame)
+    more = left_over(members, nodes, labels, rows, size, percent, made)
+    if more.rows:
+        both = links.frame.select("u", "v").unionByName(more.frame.select("u", "v"))
         made.append(write_shared(both, "minhash-links"))
-        labels = labels_of(made[-1], made) if more.rows else labels
+        labels = labels_of(made[-1], made)
 
     labelled = nodes.join(labels.for_join(), "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = labelled.groupBy("label").agg(F.min("least").alias("least"))
