@@ -244,7 +244,9 @@ def merkle_manifest(
     own = F.struct(F.col(doc_id).alias("doc_id"), digest_of(found).alias("found"))
     leaves = docs.select(F.col(group).alias("tree"), digest_of([F.col(c) for c in columns]).alias("digest"), own.alias("own"))
     made: list[Written] = []
-    leaves = ranked(leaves.withColumn("first", F.col("own.doc_id")), ["first", "digest"], made).drop("first")
+    # Written, since a range partitioning reads its input twice.
+    made.append(write_shared(leaves.withColumn("first", F.col("own.doc_id")), "merkle-leaves"))
+    leaves = ranked(made[-1].frame, ["first", "digest"], made).drop("first")
     segments = grow(leaves, levels)
     made += segments
     subroots = None
