@@ -1,6 +1,7 @@
 from gapmend.operators.gaps import (
     coverage,
     key_coverage,
+    key_words,
     matched_copies,
     matched_rows,
     missing_keys,
@@ -29,6 +30,7 @@ __all__ = [
     "in_range",
     "key_coverage",
     "key_range",
+    "key_words",
     "matched_copies",
     "matched_rows",
     "missing_keys",

@@ -15,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, DecimalType, IntegralType, StringType
 
-from gapmend.functions.columns import any_null, as_list, named, none_null
+from gapmend.functions.columns import any_null, as_list, named, none_null, quoted
 from gapmend.operators.joins import join_unique
-from gapmend.operators.ranges import exact_bounds, in_range
+from gapmend.operators.ranges import in_range
 from gapmend.shared import Written, narrow_scan, plan_bytes, write_shared
 
 Keys = str | Sequence[str]
@@ -38,12 +39,42 @@ def key_coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
     are shuffled.
     """
     keys = as_list(keys)
-    if NARROW_FROM * plan_bytes(source.select(*map(named, keys))) < plan_bytes(target.select(*map(named, keys))):
+    source, target = same_types(source, target, keys)
+    if is_much_smaller(source, target, keys):
         counts = count_keys(source, keys)
         return compare_keys(counts.frame, narrowed(target, counts, keys), keys)
     return compare_keys(source.select(*map(named, keys), F.lit(1).cast("bigint").alias("source_rows")), target, keys)
 
 
+def is_much_smaller(source: DataFrame, target: DataFrame, keys: list[str]) -> bool:
+    return NARROW_FROM * plan_bytes(source.select(*map(named, keys))) < plan_bytes(target.select(*map(named, keys)))
+
+
+def same_types(source: DataFrame, target: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with keys of the type in which Spark would compare them, so
+    that every step after this compares the same values."""
+    common = source.select(*map(named, keys)).union(target.select(*map(named, keys))).schema
+    sides = []
+    for side in (source, target):
+        own = side.select(*map(named, keys)).schema
+        casts = {
+            name: named(name).cast(both.dataType)
+            for name, mine, both in zip(keys, own, common) if mine.dataType != both.dataType
+        }
+        sides.append(side.withColumns(casts) if casts else side)
+    return sides[0], sides[1]
+
+
+def in_one_order(df: DataFrame, other: DataFrame, key: str) -> bool:
+    """Whether a range of ``other`` holds for ``df`` and survives the driver:
+    equal types, or whole numbers of any size. Numbers in text have another
+    order, floating-point keys are rounded, and times depend on a zone."""
+    one, two = (side.select(named(key)).schema[0].dataType for side in (df, other))
+    if isinstance(one, IntegralType) and isinstance(two, IntegralType):
+        return True
+    return one == two and isinstance(one, (DecimalType, StringType, DateType))
+
+
 def count_keys(source: DataFrame, keys: Keys) -> Written:
     """Write ``source_rows`` of each source key, NULL keys too."""
     counts = source.groupBy(*map(named, as_list(keys))).agg(F.count(F.lit(1)).alias("source_rows"))
@@ -64,7 +95,7 @@ def narrowed(target: DataFrame, counts: Written, keys: Keys) -> DataFrame:
     for i, key in enumerate(keys):
         if row[2 * i] is None:
             return target.where(F.lit(False))
-        if exact_bounds(target, key):
+        if in_one_order(target, counts.frame, key):
             target = in_range(target, key, row[2 * i], row[2 * i + 1])
     if counts.fits_broadcast():
         target = target.join(F.broadcast(counts.frame.select(*map(named, keys))), keys, "left_semi")
@@ -138,25 +169,124 @@ def coverage_status() -> Column:
     )
 
 
-def coverage(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
+def coverage(source: DataFrame, target: DataFrame, keys: Keys, dense: bool = False) -> DataFrame:
     """One row that says how well ``target`` covers ``source``.
 
     ``matched_rows`` is NULL in the odd case that it does not fit a bigint;
-    the status is right all the same.
+    the status is right all the same. ``dense`` says that the key is a whole
+    number with few gaps and few copies: words of 64 keys are compared then, and
+    only words with copies are counted key by key. The answer is the same.
     """
-    counted = key_coverage(source, target, keys).agg(*coverage_metrics(keys))
+    if dense:
+        if not have_words(source, target, as_list(keys)):
+            raise ValueError("words are for one key of whole numbers on both sides")
+        return _with_status(coverage_by_words(source, target, as_list(keys)[0]))
+    return _with_status(key_coverage(source, target, keys).agg(*coverage_metrics(keys)))
+
+
+def _with_status(counted: DataFrame) -> DataFrame:
     return counted.withColumn("status", coverage_status()).withColumn(
         "matched_rows", F.col("matched_rows").try_cast("bigint")
     )
 
 
 def missing_keys(source: DataFrame, target: DataFrame, keys: Keys) -> DataFrame:
-    """Source keys that the target lacks, with their number of source rows."""
+    """Source keys that the target lacks, with their number of source rows.
+
+    One key of whole numbers is looked up in words of 64 keys, so that a target
+    of dense keys shuffles a row for each word. Other keys are counted.
+    """
     keys = as_list(keys)
+    if have_words(source, target, keys) and not is_much_smaller(source, target, keys):
+        return missing_by_words(source, target, keys[0])
     counted = key_coverage(source, target, keys).where(is_missing(keys))
     return counted.select(*map(named, keys), "source_rows")
 
 
+def have_words(source: DataFrame, target: DataFrame, keys: list[str]) -> bool:
+    """Whether both sides have one key of whole numbers."""
+    kinds = [side.select(named(keys[0])).schema[0].dataType for side in (source, target)]
+    return len(keys) == 1 and all(isinstance(kind, IntegralType) for kind in kinds)
+
+
+# Whole numbers in words: bit ``k & 63`` of word ``k >> 6`` stands for key k.
+
+
+def _word(key: str) -> Column:
+    return F.shiftright(named(key).cast("bigint"), 6)
+
+
+def _bit(key: str) -> Column:
+    return F.expr(f"shiftleft(1L, CAST(CAST({quoted(key)} AS BIGINT) & 63 AS INT))")
+
+
+def key_words(df: DataFrame, key: str) -> DataFrame:
+    """``word`` and ``bits``: which keys ``df`` has, one row for each 64 keys.
+
+    ``bit_or`` is a hash aggregate on one long, so each task reduces its rows to
+    words before the shuffle. Sparse keys have no more words than keys.
+    """
+    rows = df.where(named(key).isNotNull()).select(_word(key).alias("word"), _bit(key).alias("bit"))
+    return rows.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def missing_by_words(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """:func:`missing_keys` of one key of whole numbers."""
+    source, target = same_types(source, target, [key])
+    have = key_words(target, key).withColumnsRenamed({"word": "_word", "bits": "_bits"})
+    # Source keys are counted first, so that no hot key meets the join, which is
+    # a broadcast where the words are few and else a shuffle of distinct keys.
+    counts = source.where(named(key).isNotNull()).groupBy(named(key)).agg(F.count(F.lit(1)).alias("source_rows"))
+    there = (_word(key) == F.col("_word")) & (F.col("_bits").bitwiseAND(_bit(key)) != 0)
+    return counts.join(have, there, "left_anti")
+
+
+def coverage_by_words(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """The figures of :func:`coverage_metrics` for a key of whole numbers.
+
+    Words in which no key has a copy on either side tell all by their bits. The
+    rows of other words, which are written, are read again and counted by key.
+    """
+    source, target = same_types(source, target, [key])
+    kind = source.select(named(key)).schema[0].dataType
+    target = target.where(named(key).isNotNull())
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def side(df: DataFrame, mine: str, other: str) -> DataFrame:
+        return df.select(
+            _word(key).alias("word"), F.coalesce(_bit(key), none).alias(f"{mine}_bits"), one.alias(f"{mine}_rows"),
+            none.alias(f"{other}_bits"), none.alias(f"{other}_rows"),
+        )
+
+    stacked = side(source, "source", "target").unionByName(side(target, "target", "source"))
+    sides = ("source", "target")
+    held = [F.bit_or(f"{s}_bits").alias(f"{s}_bits") for s in sides] + [F.sum(f"{s}_rows").alias(f"{s}_rows") for s in sides]
+    words = write_shared(stacked.groupBy("word").agg(*held), "key-words", narrow=True).frame
+    # Source rows without a key are in a word of their own.
+    unique = " AND ".join(f"{s}_rows = bit_count({s}_bits)" for s in sides)
+    plain = words.where(f"word IS NULL OR ({unique})").withColumn("gaps", F.expr("source_bits & ~target_bits"))
+    digits = "length(bin(gaps))"
+    lowest, highest = (
+        F.when(F.col("gaps") != 0, F.expr(f"word * 64 + {digits} - {less}")).cast(kind)
+        for less in ("length(rtrim('0', bin(gaps)))", "1")
+    )
+    missing = F.sum(F.expr("bit_count(gaps)").cast("bigint"))
+    by_bits = plain.agg(
+        F.sum("source_rows").alias("source_rows"), F.sum(F.expr("bit_count(source_bits & target_bits)")).alias("matched_rows"),
+        missing.alias("missing_rows"), missing.alias("missing_keys"), none.alias("duplicated_keys"),
+        F.sum(F.when(F.col("word").isNull(), F.col("source_rows"))).alias("null_keys"),
+        F.min(lowest).alias("min_missing"), F.max(highest).alias("max_missing"),
+    )
+    others = write_shared(words.where(f"word IS NOT NULL AND NOT ({unique})").select(F.col("word").alias("_word")), "other-words")
+    rows = [df.join(others.for_join(), _word(key) == F.col("_word"), "left_semi") for df in (source, target)]
+    counted = rows[0].select(named(key), one.alias("source_rows"))
+    by_key = compare_keys(counted, rows[1], [key]).agg(*coverage_metrics(key))
+    both = by_bits.unionByName(by_key)
+    figures = [c for c in both.columns if not c.endswith("_missing")]
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast(by_key.schema[c].dataType).alias(c) for c in figures]
+    return both.agg(*totals, F.min("min_missing").alias("min_missing"), F.max("max_missing").alias("max_missing"))
+
+
 def missing_preview(source: DataFrame, target: DataFrame, keys: Keys, n: int = 20) -> DataFrame:
     """The ``n`` lowest missing keys, in order."""
     keys = as_list(keys)
