@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import AtomicType, VariantType
 
 from gapmend.functions.columns import any_null, as_list, named, none_null, quoted
 from gapmend.operators.gaps import Keys, key_coverage
 from gapmend.operators.joins import join_unique
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, broadcast_limit, write_shared
 
 # Copies of a key on one day that one task numbers.
 HOT_COPIES = 1_000_000
@@ -129,15 +130,20 @@ def number_rows(
 
     names = list(map(named, df.columns))
     place = Window.partitionBy(*key_day).orderBy(*order)
-    usual = matched(rows, per_day.where(F.col("copies") <= HOT_COPIES)).withColumn(
-        "rno", F.col("_right._before") + F.row_number().over(place)
-    ).select(*names, "rno")
     hot_keys = duplicates.frame.where(F.col("copies") > HOT_COPIES)
     hot_rows = hot_keys.agg(F.sum("copies")).first()[0] or 0
+    few = per_day.where(F.col("copies") <= HOT_COPIES)
+    if hot_rows:
+        # One row for each HOT_COPIES rows of the table at most: broadcast, so that
+        # hot copies are dealt before any join could gather them.
+        found = write_shared(per_day.where(F.col("copies") > HOT_COPIES), "hot-pairs").frame
+        pairs = F.broadcast(found.select(F.struct("*").alias("_right")))
+        hot, rows = rows.join(pairs, same), rows.join(pairs, same, "left_anti")
+    usual = matched(rows, few).withColumn("rno", F.col("_right._before") + F.row_number().over(place)).select(*names, "rno")
     if not hot_rows:
         return usual.where(F.col("rno") > 1)
     tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hot_rows // HOT_COPIES))
-    many = matched(rows, per_day.where(F.col("copies") > HOT_COPIES)).select(*names, F.col("_right._before").alias("_before"))
+    many = hot.select(*names, F.col("_right._before").alias("_before"))
     dealt = many.repartitionByRange(tasks, *key_day, *order).withColumn("_part", F.spark_partition_id())
     inside = Window.partitionBy("_part", *key_day).orderBy(*order)
     # Written, since ranges that are drawn again could differ.
@@ -224,6 +230,101 @@ def survivors(df: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFr
     return chosen.select(*map(named, keys), *fields).select(*map(named, df.columns))
 
 
+# Rows of a file that one row of bits stands for, 64 in each word.
+BLOCK_ROWS = 32_768
+# A block as it is broadcast: its words, the file's name and what holds them.
+BLOCK_BYTES = 8 * 1024
+# Scans of the table that one plan may hold, one for each batch of files.
+MOST_BATCHES = 64
+
+
+def has_places(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is one row of a file that is known by file and
+    position, as in filters and projections of Parquet files."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index").schema
+    except AnalysisException:
+        return False
+    return True
+
+
+def losers(df: DataFrame, keys: list[str], order_by: Sequence[str], duplicates: Written) -> Written:
+    """The rows that are not the first of their key, as bits: ``file``, ``block``
+    (of ``BLOCK_ROWS`` rows) and ``words``.
+
+    The first is the lowest in ``order_by``, ties by file and position. Keys,
+    order and places are all that is read and shuffled.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    columns = dict.fromkeys([*keys, *order_by])
+    narrow = df.select(*map(named, columns), *place)
+    rows = join_unique(narrow, duplicates, keys, "left_semi", most_copies(duplicates))
+    rows = write_shared(rows, "duplicate-places", narrow=True)
+    order = F.struct(*(named(c).alias(f"_{i}") for i, c in enumerate(order_by)), "_file", "_row")
+    first = rows.frame.groupBy(*map(named, keys)).agg(F.min(order).alias("_first")).select("_first._file", "_first._row")
+    gone = rows.frame.select("_file", "_row").join(first, ["_file", "_row"], "left_anti")
+    row = F.col("_row")
+    word = F.shiftright(row.bitwiseAND(F.lit(BLOCK_ROWS - 1)), 6).cast("int")
+    bit = F.expr("shiftleft(1L, CAST(_row & 63 AS INT))")
+    words = gone.groupBy(
+        F.col("_file").alias("file"), F.floor(row / BLOCK_ROWS).cast("bigint").alias("block"), word.alias("word")
+    ).agg(F.bit_or(bit).alias("bits"))
+    held = words.groupBy("file", "block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
+    numbers = F.sequence(F.lit(0), F.lit(BLOCK_ROWS // 64 - 1))
+    every = F.transform(numbers, lambda w: F.coalesce(F.try_element_at("held", w), F.lit(0).cast("bigint")))
+    blocks = write_shared(held.select("file", "block", every.alias("words")), "loser-blocks")
+    rows.drop()
+    return blocks
+
+
+def batches_of(gone: Written) -> int:
+    """Batches of files whose bits can be broadcast each; files differ in size,
+    so a batch is planned for half of the limit."""
+    return max(1, -(-2 * gone.rows * BLOCK_BYTES // broadcast_limit(gone.frame.sparkSession)))
+
+
+def without_losers(df: DataFrame, gone: Written) -> DataFrame:
+    """The rows of ``df`` that are not among the :func:`losers`.
+
+    The bits are broadcast, so that whole rows stay where they are read. Where
+    they are too many for that, files are dealt to batches, and each scan reads
+    the files of its batch and gets their bits alone.
+    """
+    batches = batches_of(gone)
+    row = F.col("_metadata.row_index")
+    kept = None
+    for batch in range(batches):
+        rows, bits = df, gone.frame
+        if batches > 1:
+            rows = rows.where(F.pmod(F.xxhash64("_metadata.file_path"), F.lit(batches)) == batch)
+            bits = bits.where(F.pmod(F.xxhash64("file"), F.lit(batches)) == batch)
+        bits = F.broadcast(bits.select(F.struct("*").alias("_bits")))
+        here = (F.col("_file") == F.col("_bits.file")) & (F.floor(F.col("_row") / BLOCK_ROWS).cast("bigint") == F.col("_bits.block"))
+        rows = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": row}).join(bits, here, "left")
+        word = F.expr(f"_bits.words[CAST(shiftright(_row & {BLOCK_ROWS - 1}, 6) AS INT)]")
+        bit = F.expr("shiftleft(1L, CAST(_row & 63 AS INT))")
+        rows = rows.where(F.col("_bits").isNull() | (word.bitwiseAND(bit) == 0)).select(*map(named, df.columns))
+        kept = rows if kept is None else kept.unionByName(rows)
+    return kept
+
+
+def dedup_by_place(df: DataFrame, rows: DataFrame, keys: list[str], order_by: Sequence[str], duplicates: Written) -> DataFrame | None:
+    """The ``rows`` of ``df`` that are the first of their key, found by file and
+    position, or nothing where rows have no place or the bits are too many."""
+    if not order_by or broadcast_limit(df.sparkSession) <= 0 or not has_places(df):
+        return None
+    gone = losers(df, keys, order_by, duplicates)
+    if batches_of(gone) > MOST_BATCHES:
+        gone.drop()
+        return None
+    return without_losers(rows, gone)
+
+
 def dedup(
     df: DataFrame,
     keys: Keys,
@@ -234,12 +335,16 @@ def dedup(
 
     Put the day first in ``order_by`` and enough columns after it to make the
     choice certain. While the duplicated keys are small enough to broadcast,
-    only their rows are shuffled. Beyond that one aggregate over all rows does
-    the work, so the table is shuffled once.
+    only their rows are shuffled. Beyond that the rows to drop are found by keys
+    and order alone and named by file and position, so that whole rows are not
+    shuffled; where rows have no such place, one aggregate shuffles the table.
     """
     keys = as_list(keys)
     duplicates = duplicates or find_duplicates(df, keys)
     if not duplicates.fits_broadcast():
+        placed = dedup_by_place(df, df, keys, order_by, duplicates)
+        if placed is not None:
+            return placed
         kept = survivors(df.where(none_null(keys)), keys, order_by)
         return kept.unionByName(df.where(any_null(keys)))
     single = df.join(duplicates.for_join(), keys, "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.duplicates import (
     copies_by,
+    dedup_by_place,
     find_duplicates,
     number_copies,
     survivors,
@@ -43,6 +44,11 @@ def cleaned_days(
     ``copies`` counts the duplicated keys per day.
     """
     touched = df.where(_is_one_of(day, days))
+    if not duplicates.fits_broadcast():
+        # The first copy of all days stays, and every other is dropped.
+        placed = dedup_by_place(df, touched, keys, [day, *order_by], duplicates)
+        if placed is not None:
+            return placed
     if duplicates.fits_broadcast():
         single = touched.join(duplicates.for_join(), keys, "left_anti")
         single = single.select(*map(named, df.columns))
