@@ -161,7 +161,8 @@ def scanned(plan: str) -> str:
     places = []
     for number in re.findall(r"Scan \w+ .*\((\d+)\)", tree):
         block = plan[plan.index(f"\n({number}) Scan") :]
-        places.append(re.search(r"Location: (.*)", block).group(1))
+        # Up to the next node; rows of the driver have no location.
+        places += re.findall(r"Location: (.*)", block.split("\n\n")[0])
     return "\n".join(places)
 
 

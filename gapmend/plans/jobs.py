@@ -29,9 +29,10 @@ from gapmend.operators.gaps import (
 from gapmend.operators.joins import join_unique, runtime_filter
 from gapmend.operators.ranges import exact_bounds, in_range
 from gapmend.shared import Written, is_under, read_paths, session_conf, write_shared
-from gapmend.sinks.files import stage, write_files
+from gapmend.sinks.files import replace_files, stage
 from gapmend.sinks.tables import (
     append_dynamic,
+    append_once,
     append_static,
     drop_null_partition,
     null_partition_rows,
@@ -214,6 +215,8 @@ def repair(
     on_error: str = "fail",
     sync: bool = True,
     drop_undated: bool = False,
+    run_id: str | None = None,
+    parse_once: bool = False,
 ) -> RepairReport:
     """Append rows of ``source`` to the partition ``day`` of ``table``.
 
@@ -237,10 +240,20 @@ def repair(
     an error if it lacks any that are not ``fillable``. With ``staging_path``
     the rows are written there before they are appended. ``extension`` ends
     the names of files that are written through a Hive SerDe.
+
+    A ``full`` repair with a ``run_id`` can be repeated too: its staged rows and
+    what it has landed are kept under that name in ``staging_path``, and a run of
+    the same name goes on where the last one ended.
+
+    ``parse_once`` is for sources that cannot be pruned, such as text: their rows
+    are written once in the types of the table, sorted by key, so that both reads
+    are of columns, and the second skips what is out of range.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
     keys = as_list(keys)
+    if run_id is not None and (mode != "full" or staging_path is None):
+        raise ValueError("a run_id is for a full repair with a staging_path")
     if mode == "range" and len(keys) != 1:
         raise ValueError("range repair needs exactly one key column")
 
@@ -254,7 +267,10 @@ def repair(
     def shape(df: DataFrame) -> DataFrame:
         return project_to_target(conform(df, wanted, fillable, on_error), wanted)
 
-    read = _Source(source, shape)
+    read, parsed = _Source(source, shape), None
+    if parse_once:
+        parsed = write_shared(shape(source).sortWithinPartitions(*map(named, keys)), "parsed-source")
+        read = _Source(parsed.frame, lambda df: df)
     today = day or run_day()
     single = keys[0] if len(keys) == 1 else None
     if key_range is None:
@@ -265,6 +281,9 @@ def repair(
         rows = read.within(single, *key_range)
 
     def append(rows: DataFrame) -> int:
+        if run_id is not None:
+            folder = f"{staging_path.rstrip('/')}/{run_id}"
+            return append_once(rows, table, today, folder, day_column, staging_format, extension)
         written = Observation()
         rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
         if staging_path is None:
@@ -283,15 +302,15 @@ def repair(
             drop_null_partition(spark, table, day_column)
         return replace(report, undated_rows=undated)
 
-    if mode == "full":
-        return done(RepairReport(status="full", appended_rows=append(rows)))
-
-    target = spark.table(table)
-    if key_range is not None:
-        target = in_range(target, single, *key_range)
-    with _casts_as_written(read, single):
-        report, missing = validate(rows, target, keys)
+    missing = None
     try:
+        if mode == "full":
+            return done(RepairReport(status="full", appended_rows=append(rows)))
+        target = spark.table(table)
+        if key_range is not None:
+            target = in_range(target, single, *key_range)
+        with _casts_as_written(read, single):
+            report, missing = validate(rows, target, keys)
         if report.missing_rows:
             lacking = _lacking(read, keys, report, missing, mode)
             with runtime_filter(missing), _casts_as_written(read, single):
@@ -302,18 +321,20 @@ def repair(
             )
         return done(report)
     finally:
-        missing.drop()
+        for written in (missing, parsed):
+            if written is not None:
+                written.drop()
 
 
 def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fail") -> None:
     """Replace the files under ``path`` with all rows of ``source``.
 
     Decimals are widened on the way. The job is one stage: every task writes
-    what it read. A source that reads files under ``path`` is refused, since
-    they are removed before they could be read.
+    what it read, beside the old files, which stay until all of it is there. A
+    source that reads files under ``path`` is refused, since its files go.
     """
     spark = source.sparkSession
     clash = [p for p in read_paths(source) if is_under(spark, p, path) or is_under(spark, path, p)]
     if clash:
         raise ValueError(f"the source reads {clash[0]}, which the history would overwrite")
-    write_files(widen_decimals(source, on_error), path, fmt)
+    replace_files(widen_decimals(source, on_error), path, fmt)

@@ -101,6 +101,10 @@ def _coverage(source, target, keys, span=""):
     """
 
 
+_RETURNED = "SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25"
+_HALF_LANDED = """SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'
+            UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 500 = 0"""
+
 ORACLE_SQL: dict[str, str] = {
     "key_range_probe": """
         SELECT min(o_orderkey) AS initrange, max(o_orderkey) AS endrange FROM orders
@@ -176,6 +180,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderkey, count(*) AS source_rows FROM orders WHERE {_NO_LINES}
         GROUP BY o_orderkey ORDER BY o_orderkey
     """,
+    "missing_text_keys": f"""
+        SELECT p_partkey AS l_partkey, count(*) AS source_rows FROM part
+        WHERE p_partkey NOT IN ({_RETURNED}) GROUP BY p_partkey
+    """,
+    "coverage_text_keys": _coverage("SELECT p_partkey AS l_partkey FROM part", _RETURNED, ["l_partkey"]),
+    "coverage_dense": _coverage("SELECT * FROM orders", _HALF_LANDED, ["o_orderkey"], """,
+                   min(s.o_orderkey) FILTER (m IS NULL) AS min_missing,
+                   max(s.o_orderkey) FILTER (m IS NULL) AS max_missing"""),
+    "missing_keys_dense": f"""
+        SELECT o_orderkey, count(*) AS source_rows FROM orders
+        WHERE o_orderkey NOT IN ({_HALF_LANDED}) GROUP BY o_orderkey
+    """,
     "missing_keys_preview": f"""
         SELECT o_orderkey, count(*) AS source_rows FROM orders WHERE {_NO_LINES}
         GROUP BY o_orderkey ORDER BY o_orderkey LIMIT 20
@@ -247,6 +263,16 @@ ORACLE_SQL: dict[str, str] = {
     "partition_inventory": f"""
         SELECT DISTINCT 'day=' || {_BUSINESS_DAY} AS "partition" FROM events
     """,
+    "partition_states": f"""
+        SELECT DISTINCT 'day=' || {_BUSINESS_DAY} AS "partition",
+               CASE WHEN {_BUSINESS_DAY} = '2024-01-05' THEN 'gone'
+                    WHEN {_BUSINESS_DAY} < '2024-01-20' THEN 'registered' ELSE 'new' END AS state
+        FROM events
+    """,
+    "newest_landed": """
+        SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_returnflag
+    """,
+    "append_resumed": f"{_LANDED} UNION ALL SELECT *, {_RUN_DAY} AS day FROM orders",
     "null_partition_rows": f"""
         SELECT *, CAST(NULL AS VARCHAR) AS day FROM orders WHERE {_NO_LINES}
     """,

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from gapmend import functions as fn, operators as op, sinks, sources
 from gapmend.plans.jobs import history, repair
-from gapmend.shared import fresh_path
+from gapmend.shared import delete_path, fresh_path, write_shared
 
 ORDER_KEY = "o_orderkey"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -228,6 +228,42 @@ def missing_keys(spark, sf_dir):
     return found.orderBy(ORDER_KEY)
 
 
+def _part_text(spark, sf_dir):
+    """Keys of the parts as text, a small source."""
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("l_partkey"))
+
+
+def _returned(spark, sf_dir):
+    """Lines of large quantity that came back; some parts have none."""
+    return read(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_quantity > 25").select("l_partkey")
+
+
+def missing_text_keys(spark, sf_dir):
+    """Text against whole numbers, which the order of text would mix up."""
+    found = op.missing_keys(_part_text(spark, sf_dir), _returned(spark, sf_dir), "l_partkey")
+    return found.select(F.col("l_partkey").cast("bigint").alias("l_partkey"), "source_rows")
+
+
+def coverage_text_keys(spark, sf_dir):
+    found = op.coverage(_part_text(spark, sf_dir), _returned(spark, sf_dir), "l_partkey")
+    return found.drop("min_missing", "max_missing")
+
+
+def _half_landed(spark, sf_dir) -> DataFrame:
+    """Orders without those that are pending; some have landed twice."""
+    rows = orders(spark, sf_dir).where("o_orderstatus <> 'P'").select(ORDER_KEY)
+    return rows.unionByName(rows.where(F.col(ORDER_KEY) % 500 == 0))
+
+
+def coverage_dense(spark, sf_dir):
+    """A key with few gaps and few copies, compared by words of 64 keys."""
+    return op.coverage(orders(spark, sf_dir), _half_landed(spark, sf_dir), ORDER_KEY, dense=True)
+
+
+def missing_keys_dense(spark, sf_dir):
+    return op.missing_keys(orders(spark, sf_dir), _half_landed(spark, sf_dir), ORDER_KEY)
+
+
 def missing_keys_preview(spark, sf_dir):
     return op.missing_preview(orders(spark, sf_dir), landed(spark, sf_dir), ORDER_KEY)
 
@@ -348,6 +384,42 @@ def partition_inventory(spark, sf_dir):
     return listed
 
 
+def partition_states(spark, sf_dir):
+    """Days that the catalog knows, one whose folder is gone, and new ones."""
+    rows = business_day_partition(spark, sf_dir)
+    table = Landing(spark, rows.schema, "states")
+    sinks.append_dynamic(rows.where("day < '2024-01-20'"), table.name, rebalance=True)
+    delete_path(spark, f"{table.path}/day=2024-01-05")
+    later = rows.where("day >= '2024-01-20'")
+    later.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(table.path)
+    states = write_shared(sinks.partition_states(spark, table.name), "partition-states").frame
+    table.close()
+    return states
+
+
+def newest_landed(spark, sf_dir):
+    """What the file that landed last holds: the totals after all the lines."""
+    path = fresh_path(spark, "newest")
+    rows = lines(spark, sf_dir).withColumn("day", _month(F.col("l_shipdate")))
+    rows.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    totals = rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+    totals.withColumn("day", F.lit("1992-06-01")).coalesce(1).write.mode("append").partitionBy("day").parquet(path)
+    schema = sources.newest_schema(spark, path, fmt="parquet")
+    return spark.read.schema(schema).parquet(sources.newest_file(spark, path, ending=".parquet"))
+
+
+def append_resumed(spark, sf_dir):
+    """A full load that is run twice under one name appends each row once."""
+    table = landed_orders(spark, sf_dir, "resumed")
+    path = fresh_path(spark, "staged")
+    for _ in range(2):
+        repair(
+            orders(spark, sf_dir), table.name, ORDER_KEY, "full", day=RUN_DAY, staging_path=path, staging_format="parquet",
+            run_id="load-1",
+        )
+    return table.close()
+
+
 def null_partition_rows(spark, sf_dir):
     """Orders landed under the month they first shipped in; some never did."""
     shipped = landed(spark, sf_dir).groupBy(ORDER_KEY).agg(
@@ -429,7 +501,7 @@ def repair_full(spark, sf_dir):
 
 def repair_from_csv(spark, sf_dir):
     table = landed_orders(spark, sf_dir, "repair_csv")
-    repair(csv_scan(spark, sf_dir), table.name, ORDER_KEY, day=RUN_DAY)
+    repair(csv_scan(spark, sf_dir), table.name, ORDER_KEY, day=RUN_DAY, parse_once=True)
     return table.close()
 
 
@@ -458,6 +530,10 @@ QUERIES: dict[str, Query] = {
         composite_coverage,
         coverage_null_keys,
         missing_keys,
+        missing_text_keys,
+        coverage_text_keys,
+        coverage_dense,
+        missing_keys_dense,
         missing_keys_preview,
         missing_range,
         missing_rows,
@@ -477,6 +553,9 @@ QUERIES: dict[str, Query] = {
         append_static_partition,
         append_dynamic_partition,
         partition_inventory,
+        partition_states,
+        newest_landed,
+        append_resumed,
         null_partition_rows,
         history_load,
         repair_exact,

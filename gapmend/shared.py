@@ -143,6 +143,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; an error if the file system says it could not."""
+    source, fs = _hadoop_path(spark, path)
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def beside(spark: SparkSession, path: str) -> list[str]:
+    """Folders whose name is that of ``path``, a dot and more."""
+    target, fs = _hadoop_path(spark, path)
+    if not fs.exists(target.getParent()):
+        return []
+    found = [f.getPath() for f in fs.listStatus(target.getParent())]
+    return [f.toString() for f in found if f.getName().startswith(f"{target.getName()}.")]
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders right under ``path``."""
+    target, fs = _hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()]
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files right under ``path``, none if it does not exist."""
+    target, fs = _hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(target) if f.isFile()] if fs.exists(target) else []
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size of a result as Spark's statistics estimate it before it runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -1,7 +1,8 @@
-from gapmend.sinks.files import stage, write_files
+from gapmend.sinks.files import replace_files, stage, write_files
 from gapmend.sinks.rewrite import RewriteReport, rewrite_duplicates
 from gapmend.sinks.tables import (
     append_dynamic,
+    append_once,
     append_static,
     avro_file_extension,
     avro_table_ddl,
@@ -12,6 +13,7 @@ from gapmend.sinks.tables import (
     drop_partition,
     null_partition_rows,
     partition_names,
+    partition_states,
     sync_partitions,
     table_schema,
 )
@@ -19,6 +21,7 @@ from gapmend.sinks.tables import (
 __all__ = [
     "RewriteReport",
     "append_dynamic",
+    "append_once",
     "append_static",
     "avro_file_extension",
     "avro_table_ddl",
@@ -29,6 +32,8 @@ __all__ = [
     "drop_partition",
     "null_partition_rows",
     "partition_names",
+    "partition_states",
+    "replace_files",
     "rewrite_duplicates",
     "stage",
     "sync_partitions",

@@ -9,14 +9,16 @@ from __future__ import annotations
 import json
 from contextlib import contextmanager
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from gapmend.functions.columns import named, quoted
 from gapmend.functions.conform import project_to_target
 from gapmend.functions.stamps import partition_stamp
-from gapmend.shared import delete_path, path_exists, session_conf
+from gapmend.shared import delete_path, file_names, folder_names, path_exists, session_conf
+from gapmend.sinks.files import replace_files
 from gapmend.sources.avro_schema import newest_schema
 
 
@@ -109,14 +111,15 @@ def declare_landing(
     partition: str = "day",
     fmt: str = "avro",
     replace: bool = False,
+    days: int | None = None,
 ) -> StructType:
     """Declare a landing table from the schema of its newest file.
 
     One step for files that another system writes under ``day=...`` folders:
     look up the schema, declare the table, register the days. Returns the
-    schema.
+    schema. ``days`` looks for the file in so many of the last folders.
     """
-    schema = newest_schema(spark, location, partition, fmt)
+    schema = newest_schema(spark, location, partition, fmt, days)
     create_table(spark, table, schema, location, partition, fmt=fmt, replace=replace)
     sync_partitions(spark, table)
     return schema
@@ -188,6 +191,49 @@ def append_dynamic(
         rows.write.mode("append").insertInto(table)
 
 
+def append_once(
+    df: DataFrame, table: str, value: str, folder: str, partition: str = "day", fmt: str = "avro", extension: str | None = None
+) -> int:
+    """Append ``df`` to the partition ``value`` once, however often this is run
+    with the same ``folder``; returns the rows that this run has appended.
+
+    The folder belongs to the run. It gets the rows, then the names of the files
+    that the partition has before the append, then a mark that all is there. A
+    run that is repeated goes on from the last of these: rows that are complete
+    are not computed again, files that a half-done append has left are removed
+    first, and after the mark nothing is done. Nobody else may write to the
+    partition until the run is through.
+    """
+    spark = df.sparkSession
+    rows_at, before_at, landed_at = (f"{folder.rstrip('/')}/{part}" for part in ("rows", "before", "landed"))
+    if path_exists(spark, landed_at):
+        return 0
+    if not path_exists(spark, rows_at):
+        replace_files(df, rows_at, fmt)
+    rows = spark.read.format(fmt).schema(df.schema).load(rows_at)
+    place = _partition_location(spark, table, value, partition)
+    if path_exists(spark, before_at):
+        known = {row[0] for row in spark.read.parquet(before_at).collect()}
+        for name in file_names(spark, place):
+            if name not in known:
+                delete_path(spark, f"{place}/{name}")
+    else:
+        names = spark.createDataFrame([(name,) for name in file_names(spark, place)], "file string")
+        replace_files(names, before_at, "parquet")
+    append_static(rows, table, value, partition, extension)
+    replace_files(rows.agg(F.count(F.lit(1)).alias("rows")), landed_at, "parquet")
+    return spark.read.parquet(landed_at).first()[0]
+
+
+def _partition_location(spark: SparkSession, table: str, value: str, partition: str) -> str:
+    """Where a partition lies or will lie."""
+    spec = f"PARTITION ({quoted(partition)} = {_text(value)})"
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        return f"{_location(spark, table).rstrip('/')}/{partition}={value}"
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec} AS JSON").first()[0]
+    return json.loads(described)["location"].rstrip("/")
+
+
 @contextmanager
 def named_files(spark: SparkSession, extension: str | None):
     """:func:`avro_file_extension`, or nothing without an extension."""
@@ -198,19 +244,66 @@ def named_files(spark: SparkSession, extension: str | None):
             yield
 
 
+# Partitions that one statement adds to the catalog.
+ADDED_AT_ONCE = 200
+
+
+def partition_states(spark: SparkSession, table: str) -> DataFrame:
+    """How the folders of a table with one partition column compare with its
+    catalog: ``partition`` and ``state``, one of ``registered``, ``new`` (a folder
+    that the catalog does not know) and ``gone`` (registered, without a folder).
+
+    Only the table's own folder is listed, not the files below, so the cost is
+    one entry for each day.
+    """
+    return spark.createDataFrame(_states(spark, table), "partition string, state string")
+
+
+def _states(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+    names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if len(names) != 1:
+        raise ValueError(f"{table} has {len(names)} partition columns, not one")
+    prefix = f"{names[0]}=".lower()
+    listed = folder_names(spark, _location(spark, table))
+    folders = {f"{names[0]}={name[len(prefix):]}" for name in listed if name.lower().startswith(prefix)}
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    states = [(known & folders, "registered"), (folders - known, "new"), (known - folders, "gone")]
+    return sorted((name, state) for found, state in states for name in found)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])["location"]
+
+
 def sync_partitions(spark: SparkSession, table: str) -> DataFrame:
     """Register the partitions found on storage and list all of them.
 
-    Needed once for files that other systems landed. Appends made here
-    register their partition themselves. A table whose folder does not exist
-    yet has none.
+    Needed for files that other systems landed. Appends made here register
+    their partition themselves. Folders are compared with the catalog, and only
+    new ones are added; a table with several partition columns is searched whole.
+    A table whose folder does not exist yet has none.
     """
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0]
-    if path_exists(spark, json.loads(described)["location"]):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+    if path_exists(spark, _location(spark, table)):
+        if len(partition_names(spark, table)) == 1:
+            new = [name for name, state in _states(spark, table) if state == "new"]
+            for i in range(0, len(new), ADDED_AT_ONCE):
+                specs = " ".join(f"PARTITION ({_spec(folder)})" for folder in new[i : i + ADDED_AT_ONCE])
+                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+        else:
+            spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+# Fixed value: the folder of rows whose partition column is NULL.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _spec(folder: str) -> str:
+    """A folder's name as a partition in SQL; names escape some characters."""
+    name, value = folder.split("=", 1)
+    return f"{quoted(name)} = {'null' if value == NULL_FOLDER else _text(unquote(value))}"
+
+
 def null_partition_rows(df: DataFrame, partition: str = "day") -> DataFrame:
     """Rows that a write put into the partition for NULL days."""
     return df.where(named(partition).isNull())

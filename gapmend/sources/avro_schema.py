@@ -4,36 +4,34 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
 def newest_file(
     spark: SparkSession, location: str, day: str = "day", ending: str = "", days: int | None = None
 ) -> str:
-    """The file under ``day=...`` folders that was changed last.
+    """The file under ``day=...`` folders that was changed last, by name among
+    files of one time.
 
-    Folders are listed one after the other and only the newest file so far is
-    kept, so the number of files does not matter for memory. ``days`` looks at
-    so many of the last folders by name; ``ending`` leaves out other files, and
-    hidden files never count.
+    Spark lists the folders, in a job of its own where they are many, and takes
+    the newest file by an aggregate; no file is opened. ``days`` looks at so many
+    of the last folders by name; ``ending`` leaves out other files. Hidden and
+    empty files never count.
     """
     jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(location)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     folders = [f.getPath() for f in fs.listStatus(base) if f.isDirectory()]
     folders = sorted((f for f in folders if f.getName().startswith(f"{day}=")), key=lambda f: f.getName(), reverse=True)
-    newest = (-1, "")
-    for folder in folders[:days]:
-        files = fs.listFiles(folder, True)
-        while files.hasNext():
-            status = files.next()
-            name = status.getPath().getName()
-            if name.endswith(ending) and not name.startswith(("_", ".")):
-                newest = max(newest, (status.getModificationTime(), status.getPath().toString()))
-    if not newest[1]:
+    newest = None
+    if folders:
+        listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=f"*{ending}")
+        files = listed.load([f.toString() for f in folders[:days]])
+        newest = files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    if newest is None:
         raise FileNotFoundError(f"no file under {location}/{day}=...")
-    return newest[1]
+    return newest
 
 
 def latest_avro_schema(
@@ -44,12 +42,13 @@ def latest_avro_schema(
 
 
 def newest_schema(
-    spark: SparkSession, location: str, day: str = "day", fmt: str = "avro"
+    spark: SparkSession, location: str, day: str = "day", fmt: str = "avro", days: int | None = None
 ) -> StructType:
-    """The Spark schema of the newest file, without the day."""
+    """The Spark schema of the newest file, without the day; of the last ``days``
+    folders alone, if given."""
     if fmt == "avro":
-        return avro_to_struct(spark, latest_avro_schema(spark, location, day))
-    return spark.read.format(fmt).load(newest_file(spark, location, day)).schema
+        return avro_to_struct(spark, latest_avro_schema(spark, location, day, days))
+    return spark.read.format(fmt).load(newest_file(spark, location, day, days=days)).schema
 
 
 def avro_file_schema(spark: SparkSession, path: str) -> dict:

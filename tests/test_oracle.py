@@ -9,7 +9,7 @@ from gapmend.plans.oracle import ORACLE_SQL
 from gapmend.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-TABLES = "orders lineitem events documents labels"
+TABLES = "orders lineitem events part documents labels"
 
 # What a Spark type is called in DuckDB.
 DUCK_TYPES = {
