@@ -25,6 +25,8 @@ CHUNK_BYTES = 1 << 18
 
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+PRIME = 2**31 - 1
+PRIME_BASE = 1_000_003_007 % PRIME
 SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -58,6 +60,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _known_powers: dict[int, np.ndarray] = {}
+_prime_tables: dict[int, np.ndarray] = {}
 
 
 def known_powers(base: np.uint64, n: int) -> np.ndarray:
@@ -79,6 +82,30 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: n
     return (sums[ends] - sums[starts]) * known_powers(inverse, n)[starts]
 
 
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """The powers 0 to n of ``base`` modulo ``PRIME``."""
+    out, done = np.ones(n + 1, np.uint64), 1
+    while done <= n:
+        more = min(done, n + 1 - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, PRIME)) % np.uint64(PRIME)
+        done += more
+    return out
+
+
+def prime_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As :func:`run_hashes`, modulo a prime and so in 31 bits."""
+    n, prime = len(values), np.uint64(PRIME)
+    bases = PRIME_BASE, pow(PRIME_BASE, -1, PRIME)
+    rising, falling = (_prime_tables.get(b) for b in bases)
+    if rising is None or len(rising) <= n:
+        rising, falling = (prime_powers(b, max(n, 2 * CHUNK_BYTES)) for b in bases)
+        if n <= 2 * CHUNK_BYTES:
+            _prime_tables.update(zip(bases, (rising, falling)))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * rising[:n] % prime, out=sums[1:])
+    return (sums[ends] - sums[starts]) % prime * falling[starts] % prime
+
+
 @dataclass
 class Words:
     """The words of some texts: byte range and text of each, in order."""
@@ -96,7 +123,11 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def hashes(self) -> np.ndarray:
-        return mixed(run_hashes(self.data.astype(np.uint64) + np.uint64(1), self.starts, self.ends, BYTE_BASE))
+        """Words whose bytes differ in a pattern that a polynomial modulo 2^64
+        does not see (Thue-Morse) are told apart by one modulo a prime."""
+        values = self.data.astype(np.uint64) + np.uint64(1)
+        first = run_hashes(values, self.starts, self.ends, BYTE_BASE)
+        return mixed(first + mixed(prime_hashes(values, self.starts, self.ends), 1))
 
     def bytes_of(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
@@ -150,6 +181,12 @@ def write_scanned(df: DataFrame, label: str) -> Written:
         return write_shared(df, label)
 
 
+def fields(record: Any) -> tuple:
+    """The fields of a dataclass instance, for a broadcast: its class would be
+    looked up by name on executors, which need not have this package."""
+    return tuple(vars(record).values())
+
+
 def kept_in_process(name: Hashable, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, made once in each Python process. Functions that
     run in tasks are sent anew with each of them, so what they keep is kept

@@ -110,3 +110,13 @@ def test_every_long_shared_span_is_found(spark, cuts, n):
 
 def test_words_as_the_pattern_says():
     assert unspaced(ODD_TEXTS[2]) == []
+
+
+def test_words_that_a_power_of_two_takes_for_equal(spark):
+    """The Thue-Morse word of 1,024 letters and its complement."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    head = " ".join(["same"] * 17)
+    tail = " ".join(["else"] * 17)
+    df = documents(spark, [f"{head} {word} {tail}", f"{head} {other} {tail}"])
+    assert [r.n_removed for r in substring_dedup(df, 35).collect()] == [0, 0]
