@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gapmend.llm.texts import LOWER, byte_table, chunks, schema_of, text_key, write_scanned
+from gapmend.llm.texts import LOWER, byte_table, chunks, fields, schema_of, text_key, write_scanned
 from gapmend.shared import write_shared
 
 TRIGRAM_BITS = 16
@@ -160,11 +160,11 @@ def identify(
 
     own = [F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key")]
     rows = docs.select(*own, *known(declared, host), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(fields(model))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in chunks(batches):
-            logs, grams = shared.value.likelihoods(data, bounds)
+            logs, grams = TextModel(*shared.value).likelihoods(data, bounds)
             offsets = pa.array((np.arange(part.num_rows + 1) * n).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("doc_id", "text_key", "declared", "host")), pa.ListArray.from_arrays(offsets, pa.array(logs.ravel())), pa.array(grams)],

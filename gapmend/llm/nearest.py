@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gapmend.llm.texts import schema_of
+from gapmend.llm.texts import fields, schema_of
 from gapmend.shared import session_conf, write_shared
 
 # Vectors that the tree is fitted on at most, those of smallest hash.
@@ -156,12 +156,12 @@ def filed(rows: DataFrame, tree: Tree, k: int) -> DataFrame:
     place = Window.partitionBy("vector").orderBy("id")
     first = rows.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= k + 1)
     alike = first.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    shared = rows.sparkSession.sparkContext.broadcast(fields(tree))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaf = shared.value.assign(unit(matrix(batch.column("vector"))))
+                leaf = Tree(*shared.value).assign(unit(matrix(batch.column("vector"))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32))], [*batch.schema.names, "leaf"])
 
     leaves = write_shared(alike.mapInArrow(file, schema_of(alike, "leaf int")), "nearest-leaves").frame
@@ -181,10 +181,10 @@ def dealt(rows: DataFrame, by: Column, size: int) -> DataFrame:
 
 def visits(queries: DataFrame, tree: Tree, budget: list[int]) -> DataFrame:
     """query_id, vector, leaf and its place in the query's order of leaves."""
-    shared = queries.sparkSession.sparkContext.broadcast((tree, budget))
+    shared = queries.sparkSession.sparkContext.broadcast((fields(tree), budget))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, budget = shared.value
+        tree, budget = Tree(*shared.value[0]), shared.value[1]
         for batch in batches:
             if not batch.num_rows:
                 continue

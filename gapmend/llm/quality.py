@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapmend.llm.texts import LOWER, UNSPACED, byte_table, chunks, schema_of, words_of
+from gapmend.llm.texts import LOWER, UNSPACED, byte_table, chunks, fields, schema_of, words_of
 
 WORD_BUCKETS = 1 << 14
 RANGES = 16
@@ -226,11 +226,11 @@ def quality_scores(
     columns are not looked at.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), *_inputs(docs, text, n_chars))
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = docs.sparkSession.sparkContext.broadcast(fields(machine))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in chunks(batches):
-            score = shared.value.score(entries(data, bounds, part.column("n_chars").to_numpy()))
+            score = Machine(*shared.value).score(entries(data, bounds, part.column("n_chars").to_numpy()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= keep).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
