@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,6 +31,8 @@ SHARD_DOCUMENTS = 2048
 SHARD_BYTES = 8 << 20
 # BM25's usual constants.
 K1, B = 1.2, 0.75
+# Neighbours that are put in order before the rest.
+FIRST_NEIGHBOURS = 64
 # No word is a stop word, and a seed asks for all of its words.
 STOP_SHARE = 1.0
 QUERY_WORDS = sys.maxsize
@@ -107,16 +108,32 @@ class Index:
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share words with the seed, the nearest first."""
+        found, scores = self.scored(seed, unused)
+        return found[np.argsort(-scores, kind="stable")]
+
+    def scored(self, seed: int, unused: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unused documents that share words with the seed, and their scores."""
         entry = self.entry[seed]
         terms = self.terms[self.first[entry] : self.first[entry + 1]]
         if not len(terms):
-            return terms
+            return terms, np.zeros(0)
         size = self.size[terms]
         before = np.cumsum(size) - size
         at = np.arange(size.sum()) + np.repeat(self.begin[terms] - before, size)
         scores = np.bincount(self.posting[at], self.weight[at], self.entries)[self.entry]
         found = np.flatnonzero(unused & (scores > 0))
-        return found[np.argsort(-scores[found], kind="stable")]
+        return found, scores[found]
+
+    def nearest(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """The neighbours one by one. Few are asked for, so the best are sorted
+        before the others, and those only if asked for."""
+        found, scores = self.scored(seed, unused)
+        if len(found) > FIRST_NEIGHBOURS:
+            least = np.partition(scores, len(scores) - FIRST_NEIGHBOURS)[len(scores) - FIRST_NEIGHBOURS]
+            best = scores > least
+            yield from found[best][np.argsort(-scores[best], kind="stable")].tolist()
+            found, scores = found[~best], scores[~best]
+        yield from found[np.argsort(-scores, kind="stable")].tolist()
 
 
 @dataclass
@@ -157,7 +174,7 @@ class Packer:
                 if sequence != self.sequence:
                     # The window has a new seed: the document that reaches into it.
                     sequence = self.sequence
-                    nearest = iter(index.neighbours(seed, unused).tolist()) if self.filled else iter(())
+                    nearest = index.nearest(seed, unused) if self.filled else iter(())
                 seed = next((d for d in nearest if unused[d]), None)
 
     def cut_rest(self) -> list[tuple[int, int, int, int, int]]:
@@ -223,7 +240,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
                 documents.append(found.text_of_word() + (len(begins) - 1))
                 words.append(found.hashes())
                 for body in part.column("text").to_pylist():
-                    own = np.frombuffer(array("I", [*encode_text(encoding, body or ""), END]), np.uint32).astype("<u4", copy=False)
+                    own = np.append(encoding.encode_to_numpy(body or "", allowed_special="all"), np.uint32(END)).astype("<u4", copy=False)
                     ids.append(own)
                     begins.append(begins[-1] + len(own))
             tokens = np.diff(begins)
