@@ -1,7 +1,9 @@
 from gapmend.functions.conform import (
     SchemaMismatch,
     conform,
+    conform_with_rejects,
     project_to_target,
+    rejects,
     schema_drift,
     widen_decimals,
 )
@@ -19,9 +21,11 @@ __all__ = [
     "business_day",
     "change_envelope",
     "conform",
+    "conform_with_rejects",
     "file_name",
     "partition_stamp",
     "project_to_target",
+    "rejects",
     "run_day",
     "schema_drift",
     "split_path",

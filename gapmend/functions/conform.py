@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     LongType,
+    NullType,
     StructField,
     StructType,
 )
@@ -114,6 +115,62 @@ def conform(
     return df.select(columns)
 
 
+def conform_with_rejects(
+    df: DataFrame,
+    types: Types = "auto",
+    fillable: Sequence[str] = FILLABLE,
+    column: str = "rejected",
+) -> DataFrame:
+    """:func:`conform` with ``on_error="null"``, and what it could not carry.
+
+    ``column`` is NULL for a row whose values all had a counterpart. Else it is
+    a struct of ``casts``, one entry for each lost value with its column, the old
+    value as text and both types, and ``row``, the source row as it was.
+    :func:`rejects` makes a table of it. The value is looked at in the projection
+    that casts it, so it costs no other pass, and rows without a failure carry
+    nothing. Inside arrays, maps and structs only a value that is lost as a whole
+    counts, as in :func:`schema_drift`.
+    """
+    auto = isinstance(types, str)
+    fields = df.schema.fields if auto else as_schema(types).fields
+    wanted = {f.name.lower(): StructField(f.name, _widened(f.dataType) if auto else f.dataType) for f in fields}
+    if column.lower() in {*wanted, *(c.lower() for c in df.columns)}:
+        raise ValueError(f"there is a column {column} already")
+    casts = []
+    for field in df.schema.fields:
+        target = wanted.get(field.name.lower())
+        if target is None or target.dataType == field.dataType or isinstance(field.dataType, NullType):
+            continue
+        value = named(field.name)
+        entry = F.struct(
+            F.lit(target.name).alias("column"),
+            value.cast("string").alias("value"),
+            _type_name(field).alias("source_type"),
+            _type_name(target).alias("target_type"),
+        )
+        lost = value.isNotNull() & value.try_cast(target.dataType).isNull()
+        casts.append(F.when(lost, entry))
+    whole = F.struct(*[named(f.name) for f in df.schema.fields if not isinstance(f.dataType, NullType)])
+    if casts:
+        found = F.filter(F.array(*casts), lambda x: x.isNotNull())
+    else:
+        kind = "array<struct<column:string,value:string,source_type:string,target_type:string>>"
+        found = F.array().cast(kind)
+    lost = F.when(F.size(found) > 0, F.struct(found.alias("casts"), whole.alias("row")))
+    checked = df.select("*", lost.alias(column))
+    if not auto:
+        types = StructType([*fields, checked.schema[column]])
+    return conform(checked, types, fillable, "null")
+
+
+def rejects(df: DataFrame, column: str = "rejected") -> DataFrame:
+    """One row for each value that :func:`conform_with_rejects` could not carry:
+    column, value, source_type, target_type, and row, the source row."""
+    failed = df.select(named(column).alias("lost")).where(F.col("lost").isNotNull())
+    each = failed.select(F.col("lost.row").alias("row"), F.explode("lost.casts").alias("cast"))
+    return each.select("cast.column", "cast.value", "cast.source_type", "cast.target_type", "row")
+
+
 def project_to_target(df: DataFrame, columns: StructType | Sequence[str]) -> DataFrame:
     """The columns of the target in its order; extra columns are left out."""
     names = columns.names if isinstance(columns, StructType) else list(columns)

@@ -7,14 +7,16 @@ from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType
 
 from gapmend.functions.columns import as_list, named, none_null
 from gapmend.functions.conform import (
     FILLABLE,
     conform,
+    conform_with_rejects,
     project_to_target,
+    rejects,
     widen_decimals,
 )
 from gapmend.functions.stamps import run_day
@@ -28,8 +30,15 @@ from gapmend.operators.gaps import (
 )
 from gapmend.operators.joins import join_unique, runtime_filter
 from gapmend.operators.ranges import exact_bounds, in_range
-from gapmend.shared import Written, is_under, read_paths, session_conf, write_shared
-from gapmend.sinks.files import replace_files, stage
+from gapmend.shared import (
+    Written,
+    is_under,
+    path_exists,
+    read_paths,
+    session_conf,
+    write_shared,
+)
+from gapmend.sinks.files import replace_files, stage, write_files
 from gapmend.sinks.tables import (
     append_dynamic,
     append_once,
@@ -53,7 +62,8 @@ class RepairReport:
     """How the target covered the source, and how many rows were appended.
 
     ``max_source_rows`` belongs to the key that the source repeats most;
-    ``undated_rows`` are the target's rows without a day.
+    ``undated_rows`` are the target's rows without a day; ``rejected_rows`` those
+    with a failed cast, where ``rejects_path`` asked for them.
     """
 
     status: str
@@ -68,6 +78,7 @@ class RepairReport:
     max_missing: Any = None
     appended_rows: int = 0
     undated_rows: int = 0
+    rejected_rows: int = 0
 
 
 class RepairMismatch(RuntimeError):
@@ -179,6 +190,42 @@ def validate(
     return RepairReport(status=status, **figures), written
 
 
+# Holds what casts have lost, beside the columns of the table.
+REJECTED = "gapmend_rejected"
+
+
+def _write_rejects(rows: DataFrame, path: str, fmt: str) -> tuple[Written, int]:
+    """Write ``rows`` once, then the values they lost to ``path``.
+
+    The second write reads the column of lost values alone. Gives the written
+    rows, still with that column, and how many have lost something.
+    """
+    seen = Observation()
+    lost = F.count(named(REJECTED)).alias("n")
+    written = write_shared(rows.observe(seen, lost), "checked-rows")
+    try:
+        write_files(rejects(written.frame, REJECTED), path, fmt, "error")
+    except BaseException:
+        written.drop()
+        raise
+    return written, seen.get["n"]
+
+
+def _lost_key(keys: list[str]) -> Column:
+    names = [key.lower() for key in keys]
+    lost = F.exists(named(REJECTED)["casts"], lambda cast: F.lower(cast["column"]).isin(names))
+    return F.coalesce(lost, F.lit(False))
+
+
+def _check_rejects(spark: SparkSession, path: str | None, on_error: str) -> None:
+    if path is None:
+        return
+    if on_error != "null":
+        raise ValueError("casts that fail are an error unless on_error is 'null'")
+    if path_exists(spark, path):
+        raise ValueError(f"{path} exists; rejects need a path of their own for each run")
+
+
 def _lacking(
     read: _Source, keys: list[str], report: RepairReport, missing: Written, mode: str
 ) -> DataFrame:
@@ -217,6 +264,8 @@ def repair(
     drop_undated: bool = False,
     run_id: str | None = None,
     parse_once: bool = False,
+    rejects_path: str | None = None,
+    rejects_format: str = "parquet",
 ) -> RepairReport:
     """Append rows of ``source`` to the partition ``day`` of ``table``.
 
@@ -248,6 +297,14 @@ def repair(
     ``parse_once`` is for sources that cannot be pruned, such as text: their rows
     are written once in the types of the table, sorted by key, so that both reads
     are of columns, and the second skips what is out of range.
+
+    With ``on_error="null"`` a ``rejects_path`` that does not exist yet gets a row
+    for each value that a cast has lost: column, value, both types, and the source
+    row (:func:`~gapmend.functions.conform.rejects`). They are those of the rows to
+    append, which are written once and both appended and judged from there, and of
+    rows whose key was lost, which only ``full`` appends; finding the latter takes
+    one more read of the source, and only if there are NULL keys. A ``key_range``
+    leaves rows without a key out.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode!r}")
@@ -258,6 +315,9 @@ def repair(
         raise ValueError("range repair needs exactly one key column")
 
     spark = source.sparkSession
+    _check_rejects(spark, rejects_path, on_error)
+    if rejects_path is not None and run_id is not None:
+        raise ValueError("a run that goes on does not read its rows again, so it has no rejects")
     by_day = day_column.lower() in partition_names(spark, table)
     if sync and by_day:
         sync_partitions(spark, table)
@@ -265,7 +325,10 @@ def repair(
     wanted = table_schema(spark, table)
 
     def shape(df: DataFrame) -> DataFrame:
-        return project_to_target(conform(df, wanted, fillable, on_error), wanted)
+        if rejects_path is None:
+            return project_to_target(conform(df, wanted, fillable, on_error), wanted)
+        checked = conform_with_rejects(df, wanted, fillable, REJECTED)
+        return project_to_target(checked, [*wanted.names, REJECTED])
 
     read, parsed = _Source(source, shape), None
     if parse_once:
@@ -280,7 +343,20 @@ def repair(
     else:
         rows = read.within(single, *key_range)
 
+    rejected = 0
+
     def append(rows: DataFrame) -> int:
+        nonlocal rejected
+        if rejects_path is None:
+            return land(rows)
+        written, rejected = _write_rejects(rows, rejects_path, rejects_format)
+        try:
+            keyed = F.lit(True) if mode == "full" else none_null(keys)
+            return land(written.frame.where(keyed).drop(REJECTED))
+        finally:
+            written.drop()
+
+    def land(rows: DataFrame) -> int:
         if run_id is not None:
             folder = f"{staging_path.rstrip('/')}/{run_id}"
             return append_once(rows, table, today, folder, day_column, staging_format, extension)
@@ -300,7 +376,7 @@ def repair(
     def done(report: RepairReport) -> RepairReport:
         if drop_undated and undated:
             drop_null_partition(spark, table, day_column)
-        return replace(report, undated_rows=undated)
+        return replace(report, undated_rows=undated, rejected_rows=rejected)
 
     missing = None
     try:
@@ -311,8 +387,13 @@ def repair(
             target = in_range(target, single, *key_range)
         with _casts_as_written(read, single):
             report, missing = validate(rows, target, keys)
-        if report.missing_rows:
-            lacking = _lacking(read, keys, report, missing, mode)
+        if report.missing_rows or rejects_path is not None:
+            if report.missing_rows:
+                lacking = _lacking(read, keys, report, missing, mode)
+            else:
+                lacking = read.rows().limit(0)
+            if rejects_path is not None and key_range is None and report.null_keys:
+                lacking = lacking.unionByName(read.rows().where(_lost_key(keys)))
             with runtime_filter(missing), _casts_as_written(read, single):
                 report = replace(report, appended_rows=append(lacking))
         if mode == "exact" and report.appended_rows != report.missing_rows:
@@ -326,15 +407,34 @@ def repair(
                 written.drop()
 
 
-def history(source: DataFrame, path: str, fmt: str = "avro", on_error: str = "fail") -> None:
+def history(
+    source: DataFrame,
+    path: str,
+    fmt: str = "avro",
+    on_error: str = "fail",
+    rejects_path: str | None = None,
+    rejects_format: str = "parquet",
+) -> None:
     """Replace the files under ``path`` with all rows of ``source``.
 
     Decimals are widened on the way. The job is one stage: every task writes
     what it read, beside the old files, which stay until all of it is there. A
     source that reads files under ``path`` is refused, since its files go.
+
+    With ``on_error="null"`` a ``rejects_path`` that does not exist yet gets a row
+    for each decimal that was too large, as in :func:`repair`. The rows are then
+    written to the shared folder first, so that the source is still read once.
     """
     spark = source.sparkSession
+    _check_rejects(spark, rejects_path, on_error)
     clash = [p for p in read_paths(source) if is_under(spark, p, path) or is_under(spark, path, p)]
     if clash:
         raise ValueError(f"the source reads {clash[0]}, which the history would overwrite")
-    replace_files(widen_decimals(source, on_error), path, fmt)
+    if rejects_path is None:
+        replace_files(widen_decimals(source, on_error), path, fmt)
+        return
+    written, _ = _write_rejects(conform_with_rejects(source, column=REJECTED), rejects_path, rejects_format)
+    try:
+        replace_files(written.frame.drop(REJECTED), path, fmt)
+    finally:
+        written.drop()

@@ -322,5 +322,33 @@ ORACLE_SQL: dict[str, str] = {
         ), {_RUN_DAY} AS day
         FROM orders WHERE {_NO_LINES}
     """,
+    "repair_with_rejects": f"""
+        SELECT * REPLACE (CAST(left(o_orderpriority, 1) AS INTEGER) AS o_orderpriority), {_ORDER_MONTH} AS day
+        FROM orders WHERE o_orderkey % 3 = 0
+        UNION ALL
+        SELECT * REPLACE (
+            CASE WHEN o_orderstatus = 'F' THEN CAST(left(o_orderpriority, 1) AS INTEGER) END AS o_orderpriority
+        ), {_RUN_DAY} AS day
+        FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0
+    """,
+    "repair_rejects": """
+        WITH source AS (
+            SELECT o_orderkey % 7 = 0 AS keyless, o_orderkey % 3 = 0 AS landed, o_orderstatus, o_orderpriority,
+                   CASE WHEN o_orderkey % 7 = 0 THEN 'no. ' ELSE '' END || o_orderkey AS o_orderkey
+            FROM orders
+        )
+        SELECT 'o_orderkey' AS "column", o_orderkey AS value, 'string' AS source_type, 'bigint' AS target_type,
+               o_orderkey, o_orderstatus
+        FROM source WHERE keyless
+        UNION ALL
+        SELECT 'o_orderpriority', o_orderpriority, 'string', 'int', o_orderkey, o_orderstatus
+        FROM source WHERE o_orderstatus <> 'F' AND (keyless OR NOT landed)
+    """,
+    "history_rejects": """
+        SELECT o_orderkey, CASE WHEN o_orderkey < 10 THEN o_orderkey * 1000000000000000000 END AS wide,
+               CASE WHEN o_orderkey >= 10 THEN o_orderkey || '000000000000000000' END AS value,
+               CASE WHEN o_orderkey >= 10 THEN 'bigint' END AS target_type
+        FROM orders
+    """,
     "history_from_csv": _CSV_TEXT,
 }

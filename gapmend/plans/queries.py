@@ -505,6 +505,51 @@ def repair_from_csv(spark, sf_dir):
     return table.close()
 
 
+def _priority_text(df: DataFrame) -> DataFrame:
+    """Closed orders have the number of their priority, others its name too;
+    every seventh key is no number either."""
+    priority, key = F.col("o_orderpriority"), F.col(ORDER_KEY)
+    return df.withColumns(
+        {
+            "o_orderpriority": F.when(F.col("o_orderstatus") == "F", F.left(priority, F.lit(1))).otherwise(priority),
+            ORDER_KEY: F.concat(F.when(key % 7 == 0, "no. ").otherwise(""), key.cast("string")),
+        }
+    )
+
+
+def _checked_repair(spark, sf_dir, mode) -> tuple[DataFrame, DataFrame]:
+    """Into a table that holds every third order: the table, and what was lost."""
+    rows = orders(spark, sf_dir).withColumn("day", _month(F.col("o_orderdate")))
+    rows = rows.withColumn("o_orderpriority", F.left("o_orderpriority", F.lit(1)).cast("int"))
+    table = Landing(spark, rows.schema, "checked")
+    sinks.append_dynamic(rows.where(F.col(ORDER_KEY) % 3 == 0), table.name, rebalance=True)
+    path = fresh_path(spark, "rejects")
+    source = _priority_text(orders(spark, sf_dir))
+    repair(source, table.name, ORDER_KEY, mode, RUN_DAY, on_error="null", rejects_path=path)
+    return table.close(), spark.read.parquet(path)
+
+
+def repair_with_rejects(spark, sf_dir):
+    return _checked_repair(spark, sf_dir, "exact")[0]
+
+
+def repair_rejects(spark, sf_dir):
+    """The keys and priorities that were no numbers, where rows lacked."""
+    lost = _checked_repair(spark, sf_dir, "exact")[1]
+    return lost.select("column", "value", "source_type", "target_type", "row.o_orderkey", "row.o_orderstatus")
+
+
+def history_rejects(spark, sf_dir):
+    """Decimals that no whole number of 64 bits can hold."""
+    source = orders(spark, sf_dir).select(
+        ORDER_KEY, (F.col(ORDER_KEY).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)").alias("wide")
+    )
+    path, lost = fresh_path(spark, "history"), fresh_path(spark, "rejects")
+    history(source, path, "parquet", on_error="null", rejects_path=lost)
+    failed = spark.read.parquet(lost).select("row.o_orderkey", "value", "target_type")
+    return spark.read.parquet(path).join(failed, ORDER_KEY, "left")
+
+
 def history_from_csv(spark, sf_dir):
     path = fresh_path(spark, "history")
     history(csv_scan(spark, sf_dir), path, fmt="parquet")
@@ -566,6 +611,9 @@ QUERIES: dict[str, Query] = {
         repair_text_key_range,
         repair_unsynced,
         repair_from_csv,
+        repair_with_rejects,
+        repair_rejects,
         history_from_csv,
+        history_rejects,
     )
 }

@@ -1,6 +1,12 @@
 import pytest
 
-from gapmend.functions import SchemaMismatch, change_envelope, conform
+from gapmend.functions import (
+    SchemaMismatch,
+    change_envelope,
+    conform,
+    conform_with_rejects,
+    rejects,
+)
 from gapmend.operators.joins import hot_keys
 from gapmend.plans import history, repair
 from gapmend.plans.jobs import _Source
@@ -245,3 +251,78 @@ def test_repair_by_other_keys(spark, kind):
         assert repair(source.limit(12), name, "id", day=OLD).appended_rows == 12
         report = repair(source, name, "id", day=DAY)
     assert (report.missing_rows, report.appended_rows) == (18, 18)
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(rows, "id string, v string, extra int")
+
+
+def lost(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).select("column", "value", "row.id", "row.extra").collect()))
+
+
+@pytest.mark.parametrize("parse_once", [False, True])
+@pytest.mark.parametrize("mode", ["exact", "full", "range"])
+def test_rejected_casts_are_returned(spark, mode, parse_once):
+    name, _ = day_table(spark, [(1, 10, OLD)], "id bigint, v int, day string")
+    path = fresh_path(spark, "rejects")
+    rows = [("1", "x", 1), ("2", "20", 2), ("3", "y", 3), ("four", "z", 4), (None, "w", 5), ("6", None, 6)]
+    report = repair(
+        texts(spark, rows), name, "id", mode, DAY, on_error="null", rejects_path=path, parse_once=parse_once
+    )
+    # A row that is there already is not written, one without a key neither.
+    keyless = [("id", "four", "four", 4), ("v", "z", "four", 4)]
+    if mode == "full":
+        assert lost(spark, path) == sorted([("v", "x", "1", 1), ("v", "y", "3", 3), ("v", "w", None, 5), *keyless])
+        assert (report.rejected_rows, report.appended_rows) == (4, 6)
+    else:
+        assert lost(spark, path) == sorted([("v", "y", "3", 3), *keyless])
+        assert (report.rejected_rows, report.appended_rows) == (2, 3)
+        landed = spark.table(name).where(f"day = '{DAY}'").select("id", "v")
+        assert sorted(map(tuple, landed.collect())) == [(2, 20), (3, None), (6, None)]
+
+
+def test_rejects_of_a_repair_without_gaps(spark):
+    name, _ = landed(spark, [1, 2])
+    for mode in ("exact", "range"):
+        path = fresh_path(spark, "rejects")
+        report = repair(source_rows(spark, [1, 2]), name, "id", mode, DAY, on_error="null", rejects_path=path)
+        assert (report.appended_rows, report.rejected_rows) == (0, 0)
+        assert spark.read.parquet(path).count() == 0
+    assert spark.table(name).count() == 2
+
+
+def test_rejects_need_their_own_path_and_null(spark):
+    name, path = landed(spark, [1])
+    source = source_rows(spark, [1, 2])
+    with pytest.raises(ValueError, match="on_error"):
+        repair(source, name, "id", rejects_path=fresh_path(spark, "rejects"))
+    with pytest.raises(ValueError, match="exists"):
+        repair(source, name, "id", on_error="null", rejects_path=path)
+    with pytest.raises(ValueError, match="goes on"):
+        repair(
+            source, name, "id", "full", on_error="null", rejects_path=fresh_path(spark, "rejects"),
+            run_id="a", staging_path=fresh_path(spark, "staged"),
+        )
+
+
+def test_rejects_of_a_range_leave_keyless_rows_out(spark):
+    name, _ = day_table(spark, [(1, 10, OLD)], "id bigint, v int, day string")
+    path = fresh_path(spark, "rejects")
+    rows = [("2", "x", 2), ("9", "y", 9), ("four", "z", 4)]
+    repair(texts(spark, rows), name, "id", day=DAY, key_range=(1, 5), on_error="null", rejects_path=path)
+    assert lost(spark, path) == [("v", "x", "2", 2)]
+
+
+def test_rejects_of_a_history(spark):
+    rows = spark.sql("select cast(id as decimal(38,0)) * 5000000000000000000 as n, id, null as void from range(4)")
+    path, out = fresh_path(spark, "rejects"), fresh_path(spark, "history")
+    history(rows.drop("void"), out, "parquet", on_error="null", rejects_path=path)
+    assert sorted(r.n or 0 for r in spark.read.parquet(out).collect()) == [0, 0, 0, 5 * 10**18]
+    found = spark.read.parquet(path).select("column", "value", "target_type", "row.id").collect()
+    assert sorted(map(tuple, found)) == [("n", str(k * 5 * 10**18), "bigint", k) for k in (2, 3)]
+    checked = conform_with_rejects(rows, [("n", "int"), ("id", "bigint"), ("void", "string")])
+    assert checked.columns == ["n", "id", "void", "rejected"]
+    assert rejects(checked).select("row.*").columns == ["n", "id"] and rejects(checked).count() == 3
+    with pytest.raises(ValueError, match="already"):
+        conform_with_rejects(checked)
