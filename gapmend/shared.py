@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, nullcontext
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -49,7 +51,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody has used before."""
-    return f"{shared_dir(spark).rstrip('/')}/gapmend/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/gapmend/{label}-{uuid.uuid4().hex}"
+    given = _scratch.get()
+    if given is not None:
+        given.append(path)
+    return path
+
+
+# The paths that the innermost scratch_tables has given out.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[str], None]]:
+    """Delete at the end of the body, also after an error, what was written under
+    fresh paths in it by the same thread.
+
+    For steps whose result is written before the body ends. The body gets a
+    function that spares a path; an enclosing scope then answers for it.
+    """
+    outer, given = _scratch.get(), []
+
+    def keep(path: str) -> None:
+        given.remove(path)
+        if outer is not None:
+            outer.append(path)
+
+    token = _scratch.set(given)
+    try:
+        yield keep
+    finally:
+        _scratch.reset(token)
+        for path in given:
+            delete_path(spark, path)
 
 
 def held_bytes(df: DataFrame) -> Column:

@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 from gapmend.operators import dedup, duplicates
 from gapmend.operators.duplicates import find_duplicates, has_places, losers
 from gapmend.plans import history, repair
-from gapmend.shared import Written, beside, delete_path, file_names, fresh_path, move_path, path_exists, write_shared
+from gapmend.shared import (
+    Written,
+    beside,
+    delete_path,
+    file_names,
+    fresh_path,
+    move_path,
+    path_exists,
+    scratch_tables,
+    write_shared,
+)
 from gapmend.sinks import append_once, files, partition_states, replace_files, rewrite_duplicates, sync_partitions, tables
 from gapmend.sources import newest_file, newest_schema
 from tests.tables import contents, day_table, ids, source_rows
@@ -224,3 +234,21 @@ def test_base_queries_without_the_libraries_of_others():
     )
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     assert out.stdout.split()[1:] == ["True", "False"], out.stderr
+
+
+def test_scratch_tables_go(spark):
+    with scratch_tables(spark) as keep:
+        first = write_shared(spark.range(3), "first")
+        with pytest.raises(ZeroDivisionError), scratch_tables(spark) as spare:
+            second, third = (write_shared(spark.range(3), label) for label in ("second", "third"))
+            spare(second.path)
+            1 / 0
+        assert [path_exists(spark, t.path) for t in (first, second, third)] == [True, True, False]
+        keep(first.path)
+    assert [path_exists(spark, t.path) for t in (first, second)] == [True, False]
+    assert first.frame.count() == 3
+    first.drop()
+    outside = write_shared(spark.range(3), "outside")
+    with scratch_tables(spark):
+        pass
+    assert path_exists(spark, outside.path)
