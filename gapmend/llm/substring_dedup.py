@@ -31,7 +31,7 @@ from gapmend.llm.simhash import spaced
 from gapmend.llm.texts import (
     UNSPACED, WORD_BASE, Words, chunks, mixed, run_hashes, schema_of, text_key, words_of, write_scanned,
 )
-from gapmend.shared import write_shared
+from gapmend.shared import scratch_tables, write_shared
 
 GRAM = 8
 OTHER_BASE = np.uint64(0x165667B19E3779F9)
@@ -340,30 +340,33 @@ def substring_dedup(docs: DataFrame, size: int = 35, text: str = "text", doc_id:
     gives no rows; other columns are not looked at.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-    spans = write_scanned(span_table(rows, size), "spans")
-    times = F.count(F.lit(1)) + F.max(F.col("many").cast("int"))
-    often = spans.frame.groupBy("least").agg(times.alias("n")).filter("n > 1").select("least")
-    # Written, here and below, so that Spark can split a hot minimizer in the joins.
-    often = write_shared(often, "repeated-minimizers").frame
-    found = write_shared(spans.frame.join(often, "least"), "repeated-spans").frame
-    spans.drop()
-    place = F.struct("doc_id", "text_key", "start", "windows")
-    different = found.groupBy("least", "many", "a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("at"))
-    different = write_shared(different.select("least", "many", "a", "b", "times", "at.*"), "different-spans").frame
-    # Spans that come more than once are repeated as a whole.
-    whole = different.filter("times > 1").select("least", "a", "b")
-    ranges = found.join(whole, ["least", "a", "b"]).select(
-        "doc_id", "text_key", "start", (F.col("start") + F.col("windows") + (size - 1)).alias("end")
-    )
-    width = F.sum(F.col("windows") + (size - 1))
-    several = (
-        different.groupBy("least").agg(times.alias("n"), width.alias("width")).filter("n > 1")
-        .select("least", (F.col("width") > AUTOMATON_WORDS).alias("large"))
-    )
-    several = write_shared(several, "minimizers-of-several").frame
-    judged = with_words(rows, different.drop("many").join(several, "least"), size)
-    judged = write_scanned(judged, "span-words").frame
-    ranges = ranges.unionByName(by_automaton(judged.filter("not large"), size)).unionByName(
-        by_count(judged.filter("large"), size)
-    )
-    return without(rows, write_shared(merged(ranges), "repeated-words").frame)
+    with scratch_tables(docs.sparkSession) as keep:
+        spans = write_scanned(span_table(rows, size), "spans")
+        times = F.count(F.lit(1)) + F.max(F.col("many").cast("int"))
+        often = spans.frame.groupBy("least").agg(times.alias("n")).filter("n > 1").select("least")
+        # Written, here and below, so that Spark can split a hot minimizer in the joins.
+        often = write_shared(often, "repeated-minimizers").frame
+        found = write_shared(spans.frame.join(often, "least"), "repeated-spans").frame
+        spans.drop()
+        place = F.struct("doc_id", "text_key", "start", "windows")
+        different = found.groupBy("least", "many", "a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("at"))
+        different = write_shared(different.select("least", "many", "a", "b", "times", "at.*"), "different-spans").frame
+        # Spans that come more than once are repeated as a whole.
+        whole = different.filter("times > 1").select("least", "a", "b")
+        ranges = found.join(whole, ["least", "a", "b"]).select(
+            "doc_id", "text_key", "start", (F.col("start") + F.col("windows") + (size - 1)).alias("end")
+        )
+        width = F.sum(F.col("windows") + (size - 1))
+        several = (
+            different.groupBy("least").agg(times.alias("n"), width.alias("width")).filter("n > 1")
+            .select("least", (F.col("width") > AUTOMATON_WORDS).alias("large"))
+        )
+        several = write_shared(several, "minimizers-of-several").frame
+        judged = with_words(rows, different.drop("many").join(several, "least"), size)
+        judged = write_scanned(judged, "span-words").frame
+        ranges = ranges.unionByName(by_automaton(judged.filter("not large"), size)).unionByName(
+            by_count(judged.filter("large"), size)
+        )
+        words = write_shared(merged(ranges), "repeated-words")
+        keep(words.path)
+    return without(rows, words.frame)
