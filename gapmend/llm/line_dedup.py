@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapmend.functions.columns import named
 from gapmend.llm.texts import text_key
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, scratch_tables, write_shared
 
 # Groups are named by partition and row; a partition has fewer rows than this.
 ROWS = 1 << 40
@@ -48,7 +48,10 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are not unique: their place, rank and whether a row of
-    equal keys stands earlier in the corpus. Ranks are ordered as the keys."""
+    equal keys stands earlier in the corpus. Ranks are ordered as the keys.
+
+    The result reads a table in the shared folder.
+    """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, *keys, *PLACE).withColumn("part", F.spark_partition_id())
@@ -87,15 +90,23 @@ def ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def repeated_prefixes(lines: DataFrame) -> list[Written]:
     """For 1, 2, 4 ... lines the suffixes that share as many with another."""
-    levels = [write_shared(ranked(lines, ["a", "b"]), "suffix-ranks")]
+    levels = [_written_ranks(lines, ["a", "b"])]
     while levels[-1].rows:
         half = 1 << (len(levels) - 1)
         ahead = Window.partitionBy(*DOCUMENT).orderBy("line").rangeBetween(half, half)
         both = levels[-1].frame.select(*PLACE, "rank", F.first("rank").over(ahead).alias("second"))
-        levels.append(write_shared(ranked(both.filter("second is not null"), ["rank", "second"]), "suffix-ranks"))
+        levels.append(_written_ranks(both.filter("second is not null"), ["rank", "second"]))
     return levels[:-1]
 
 
+def _written_ranks(rows: DataFrame, keys: list[str]) -> Written:
+    """:func:`ranked` rows as a table, without the one they are made from."""
+    with scratch_tables(rows.sparkSession) as keep:
+        level = write_shared(ranked(rows, keys), "suffix-ranks")
+        keep(level.path)
+    return level
+
+
 def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
     """doc_id, text_key, start and end (in lines) of the runs to delete."""
     levels = repeated_prefixes(lines)
@@ -128,18 +139,22 @@ def line_dedup(
     Blank lines are never deleted. A text that loses nothing is unchanged, and
     null stays null with no lines. Rows that agree in doc_id and text are one
     document, and each returns the same; a null doc_id comes first. An empty
-    table gives no rows; other columns are not looked at.
+    table gives no rows; other columns are not looked at. The result reads the
+    table of runs, which stays in the shared folder; the tables of the steps go.
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines is a power of two")
     others = F.struct(*map(named, keep)).alias("others") if keep else F.lit(None).alias("others")
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"), others)
-    lines = write_shared(line_table(rows), "lines")
-    runs = later_copies(lines.frame, min_lines).groupBy(*DOCUMENT).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs")
-    )
+    with scratch_tables(docs.sparkSession) as keep_table:
+        lines = write_shared(line_table(rows), "lines")
+        runs = later_copies(lines.frame, min_lines).groupBy(*DOCUMENT).agg(
+            F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs")
+        )
+        runs = write_shared(runs, "line-runs")
+        keep_table(runs.path)
     # A shuffled join at any size, and one that does not sort the texts.
-    runs = write_shared(runs, "line-runs").frame.withColumnsRenamed({"doc_id": "d", "text_key": "k"}).hint("shuffle_hash")
+    runs = runs.frame.withColumnsRenamed({"doc_id": "d", "text_key": "k"}).hint("shuffle_hash")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
     found = rows.join(runs, same, "left").withColumn("lines", F.split("text", "\n", -1))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
