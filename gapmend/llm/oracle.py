@@ -23,20 +23,12 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS q
             FROM split WHERE regexp_matches(line, '\S')
         ),
-        pairs AS (
-            SELECT doc_id, q, line, lead(line) OVER (PARTITION BY doc_id ORDER BY q) AS following
-            FROM full_lines
-        ),
-        copies AS (
+        gone AS (
             SELECT doc_id, q FROM (
-                SELECT *, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, q) AS n
-                FROM pairs WHERE following IS NOT NULL
+                SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, q) AS n FROM full_lines
             )
             WHERE n > 1
         ),
-        gone AS (
-            SELECT DISTINCT doc_id, q + step AS q FROM copies, (VALUES (0), (1)) s(step)
-        ),
         runs AS (
             SELECT doc_id, count(*) AS n FROM (
                 SELECT doc_id, q - row_number() OVER (PARTITION BY doc_id ORDER BY q) AS island FROM gone

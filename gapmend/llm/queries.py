@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"), 2)
+    kept = line_dedup(table(spark, sf_dir, "documents"), 1)
     return kept.select(
         "doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256")
     )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gapmend.llm.line_dedup import line_dedup, line_table, ranked, repeated_prefixes
 from gapmend.llm.texts import text_key
-from gapmend.shared import session_conf
+from gapmend.shared import folder_names, session_conf, shared_dir
 from tests.llm.cases import documents, later_lines, odd_documents
 
 
@@ -78,3 +78,20 @@ def test_hot_line_is_split(spark):
     out = ranked(rows, ["a", "b"])
     assert out.select("rank").distinct().count() == 1
     assert out.filter("not later").collect()[0].doc_id == 0 and out.filter("later").count() == 4999
+
+
+def test_no_line_comes_twice(spark):
+    """With runs of one line no line that is not blank is left a second time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lines = [x for r in line_dedup(docs, 1).collect() for x in (r.text or "").split("\n") if x.strip()]
+    assert len(lines) == len(set(lines)) > 0
+
+
+def test_only_the_runs_stay(spark):
+    """The tables of the steps are gone when the result is handed out."""
+    docs = documents(spark, ["a\nb\nc", "x\na\nb\nc", "a\nb"])
+    before = set(folder_names(spark, f"{shared_dir(spark)}/gapmend"))
+    out = line_dedup(docs, 1)
+    left = set(folder_names(spark, f"{shared_dir(spark)}/gapmend")) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["line-runs"]
+    assert sorted(r.n_removed for r in out.collect()) == [0, 2, 3]

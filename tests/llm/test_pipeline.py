@@ -36,7 +36,7 @@ def test_known_languages_stay(stages):
 
 def test_later_lines_go(stages):
     rows = [(r.doc_id, r.text, 0) for r in stages[1].collect()]
-    want = {r[0]: v[2] for r, v in later_lines(rows, 2).items()}
+    want = {r[0]: v[2] for r, v in later_lines(rows, 1).items()}
     got = {r.doc_id: r for r in stages[2].collect()}
     assert {i: r.text for i, r in got.items()} == want and want != {r[0]: r[1] for r in rows}
     assert all(r.n_chars == len(r.text) for r in got.values())
