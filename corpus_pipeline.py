@@ -10,7 +10,7 @@ from gapmend.llm.packing import pack
 from gapmend.llm.queries import VOCABULARY, languages, table
 from gapmend.llm.simhash import near_duplicates
 from gapmend.llm.texts import text_key
-from gapmend.shared import Written, fresh_path, write_shared
+from gapmend.shared import Written, delete_path, fresh_path, scratch_tables, write_shared
 
 
 def _dropped(judged: DataFrame, label: str) -> Written:
@@ -33,11 +33,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop later copies of runs of two or more lines; all documents stay."""
+    """Drop later copies of lines, alone or in runs; all documents stay."""
     keep = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
     columns = [own.get(c, F.col("others").getField(c)) for c in docs.columns]
-    return line_dedup(docs, 2, keep=keep).select(*[x.alias(c) for x, c in zip(columns, docs.columns)])
+    return line_dedup(docs, 1, keep=keep).select(*[x.alias(c) for x, c in zip(columns, docs.columns)])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,10 +80,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of the sequences that the documents of ``sf_dir`` end up in."""
-    rows = table(spark, sf_dir, "documents")
+    """The pieces of the sequences that the documents of ``sf_dir`` end up in.
+
+    Their table is all that stays in the shared folder: what a stage writes on
+    its way goes with it, and its rows go once those of the next are written.
+    """
+    rows, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, name)
-        stage(spark, rows, sf_dir).write.parquet(path)
-        rows = spark.read.parquet(path)
+        with scratch_tables(spark):
+            stage(spark, rows, sf_dir).write.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        rows, before = spark.read.parquet(path), path
     return rows
