@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from gapmend.shared import fresh_path
+from gapmend.shared import folder_names, fresh_path, shared_dir
 from tests.llm.cases import contaminated, documents, later_lines, linked, odd_documents, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -89,3 +89,11 @@ def test_stages_on_odd_documents(spark):
 def test_stages_without_documents(spark):
     rows = documents(spark, [])
     assert all(stage(spark, rows, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_only_the_result_stays(spark):
+    """What the stages write on their way is gone after a run."""
+    before = set(folder_names(spark, f"{shared_dir(spark)}/gapmend"))
+    corpus_pipeline.run(spark, SF)
+    left = set(folder_names(spark, f"{shared_dir(spark)}/gapmend")) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["packing"]
