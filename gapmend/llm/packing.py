@@ -1,12 +1,19 @@
 """Pack documents into sequences of tokens next to documents like them.
 
-Documents are packed shard by shard, where a shard is as many consecutive
-documents of a partition as fit a bounded memory. Each shard has a BM25 inverted
-index. The document that begins a sequence is the seed: its unused neighbours
-by BM25, the nearest first, fill the window. A document that does not fit is
-cut, and its rest is the seed of the next sequence; so only the last sequence of
-a partition could be short, and that is cut into powers of two, which need no
-padding. Nothing is shuffled, and each text is read and tokenised once.
+Texts are tokenised once, and from then on only their ids move. Documents that
+share rare tokens are routed to one place: a fixed random order of the
+vocabulary, in which rare tokens tend to come first, gives each document the
+first few of its tokens as its route, and the table is ranged by routes. Two
+documents have the same first token about as often as they share their rare
+tokens, copies always, and large groups of one route are cut by id.
+
+Documents are then packed shard by shard, where a shard is as many consecutive
+documents of a range as fit a bounded memory. Each shard has a BM25 inverted
+index of tokens. The document that begins a sequence is the seed: its unused
+neighbours by BM25, the nearest first, fill the window. A document that does not
+fit is cut, and its rest is the seed of the next sequence; so only the last
+sequence of a range could be short, and that is cut into powers of two, which
+need no padding.
 """
 
 from __future__ import annotations
@@ -23,10 +30,11 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from gapmend.llm.texts import ALPHANUMERIC, LOWER, chunks, kept_in_process, mixed, schema_of, text_key, words_of
+from gapmend.llm.texts import chunks, kept_in_process, mixed, schema_of, text_key, write_scanned
+from gapmend.shared import scratch_tables
 
 WINDOW = 1024
-# Documents and bytes of text in a shard, beyond which the next one begins.
+# Documents and bytes of ids in a shard, beyond which the next one begins.
 SHARD_DOCUMENTS = 2048
 SHARD_BYTES = 8 << 20
 # BM25's usual constants.
@@ -36,6 +44,10 @@ FIRST_NEIGHBOURS = 64
 # No word is a stop word, and a seed asks for all of its words.
 STOP_SHARE = 1.0
 QUERY_WORDS = sys.maxsize
+# A word in at least one of so many entries of an index has a weight for each of them.
+DENSE_SHARE = 16
+# Tokens that make a document's route, 16 bits of each.
+ROUTE_TOKENS = 4
 # The token that ends a document.
 END = 0
 # Fixed value: how byte-level BPE cuts a text before it merges.
@@ -69,16 +81,40 @@ def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
     return encoding.encode(text, allowed_special="all")
 
 
+def token_order(size: int) -> np.ndarray:
+    """A place from 0 to 65535 for each id of a vocabulary, in random order that
+    prefers rare tokens. Byte-pair vocabularies list frequent tokens first, so the
+    n-th is taken to be n times as rare as the first, and is drawn so much earlier
+    (the smallest of a set is then each token with a chance as its weight)."""
+    ids = np.arange(size, dtype=np.uint64)
+    even = ((mixed(ids) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+    place = np.empty(size, np.int64)
+    place[np.argsort(-np.log(even) / (ids + np.uint64(1)))] = np.arange(size)
+    return place * 65536 // max(size, 1)
+
+
+def route(places: np.ndarray) -> int:
+    """The first ``ROUTE_TOKENS`` different places, as one signed number."""
+    out, least = 0, -1
+    for _ in range(ROUTE_TOKENS):
+        places = places[places > least]
+        least = int(places.min()) if len(places) else 65535
+        out = out << 16 | least
+    return out - 2**63
+
+
 class Index:
     """BM25 over the documents of a shard. Documents with the same words are one
     entry of the posting lists, so copies cost no more than one document."""
 
     def __init__(self, document: np.ndarray, word: np.ndarray, documents: int):
-        """``document`` and ``word`` (a hash) of every word of the shard."""
+        """``document`` (ascending) and ``word`` (a hash) of every word of the shard."""
         lengths = np.bincount(document.astype(np.int64), minlength=documents)
         bags = np.zeros((documents, 2), np.uint64)
+        ends = np.cumsum(lengths)
         for i in range(2):
-            np.add.at(bags[:, i], document, mixed(word, i + 1))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(word, i + 1))))
+            bags[:, i] = sums[ends] - sums[ends - lengths]
         _, of, self.entry, copies = np.unique(bags, axis=0, return_index=True, return_inverse=True, return_counts=True)
         self.entry = self.entry.reshape(-1)
         self.entries = len(of)
@@ -99,8 +135,16 @@ class Index:
         having = np.add.reduceat(copies[self.posting], self.begin) if len(word) else self.size
         idf = np.log1p((documents - having + 0.5) / (having + 0.5))
         self.weight = np.repeat(idf, self.size) * times * (K1 + 1) / (times + norm[self.posting])
-        # Words that name a neighbour, by entry.
+        # Common words as rows with the weights of all entries, which are summed
+        # without looking up each: at most 4 * DENSE_SHARE bytes for each posting.
+        common = np.flatnonzero((self.size * DENSE_SHARE >= self.entries) & (having > 1))
+        self.row = np.full(len(self.size), -1)
+        self.row[common] = np.arange(len(common))
         term = np.repeat(np.arange(len(self.size)), self.size)
+        self.rows = np.zeros((len(common), self.entries), np.float32)
+        at = np.flatnonzero(self.row[term] >= 0)
+        self.rows[self.row[term[at]], self.posting[at]] = self.weight[at]
+        # Words that name a neighbour, by entry.
         at = np.flatnonzero((having > 1)[term])
         at = at[np.argsort(self.posting[at], kind="stable")]
         self.terms = term[at]
@@ -117,10 +161,13 @@ class Index:
         terms = self.terms[self.first[entry] : self.first[entry + 1]]
         if not len(terms):
             return terms, np.zeros(0)
+        row = self.row[terms]
+        dense = self.rows[row[row >= 0]].sum(axis=0)
+        terms = terms[row < 0]
         size = self.size[terms]
         before = np.cumsum(size) - size
         at = np.arange(size.sum()) + np.repeat(self.begin[terms] - before, size)
-        scores = np.bincount(self.posting[at], self.weight[at], self.entries)[self.entry]
+        scores = (dense + np.bincount(self.posting[at], self.weight[at], self.entries))[self.entry]
         found = np.flatnonzero(unused & (scores > 0))
         return found, scores[found]
 
@@ -195,6 +242,24 @@ class Packer:
         return out
 
 
+def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, text_key, route, and ids as little-endian 32-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = tokenizer(vocabulary)
+        place = kept_in_process(("token order", vocabulary), lambda: token_order(encoding.max_token_value + 1))
+        for batch in batches:
+            routes, ids = [], []
+            for body in batch.column("text").to_pylist():
+                own = encoding.encode_to_numpy(body or "", allowed_special="all")
+                routes.append(route(place[own]))
+                ids.append(np.append(own, np.uint32(END)).astype("<u4", copy=False).tobytes())
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(routes, pa.int64()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "route", "ids"])
+
+    return docs.mapInArrow(run, schema_of(docs.select("doc_id", "text_key"), "route long, ids binary"))
+
+
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Pack all documents into sequences of at most ``window`` tokens.
 
@@ -205,21 +270,35 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
     and length (in its document's tokens), ids_crc32 (of the ids as unsigned
     little-endian 32-bit numbers), doc_tokens, sequence_id and offset (in the
     sequence, gapless from 0). Every token is in one piece. All sequences are
-    full but the last few of each partition, whose lengths are powers of two.
+    full but the last few of each range, whose lengths are powers of two.
 
     Null and empty texts are one token, id 0. Repeated rows are packed as often
     as they come, rows with a null doc_id too. An empty table gives no rows;
-    other columns are not looked at.
+    other columns are not looked at. The result is a table in the shared folder,
+    which stays there; that of the ids goes.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
+    with scratch_tables(docs.sparkSession) as keep:
+        ids = write_scanned(tokenised(rows, vocabulary), "token-ids").frame
+        # Rows of one route are told apart by a hash, so that no range has to hold
+        # them all, and their order is the same in a task that is run again.
+        place = ["route", F.xxhash64("doc_id", "text_key"), "doc_id", "text_key"]
+        ranged = ids.repartitionByRange(*place).sortWithinPartitions(*place)
+        written = write_scanned(packed_ranges(ranged, window), "packed-pieces")
+        keep(written.path)
+    return written.frame
+
+
+def packed_ranges(ranged: DataFrame, window: int) -> DataFrame:
+    """Pieces of the documents of each partition, which is packed in its order."""
     schema = schema_of(
-        rows.select("doc_id", "text_key"),
+        ranged.select("doc_id", "text_key"),
         "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         shard, documents, size = [], 0, 0
-        for part in chunks(batches):
+        for part in chunks(batches, "ids"):
             shard.append(part)
             documents, size = documents + part[0].num_rows, size + len(part[1])
             if documents >= SHARD_DOCUMENTS or size >= SHARD_BYTES:
@@ -229,22 +308,16 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
             yield shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(vocabulary)
         packer = Packer(window, TaskContext.get().partitionId() << 33)
         # Columns and tokens of the documents that the open sequence reaches into.
         kept: list[tuple] = []
         for shard in shards(batches):
-            documents, words, ids, begins = [], [], [], [0]
-            for part, data, bounds in shard:
-                found = words_of(LOWER[data], bounds, ALPHANUMERIC)
-                documents.append(found.text_of_word() + (len(begins) - 1))
-                words.append(found.hashes())
-                for body in part.column("text").to_pylist():
-                    own = np.append(encoding.encode_to_numpy(body or "", allowed_special="all"), np.uint32(END)).astype("<u4", copy=False)
-                    ids.append(own)
-                    begins.append(begins[-1] + len(own))
-            tokens = np.diff(begins)
-            packer.pack(Index(np.concatenate(documents), np.concatenate(words), len(tokens)), tokens)
+            # Ids are whole numbers of four bytes.
+            every = np.frombuffer(b"".join(data.tobytes() for _, data, _ in shard), "<u4")
+            tokens = np.concatenate([np.diff(bounds) // 4 for _, _, bounds in shard])
+            ids = np.split(every, np.cumsum(tokens)[:-1])
+            document = np.repeat(np.arange(len(tokens)), tokens)
+            packer.pack(Index(document, mixed(every.astype(np.uint64)), len(tokens)), tokens)
             columns = [pa.chunked_array([part.column(name) for part, _, _ in shard]) for name in ("doc_id", "text_key")]
             open_ = [p for p in packer.pieces if packer.filled and p[3] == packer.sequence]
             done = [p for p in packer.pieces if not (packer.filled and p[3] == packer.sequence)]
@@ -277,4 +350,4 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
             schema.names,
         )
 
-    return rows.mapInArrow(run, schema)
+    return ranged.mapInArrow(run, schema)

@@ -134,8 +134,8 @@ class Words:
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and where each text begins; nulls are empty."""
-    if not pa.types.is_string(column.type):
+    """The bytes of a string or binary column and where each value begins; nulls are empty."""
+    if not (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
         column = column.cast(pa.string())
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)

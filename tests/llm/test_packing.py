@@ -178,3 +178,36 @@ def test_windows_are_filled_by_neighbours():
     assert not tail
     packer.put(9, 7)
     assert [p[2] for p in packer.cut_rest()] == [4, 2, 1]
+
+
+def test_copies_meet_from_any_place(spark, reference):
+    """Copies in distant stretches of the input share a sequence, whatever its order."""
+    random = np.random.default_rng(8)
+    vocabulary = [f"{a}{b}" for a in ("river", "stone", "lamp", "cloud", "field") for b in range(200)]
+    texts = [" ".join(random.choice(vocabulary, 40)) for _ in range(400)]
+    df = documents(spark, texts + texts[::-1]).repartition(8, "doc_id")
+    pieces = pack(df, VOCABULARY).collect()
+    check(df, pieces, reference)
+    own = {}
+    for p in pieces:
+        own.setdefault(p.doc_id, set()).add(p.sequence_id)
+    names = dict(df.select("doc_id", "text").collect())
+    twins = {}
+    for name, text in names.items():
+        twins.setdefault(text, []).append(name)
+    met = [bool(own[a] & own[b]) for a, b in twins.values()]
+    assert len(met) == 400 and sum(met) >= 0.95 * len(met)
+
+
+def test_routes_prefer_rare_tokens():
+    place = packing.token_order(50_000)
+    early = np.flatnonzero(place < 6000)
+    assert place.min() >= 0 and place.max() <= 65535 and (early > 25_000).mean() > 0.6
+    a, b = place[[7, 9, 11]], place[[11, 9, 7, 7, 9]]
+    assert packing.route(a) == packing.route(b) != packing.route(place[[7, 9]])
+    assert -(2**63) <= packing.route(place[:0]) < 2**63
+
+
+def test_texts_of_a_megabyte(spark, reference):
+    df = documents(spark, ["long text " * 100_000, "x " * 500_000, "short", None])
+    check(df, pack(df, VOCABULARY).collect(), reference)
