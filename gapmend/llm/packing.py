@@ -34,9 +34,9 @@ from gapmend.llm.texts import chunks, kept_in_process, mixed, schema_of, text_ke
 from gapmend.shared import scratch_tables
 
 WINDOW = 1024
-# Documents and bytes of ids in a shard, beyond which the next one begins.
+# Documents and tokens in a shard, beyond which the next one begins.
 SHARD_DOCUMENTS = 2048
-SHARD_BYTES = 8 << 20
+SHARD_TOKENS = 2 << 20
 # BM25's usual constants.
 K1, B = 1.2, 0.75
 # Neighbours that are put in order before the rest.
@@ -48,6 +48,9 @@ QUERY_WORDS = sys.maxsize
 DENSE_SHARE = 16
 # Tokens that make a document's route, 16 bits of each.
 ROUTE_TOKENS = 4
+# A document of more windows shares little but its last with others; its route
+# is made of that, for all long ones have many tokens and so the same first ones.
+ROUTE_WINDOWS = 4
 # The token that ends a document.
 END = 0
 # Fixed value: how byte-level BPE cuts a text before it merges.
@@ -242,8 +245,8 @@ class Packer:
         return out
 
 
-def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, text_key, route, and ids as little-endian 32-bit numbers."""
+def tokenised(docs: DataFrame, vocabulary: str, window: int, id_type: str) -> DataFrame:
+    """doc_id, text_key, route, and ids as numbers of the numpy type ``id_type``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tokenizer(vocabulary)
@@ -252,8 +255,8 @@ def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
             routes, ids = [], []
             for body in batch.column("text").to_pylist():
                 own = encoding.encode_to_numpy(body or "", allowed_special="all")
-                routes.append(route(place[own]))
-                ids.append(np.append(own, np.uint32(END)).astype("<u4", copy=False).tobytes())
+                routes.append(route(place[own if len(own) <= ROUTE_WINDOWS * window else own[-window:]]))
+                ids.append(np.append(own, np.uint32(END)).astype(id_type).tobytes())
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(routes, pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "route", "ids"])
 
@@ -278,30 +281,34 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, text: str = "te
     which stays there; that of the ids goes.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
+    # Ids of common vocabularies need two bytes.
+    id_type = "<u2" if tokenizer(vocabulary).max_token_value < 65536 else "<u4"
     with scratch_tables(docs.sparkSession) as keep:
-        ids = write_scanned(tokenised(rows, vocabulary), "token-ids").frame
+        ids = write_scanned(tokenised(rows, vocabulary, window, id_type), "token-ids").frame
         # Rows of one route are told apart by a hash, so that no range has to hold
         # them all, and their order is the same in a task that is run again.
         place = ["route", F.xxhash64("doc_id", "text_key"), "doc_id", "text_key"]
         ranged = ids.repartitionByRange(*place).sortWithinPartitions(*place)
-        written = write_scanned(packed_ranges(ranged, window), "packed-pieces")
+        written = write_scanned(packed_ranges(ranged, window, id_type), "packed-pieces")
         keep(written.path)
     return written.frame
 
 
-def packed_ranges(ranged: DataFrame, window: int) -> DataFrame:
+def packed_ranges(ranged: DataFrame, window: int, id_type: str) -> DataFrame:
     """Pieces of the documents of each partition, which is packed in its order."""
     schema = schema_of(
         ranged.select("doc_id", "text_key"),
         "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )
 
+    width = np.dtype(id_type).itemsize
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         shard, documents, size = [], 0, 0
         for part in chunks(batches, "ids"):
             shard.append(part)
-            documents, size = documents + part[0].num_rows, size + len(part[1])
-            if documents >= SHARD_DOCUMENTS or size >= SHARD_BYTES:
+            documents, size = documents + part[0].num_rows, size + len(part[1]) // width
+            if documents >= SHARD_DOCUMENTS or size >= SHARD_TOKENS:
                 yield shard
                 shard, documents, size = [], 0, 0
         if shard:
@@ -312,9 +319,8 @@ def packed_ranges(ranged: DataFrame, window: int) -> DataFrame:
         # Columns and tokens of the documents that the open sequence reaches into.
         kept: list[tuple] = []
         for shard in shards(batches):
-            # Ids are whole numbers of four bytes.
-            every = np.frombuffer(b"".join(data.tobytes() for _, data, _ in shard), "<u4")
-            tokens = np.concatenate([np.diff(bounds) // 4 for _, _, bounds in shard])
+            every = np.frombuffer(b"".join(data.tobytes() for _, data, _ in shard), id_type)
+            tokens = np.concatenate([np.diff(bounds) // width for _, _, bounds in shard])
             ids = np.split(every, np.cumsum(tokens)[:-1])
             document = np.repeat(np.arange(len(tokens)), tokens)
             packer.pack(Index(document, mixed(every.astype(np.uint64)), len(tokens)), tokens)
@@ -337,7 +343,7 @@ def packed_ranges(ranged: DataFrame, window: int) -> DataFrame:
         crc, total, names, keys = [], [], [], []
         for piece in pieces:
             name, key, own = carried(piece, columns, ids, kept)
-            crc.append(zlib.crc32(own[piece[1] : piece[1] + piece[2]].tobytes()))
+            crc.append(zlib.crc32(own[piece[1] : piece[1] + piece[2]].astype("<u4").tobytes()))
             total.append(len(own))
             names.append(name)
             keys.append(key)
