@@ -4,10 +4,13 @@ The first step is always a count per key, which needs the key columns only
 and reduces hot keys inside each task. The duplicated keys, normally few, are
 written to the shared folder; later steps look at their rows alone.
 
-No step sorts or collects the copies of a key in one task. Copies are counted
-per key and day (and file) before any window, so a window sees one row per
-day, and the surviving copy is chosen by an aggregate that each task applies
-to its own rows first. Rows whose key has a NULL part are never duplicates.
+No step sorts or collects the copies of a hot key in one task. While no key has
+more than ``HOT_ROWS`` copies, rows of duplicated keys are shuffled by key once:
+a Bloom filter drops the others where they are read, and the rows are counted or
+ordered where they arrive. Above that, copies are counted per key and day (and
+file) before any window or shuffle, and the surviving copy is chosen by an
+aggregate that each task applies to its own rows first. Rows whose key has a
+NULL part are never duplicates.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql.types import AtomicType, VariantType
 
 from gapmend.functions.columns import any_null, as_list, named, none_null, quoted
 from gapmend.operators.gaps import Keys, key_coverage
-from gapmend.operators.joins import join_unique
+from gapmend.operators.joins import HOT_ROWS, join_unique, row_filter
 from gapmend.shared import Written, broadcast_limit, write_shared
 
 # Copies of a key on one day that one task numbers.
@@ -67,6 +70,47 @@ def copies_by(
     )
 
 
+def counts_are_sent(duplicates: Written) -> bool:
+    """Whether counts have to be shuffled instead of rows, for a key is hot."""
+    return not duplicates.fits_broadcast() and most_copies(duplicates) > HOT_ROWS
+
+
+# A number of the whole key, for the filter that Spark makes of a join's first column.
+HASH = "_key_hash"
+
+
+def _hash(df: DataFrame, keys: list[str]):
+    """The number of a key; keys that are equal by a collation share but one."""
+    types = [f.dataType for f in df.select(*map(named, keys)).schema.fields]
+    plain = all(isinstance(t, AtomicType) and "collate" not in t.simpleString() for t in types)
+    return F.xxhash64(*map(named, keys)) if plain else F.lit(0).cast("bigint")
+
+
+def rows_of(df: DataFrame, keys: list[str], duplicates: Written) -> DataFrame:
+    """The rows of duplicated keys and ``HASH``; those of one key meet in one task.
+
+    To be run within :func:`row_filter`.
+    """
+    right = duplicates.frame.where(F.col("copies") > 1)
+    right = right.select(_hash(right, keys).alias(HASH), *map(named, keys))
+    how = "broadcast" if duplicates.fits_broadcast() else "merge"
+    return df.withColumn(HASH, _hash(df, keys)).join(right.hint(how), [HASH, *keys], "left_semi")
+
+
+def _counted(df: DataFrame, keys: list[str], by: list[str], duplicates: Written) -> DataFrame:
+    rows = rows_of(df, keys, duplicates)
+    return rows.groupBy(HASH, *map(named, keys), *map(named, by)).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def write_copies(df: DataFrame, keys: list[str], by: list[str], duplicates: Written) -> Written:
+    """:func:`copies_by` as a table."""
+    if duplicates.fits_broadcast() or counts_are_sent(duplicates):
+        return write_shared(copies_by(df, keys, by, duplicates), "copies", narrow=True)
+    columns = [*map(named, keys), *map(named, by), "copies"]
+    with row_filter(duplicates):
+        return write_shared(_counted(df, keys, by, duplicates).select(*columns), "copies", narrow=True)
+
+
 def number_copies(copies: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Turn copies per key and day into the numbers of the extra copies."""
     in_order = Window.partitionBy(*map(named, keys)).orderBy(named(day))
@@ -95,7 +139,13 @@ def duplicate_occurrences(
     """
     keys = as_list(keys)
     duplicates = duplicates or find_duplicates(df, keys)
-    return number_copies(copies_by(df, keys, [day], duplicates), keys, day)
+    return number_copies(_copies(df, keys, day, duplicates), keys, day)
+
+
+def _copies(df: DataFrame, keys: list[str], day: str, duplicates: Written) -> DataFrame:
+    if duplicates.fits_broadcast():
+        return copies_by(df, keys, [day], duplicates)
+    return write_copies(df, keys, [day], duplicates).frame
 
 
 def number_rows(
@@ -115,7 +165,7 @@ def number_rows(
     keys = as_list(keys)
     duplicates = duplicates or find_duplicates(df, keys)
     rows = df.join(duplicates.for_join(), keys, "left_semi")
-    per_day = copies_by(df, keys, [day], duplicates)
+    per_day = _copies(df, keys, day, duplicates)
     earlier = Window.partitionBy(*map(named, keys)).orderBy(named(day)).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("copies").over(earlier), F.lit(0))
     per_day = per_day.select(*map(named, keys), named(day), "copies", before.alias("_before"))
@@ -198,18 +248,23 @@ def duplicate_files(
         duplicates = duplicates or find_duplicates(df, keys)
         if source is not None:
             duplicates = _known_to(source, keys, shared, duplicates)
-    per_file = copies_by(df, keys, [day, filename], duplicates)
-    place = F.struct(named(day), named(filename))
-    # A key's smallest place is found by an aggregate, not by a window over all
-    # its files, and a key in very many files is joined apart.
-    first = per_file.groupBy(*map(named, keys)).agg(F.min(place).alias("first_place"))
-    extra = F.col("copies") - F.when(place.eqNullSafe(F.col("first_place")), 1).otherwise(0)
-    return (
-        join_unique(per_file, first, keys, "inner", most_copies(duplicates))
-        .withColumn("extra_rows", extra)
-        .where(F.col("extra_rows") > 0)
-        .select(*map(named, keys), named(day), named(filename), "extra_rows")
-    )
+    columns = [*map(named, keys), named(day), named(filename)]
+    if counts_are_sent(duplicates):
+        per_file = write_copies(df, keys, [day, filename], duplicates).frame
+        place = F.struct(named(day), named(filename))
+        # A key's smallest place is found by an aggregate, not by a window over all
+        # its files, and a key in very many files is joined apart.
+        first = per_file.groupBy(*map(named, keys)).agg(F.min(place).alias("first_place"))
+        rows = join_unique(per_file, first, keys, "inner", most_copies(duplicates))
+        is_first = place.eqNullSafe(F.col("first_place"))
+    else:
+        rows = _counted(df, keys, [day, filename], duplicates)
+        is_first = F.row_number().over(Window.partitionBy(HASH, *map(named, keys)).orderBy(named(day), named(filename))) == 1
+    extra = rows.withColumn("extra_rows", F.col("copies") - F.when(is_first, 1).otherwise(0))
+    extra = extra.where(F.col("extra_rows") > 0).select(*columns, "extra_rows")
+    # Written, so that a sort of the result does not compute it twice.
+    with row_filter(duplicates):
+        return write_shared(extra, "duplicate-files", narrow=True).frame
 
 
 def survivors(df: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFrame:
@@ -263,11 +318,16 @@ def losers(df: DataFrame, keys: list[str], order_by: Sequence[str], duplicates:
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     columns = dict.fromkeys([*keys, *order_by])
     narrow = df.select(*map(named, columns), *place)
-    rows = join_unique(narrow, duplicates, keys, "left_semi", most_copies(duplicates))
-    rows = write_shared(rows, "duplicate-places", narrow=True)
-    order = F.struct(*(named(c).alias(f"_{i}") for i, c in enumerate(order_by)), "_file", "_row")
-    first = rows.frame.groupBy(*map(named, keys)).agg(F.min(order).alias("_first")).select("_first._file", "_first._row")
-    gone = rows.frame.select("_file", "_row").join(first, ["_file", "_row"], "left_anti")
+    order = [*(named(c).alias(f"_{i}") for i, c in enumerate(order_by)), "_file", "_row"]
+    rows = None
+    if counts_are_sent(duplicates):
+        rows = join_unique(narrow, duplicates, keys, "left_semi", most_copies(duplicates))
+        rows = write_shared(rows, "duplicate-places", narrow=True)
+        first = rows.frame.groupBy(*map(named, keys)).agg(F.min(F.struct(*order)).alias("_first")).select("_first._file", "_first._row")
+        gone = rows.frame.select("_file", "_row").join(first, ["_file", "_row"], "left_anti")
+    else:
+        in_order = Window.partitionBy(HASH, *map(named, keys)).orderBy(*map(named, order_by), "_file", "_row")
+        gone = rows_of(narrow, keys, duplicates).withColumn("_place", F.row_number().over(in_order)).where("_place > 1")
     row = F.col("_row")
     word = F.shiftright(row.bitwiseAND(F.lit(BLOCK_ROWS - 1)), 6).cast("int")
     bit = F.expr("shiftleft(1L, CAST(_row & 63 AS INT))")
@@ -277,8 +337,10 @@ def losers(df: DataFrame, keys: list[str], order_by: Sequence[str], duplicates:
     held = words.groupBy("file", "block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
     numbers = F.sequence(F.lit(0), F.lit(BLOCK_ROWS // 64 - 1))
     every = F.transform(numbers, lambda w: F.coalesce(F.try_element_at("held", w), F.lit(0).cast("bigint")))
-    blocks = write_shared(held.select("file", "block", every.alias("words")), "loser-blocks")
-    rows.drop()
+    with row_filter(duplicates):
+        blocks = write_shared(held.select("file", "block", every.alias("words")), "loser-blocks", narrow=True)
+    if rows is not None:
+        rows.drop()
     return blocks
 
 

@@ -43,6 +43,21 @@ def runtime_filter(right: Written):
         yield
 
 
+@contextmanager
+def row_filter(right: Written):
+    """:func:`runtime_filter` for scans of any size, by the first column of a join,
+    where ``right`` is not broadcast."""
+    if right.fits_broadcast():
+        yield
+        return
+    settings = {
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtimeFilter.number.threshold": "1",
+    }
+    with runtime_filter(right), session_conf(right.frame.sparkSession, settings):
+        yield
+
+
 @contextmanager
 def hot_keys(df: DataFrame, keys: list[str]):
     """The keys that hold many rows of ``df``, ``None`` if there are none.

@@ -11,6 +11,9 @@ from gapmend.operators import (
     duplicate_occurrences,
     number_rows,
 )
+from gapmend.operators import duplicates as steps
+from gapmend.operators.duplicates import find_duplicates, rows_of
+from gapmend.operators.joins import row_filter
 from gapmend.shared import fresh_path, session_conf
 from gapmend.sinks import append_dynamic, create_table, rewrite_duplicates
 from tests.tables import contents, day_table, ids
@@ -195,3 +198,34 @@ def test_numbers_follow_the_order_at_every_limit(spark, monkeypatch, limit):
         own = sorted((r[1:] for r in rows if r[0] == k), key=lambda r: (r[0] or "", r[1:]))
         wanted |= {(k, n + 1): r for n, r in enumerate(own) if n}
     assert found == wanted
+
+
+def test_rows_of_duplicated_keys_are_sent_once(spark):
+    """Keys too many to broadcast: others are filtered where they are read, whole
+    keys at once, and the result does not depend on the way."""
+    path = fresh_path(spark, "many-keys")
+    rows = spark.range(4000).selectExpr("id % 60 AS a", "id % 61 AS b", "CAST(id % 3 AS STRING) AS day", "CONCAT('f', id % 2) AS filename")
+    rows.write.parquet(path)
+    df = spark.read.parquet(path)
+    want = listed(duplicate_files(df, ["a", "b"]))
+    assert len(want) > 100
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert listed(duplicate_files(df, ["a", "b"])) == want
+        found = find_duplicates(df, ["a", "b"])
+        with row_filter(found):
+            kept = rows_of(df, ["a", "b"], found)
+            plan = kept._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("might_contain(") == 1
+            assert kept.count() == 2 * found.rows
+
+
+@pytest.mark.parametrize("hot", [1, 1_000_000])
+def test_losers_do_not_depend_on_hot_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(steps, "HOT_ROWS", hot)
+    path = fresh_path(spark, "losers")
+    spark.range(3000).selectExpr("id % 700 AS k", "id % 7 AS v", "CAST(id % 3 AS STRING) AS day").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = find_duplicates(df, "k")
+    gone = steps.losers(df, ["k"], ["day", "v"], found)
+    kept = steps.without_losers(df, gone)
+    assert listed(kept) == listed(dedup(df, "k", ["day", "v"])) and kept.count() == 700
