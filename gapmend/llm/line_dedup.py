@@ -107,9 +107,8 @@ def _written_ranks(rows: DataFrame, keys: list[str]) -> Written:
     return level
 
 
-def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
+def later_copies(lines: DataFrame, levels: list[Written], min_lines: int) -> DataFrame:
     """doc_id, text_key, start and end (in lines) of the runs to delete."""
-    levels = repeated_prefixes(lines)
     deep = [
         level.frame.filter("later").select(*PLACE, (F.col("line") + (1 << k)).alias("end"))
         for k, level in enumerate(levels) if 1 << k >= min_lines
@@ -125,7 +124,8 @@ def later_copies(lines: DataFrame, min_lines: int) -> DataFrame:
 
 
 def line_dedup(
-    docs: DataFrame, min_lines: int = 2, text: str = "text", doc_id: str = "doc_id", keep: Sequence[str] = ()
+    docs: DataFrame, min_lines: int = 2, text: str = "text", doc_id: str = "doc_id", keep: Sequence[str] = (),
+    long_lines: int | None = None,
 ) -> DataFrame:
     """Delete later copies of runs of ``min_lines`` or more lines.
 
@@ -134,7 +134,9 @@ def line_dedup(
     further up in the same one. ``min_lines`` is a power of two. Returns a row
     for each row of ``docs``: doc_id, text_key, n_lines (not blank), n_removed,
     n_runs, longest_run (in lines), text, its other lines in their order, and
-    others, a struct of the columns that ``keep`` names, if any.
+    others, a struct of the columns that ``keep`` names, if any. With ``long_lines``,
+    a greater power of two, n_long_removed, n_long_runs, longest_long_run and
+    long_text say the same of runs of so many lines alone.
 
     Blank lines are never deleted. A text that loses nothing is unchanged, and
     null stays null with no lines. Rows that agree in doc_id and text are one
@@ -144,12 +146,18 @@ def line_dedup(
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines is a power of two")
+    if long_lines is not None and (long_lines <= min_lines or long_lines & (long_lines - 1)):
+        raise ValueError("long_lines is a power of two greater than min_lines")
     others = F.struct(*map(named, keep)).alias("others") if keep else F.lit(None).alias("others")
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"), others)
     with scratch_tables(docs.sparkSession) as keep_table:
         lines = write_shared(line_table(rows), "lines")
-        runs = later_copies(lines.frame, min_lines).groupBy(*DOCUMENT).agg(
-            F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs")
+        levels = repeated_prefixes(lines.frame)
+        asked = {"runs": min_lines} | ({"long_runs": long_lines} if long_lines else {})
+        found = [later_copies(lines.frame, levels, m).withColumn("of", F.lit(name)) for name, m in asked.items()]
+        run = F.struct("start", "end")
+        runs = reduce(DataFrame.unionByName, found).groupBy(*DOCUMENT).agg(
+            *[F.sort_array(F.collect_list(F.when(F.col("of") == name, run))).alias(name) for name in asked]
         )
         runs = write_shared(runs, "line-runs")
         keep_table(runs.path)
@@ -160,14 +168,25 @@ def line_dedup(
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     full = F.filter(numbers, lambda i: ~is_blank(F.col("lines")[i]))
     found = found.withColumn("full", F.coalesce(F.when(F.col("text").isNotNull(), full), F.array().cast("array<int>")))
-    gone = F.flatten(F.transform("runs", lambda r: F.slice("full", r["start"] + 1, r["end"] - r["start"])))
-    kept = F.transform(F.array_except(numbers, gone), lambda i: F.col("lines")[i])
-    sizes = F.coalesce(F.transform("runs", lambda r: r["end"] - r["start"]), F.array().cast("array<int>"))
+
+    def without(name: str) -> list[Column]:
+        """Lines of the runs, their number, the longest, and the text without them."""
+        runs = F.col(name)
+        gone = F.flatten(F.transform(runs, lambda r: F.slice("full", r["start"] + 1, r["end"] - r["start"])))
+        kept = F.transform(F.array_except(numbers, gone), lambda i: F.col("lines")[i])
+        sizes = F.coalesce(F.transform(runs, lambda r: r["end"] - r["start"]), F.array().cast("array<int>"))
+        return [
+            F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b),
+            F.size(sizes).cast("bigint"),
+            F.coalesce(F.array_max(sizes), F.lit(0)).cast("bigint"),
+            F.when(F.coalesce(F.size(runs), F.lit(0)) <= 0, F.col("text")).otherwise(F.array_join(kept, "\n")),
+        ]
+
+    names = ["n_removed", "n_runs", "longest_run", "text"]
+    long_names = ["n_long_removed", "n_long_runs", "longest_long_run", "long_text"]
     return found.select(
         *DOCUMENT, F.size("full").cast("bigint").alias("n_lines"),
-        F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_removed"),
-        F.size(sizes).cast("bigint").alias("n_runs"),
-        F.coalesce(F.array_max(sizes), F.lit(0)).cast("bigint").alias("longest_run"),
-        F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        *[c.alias(n) for c, n in zip(without("runs"), names)],
+        *([c.alias(n) for c, n in zip(without("long_runs"), long_names)] if long_lines else []),
         *([F.col("others")] if keep else []),
     )

@@ -23,33 +23,55 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS q
             FROM split WHERE regexp_matches(line, '\S')
         ),
-        gone AS (
+        pairs AS (
+            SELECT doc_id, q, line, lead(line) OVER (PARTITION BY doc_id ORDER BY q) AS following
+            FROM full_lines
+        ),
+        copies AS (
             SELECT doc_id, q FROM (
+                SELECT *, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, q) AS n
+                FROM pairs WHERE following IS NOT NULL
+            )
+            WHERE n > 1
+        ),
+        gone AS (
+            SELECT 1 AS m, doc_id, q FROM (
                 SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, q) AS n FROM full_lines
             )
             WHERE n > 1
+            UNION ALL
+            SELECT DISTINCT 2 AS m, doc_id, q + step AS q FROM copies, (VALUES (0), (1)) s(step)
         ),
         runs AS (
-            SELECT doc_id, count(*) AS n FROM (
-                SELECT doc_id, q - row_number() OVER (PARTITION BY doc_id ORDER BY q) AS island FROM gone
+            SELECT m, doc_id, count(*) AS n FROM (
+                SELECT m, doc_id, q - row_number() OVER (PARTITION BY m, doc_id ORDER BY q) AS island FROM gone
             )
-            GROUP BY doc_id, island
+            GROUP BY m, doc_id, island
+        ),
+        found AS (
+            SELECT m, doc_id, count(*) AS n, CAST(sum(n) AS BIGINT) AS removed, max(n) AS longest
+            FROM runs GROUP BY m, doc_id
         ),
         kept AS (
-            SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.p) AS text
-            FROM split s LEFT JOIN full_lines f USING (doc_id, p) LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.q = f.q
+            SELECT v.m, s.doc_id, string_agg(s.line, chr(10) ORDER BY s.p) AS text
+            FROM split s CROSS JOIN (VALUES (1), (2)) v(m)
+            LEFT JOIN full_lines f ON f.doc_id = s.doc_id AND f.p = s.p
+            LEFT JOIN gone g ON g.m = v.m AND g.doc_id = f.doc_id AND g.q = f.q
             WHERE g.q IS NULL
-            GROUP BY s.doc_id
+            GROUP BY v.m, s.doc_id
         )
-        SELECT d.doc_id, coalesce(l.n, 0) AS n_lines, CAST(coalesce(r.removed, 0) AS BIGINT) AS n_removed,
+        SELECT d.doc_id, coalesce(l.n, 0) AS n_lines, coalesce(r.removed, 0) AS n_removed,
                coalesce(r.n, 0) AS n_runs, coalesce(r.longest, 0) AS longest_run,
-               CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
+               CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256,
+               coalesce(r2.removed, 0) AS n_long_removed, coalesce(r2.n, 0) AS n_long_runs,
+               coalesce(r2.longest, 0) AS longest_long_run,
+               CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k2.text, '')) END AS long_kept_sha256
         FROM documents d
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM full_lines GROUP BY doc_id) l USING (doc_id)
-        LEFT JOIN (
-            SELECT doc_id, count(*) AS n, sum(n) AS removed, max(n) AS longest FROM runs GROUP BY doc_id
-        ) r USING (doc_id)
-        LEFT JOIN kept k USING (doc_id)
+        LEFT JOIN found r ON r.m = 1 AND r.doc_id = d.doc_id
+        LEFT JOIN found r2 ON r2.m = 2 AND r2.doc_id = d.doc_id
+        LEFT JOIN kept k ON k.m = 1 AND k.doc_id = d.doc_id
+        LEFT JOIN kept k2 ON k2.m = 2 AND k2.doc_id = d.doc_id
     """,
     "op2_decontamination": f"""
         WITH items AS (

@@ -30,9 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"), 1)
+    kept = line_dedup(table(spark, sf_dir, "documents"), 1, long_lines=2)
     return kept.select(
-        "doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256")
+        "doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("text", 256).alias("kept_sha256"),
+        "n_long_removed", "n_long_runs", "longest_long_run", F.sha2("long_text", 256).alias("long_kept_sha256"),
     )
 
 

@@ -95,3 +95,16 @@ def test_only_the_runs_stay(spark):
     left = set(folder_names(spark, f"{shared_dir(spark)}/gapmend")) - before
     assert [name.rsplit("-", 1)[0] for name in left] == ["line-runs"]
     assert sorted(r.n_removed for r in out.collect()) == [0, 2, 3]
+
+
+def test_long_runs_are_told_apart(spark):
+    """Single lines go, and runs of two are still found as runs."""
+    df = documents(spark, ["a\nb\nc", "a\nx\nb\nc\nc", "c\n\na\nb", "y", None, ""], extra=False)
+    rows = line_dedup(df, 1, long_lines=2).collect()
+    for m, names in ((1, ("n_removed", "text")), (2, ("n_long_removed", "long_text"))):
+        assert {(r.doc_id, r.text_key): (r.n_lines, *(r[n] for n in names)) for r in rows} == wanted(df, m)
+    assert sorted((r.n_runs, r.longest_run, r.n_long_runs, r.longest_long_run) for r in rows if r.n_runs) == [
+        (1, 3, 1, 2), (2, 3, 1, 2)
+    ]
+    with pytest.raises(ValueError, match="greater than min_lines"):
+        line_dedup(df, 2, long_lines=2)
