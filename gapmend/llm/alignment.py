@@ -11,27 +11,37 @@ Corpus counts of linked ids are looked up without a join of all links. Texts are
 worked on in blocks of some megabytes; a block holds its links as one more sparse
 matrix, documents by the distinct id pairs of the block. Only the distinct pairs
 of each block are counted, joined with their counts and brought back, and the
-product of matrix and counts is what each document needs.
+product of matrix and counts is what each document needs. A row of a table holds
+one document or a stretch of pairs, never a block, so that the memory of a task
+does not depend on the size of blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from gapmend.llm.packing import tokenizer
 from gapmend.llm.texts import CHUNK_BYTES, chunks, kept_in_process, schema_of, text_key, write_scanned
-from gapmend.shared import Written, write_shared
+from gapmend.shared import Written, session_conf, write_shared
 
 # Bytes of text in a block, whose distinct pairs are looked up together.
 BLOCK_BYTES = 2 << 20
+# Bytes that a text counts for in a block besides its own.
+ROW_BYTES = 64
+# Pairs of a block's list in a row.
+PAIRS_IN_ROW = 4096
+# Rows that a scan decodes at once: texts and lists of links are long.
+SCAN_ROWS = 256
 # Fixed value: what stands for a space in pieces.
 SPACE = "▁"
 
@@ -242,36 +252,45 @@ OWN = "n_a:bigint, n_b:bigint, n_groups:bigint, n_links:bigint, n_shared:bigint,
 
 
 def blocks_of(rows: DataFrame, byte_level: str, pieces: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row for each block of texts: its name, the documents with their own
-    figures, and their links as a matrix of documents by pairs: where each row
-    begins, the columns (places in pairs) and values (links). ``holders`` counts
-    the documents of the block that hold a pair, which is a number made of both
-    ids."""
+    """Blocks of texts, with their links as a matrix of documents by pairs, where
+    a pair is a number made of both ids. Rows are of two kinds, and small however
+    much is in a block. Those of documents have their own figures and a row of the
+    matrix: the columns (places in the block's list of pairs) and values (links).
+    Others have a stretch of that list, from place ``begin``, and ``holders``, the
+    documents of the block that hold a pair."""
     name, key = (rows.schema[c].dataType.simpleString() for c in ("doc_id", "text_key"))
     schema = (
-        f"block string, docs array<struct<doc_id:{name}, text_key:{key}, {OWN}>>, begins array<int>, places array<int>,"
-        " times array<int>, pairs array<bigint>, holders array<int>"
+        f"block bigint, doc struct<doc_id:{name}, text_key:{key}, {OWN}>, places array<int>, times array<int>,"
+        " begin int, pairs array<bigint>, holders array<int>"
     )
+    names = ["block", "doc", "places", "times", "begin", "pairs", "holders"]
+    int_list, long_list = pa.list_(pa.int32()), pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(byte_level, pieces)
         width = len(pair.b.tokens)
+        # No two tasks of a stage have the same partition.
+        blocks = itertools.count(TaskContext.get().partitionId() << 32)
 
-        def emit(done: list[tuple]) -> pa.RecordBatch:
+        def lists(bounds: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
+
+        def emit(done: list[tuple]) -> Iterator[pa.RecordBatch]:
+            block = next(blocks)
             pairs = np.unique(np.concatenate([d[1] for d in done]))
-            places = np.searchsorted(pairs, np.concatenate([d[1] for d in done]))
-            times, counts = (np.concatenate([d[i] for d in done]) for i in (2, 3))
-            begins = np.concatenate(([0], np.cumsum(counts)))
-            docs = pa.concat_arrays([d[0] for d in done])
-            one = [
-                pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-                for x in (
-                    docs, pa.array(begins, pa.int32()), pa.array(places, pa.int32()), pa.array(times, pa.int32()),
-                    pa.array(pairs), pa.array(np.bincount(places, minlength=len(pairs)), pa.int32()),
-                )
-            ]
-            names = ["block", "docs", "begins", "places", "times", "pairs", "holders"]
-            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *one], names)
+            found = np.zeros(len(pairs), np.int64)
+            for docs, held, times, counts in done:
+                n, places = len(docs), np.searchsorted(pairs, held)
+                # A document has a pair once at most.
+                found += np.bincount(places, minlength=len(pairs))
+                begins = np.concatenate(([0], np.cumsum(counts)))
+                one = [pa.array(np.full(n, block)), docs, lists(begins, places, pa.int32()), lists(begins, times, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*one, *(pa.nulls(n, t) for t in (pa.int32(), long_list, int_list))], names)
+            begins = np.arange(0, len(pairs), PAIRS_IN_ROW)
+            n, bounds = len(begins), np.append(begins, len(pairs))
+            one = [pa.array(np.full(n, block)), *(pa.nulls(n, t) for t in (done[0][0].type, int_list, int_list))]
+            two = [pa.array(begins, pa.int32()), lists(bounds, pairs, pa.int64()), lists(bounds, found, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*one, *two], names)
 
         done, held = [], 0
         for part, data, _ in chunks(batches):
@@ -296,12 +315,12 @@ def blocks_of(rows: DataFrame, byte_level: str, pieces: str, block_bytes: int =
             entry, times = np.unique(doc_link * max(len(distinct), 1) + place, return_counts=True)
             doc, place = entry // max(len(distinct), 1), entry % max(len(distinct), 1)
             done.append((docs, distinct[place], times, counted_by(doc, None, n)))
-            held += len(data)
+            held += len(data) + ROW_BYTES * n
             if held >= block_bytes:
-                yield emit(done)
+                yield from emit(done)
                 done, held = [], 0
         if done:
-            yield emit(done)
+            yield from emit(done)
 
     return rows.mapInArrow(run, schema)
 
@@ -326,39 +345,44 @@ def align_tokenizers(
     document, repeated ones too. An empty table gives no rows; other columns are
     not looked at.
     """
+    with session_conf(docs.sparkSession, {"spark.sql.parquet.columnarReaderBatchSize": str(SCAN_ROWS)}):
+        return _aligned(docs, byte_level, pieces, text, doc_id, block_bytes)
+
+
+def _aligned(docs: DataFrame, byte_level: str, pieces: str, text: str, doc_id: str, block_bytes: int) -> DataFrame:
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     made: list[Written] = [write_scanned(blocks_of(rows, byte_level, pieces, block_bytes), "token-blocks")]
     blocks = made[0].frame
     width = sentencepiece.SentencePieceProcessor(model_file=pieces).get_piece_size()
-    each = blocks.select(F.explode(F.arrays_zip("pairs", "holders")).alias("x")).select("x.pairs", "x.holders")
+    lists = blocks.where("begin IS NOT NULL")
+    each = lists.select(F.explode(F.arrays_zip("pairs", "holders")).alias("x")).select("x.pairs", "x.holders")
     counts = each.groupBy(F.col("pairs").alias("pair")).agg(F.sum("holders").alias("n"))
     made.append(write_shared(counts.withColumn("a", F.floor(F.col("pair") / width).cast("bigint")), "pair-counts"))
     counts = made[-1].frame
     # At most one row for each entry of A's vocabulary.
     best = F.broadcast(counts.groupBy("a").agg(F.max("n").alias("most")))
     counts = counts.join(best, "a").select("pair", F.col("n"), (F.col("n") == F.col("most")).alias("best"))
-    asked = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
-    answers = asked.join(counts.hint("shuffle_hash"), "pair").groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("place", "n", "best"))).alias("answers")
-    )
-    answers = answers.select("block", F.col("answers.n").alias("n"), F.col("answers.best").alias("best"))
-    joined = blocks.drop("pairs", "holders").join(answers.hint("shuffle_merge"), "block", "left")
-    of = blocks.schema["docs"].dataType.elementType
-    schema = schema_of(blocks.select(F.explode("docs").alias("x")).select("x.*"), "n_best long, count_sum long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = {name: batch.column(name).slice(i, 1).flatten() for name in ("docs", "begins", "places", "times", "n", "best")}
-                begins, places, times, n = (one[c].to_numpy() for c in ("begins", "places", "times", "n"))
-                best = one["best"].to_numpy(zero_copy_only=False).astype(np.int64)
-                sums = []
-                for values in (best, n):
-                    total = np.concatenate(([0], np.cumsum(times * (values[places] if len(places) else 0))))
-                    sums.append(pa.array((total[begins[1:]] - total[begins[:-1]]).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([*one["docs"].flatten(), *sums], [*of.names, "n_best", "count_sum"])
-
-    result = write_scanned(joined.mapInArrow(run, schema), "token-alignment").frame
+    asked = lists.select("block", "begin", F.posexplode("pairs").alias("at", "pair"))
+    asked = asked.select("block", (F.col("begin") + F.col("at")).alias("place"), "pair")
+    answers = asked.join(counts.hint("shuffle_hash"), "pair").select(F.col("block").alias("for_block"), "place", "n", "best")
+    texts = blocks.where("doc IS NOT NULL").select("block", "doc.*", "places", "times")
+    figures = texts.drop("block", "places", "times")
+    schema, own = schema_of(figures, "n_best long, count_sum long"), figures.columns
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        places, times = (pc.list_flatten(texts[c]).to_numpy() for c in ("places", "times"))
+        begins = np.concatenate(([0], np.cumsum(pc.list_value_length(texts["places"]).to_numpy())))
+        sums = []
+        for name in ("best", "n"):
+            values = np.zeros(answers.num_rows, np.int64)
+            if len(values):
+                values[answers["place"].to_numpy()] = answers[name].to_numpy()
+            total = np.concatenate(([0], np.cumsum(times * values[places])))
+            sums.append(pa.array(total[begins[1:]] - total[begins[:-1]], pa.int64()))
+        return pa.Table.from_arrays([*(texts[c] for c in own), *sums], [*own, "n_best", "count_sum"])
+
+    joined = texts.groupBy("block").cogroup(answers.groupBy("for_block")).applyInArrow(run, schema)
+    result = write_scanned(joined, "token-alignment").frame
     for table in made:
         table.drop()
     return result

@@ -8,6 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from gapmend.llm import alignment
 from gapmend.llm.alignment import Matrix, align, align_tokenizers, alignments, intervals, product_sizes, row_products
 from tests.llm.cases import as_counter, documents, odd_documents
 
@@ -111,6 +112,29 @@ def test_empty_table(spark):
     assert align_tokenizers(documents(spark, [None, ""]), A, B).filter("n_a = 0 AND groups_sha256 = ''").count() == 2
 
 
+def test_no_row_grows_with_its_block(spark, spell, monkeypatch):
+    """What a step writes has one text or a stretch of pairs in a row, though all
+    texts are in one block."""
+    texts = [(i, " ".join(f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in chr(97 + i % 26) + chr(97 + i % 23))) for i in range(700)]
+    df, most = documents(spark, texts, False).coalesce(1), {}
+
+    def spy(write):
+        def written(rows, label, *rest, **options):
+            done = write(rows, label, *rest, **options)
+            sizes = [F.max(F.length(F.to_json(c))) for c, kind in done.frame.dtypes if kind.startswith(("array", "struct"))]
+            most[label] = max([x or 0 for x in done.frame.agg(F.count("*"), *sizes).first()[1:]], default=0)
+            return done
+
+        return written
+
+    for name in ("write_scanned", "write_shared"):
+        monkeypatch.setattr(alignment, name, spy(getattr(alignment, name)))
+    found = align_tokenizers(df, A, B)
+    assert dict(found.select("doc_id", "n_a").collect()) == {i: len(spell(t)[0]) for i, t in texts}
+    # The figures of 700 texts are more than 100,000 characters.
+    assert {"token-blocks", "pair-counts", "token-alignment"} == set(most) and max(most.values()) < 50_000
+
+
 def test_a_table(spark, spell):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) < 1500")
     texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
