@@ -15,7 +15,8 @@ NULL part are never duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
@@ -102,13 +103,22 @@ def _counted(df: DataFrame, keys: list[str], by: list[str], duplicates: Written)
     return rows.groupBy(HASH, *map(named, keys), *map(named, by)).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def write_copies(df: DataFrame, keys: list[str], by: list[str], duplicates: Written) -> Written:
-    """:func:`copies_by` as a table."""
+@contextmanager
+def copies_to_write(df: DataFrame, keys: list[str], by: list[str], duplicates: Written) -> Iterator[DataFrame]:
+    """:func:`copies_by`, to be written in the body: while no key is hot, rows are
+    filtered where they are read."""
     if duplicates.fits_broadcast() or counts_are_sent(duplicates):
-        return write_shared(copies_by(df, keys, by, duplicates), "copies", narrow=True)
+        yield copies_by(df, keys, by, duplicates)
+        return
     columns = [*map(named, keys), *map(named, by), "copies"]
     with row_filter(duplicates):
-        return write_shared(_counted(df, keys, by, duplicates).select(*columns), "copies", narrow=True)
+        yield _counted(df, keys, by, duplicates).select(*columns)
+
+
+def write_copies(df: DataFrame, keys: list[str], by: list[str], duplicates: Written) -> Written:
+    """:func:`copies_by` as a table."""
+    with copies_to_write(df, keys, by, duplicates) as counted:
+        return write_shared(counted, "copies", narrow=True)
 
 
 def number_copies(copies: DataFrame, keys: list[str], day: str) -> DataFrame:

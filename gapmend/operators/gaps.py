@@ -267,7 +267,7 @@ def coverage_by_words(source: DataFrame, target: DataFrame, key: str) -> DataFra
     plain = words.where(f"word IS NULL OR ({unique})").withColumn("gaps", F.expr("source_bits & ~target_bits"))
     digits = "length(bin(gaps))"
     lowest, highest = (
-        F.when(F.col("gaps") != 0, F.expr(f"word * 64 + {digits} - {less}")).cast(kind)
+        F.when(F.col("gaps") != 0, F.expr(f"word * 64 + ({digits} - {less})")).cast(kind)
         for less in ("length(rtrim('0', bin(gaps)))", "1")
     )
     missing = F.sum(F.expr("bit_count(gaps)").cast("bigint"))

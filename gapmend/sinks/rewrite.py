@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gapmend.functions.columns import any_null, as_list, named, none_null
 from gapmend.operators.duplicates import (
+    copies_to_write,
     dedup_by_place,
     find_duplicates,
     number_copies,
     survivors,
-    write_copies,
 )
 from gapmend.operators.gaps import Keys
 from gapmend.shared import Written, session_conf, write_shared
@@ -103,7 +103,8 @@ def rewrite_duplicates(
 
     try:
         duplicates = kept_for_now(find_duplicates(df, keys))
-        copies = kept_for_now(write_copies(df, keys, [day], duplicates))
+        with copies_to_write(df, keys, [day], duplicates) as counted:
+            copies = kept_for_now(write_shared(counted, "copies-by-day", narrow=True))
         extra = number_copies(copies.frame, keys, day)
         # One row per day that has to change: as many as the table has partitions.
         per_day = extra.groupBy(named(day)).agg(F.sum("extra_rows").alias("n")).collect()
