@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from gapmend.llm.packing import tokenizer
 from gapmend.llm.texts import CHUNK_BYTES, chunks, kept_in_process, schema_of, text_key, write_scanned
@@ -368,6 +369,8 @@ def _aligned(docs: DataFrame, byte_level: str, pieces: str, text: str, doc_id: s
     texts = blocks.where("doc IS NOT NULL").select("block", "doc.*", "places", "times")
     figures = texts.drop("block", "places", "times")
     schema, own = schema_of(figures, "n_best long, count_sum long"), figures.columns
+    # A cogroup sends times in the session's zone and takes them back in UTC only.
+    kinds = to_arrow_schema(figures.schema).types
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         places, times = (pc.list_flatten(texts[c]).to_numpy() for c in ("places", "times"))
@@ -379,7 +382,7 @@ def _aligned(docs: DataFrame, byte_level: str, pieces: str, text: str, doc_id: s
                 values[answers["place"].to_numpy()] = answers[name].to_numpy()
             total = np.concatenate(([0], np.cumsum(times * values[places])))
             sums.append(pa.array(total[begins[1:]] - total[begins[:-1]], pa.int64()))
-        return pa.Table.from_arrays([*(texts[c] for c in own), *sums], [*own, "n_best", "count_sum"])
+        return pa.Table.from_arrays([*(texts[c].cast(kind) for c, kind in zip(own, kinds)), *sums], [*own, "n_best", "count_sum"])
 
     joined = texts.groupBy("block").cogroup(answers.groupBy("for_block")).applyInArrow(run, schema)
     result = write_scanned(joined, "token-alignment").frame

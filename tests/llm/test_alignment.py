@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from gapmend.llm import alignment
 from gapmend.llm.alignment import Matrix, align, align_tokenizers, alignments, intervals, product_sizes, row_products
+from gapmend.shared import session_conf
 from tests.llm.cases import as_counter, documents, odd_documents
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -112,6 +113,16 @@ def test_empty_table(spark):
     assert align_tokenizers(documents(spark, [None, ""]), A, B).filter("n_a = 0 AND groups_sha256 = ''").count() == 2
 
 
+def test_ids_of_any_type(spark):
+    for zone in ("UTC", "America/New_York"):
+        with session_conf(spark, {"spark.sql.session.timeZone": zone}):
+            df = spark.sql("SELECT timestamp'2024-01-02 03:04:05' AS doc_id, 'a text' AS text UNION ALL SELECT NULL, NULL")
+            df = df.selectExpr("named_struct('a', doc_id, 'b', 1.5) AS doc_id", "text").unionByName(df.selectExpr("named_struct('a', doc_id, 'b', 2) AS doc_id", "text"))
+            for kind in ("doc_id", "doc_id.a"):
+                rows = df.selectExpr(f"{kind} AS doc_id", "text")
+                assert as_counter(align_tokenizers(rows, A, B).select("doc_id").collect()) == as_counter(rows.select("doc_id").collect())
+
+
 def test_no_row_grows_with_its_block(spark, spell, monkeypatch):
     """What a step writes has one text or a stretch of pairs in a row, though all
     texts are in one block."""
